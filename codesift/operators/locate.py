@@ -61,10 +61,17 @@ def _threshold_udf(threshold: float):
     return score
 
 
-def line_windows(text: Column, max_window: int = P.LOCATE_MAX_WINDOW) -> Column:
+def collapsed_lines(text: Column) -> Column:
+    """Lines of a text (T2), each whitespace-collapsed."""
+    return F.transform(split_lines(text), collapse_ws)
+
+
+def line_windows(norms: Column, max_window: int = P.LOCATE_MAX_WINDOW) -> Column:
     """``array<struct<w int, s int, window string>>`` of every window of 1..min(max, n)
-    lines (``s`` 1-based), text whitespace-collapsed; ``[]`` for a file without lines."""
-    norms = F.transform(split_lines(text), collapse_ws)
+    lines (``s`` 1-based) over already collapsed lines; ``[]`` for a file without lines.
+
+    ``norms`` should be a column reference (see ``collapsed_lines``): an expression here
+    would be re-evaluated inside every lambda call."""
     n = F.size(norms)
 
     def for_size(w):
@@ -82,15 +89,29 @@ def line_windows(text: Column, max_window: int = P.LOCATE_MAX_WINDOW) -> Column:
 def file_windows(files: DataFrame, max_window: int = P.LOCATE_MAX_WINDOW) -> DataFrame:
     """Distinct windows per file: ``(repo_id, path, window, wlen, w, s)`` with the earliest
     (size, start) for each distinct text."""
-    ex = files.select("repo_id", "path", F.explode(line_windows(F.col("text"), max_window)).alias("x"))
+    normed = files.select("repo_id", "path", collapsed_lines(F.col("text")).alias("norms"))
+    ex = normed.select("repo_id", "path", F.explode(line_windows(F.col("norms"), max_window)).alias("x"))
+    # (size, start) packed into one long so the dedupe is a hash aggregate with a map-side combine
     return (
         ex.groupBy("repo_id", "path", F.col("x.window").alias("window"))
-        .agg(F.min(F.struct(F.col("x.w").alias("w"), F.col("x.s").alias("s"))).alias("ws"))
+        .agg(F.min(_pack(F.col("x.w"), F.col("x.s"))).alias("ws"))
         .select("repo_id", "path", "window", F.length("window").alias("wlen"),
-                F.col("ws.w").alias("w"), F.col("ws.s").alias("s"))
+                _unpack_w(F.col("ws")).alias("w"), _unpack_s(F.col("ws")).alias("s"))
     )
 
 
+def _pack(w: Column, s: Column) -> Column:
+    return w.cast("long") * F.lit(1 << 32) + s.cast("long")
+
+
+def _unpack_w(k: Column) -> Column:
+    return F.floor(k / F.lit(1 << 32)).cast("int")
+
+
+def _unpack_s(k: Column) -> Column:
+    return (k % F.lit(1 << 32)).cast("int")
+
+
 def _band(length: Column, base: float) -> Column:
     return F.floor(F.log(float(base), length.cast("double"))).cast("int")
 
@@ -110,8 +131,9 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     exact = (
         f.join(win, (f.repo_id == win.repo_id) & (f.path == win.path) & (f.snip == win.window), "inner")
         .groupBy("finding_id")
-        .agg(F.min(F.struct("w", "s")).alias("best"))
-        .select("finding_id", F.col("best.w").alias("w"), F.col("best.s").alias("s"), F.lit(1.0).alias("score"))
+        .agg(F.min(_pack(F.col("w"), F.col("s"))).alias("best"))
+        .select("finding_id", _unpack_w(F.col("best")).alias("w"), _unpack_s(F.col("best")).alias("s"),
+                F.lit(1.0).alias("score"))
     )
 
     # the rest: length bands, exact bound, then the Python score
