@@ -72,9 +72,10 @@ def bundle_context(subsets: DataFrame, files: DataFrame, max_chars: int | None =
     parts = bundle_parts(subsets, files, root)
     if max_chars is not None:
         w = Window.partitionBy("repo_id", "subset_id").orderBy("fpos").rowsBetween(Window.unboundedPreceding, -1)
-        # start offset of a part = sum of earlier part lengths + one '\n' per earlier part
+        # start offset of a part = sum of earlier part lengths + one '\n' per earlier part; a part
+        # starting exactly at the limit is kept for the separator in front of it
         start = F.coalesce(F.sum(F.length("part") + 1).over(w), F.lit(0))
-        parts = parts.withColumn("_start", start).filter(F.col("_start") < max_chars).drop("_start")
+        parts = parts.withColumn("_start", start).filter(F.col("_start") <= max_chars).drop("_start")
     out = parts.groupBy("repo_id", "subset_id").agg(
         F.expr("listagg(part, '\\n') WITHIN GROUP (ORDER BY fpos)").alias("bundle"),
         F.count(F.lit(1)).alias("n_parts"),

@@ -554,7 +554,7 @@ st AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY repo_id ORDER
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM parts),
 b AS (SELECT repo_id, CAST(count(*) AS BIGINT) AS n_parts,
              left(string_agg(part, chr(10) ORDER BY doc_id), {BUNDLE_MAX_CHARS}) AS bundle
-      FROM st WHERE start < {BUNDLE_MAX_CHARS} GROUP BY 1)
+      FROM st WHERE start <= {BUNDLE_MAX_CHARS} GROUP BY 1)
 SELECT repo_id, n_parts, CAST(length(bundle) AS BIGINT) AS bundle_chars, sha1(bundle) AS bundle_sha1 FROM b"""
 
 
