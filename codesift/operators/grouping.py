@@ -88,8 +88,8 @@ def parse_grouping(answered: DataFrame, strict: bool = False, content: str = "co
         )
     chunk_status = parsed.select("repo_id", "chunk", "chunk_status")
     items = parsed.filter(F.col("chunk_status") == "ok").select(
-        "repo_id", "chunk", F.posexplode("_arr").alias("pos", "e")
-    )
+        "repo_id", "chunk", F.posexplode_outer("_arr").alias("pos", "e")
+    ).filter(F.col("pos").isNotNull())
     sid = F.coalesce(jsonx.get_field(F.col("e"), "subset_id"), F.lit(None))
     orig = F.when(sid.isNull(), F.lit(P.GROUP_ID_DEFAULT)).otherwise(jsonx.py_str(sid))
     subsets = items.select(

@@ -8,19 +8,20 @@ argument order kept); the best score wins, ties going to the smaller window, the
 earlier start; a match needs score >= 0.6.
 
 Plan:
-1. Only files that have findings are windowed (semi-join), with no shuffle: the windows
-   of a file are generated from its own row.
-2. Windows are deduplicated per (file, text) keeping the earliest (size, start): a partial
-   aggregate, so repeated lines collapse map-side.  Equal text means equal score, so this
-   loses nothing.
-3. Score 1.0 happens exactly when the texts are equal, so exact hits are found by an
-   equi-join on the text, natively, and those findings are finished.
-4. For the rest, ``2*min(la,lb)/(la+lb)`` bounds the score from above; windows under the
-   threshold are never scored.  The bound is turned into an equi-join on length bands
-   (log base ``2/t - 1``, a finding probes its own band and both neighbours), so a file
-   with many findings is spread over bands instead of pairing everything.
-5. Survivors are scored by an Arrow UDF (``quick_ratio`` first, also an upper bound),
-   then the arg-max is a native ``min_by``.
+1. Only files that have findings are read (semi-join).  Each file row yields its
+   collapsed lines (``file_lines``, 1x the text) and the integer description of every
+   window ``(w, s, wlen)`` computed from line lengths (``window_lengths``); no window text
+   is built at this point and nothing is shuffled.
+2. Score 1.0 happens exactly when the texts are equal, hence only for windows of the
+   snippet's length: an equi-join on length gives the few candidates, their text is
+   rebuilt from the line table (<= 5 lines each) and compared natively.  Those findings
+   are finished, ties going to the smallest (size, start).
+3. For the rest, ``2*min(la,lb)/(la+lb)`` bounds the score from above, so windows under
+   the threshold are never built or scored.  The bound becomes an equi-join on length
+   bands (log base ``2/t - 1``; a finding probes its own band and both neighbours), so a
+   file with many findings is spread over bands instead of pairing everything.
+4. Survivors get their text rebuilt and are scored by an Arrow UDF (``quick_ratio``
+   first, also an upper bound); the arg-max is a native ``min_by``.
 """
 
 from __future__ import annotations
@@ -90,7 +91,8 @@ def file_windows(files: DataFrame, max_window: int = P.LOCATE_MAX_WINDOW) -> Dat
     """Distinct windows per file: ``(repo_id, path, window, wlen, w, s)`` with the earliest
     (size, start) for each distinct text."""
     normed = files.select("repo_id", "path", collapsed_lines(F.col("text")).alias("norms"))
-    ex = normed.select("repo_id", "path", F.explode(line_windows(F.col("norms"), max_window)).alias("x"))
+    ex = normed.select("repo_id", "path", F.explode_outer(line_windows(F.col("norms"), max_window)).alias("x")) \
+        .filter(F.col("x").isNotNull())
     # (size, start) packed into one long so the dedupe is a hash aggregate with a map-side combine
     return (
         ex.groupBy("repo_id", "path", F.col("x.window").alias("window"))
@@ -116,39 +118,95 @@ def _band(length: Column, base: float) -> Column:
     return F.floor(F.log(float(base), length.cast("double"))).cast("int")
 
 
+def _normed(files: DataFrame) -> DataFrame:
+    return files.select("repo_id", "path", collapsed_lines(F.col("text")).alias("norms"))
+
+
+def file_lines(files: DataFrame) -> DataFrame:
+    """``(repo_id, path, line_no, norm)``: collapsed lines, 1-based (no shuffle, 1x the text)."""
+    # *_outer + null filter everywhere below: a plain explode lets the optimizer infer
+    # size(array) > 0 and push that (the whole line split) below the repartition into the scan
+    return _normed(files).select("repo_id", "path", F.posexplode_outer("norms").alias("i", "norm")).filter(
+        F.col("i").isNotNull()).select("repo_id", "path", (F.col("i") + 1).cast("int").alias("line_no"), "norm")
+
+
+def window_lengths(files: DataFrame, max_window: int = P.LOCATE_MAX_WINDOW) -> DataFrame:
+    """``(repo_id, path, w, s, wlen)`` for every window, where ``wlen`` is the length of the
+    window's collapsed text, computed from line lengths alone (non-empty lines joined by one
+    space), so no window text is built."""
+    lens = _normed(files).select("repo_id", "path", F.transform("norms", F.length).alias("lens"))
+    n = F.size(F.col("lens"))
+
+    def wlen(s, w):
+        nz = F.filter(F.slice(F.col("lens"), s, w), lambda x: x > 0)
+        return F.aggregate(nz, F.lit(0), lambda acc, x: acc + x) + F.greatest(F.size(nz) - 1, F.lit(0))
+
+    def for_size(w):
+        return F.transform(F.sequence(F.lit(1), n - w + 1),
+                           lambda s: F.struct(w.cast("int").alias("w"), s.cast("int").alias("s"),
+                                              wlen(s, w).cast("int").alias("wlen")))
+
+    gen = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(max_window), n)), for_size))
+    gen = F.when(n > 0, gen).otherwise(F.array().cast("array<struct<w:int,s:int,wlen:int>>"))
+    return lens.select("repo_id", "path", F.explode_outer(gen).alias("x")).filter(F.col("x").isNotNull()).select(
+        "repo_id", "path", "x.w", "x.s", "x.wlen")
+
+
+def window_texts(cands: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Collapsed text of each candidate window ``(keys..., repo_id, path, w, s)``: its line numbers
+    are exploded and joined to the line table, then reassembled (at most 5 lines per group)."""
+    ex = cands.select(*keys, "repo_id", "path", "w", "s",
+                      F.explode(F.sequence(F.col("s"), F.col("s") + F.col("w") - 1)).alias("line_no"))
+    j = ex.join(lines, ["repo_id", "path", "line_no"], "inner")
+    ordered = F.sort_array(F.collect_list(F.struct("line_no", "norm")))
+    text = F.array_join(F.filter(F.transform(ordered, lambda x: x["norm"]), lambda x: x != ""), " ")
+    return j.groupBy(*keys, "w", "s").agg(text.alias("window"))
+
+
 def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.LOCATE_THRESHOLD,
                     max_window: int = P.LOCATE_MAX_WINDOW) -> DataFrame:
     """L1: ``findings(finding_id, repo_id, path, snippet)`` x ``files(repo_id, path, text)`` ->
     ``(finding_id, start, end, score, line)``; ``line`` is ``[]`` when nothing reaches the
-    threshold or the file is unknown.  ``finding_id`` must be unique."""
+    threshold or the file is unknown.  ``finding_id`` must be unique.
+
+    Windows are first handled as integers ``(w, s, wlen)``; text is rebuilt only for the
+    windows that can still win: those with the snippet's exact length (score 1.0 needs equal
+    text) and, for findings without an exact hit, those inside the length bound.
+    """
     f = findings.filter(F.col("snippet").isNotNull()).select(
         "finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip")
     ).withColumn("slen", F.length("snip"))
-    wanted = f.select("repo_id", "path").distinct()
-    win = file_windows(files.join(wanted, ["repo_id", "path"], "left_semi"), max_window)
-
-    # exact hits: score 1.0 <=> equal texts
-    exact = (
-        f.join(win, (f.repo_id == win.repo_id) & (f.path == win.path) & (f.snip == win.window), "inner")
-        .groupBy("finding_id")
-        .agg(F.min(_pack(F.col("w"), F.col("s"))).alias("best"))
-        .select("finding_id", _unpack_w(F.col("best")).alias("w"), _unpack_s(F.col("best")).alias("s"),
-                F.lit(1.0).alias("score"))
-    )
-
-    # the rest: length bands, exact bound, then the Python score
+    target = files.join(f.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
+    meta = window_lengths(target, max_window)
+    lines = file_lines(target)
+    fk = ["finding_id", "snip"]
+
+    # exact hits: equal length first (ints), then equal text; '' needs no text at all
+    empty_hits = f.filter(F.col("slen") == 0).join(meta.filter(F.col("wlen") == 0), ["repo_id", "path"])
+    same_len = f.filter(F.col("slen") > 0).join(
+        meta, (f.repo_id == meta.repo_id) & (f.path == meta.path) & (f.slen == meta.wlen), "inner"
+    ).select(f.finding_id, f.snip, f.repo_id, f.path, meta.w, meta.s)
+    texts = window_texts(same_len, lines, fk)
+    hits = texts.filter(F.col("window") == F.col("snip")).select("finding_id", "w", "s").unionByName(
+        empty_hits.select("finding_id", "w", "s"))
+    exact = hits.groupBy("finding_id").agg(F.min(_pack(F.col("w"), F.col("s"))).alias("best")).select(
+        "finding_id", _unpack_w(F.col("best")).alias("w"), _unpack_s(F.col("best")).alias("s"),
+        F.lit(1.0).alias("score"))
+
+    # the rest: length bands -> exact bound -> text -> Python score -> arg-max
     rest = f.join(exact.select("finding_id"), "finding_id", "left_anti").filter(F.col("slen") > 0)
+    mw = meta.filter(F.col("wlen") > 0)
     if threshold > 0:
         # slightly widened so float rounding in log() can never split a qualifying pair by 2 bands
         base = max(2.0 / threshold - 1.0, 1.0) * (1.0 + 1e-9)
         probe = rest.withColumn("band", F.explode(F.array(*[_band(F.col("slen"), base) + d for d in (-1, 0, 1)])))
-        wb = win.filter(F.col("wlen") > 0).withColumn("band", _band(F.col("wlen"), base))
-        cand = probe.join(wb, ["repo_id", "path", "band"], "inner")
+        cand = probe.join(mw.withColumn("band", _band(F.col("wlen"), base)), ["repo_id", "path", "band"], "inner")
     else:
-        cand = rest.join(win, ["repo_id", "path"], "inner")
+        cand = rest.join(mw, ["repo_id", "path"], "inner")
     bound = 2.0 * F.least("slen", "wlen") / (F.col("slen") + F.col("wlen"))
-    cand = cand.filter(bound >= threshold).select("finding_id", "snip", "window", "w", "s")
-    scored = cand.withColumn("score", _threshold_udf(threshold)(F.col("snip"), F.col("window")))
+    cand = cand.filter(bound >= threshold).select("finding_id", "snip", "repo_id", "path", "w", "s")
+    scored = window_texts(cand, lines, fk).withColumn(
+        "score", _threshold_udf(threshold)(F.col("snip"), F.col("window")))
     fuzzy = (
         scored.filter(F.col("score") >= threshold)
         .groupBy("finding_id")

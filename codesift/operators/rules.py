@@ -33,7 +33,10 @@ def screen_rules(files: DataFrame, rules: list[dict] | None = None) -> DataFrame
     rules = DEFAULT_RULES if rules is None else rules
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are compiled into one expression")
-    lines = files.select("repo_id", "path", F.posexplode(split_lines(F.col("text"))).alias("i", "code"))
+    # *_outer + null filter: a plain explode makes the optimizer infer size(lines) > 0 and push
+    # that (the whole split) below any repartition, into the scan task
+    lines = files.select("repo_id", "path", F.posexplode_outer(split_lines(F.col("text"))).alias("i", "code")) \
+        .filter(F.col("i").isNotNull())
     hits = F.array(*[
         F.when(F.col("code").rlike(r["pattern"]),
                F.struct(F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["pipeline_id"]).alias("pipeline_id"),

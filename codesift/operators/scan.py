@@ -131,7 +131,7 @@ def parse_findings(answered: DataFrame, content: str = "content") -> dict[str, D
         else F.lit(True).alias("save_output"),
         payload.alias("payload"),
     )
-    el = a.select(*keys, F.posexplode("_items").alias("pos", "e"))
+    el = a.select(*keys, F.posexplode_outer("_items").alias("pos", "e")).filter(F.col("pos").isNotNull())
     el = el.filter(jsonx.is_object(F.col("e")))
     cols = [jsonx.get_string(F.col("e"), f).alias(f) for f in FINDING_FIELDS]
     findings = el.select(*keys, F.col("pos").cast("bigint").alias("pos"), *cols,

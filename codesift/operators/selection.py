@@ -57,7 +57,8 @@ def selection_result(files: DataFrame, answers: DataFrame) -> DataFrame:
     parsed = parse_selection(answers.select("repo_id", "content"))
     picked = (
         parsed.filter(F.col("picked").isNotNull())
-        .select("repo_id", F.posexplode("picked").alias("pos0", "path"))
+        .select("repo_id", F.posexplode_outer("picked").alias("pos0", "path"))
+        .filter(F.col("pos0").isNotNull())
         .select("repo_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "path", F.lit("model").alias("origin"))
     )
     decided = parsed.filter(F.col("picked").isNotNull()).select("repo_id")

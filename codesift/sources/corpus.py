@@ -23,6 +23,17 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` when its scan gives fewer partitions than the cluster
+    has task slots (e.g. one large Parquet row group); a big input split into many
+    partitions is returned untouched, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -46,4 +57,6 @@ def documents_as_files(documents: DataFrame) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_as_files(read_table(spark, sf_dir, "documents"))
+    """The document table as files, spread over the task slots by (repo_id, path), the key of
+    every later join on files."""
+    return spread(documents_as_files(read_table(spark, sf_dir, "documents")), "repo_id", "path")
