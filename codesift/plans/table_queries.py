@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from codesift.functions import jsonx
 from codesift.functions.paths import (EXT_TO_LANG, PREFILTER_PATTERN, TREE_EXCLUDE_DIRS, base_name,
                                       detect_language, join_base, normalize_rel, path_parts, relativize)
-from codesift.functions.text import extract_imports, split_lines
-from codesift.operators import grouping, locate, metadata, rules, scan, selection, suggest
+from codesift.functions.text import SUMMARY_HEAD_CHARS, extract_imports, split_lines
+from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, suggest
+from codesift.operators.ordering import head_n
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
@@ -864,6 +865,62 @@ issues AS (
 SELECT repo_id, issue, CAST(count(*) AS BIGINT) AS n FROM issues GROUP BY 1, 2"""
 
 
+def q_stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: per repo, files listed, kept by the listing (S1), kept by the pre-filter (F1) and
+    offered to the selection prompt (W3 head-30)."""
+    files = _files(spark, sf)
+    scanned = scan_corpus(files)
+    kept = selection.path_prefilter(scanned)
+    offered = head_n(kept.select("repo_id", "path"), P.SELECT_LIMIT, ["repo_id"], ["path"], remainder=False)
+    return metrics.stage_metrics({"listed": files, "scanned": scanned, "kept": kept, "offered": offered})
+
+
+SQL_STAGE_METRICS = f"""WITH {CORPUS_CTES},
+o AS (SELECT repo_id FROM (SELECT repo_id, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS rn FROM kept)
+      WHERE rn <= {P.SELECT_LIMIT})
+SELECT repo_id, 'listed' AS stage, count(*) AS n FROM files GROUP BY 1
+UNION ALL SELECT repo_id, 'scanned', count(*) FROM scanned GROUP BY 1
+UNION ALL SELECT repo_id, 'kept', count(*) FROM kept GROUP BY 1
+UNION ALL SELECT repo_id, 'offered', count(*) FROM o GROUP BY 1"""
+
+
+def q_selection_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The model picks two offered paths plus a path it was never shown; the audit reports
+    the unknown one per repo."""
+    kept = _kept(spark, sf)
+    offered = head_n(kept.select("repo_id", "path"), P.SELECT_LIMIT, ["repo_id"], ["path"], remainder=False)
+    w = Window.partitionBy("repo_id").orderBy("path")
+    two = offered.withColumn("rn", F.row_number().over(w)).filter("rn <= 2").groupBy("repo_id").agg(
+        F.sort_array(F.collect_list("path")).alias("ps"))
+    picks = F.concat(F.col("ps"), F.array(F.concat(F.lit("src/secret/"), F.col("repo_id"), F.lit(".env"))))
+    answers = two.select("repo_id", F.to_json(picks).alias("content"))
+    sel = selection.selection_result(kept, answers)
+    return selection.audit_selection(sel, offered).select("repo_id", "pos", "path", "origin")
+
+
+SQL_SELECTION_AUDIT = f"""WITH {CORPUS_CTES},
+r AS (SELECT repo_id, count(*) AS n FROM kept GROUP BY 1)
+SELECT repo_id, CAST(least(n, 2) + 1 AS BIGINT) AS pos, 'src/secret/' || repo_id || '.env' AS path, 'model' AS origin
+FROM r"""
+
+
+def q_summary_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """G5 requests for every kept file: instructions around the first 4,000 characters."""
+    p = metadata.profile(_kept(spark, sf)).drop("content")
+    r = metadata.summary_requests(p)
+    return r.select("repo_id", "path", "operation", F.length(F.col("messages")[1]["content"]).cast("bigint")
+                    .alias("prompt_chars"), F.sha1(F.col("messages")[1]["content"]).alias("prompt_sha1"),
+                    F.col("params_json"))
+
+
+SQL_SUMMARY_REQUESTS = f"""WITH {CORPUS_CTES},
+p AS (SELECT repo_id, path, {_q(P.SUMMARY_PROMPT_HEAD)} || left(content, {SUMMARY_HEAD_CHARS})
+             || {_q(P.SUMMARY_PROMPT_TAIL)} AS u FROM kept)
+SELECT repo_id, path, {_q(P.OP_SUMMARY)} AS operation, CAST(length(u) AS BIGINT) AS prompt_chars, sha1(u) AS prompt_sha1,
+       '{{"model":"{P.DEFAULT_MODEL}","temperature":{P.SUMMARY_TEMPERATURE},"max_tokens":{P.SUMMARY_MAX_TOKENS}}}' AS params_json
+FROM p"""
+
+
 QUERIES = {
     "language_profile": q_language_profile,
     "file_profile": q_file_profile,
@@ -890,6 +947,9 @@ QUERIES = {
     "json_shapes": q_json_shapes,
     "import_extract": q_import_extract,
     "stream_metadata": q_stream_metadata,
+    "stage_metrics": q_stage_metrics,
+    "selection_audit": q_selection_audit,
+    "summary_requests": q_summary_requests,
 }
 
 ORACLE_SQL = {
@@ -917,4 +977,7 @@ ORACLE_SQL = {
     "json_shapes": SQL_JSON_SHAPES,
     "import_extract": SQL_IMPORT_EXTRACT,
     "stream_metadata": SQL_STREAM_METADATA,
+    "stage_metrics": SQL_STAGE_METRICS,
+    "selection_audit": SQL_SELECTION_AUDIT,
+    "summary_requests": SQL_SUMMARY_REQUESTS,
 }
