@@ -20,8 +20,10 @@ Plan:
    the threshold are never built or scored.  The bound becomes an equi-join on length
    bands (log base ``2/t - 1``; a finding probes its own band and both neighbours), so a
    file with many findings is spread over bands instead of pairing everything.
-4. Survivors get their text rebuilt and are scored by an Arrow UDF (``quick_ratio``
-   first, also an upper bound); the arg-max is a native ``min_by``.
+4. Survivors get their text rebuilt; per finding they are scored in descending bound
+   order (``mapInPandas`` over ``repartition(finding_id)`` + ``sortWithinPartitions``),
+   ``quick_ratio`` first, and scoring stops once the bound drops below the best score:
+   branch and bound, streaming, so one finding with many candidates needs no memory.
 """
 
 from __future__ import annotations
@@ -37,14 +39,6 @@ from codesift.functions.text import collapse_ws, line_range, split_lines
 from codesift.plans import prompts as P
 
 
-def _score(a: str, b: str, threshold: float) -> float:
-    sm = SequenceMatcher(None, a, b)
-    q = sm.quick_ratio()
-    if q < threshold:  # quick_ratio >= ratio, so this pair cannot qualify
-        return q
-    return sm.ratio()
-
-
 @F.pandas_udf(T.DoubleType())
 def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
@@ -55,11 +49,50 @@ def similarity(snippet: Column, window: Column) -> Column:
     return _ratio_udf(snippet, window)
 
 
-def _threshold_udf(threshold: float):
-    @F.pandas_udf(T.DoubleType())
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_score(x, y, threshold) for x, y in zip(a, b)], dtype="float64")
-    return score
+BEST_SCHEMA = T.StructType([
+    T.StructField("finding_id", T.StringType()),
+    T.StructField("w", T.IntegerType()),
+    T.StructField("s", T.IntegerType()),
+    T.StructField("score", T.DoubleType()),
+])
+
+
+def _best_window_fn(threshold: float):
+    """mapInPandas body: rows grouped by finding, bound descending.  Keeps the highest score
+    (ties: smaller window, then earlier start) among windows scoring >= threshold."""
+
+    def run(batches):
+        cur, best = None, None   # best = (score, w, s)
+        out = []
+
+        def flush():
+            if cur is not None and best is not None:
+                out.append((cur, best[1], best[2], best[0]))
+
+        for pdf in batches:
+            for fid, snip, window, w, s, bnd in zip(pdf["finding_id"], pdf["snip"], pdf["window"], pdf["w"],
+                                                    pdf["s"], pdf["bound"]):
+                if fid != cur:
+                    flush()
+                    cur, best = fid, None
+                floor = threshold if best is None else best[0]
+                if bnd < floor:          # no later row of this finding can reach the floor
+                    continue
+                sm = SequenceMatcher(None, snip, window)
+                if sm.quick_ratio() < floor:
+                    continue
+                r = sm.ratio()
+                if r < threshold:
+                    continue
+                if best is None or r > best[0] or (r == best[0] and (w, s) < (best[1], best[2])):
+                    best = (r, int(w), int(s))
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=["finding_id", "w", "s", "score"])
+                out = []
+        flush()
+        yield pd.DataFrame(out, columns=["finding_id", "w", "s", "score"])
+
+    return run
 
 
 def collapsed_lines(text: Column) -> Column:
@@ -204,15 +237,17 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     else:
         cand = rest.join(mw, ["repo_id", "path"], "inner")
     bound = 2.0 * F.least("slen", "wlen") / (F.col("slen") + F.col("wlen"))
-    cand = cand.filter(bound >= threshold).select("finding_id", "snip", "repo_id", "path", "w", "s")
-    scored = window_texts(cand, lines, fk).withColumn(
-        "score", _threshold_udf(threshold)(F.col("snip"), F.col("window")))
-    fuzzy = (
-        scored.filter(F.col("score") >= threshold)
-        .groupBy("finding_id")
-        .agg(F.min_by(F.struct("w", "s", "score"), F.struct(-F.col("score"), F.col("w"), F.col("s"))).alias("best"))
-        .select("finding_id", F.col("best.w").alias("w"), F.col("best.s").alias("s"), F.col("best.score").alias("score"))
-    )
+    cand = cand.withColumn("bound", bound).filter(F.col("bound") >= threshold).select(
+        "finding_id", "snip", "repo_id", "path", "w", "s", "bound")
+    texts = window_texts(cand.drop("bound"), lines, fk).join(cand.select("finding_id", "w", "s", "bound"),
+                                                             ["finding_id", "w", "s"])
+    # branch and bound: each finding's candidates arrive together, highest bound first; scoring
+    # stops once the bound falls below the best score found (the bound never underestimates)
+    n = max(files.sparkSession.sparkContext.defaultParallelism, 1)
+    ordered = texts.repartition(n, "finding_id").sortWithinPartitions(
+        "finding_id", F.col("bound").desc(), "w", "s")
+    fuzzy = ordered.select("finding_id", "snip", "window", "w", "s", "bound").mapInPandas(
+        _best_window_fn(threshold), BEST_SCHEMA)
     best = exact.unionByName(fuzzy)
     out = findings.select("finding_id").join(best, "finding_id", "left")
     return out.select(

@@ -832,8 +832,9 @@ def q_stream_metadata(spark: SparkSession, sf: str) -> DataFrame:
     files = _files(spark, sf)
     docs = read_table(spark, sf, "documents").select("doc_id", "lang")
     src = files.join(docs, "doc_id").select("repo_id", "path", "content", F.col("doc_id").alias("seq"), "lang")
-    for lang in ["de", "en", "es", "fr"]:
-        src.filter(F.col("lang") == lang).drop("lang").write.mode("overwrite").parquet(os.path.join(drops, f"drop={lang}"))
+    for lang in ["de", "en", "es", "fr"]:  # one file per drop, so maxFilesPerTrigger=1 gives one batch per drop
+        src.filter(F.col("lang") == lang).drop("lang").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(drops, f"drop_{lang}"))
     q = incremental_metadata(spark, drops + "/*", os.path.join(base, "state"), os.path.join(base, "ckpt"),
                              max_files_per_trigger=1)
     q.awaitTermination()
