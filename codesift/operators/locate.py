@@ -216,9 +216,8 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
 
     # exact hits: equal length first (ints), then equal text; '' needs no text at all
     empty_hits = f.filter(F.col("slen") == 0).join(meta.filter(F.col("wlen") == 0), ["repo_id", "path"])
-    same_len = f.filter(F.col("slen") > 0).join(
-        meta, (f.repo_id == meta.repo_id) & (f.path == meta.path) & (f.slen == meta.wlen), "inner"
-    ).select(f.finding_id, f.snip, f.repo_id, f.path, meta.w, meta.s)
+    same_len = f.filter(F.col("slen") > 0).withColumn("wlen", F.col("slen")).join(
+        meta, ["repo_id", "path", "wlen"], "inner").select("finding_id", "snip", "repo_id", "path", "w", "s")
     texts = window_texts(same_len, lines, fk)
     hits = texts.filter(F.col("window") == F.col("snip")).select("finding_id", "w", "s").unionByName(
         empty_hits.select("finding_id", "w", "s"))

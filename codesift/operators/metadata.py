@@ -49,12 +49,13 @@ def expand_selection(selection: DataFrame, files: DataFrame) -> tuple[DataFrame,
     """
     sel = selection.select("repo_id", "pos", normalize_rel(F.col("path")).alias("sel_path"))
     listing = files.select("repo_id", "path")
-    exact = sel.join(listing, (sel.repo_id == listing.repo_id) & (sel.sel_path == listing.path), "inner").select(
-        sel.repo_id, listing.path, sel.pos, F.lit("").alias("sub_path")
+    # joins by column name: selection and listing often share lineage (self-join)
+    exact = sel.withColumnRenamed("sel_path", "path").join(listing, ["repo_id", "path"], "inner").select(
+        "repo_id", "path", "pos", F.lit("").alias("sub_path")
     )
     anc = listing.select("repo_id", "path", F.explode(ancestor_dirs(F.col("path"))).alias("dir"))
-    under = sel.join(anc, (sel.repo_id == anc.repo_id) & (sel.sel_path == anc.dir), "inner").select(
-        sel.repo_id, anc.path, sel.pos, anc.path.alias("sub_path")
+    under = sel.withColumnRenamed("sel_path", "dir").join(anc, ["repo_id", "dir"], "inner").select(
+        "repo_id", "path", "pos", F.col("path").alias("sub_path")
     )
     expanded = distinct_first(exact.unionByName(under), ["repo_id", "path"], ["pos", "sub_path"])
     hit_exact = listing.select("repo_id", F.col("path").alias("sel_path"))

@@ -95,16 +95,13 @@ def replay(requests: DataFrame, responses: DataFrame) -> DataFrame:
     ``responses`` may hold several rows per request id (re-runs); the last one by
     ``answered_at`` (or any, when absent) is used.
     """
-    resp = responses.select("request_id", "content", F.coalesce(F.col("status"), F.lit("ok")).alias("status"))
-    resp = resp.groupBy("request_id").agg(
-        F.max_by("content", F.struct("status", "content")).alias("content"),
-        F.max("status").alias("status"),
-    ) if "answered_at" not in responses.columns else (
-        responses.groupBy("request_id").agg(
-            F.max_by("content", "answered_at").alias("content"),
-            F.max_by(F.coalesce(F.col("status"), F.lit("ok")), "answered_at").alias("status"),
-        )
-    )
+    status = F.coalesce(F.col("status"), F.lit("ok"))
+    if "answered_at" in responses.columns:
+        resp = responses.groupBy("request_id").agg(
+            F.max_by("content", "answered_at").alias("content"), F.max_by(status, "answered_at").alias("status"))
+    else:
+        resp = responses.groupBy("request_id").agg(
+            F.max_by("content", F.struct(status, F.col("content"))).alias("content"), F.max(status).alias("status"))
     return requests.join(resp, "request_id", "left").withColumn(
         "status", F.coalesce(F.col("status"), F.lit("missing"))
     )
@@ -116,7 +113,7 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
 
     Stored ``responses`` are reused (no call); the rest go to ``provider`` (an
     ``Iterator[pandas.DataFrame] -> Iterator[pandas.DataFrame]`` mapping columns
-    ``request_id, messages_json, params_json`` to ``request_id, content, status``),
+    ``request_id, operation, messages_json, params_json`` to ``request_id, content, status``),
     spread over ``partitions`` tasks, and checkpointed before use.
     """
     stored = responses if responses is not None else requests.sparkSession.createDataFrame([], RESPONSE_SCHEMA)
@@ -124,7 +121,7 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
         return replay(requests, stored)
     todo = (
         requests.join(stored.select("request_id"), "request_id", "left_anti")
-        .select("request_id", F.to_json("messages").alias("messages_json"), "params_json")
+        .select("request_id", "operation", F.to_json("messages").alias("messages_json"), "params_json")
         .dropDuplicates(["request_id"])
     )
     n = partitions or requests.sparkSession.sparkContext.defaultParallelism
