@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codesift.session import materialize
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -23,10 +25,14 @@ def ordinal(df: DataFrame, by: list[str], order: list[str | Column], name: str =
     after a local sort, and shifted by the sizes of the preceding partitions of the
     same group.  The offsets table has one row per (group, partition) it touches;
     AQE broadcasts it when small.  ``order`` must be unique within a group for a
-    deterministic result.
+    deterministic result.  The tagged rows (keys and payload, normally path-level
+    columns, not file text) are checkpointed.
     """
     keys = _cols(by) + _cols(order)
-    tagged = (
+    # Range bounds come from sampling, which depends on the arrival order of rows; the
+    # tagged rows are therefore checkpointed once so the offsets and the numbering read the
+    # very same partition assignment.
+    tagged = materialize(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
