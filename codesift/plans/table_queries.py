@@ -22,7 +22,7 @@ from codesift.functions.paths import (EXT_TO_LANG, PREFILTER_PATTERN, TREE_EXCLU
                                       detect_language, join_base, normalize_rel, path_parts, relativize)
 from codesift.functions.text import SUMMARY_HEAD_CHARS, extract_imports, split_lines
 from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, suggest
-from codesift.operators.ordering import head_n
+from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
@@ -109,16 +109,28 @@ def _fixture_metadata(spark, sf) -> DataFrame:
     )
 
 
-def _fixture_subsets(spark, sf) -> DataFrame:
-    """Subsets of kept files grouped by language, numbered per repo in language order."""
-    k = _kept(spark, sf).withColumn("language", detect_language(F.col("path")))
-    g = k.groupBy("repo_id", "language").agg(F.sort_array(F.collect_list("path")).alias("file_paths"))
-    w = Window.partitionBy("repo_id").orderBy("language")
-    g = g.withColumn("subset_no", F.row_number().over(w))
+SUBSET_SIZE = 15  # largest subset size the grouping prompt asks for
+
+
+def _bucketed_subsets(files: DataFrame) -> DataFrame:
+    """Subsets of at most 15 files: per repo and language, consecutive paths; numbered per repo
+    in (language, bucket) order.  Numbering uses the skew-safe ``ordinal`` and every collected
+    list is bounded by the bucket size."""
+    k = files.select("repo_id", "path").withColumn("language", detect_language(F.col("path")))
+    k = ordinal(k, ["repo_id", "language"], ["path"], "_n").withColumn(
+        "bucket", F.floor((F.col("_n") - 1) / SUBSET_SIZE).cast("int"))
+    g = k.groupBy("repo_id", "language", "bucket").agg(F.sort_array(F.collect_list("path")).alias("file_paths"))
+    g = ordinal(g, ["repo_id"], ["language", "bucket"], "subset_no").withColumn(
+        "subset_no", F.col("subset_no").cast("int"))
     return g.select("repo_id", "subset_no", F.format_string(P.SUBSET_ID_FORMAT, F.col("subset_no")).alias("subset_id"),
                     "file_paths", F.concat(F.lit("language "), F.col("language")).alias("reason"))
 
 
+def _fixture_subsets(spark, sf) -> DataFrame:
+    """Subsets of the kept files (see ``_bucketed_subsets``)."""
+    return _bucketed_subsets(_kept(spark, sf))
+
+
 SUGGEST_ANSWERS = [
     '["pipeline_xss", "pipeline_auth"]',
     '```json\n["pipeline_auth"]\n```',
@@ -283,8 +295,8 @@ def _fixture_selection(spark, sf) -> DataFrame:
         repos.select("repo_id", F.lit(2).cast("bigint").alias("pos"), F.lit("src/ghost.js").alias("path")))
     good = docs.join(labels.filter("quality = 1"), "doc_id").select(
         F.col("source").alias("repo_id"), "doc_id", _files_path("doc_id").alias("path"))
-    w = Window.partitionBy("repo_id").orderBy("doc_id")
-    picked = good.select("repo_id", (F.row_number().over(w) + 2).cast("bigint").alias("pos"), "path")
+    picked = ordinal(good, ["repo_id"], ["doc_id"], "_n").select(
+        "repo_id", (F.col("_n") + 2).cast("bigint").alias("pos"), "path")
     return fixed.unionByName(picked)
 
 
@@ -296,15 +308,14 @@ def _files_path(col):
 def _fixture_prev(spark, sf) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     labels = read_table(spark, sf, "labels")
-    j = docs.join(labels, "doc_id")
-    w = Window.partitionBy("source").orderBy("doc_id")
+    j = ordinal(docs.join(labels, "doc_id"), ["source"], ["doc_id"], "_n")
     return j.select(
         F.col("source").alias("repo_id"), _files_path("doc_id").alias("path"), F.lit("file").alias("kind"),
         detect_language(_files_path("doc_id")).alias("language"), F.lit("").alias("side"),
         F.lit(0).cast("bigint").alias("loc"), F.array(F.lit("old")).alias("imports"),
         F.when(F.col("quality") == 0, F.lit(None).cast("string")).otherwise(F.lit("previous")).alias("description"),
         F.when(F.col("toxic") == 1, F.lit("0" * 40)).otherwise(F.sha1("text")).alias("sha1"),
-        F.lit(0).cast("bigint").alias("token_estimate"), F.row_number().over(w).cast("bigint").alias("ord"),
+        F.lit(0).cast("bigint").alias("token_estimate"), F.col("_n").cast("bigint").alias("ord"),
     )
 
 
@@ -473,8 +484,10 @@ def _catalog_text_py() -> str:
 
 
 SQL_SUGGESTION_REQUESTS = f"""WITH {CORPUS_CTES}, {_FIXTURE_META_SQL},
-g AS (SELECT repo_id, language, list(path ORDER BY path) AS fps FROM fm GROUP BY 1, 2),
-s AS (SELECT *, printf('subset-%03d', row_number() OVER (PARTITION BY repo_id ORDER BY language)) AS subset_id FROM g),
+b AS (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket FROM fm),
+g AS (SELECT repo_id, language, bucket, list(path ORDER BY path) AS fps FROM b GROUP BY 1, 2, 3),
+s AS (SELECT *, printf('subset-%03d', row_number() OVER (PARTITION BY repo_id ORDER BY language, bucket)) AS subset_id
+      FROM g),
 m AS (SELECT s.repo_id, s.subset_id, len(s.fps) AS n, u.i, s.fps[u.i] AS path
       FROM s, LATERAL (SELECT unnest(generate_series(1, len(s.fps))) AS i) u),
 lines AS (SELECT m.repo_id, m.subset_id, m.n, m.i, '• ' || m.path || ' [/' || coalesce(fm.language, '') || ']: '
@@ -495,9 +508,13 @@ def q_suggestion_parse(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("repo_id", "subset_id", F.array_join("suggested_pipelines", ",").alias("suggested"))
 
 
-_FIXTURE_SUBSETS_SQL = f"""sg AS (
-  SELECT repo_id, {lang_sql('path')} AS language, list(path ORDER BY path) AS fps FROM kept GROUP BY 1, 2),
-ss AS (SELECT repo_id, fps, row_number() OVER (PARTITION BY repo_id ORDER BY language) AS subset_no FROM sg),
+_FIXTURE_SUBSETS_SQL = f"""sb AS (
+  SELECT repo_id, path, {lang_sql('path')} AS language FROM kept),
+sg AS (
+  SELECT repo_id, language, bucket, list(path ORDER BY path) AS fps
+  FROM (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket
+        FROM sb) GROUP BY 1, 2, 3),
+ss AS (SELECT repo_id, fps, row_number() OVER (PARTITION BY repo_id ORDER BY language, bucket) AS subset_no FROM sg),
 sug AS (SELECT repo_id, subset_no, printf('subset-%03d', subset_no) AS subset_id, fps,
                CASE subset_no % 4 WHEN 0 THEN ['pipeline_xss', 'pipeline_auth'] WHEN 1 THEN ['pipeline_injection']
                     WHEN 2 THEN ['pipeline_auth', 'pipeline_nope'] ELSE [] END AS suggested
@@ -533,14 +550,20 @@ SELECT p.repo_id, p.subset_id, p.pipeline_pos, p.pipeline_id, c.stage_id, CAST(l
 FROM plan p LEFT JOIN cat c ON c.pipeline_id = p.pipeline_id"""
 
 
+BUNDLE_CHUNK = 20  # documents per bundled subset
+
+
 def q_context_bundle(spark: SparkSession, sf: str) -> DataFrame:
-    """A2 + W4: every document of a repo as one subset, bundled and cut at 20,000 characters."""
+    """A2 + W4: every 20 consecutive documents of a repo (doc_id order) as one subset,
+    bundled and cut at 20,000 characters."""
     docs = _files(spark, sf)
-    subsets = docs.groupBy("repo_id").agg(
-        F.expr("listagg(path, '\\u0001') WITHIN GROUP (ORDER BY doc_id)").alias("_p")
-    ).select("repo_id", F.lit("all").alias("subset_id"), F.split("_p", "\u0001").alias("file_paths"))
+    n = ordinal(docs.select("repo_id", "path", "doc_id"), ["repo_id"], ["doc_id"], "_n")
+    n = n.withColumn("chunk", F.floor((F.col("_n") - 1) / BUNDLE_CHUNK).cast("bigint"))
+    subsets = n.groupBy("repo_id", "chunk").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "path"))), lambda x: x["path"]).alias("file_paths")
+    ).select("repo_id", F.format_string("chunk-%d", F.col("chunk")).alias("subset_id"), "file_paths")
     b = scan.bundle_context(subsets, _with_text(docs), max_chars=BUNDLE_MAX_CHARS)
-    return b.select("repo_id", "n_parts", F.length("bundle").cast("bigint").alias("bundle_chars"),
+    return b.select("repo_id", "subset_id", "n_parts", F.length("bundle").cast("bigint").alias("bundle_chars"),
                     F.sha1("bundle").alias("bundle_sha1"))
 
 
@@ -550,13 +573,15 @@ def _part_sql(p: str, t: str) -> str:
 
 
 SQL_CONTEXT_BUNDLE = f"""WITH {FILES_SQL},
-parts AS (SELECT repo_id, doc_id, {_part_sql('path', 'content')} AS part FROM files),
-st AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY repo_id ORDER BY doc_id
+parts AS (SELECT repo_id, doc_id, {_part_sql('path', 'content')} AS part,
+                 (row_number() OVER (PARTITION BY repo_id ORDER BY doc_id) - 1) // {BUNDLE_CHUNK} AS chunk FROM files),
+st AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY repo_id, chunk ORDER BY doc_id
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM parts),
-b AS (SELECT repo_id, CAST(count(*) AS BIGINT) AS n_parts,
+b AS (SELECT repo_id, chunk, CAST(count(*) AS BIGINT) AS n_parts,
              left(string_agg(part, chr(10) ORDER BY doc_id), {BUNDLE_MAX_CHARS}) AS bundle
-      FROM st WHERE start <= {BUNDLE_MAX_CHARS} GROUP BY 1)
-SELECT repo_id, n_parts, CAST(length(bundle) AS BIGINT) AS bundle_chars, sha1(bundle) AS bundle_sha1 FROM b"""
+      FROM st WHERE start <= {BUNDLE_MAX_CHARS} GROUP BY 1, 2)
+SELECT repo_id, 'chunk-' || CAST(chunk AS VARCHAR) AS subset_id, n_parts, CAST(length(bundle) AS BIGINT) AS bundle_chars,
+       sha1(bundle) AS bundle_sha1 FROM b"""
 
 
 def q_scan_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -850,15 +875,16 @@ FROM files"""
 
 def q_grouping_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Subsets built over every listed file checked against the metadata of kept files."""
-    files = scan_corpus(_files(spark, sf)).withColumn("language", detect_language(F.col("path")))
-    g = files.groupBy("repo_id", "language").agg(F.sort_array(F.collect_list("path")).alias("file_paths"))
-    subsets = g.select("repo_id", F.concat(F.lit("lang-"), F.col("language")).alias("subset_id"), "file_paths")
+    subsets = _bucketed_subsets(scan_corpus(_files(spark, sf)))
     a = grouping.audit_grouping(subsets, _fixture_metadata(spark, sf))
     return a.groupBy("repo_id", "issue").agg(F.count(F.lit(1)).alias("n"))
 
 
 SQL_GROUPING_AUDIT = f"""WITH {CORPUS_CTES},
-g AS (SELECT repo_id, {lang_sql('path')} AS language, count(*) AS n FROM scanned GROUP BY 1, 2),
+l AS (SELECT repo_id, path, {lang_sql('path')} AS language FROM scanned),
+g AS (SELECT repo_id, language, bucket, count(*) AS n
+      FROM (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket
+            FROM l) GROUP BY 1, 2, 3),
 issues AS (
   SELECT s.repo_id, 'unknown_path' AS issue FROM scanned s LEFT JOIN kept k ON k.repo_id = s.repo_id AND k.path = s.path
   WHERE k.path IS NULL
