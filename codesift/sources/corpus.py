@@ -28,8 +28,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     has task slots (e.g. one large Parquet row group); a big input split into many
     partitions is returned untouched, so no shuffle is added at scale."""
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
