@@ -8,7 +8,7 @@ argument order kept); the best score wins, ties going to the smaller window, the
 earlier start; a match needs score >= 0.6.
 
 Plan:
-1. Only files that have findings are read (semi-join).  Each file row yields its
+1. Only files that have findings are read (semi-join, checkpointed once).  Each file row yields its
    collapsed lines (``file_lines``, 1x the text) and the integer description of every
    window ``(w, s, wlen)`` computed from line lengths (``window_lengths``); no window text
    is built at this point and nothing is shuffled.
@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from codesift.functions.text import collapse_ws, line_range, split_lines
 from codesift.plans import prompts as P
+from codesift.session import materialize
 
 
 @F.pandas_udf(T.DoubleType())
@@ -209,7 +210,11 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     f = findings.filter(F.col("snippet").isNotNull()).select(
         "finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip")
     ).withColumn("slen", F.length("snip"))
-    target = files.join(f.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
+    # files that have findings, read from the corpus once and checkpointed: the line table and
+    # the window lengths both start from them (at scale a small subset of a large corpus)
+    slots = max(files.sparkSession.sparkContext.defaultParallelism, 1)
+    target = materialize(files.join(f.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
+                         .select("repo_id", "path", "text").repartition(slots, "repo_id", "path"))
     meta = window_lengths(target, max_window)
     lines = file_lines(target)
     fk = ["finding_id", "snip"]
