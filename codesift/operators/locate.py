@@ -243,8 +243,7 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     bound = 2.0 * F.least("slen", "wlen") / (F.col("slen") + F.col("wlen"))
     cand = cand.withColumn("bound", bound).filter(F.col("bound") >= threshold).select(
         "finding_id", "snip", "repo_id", "path", "w", "s", "bound")
-    texts = window_texts(cand.drop("bound"), lines, fk).join(cand.select("finding_id", "w", "s", "bound"),
-                                                             ["finding_id", "w", "s"])
+    texts = window_texts(cand, lines, fk + ["bound"])  # bound rides along as a grouping key
     # branch and bound: each finding's candidates arrive together, highest bound first; scoring
     # stops once the bound falls below the best score found (the bound never underestimates)
     n = max(files.sparkSession.sparkContext.defaultParallelism, 1)
