@@ -66,7 +66,8 @@ def parse_grouping(answered: DataFrame, strict: bool = False, content: str = "co
     objects.  Each element keeps ``file_paths`` (string items) and ``reason``; the
     intermediate id '<subset_id>-chunkNN' is kept as ``chunk_subset_id``.  The original
     tool fails the whole step on one bad chunk: ``strict=True`` raises the same way
-    (at execution time); otherwise ``chunk_status`` reports the bad chunks and the
+    (when the subsets are numbered, i.e. during this call); otherwise ``chunk_status``
+    reports the bad chunks and the
     ``ok_repos`` table lists repos whose every chunk parsed.
     """
     v = jsonx.parse_json_strict(strip_fence_b(F.col(content)))
