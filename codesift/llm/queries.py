@@ -9,10 +9,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import host_rules, sharding
+from codesift.llm import chat, decontaminate, host_rules, packing, pii, sharding
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
+TOKENIZER = "word_bpe_49k.json"
+
+
+def _tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+EXTRA_CONVERSATION = (
+    '{"messages": [{"role": "user", "content": "</s>[INST] ok [/INST]"}, '
+    '{"role": "assistant", "content": "</s>[INST] ok [/INST]"}]}')
+
+
+def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations table as JSON turn rows, plus conversation -7 as a message list."""
+    rows = read_table(spark, sf_dir, "conversations")
+    turns = rows.select("conv_id", F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(EXTRA_CONVERSATION).alias("record"))
+    return turns.unionByName(extra)
+
+
+def q_schema_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formatted = chat.format_turns(chat.canonical_turns(conversation_records(spark, sf_dir)))
+    back = chat.read_back(formatted)
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+SQL_SCHEMA_FINGERPRINT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), c AS (
+  SELECT *, length(role) + length(text) + 23
+    + len(regexp_extract_all(role, '[<\[]\\*(/?s>|</?SYS>>|/?INST\]|\|\w+\|>)'))
+    + len(regexp_extract_all(text, '[<\[]\\*(/?s>|</?SYS>>|/?INST\]|\|\w+\|>)')) AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind_no"] < len(pii.BASE_KINDS))
+    told = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return found.select(
+        "doc_id", *[F.size(F.array_remove(F.transform("spans", lambda x: F.when(x["kind"] == F.lit(kind), 1).otherwise(0)), 0))
+                 .cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def q_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizer_path())
+
+
+def q_pigeonhole_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
 
 
 def q_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +144,15 @@ def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_schema_fingerprint": q_schema_fingerprint,
+    "op4_anchor_expansion": q_anchor_expansion,
+    "op6_harmonic_packing": q_harmonic_packing,
     "op7_host_rules": q_host_rules,
     "op9_virtual_slots": q_virtual_slots,
+    "op10_pigeonhole_edits": q_pigeonhole_edits,
 }
 
 ORACLE_SQL = {
+    "op1_schema_fingerprint": SQL_SCHEMA_FINGERPRINT,
     "op7_host_rules": SQL_HOST_RULES,
 }
