@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import chat, decontaminate, host_rules, packing, pii, sharding
+from codesift.llm import chat, decontaminate, host_rules, packing, pii, rule_ensemble, sharding
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -66,6 +66,18 @@ FROM c GROUP BY conv_id
 """
 
 
+def _held_out(doc_id):
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def q_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").filter(~_held_out(F.col("doc_id")))
+    model = rule_ensemble.train(docs, labels)
+    return rule_ensemble.score(docs, model).select(
+        "doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind_no"] < len(pii.BASE_KINDS))
@@ -145,6 +157,7 @@ def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_schema_fingerprint": q_schema_fingerprint,
+    "op2_rule_ensemble": q_rule_ensemble,
     "op4_anchor_expansion": q_anchor_expansion,
     "op6_harmonic_packing": q_harmonic_packing,
     "op7_host_rules": q_host_rules,
