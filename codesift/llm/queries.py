@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import chat, decontaminate, host_rules, packing, pii, rule_ensemble, sharding
+from codesift.llm import chat, decontaminate, host_rules, packing, pii, rule_ensemble, sharding, suffix_dedup
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -149,6 +149,10 @@ FROM f
 """
 
 
+def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.assign(read_table(spark, sf_dir, "documents"), N_SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -161,6 +165,7 @@ QUERIES = {
     "op4_anchor_expansion": q_anchor_expansion,
     "op6_harmonic_packing": q_harmonic_packing,
     "op7_host_rules": q_host_rules,
+    "op8_suffix_dedup": q_suffix_dedup,
     "op9_virtual_slots": q_virtual_slots,
     "op10_pigeonhole_edits": q_pigeonhole_edits,
 }
