@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import chat, decontaminate, host_rules, packing, pii, rule_ensemble, sharding, suffix_dedup
+from codesift.llm import chat, decontaminate, host_rules, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -78,6 +78,11 @@ def q_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def q_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.similar_groups(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind_no"] < len(pii.BASE_KINDS))
@@ -162,6 +167,7 @@ def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_schema_fingerprint": q_schema_fingerprint,
     "op2_rule_ensemble": q_rule_ensemble,
+    "op3_prefix_tree_join": q_prefix_tree_join,
     "op4_anchor_expansion": q_anchor_expansion,
     "op6_harmonic_packing": q_harmonic_packing,
     "op7_host_rules": q_host_rules,
