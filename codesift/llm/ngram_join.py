@@ -323,7 +323,7 @@ def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class, component_id) per row of ``docs``.
+    """(row_id, doc_id, n_shingles, class, component_id) per row of ``docs``.
 
     ``component_id`` is the smallest id reachable by links, the row's own included; ``class`` is
     the id of the row's set (null for an empty one).
@@ -335,4 +335,18 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     by_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = staged(rooted.join(by_root, "root").select(F.col("class").alias("_class"), "component_id"), "components")
     return sets.join(named, F.col("class") == F.col("_class"), "left").select(
-        "doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "row_id", "doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group, the one with the smallest id; rows with empty sets stay, and of
+    rows equal in id and text one."""
+    groups = staged(similar_groups(docs, n, percent, id_col, text_col).filter(F.col("class").isNotNull()), "groups")
+    # groups are told apart by their smallest id and, where no member has an id, by their class
+    key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("class")).alias("own")]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
+    first = groups.groupBy(*key).agg(F.min(order)["row_id"].alias("first"))
+    dropped = groups.select("row_id").distinct().join(first.select(F.col("first").alias("row_id")), "row_id", "left_anti")
+    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col)).alias("row_id"))
+    left = rows.join(dropped, "row_id", "left_anti")
+    return left.groupBy("row_id").agg(F.first("doc").alias("doc")).select("doc.*")

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import chat, decontaminate, host_rules, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup
+from codesift.llm import chat, decontaminate, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
 
 
-def _tokenizer_path() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path(TOKENIZER)
@@ -93,8 +93,48 @@ def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def q_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.delete_repeats(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc.doc_id", "n_lines", "n_deleted",
+                       F.sha2(F.coalesce("doc.text", F.lit("")), 256).alias("kept_sha256"))
+
+
+SQL_LINE_RUNS = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
+), l AS (
+  SELECT doc_id, generate_subscripts(all_lines, 1) AS at, unnest(all_lines) AS line FROM d
+), s AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS nth,
+    len(list_filter(regexp_split_to_array(line, '[ \x09-\x0D]+'), lambda x: x <> '')) AS n
+  FROM l WHERE regexp_replace(line, '[ \x09-\x0D]', '', 'g') <> ''
+), c AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY nth) AS total FROM s
+), w AS (
+  SELECT a.doc_id, a.nth AS low, b.nth AS high
+  FROM (SELECT *, total - n + 20 AS goal FROM c) a ASOF JOIN c b ON a.doc_id = b.doc_id AND a.goal <= b.total
+), solid AS (
+  SELECT doc_id, list(line ORDER BY nth) AS ls FROM s GROUP BY doc_id
+), r AS (
+  SELECT w.*, array_to_string(list_slice(ls, low, high), chr(10)) AS run FROM w JOIN solid USING (doc_id)
+), later AS (
+  SELECT doc_id, low, high FROM r QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, low) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS nth FROM later
+), n AS (
+  SELECT s.doc_id, count(*) AS n_lines, count(gone.nth) AS n_deleted FROM s LEFT JOIN gone USING (doc_id, nth) GROUP BY s.doc_id
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS t
+  FROM l LEFT JOIN s ON l.doc_id = s.doc_id AND l.at = s.at
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = s.doc_id AND gone.nth = s.nth) GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def q_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizer_path())
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def q_pigeonhole_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +209,7 @@ QUERIES = {
     "op2_rule_ensemble": q_rule_ensemble,
     "op3_prefix_tree_join": q_prefix_tree_join,
     "op4_anchor_expansion": q_anchor_expansion,
+    "op5_line_runs": q_line_runs,
     "op6_harmonic_packing": q_harmonic_packing,
     "op7_host_rules": q_host_rules,
     "op8_suffix_dedup": q_suffix_dedup,
@@ -178,5 +219,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_schema_fingerprint": SQL_SCHEMA_FINGERPRINT,
+    "op5_line_runs": SQL_LINE_RUNS,
     "op7_host_rules": SQL_HOST_RULES,
 }
