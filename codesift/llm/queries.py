@@ -103,9 +103,9 @@ SQL_LINE_RUNS = r"""
 WITH d AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
 ), l AS (
-  SELECT doc_id, generate_subscripts(all_lines, 1) AS at, unnest(all_lines) AS line FROM d
+  SELECT doc_id, generate_subscripts(all_lines, 1) AS pos, unnest(all_lines) AS line FROM d
 ), s AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS nth,
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nth,
     len(list_filter(regexp_split_to_array(line, '[ \x09-\x0D]+'), lambda x: x <> '')) AS n
   FROM l WHERE regexp_replace(line, '[ \x09-\x0D]', '', 'g') <> ''
 ), c AS (
@@ -124,8 +124,8 @@ WITH d AS (
 ), n AS (
   SELECT s.doc_id, count(*) AS n_lines, count(gone.nth) AS n_deleted FROM s LEFT JOIN gone USING (doc_id, nth) GROUP BY s.doc_id
 ), kept AS (
-  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS t
-  FROM l LEFT JOIN s ON l.doc_id = s.doc_id AND l.at = s.at
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS t
+  FROM l LEFT JOIN s ON l.doc_id = s.doc_id AND l.pos = s.pos
   WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = s.doc_id AND gone.nth = s.nth) GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, sha256(coalesce(t, '')) AS kept_sha256
