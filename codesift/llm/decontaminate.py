@@ -200,23 +200,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item occurs, with all their columns."""
-    kept = docs
+    at, kept = docs.columns.index(text_col), docs
     for block in _blocks(benchmark, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.udf("boolean", useArrow=True)
-        def clean(text, _shared=shared):
-            return not _items(_shared).leaks(text)
-
-        kept = kept.filter(clean(F.col(text_col)))
+        kept = kept.mapInArrow(_without(docs.sparkSession.sparkContext.broadcast(block), at), docs.schema)
     return kept
 
 
-_built: dict[int, Items] = {}
-
+def _without(shared, at: int):
+    """Passes the rows on whose text in column ``at`` holds no item of the block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([not items.leaks(t.as_py()) for t in batch.column(at)], pa.bool_()))
 
-def _items(shared) -> Items:
-    """The automaton of a broadcast block, built once per Python worker."""
-    if shared.id not in _built:
-        _built[shared.id] = Items(shared.value)
-    return _built[shared.id]
+    return run

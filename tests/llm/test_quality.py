@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from llm_data import corpus, empty, frame
 
 def repeated(words):
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    times = Counter(windows)
     covered = set()
     for i, w in enumerate(windows):
-        if windows.count(w) > 1:
+        if times[w] > 1:
             covered.update(range(i, i + 8))
     return len(covered)
 
