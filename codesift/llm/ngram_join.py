@@ -10,10 +10,12 @@ documents link when 100 * intersection >= percent * union.
 3. *Trees.*  Sets of a branch are stored in a prefix tree in the global order and a probe walks
    it: overlaps of shared beginnings are counted once, and a subtree is pruned when the remaining
    lengths cannot reach the overlap needed (``prefix_tree``).
-4. *Few probes per branch.*  First every set of a branch is compared with the branch's smallest class only.
-   Sets that are connected by then need no comparison with each other; in branches that still hold
-   several components, every set outside the largest one is compared with all sets of other components.
-   So a family of near copies costs comparisons in proportion to its size, and no link between components is lost.
+4. *Few probes per branch.*  First every set of a branch is compared with the branch's hub only, the set that
+   meets most others on all its branches (in a family of near copies, their common original).  Sets
+   that are connected by then need no comparison with each other; in branches that still hold several components,
+   sets outside the largest one are compared with the sets of other components, once per pair,
+   and only if they share as many branches as linked sets must.  So a family costs comparisons in proportion to
+   its size, and no link between components is lost.
 
 Branches are streams sorted by name; a probe meets its candidates in blocks of at most ``BLOCK``, and a
 probe with many candidates is salted over tasks.  Names of texts are recomputed, never collected.
@@ -37,7 +39,7 @@ from codesift.llm.prefix_tree import PrefixTree
 from codesift.llm.staging import staged
 
 #: Ranges beyond the number that the pigeonhole needs; a set emits empty ranges only if it has more empty ones than this.
-SPARE = 2
+SPARE = 4
 #: Candidates of a probe per tree.
 BLOCK = 256
 
@@ -110,11 +112,11 @@ class Ranges:
             lo, hi = (mid, hi) if self.begin[mid] <= size else (lo, mid)
         return lo
 
-    def _branches_in(self, space: int, names: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    def _branches_in(self, space: int, names: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, int]:
         # linked sets, the smaller one in this class, differ in at most this many names
         differ = (self.begin[space + 1] - 1) * (100 - self.percent) // self.percent
         if differ == 0:
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), 0
         k = differ + 1 + SPARE
         if k not in self._cuts:
             self._cuts[k] = np.array([-(-i * (1 << 64) // k) for i in range(1, k)], np.uint64)
@@ -122,14 +124,31 @@ class Ranges:
         inside = sums[at[1:]] - sums[at[:-1]]
         branch = _mix(inside + _mix(np.arange(k, dtype=np.uint64) + np.uint64(space << 32)))
         empty = at[1:] == at[:-1]
-        return branch if empty.sum() > SPARE else branch[~empty]
+        n_empty = int(empty.sum())
+        # of the SPARE + 1 ranges on which linked sets agree at least, those empty in both are no common branch
+        return (branch, 1) if n_empty > SPARE else (branch[~empty], SPARE + 1 - n_empty)
 
-    def branches(self, names: np.ndarray) -> np.ndarray:
-        """Names of the branches that a set lies on: in its own size class and, as the larger set, in the one below."""
+    def branches(self, names: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """(space, kind, branch names): in the set's own size class and, as the larger set, in the one below.
+
+        Two sets of a space can be linked only if one of them has the space as its own class, and then
+        share at least as many branches there as either of them demands; kind is twice this demand, plus one in
+        the own class.
+        """
         own = self._size_class(len(names))
         sums = np.zeros(len(names) + 1, np.uint64)
         np.cumsum(_mix(names), out=sums[1:])
-        return np.concatenate([self._branches_in(s, names, sums) for s in (own, own - 1) if s >= 0])
+        out = []
+        for space in (own, own - 1):
+            if space >= 0:
+                found, need = self._branches_in(space, names, sums)
+                if len(found):
+                    out.append((space, 2 * need + (space == own), found))
+        return out
+
+
+BRANCHES = "branch bigint, class bigint, space int, kind int"
+BRANCH_COLUMNS = ["branch", "class", "space", "kind"]
 
 
 def _arrow(names: list[str], arrays: list) -> pa.RecordBatch:
@@ -157,53 +176,52 @@ def document_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFr
 
 
 def _branch_rows(docs: DataFrame, n: int, percent: int, text_col: str) -> DataFrame:
-    """(branch, class): each class of a batch once."""
+    """(branch, class, space, kind): each class of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, ranges = _Powers(), Ranges(percent)
         for batch in batches:
             seen: set[int] = set()
-            branches, classes = [], []
+            columns: list[list[np.ndarray]] = [[], [], [], []]
             for text in batch.column(0):
                 names = ngram_set(text.as_py(), n, powers)
                 if not len(names) or (own := class_of(names)) in seen:
                     continue
                 seen.add(own)
-                found = ranges.branches(names)
-                branches.append(found)
-                classes.append(np.full(len(found), own, np.int64))
-            if branches:
-                yield _arrow(["branch", "class"], [pa.array(np.concatenate(branches).view(np.int64)),
-                                                   pa.array(np.concatenate(classes))])
+                for space, kind, found in ranges.branches(names):
+                    columns[0].append(found.view(np.int64))
+                    columns[1].append(np.full(len(found), own, np.int64))
+                    columns[2].append(np.full(len(found), space, np.int32))
+                    columns[3].append(np.full(len(found), kind, np.int32))
+            if columns[0]:
+                yield _arrow(BRANCH_COLUMNS, [pa.array(np.concatenate(c)) for c in columns])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "branch bigint, class bigint")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, BRANCHES)
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(branch, class, hub) of the branches with several classes, from a stream sorted by both; the hub
-    is the branch's smallest class.  Of the last branch only hub and last class are kept between batches."""
-    held = None
+    """The rows of branches with several classes, each (branch, class) once, from a stream sorted by
+    both.  Between batches only the last row is kept."""
+    held, given = None, False
     for batch in batches:
-        branch, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        if not len(branch):
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(rows[0]):
             continue
-        mine = np.ones(len(branch), bool)
+        mine = np.ones(len(rows[0]), bool)
         if held is not None:
-            last_branch, last_hub, last_own = held
-            if last_own == last_hub:  # alone so far: its row may still have to be given out
-                branch, own, mine = np.r_[last_branch, branch], np.r_[last_hub, own], np.r_[True, mine]
-            else:
-                branch, own = np.r_[last_branch, last_branch, branch], np.r_[last_hub, last_own, own]
-                mine = np.r_[False, False, mine]
+            rows = [np.r_[h, c] for h, c in zip(held, rows)]
+            mine = np.r_[not given, mine]
+        branch, own = rows[0], rows[1]
         fresh = np.r_[True, (branch[1:] != branch[:-1]) | (own[1:] != own[:-1])]
-        branch, own, mine = branch[fresh], own[fresh], mine[fresh]
-        starts = np.flatnonzero(np.r_[True, branch[1:] != branch[:-1]])
-        sizes = np.diff(np.r_[starts, len(branch)])
-        hub = np.repeat(own[starts], sizes)
-        out = np.repeat(sizes > 1, sizes) & mine
-        held = (branch[-1], hub[-1], own[-1])
+        rows, mine = [c[fresh] for c in rows], mine[fresh]
+        starts = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+        sizes = np.diff(np.r_[starts, len(rows[0])])
+        several = sizes > 1
+        several[0] |= given
+        out = np.repeat(several, sizes) & mine
+        held, given = [c[-1] for c in rows], bool(several[-1])
         if out.any():
-            yield _arrow(["branch", "class", "hub"], [pa.array(x[out]) for x in (branch, own, hub)])
+            yield _arrow(BRANCH_COLUMNS, [pa.array(c[out]) for c in rows])
 
 
 def _class_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -267,55 +285,69 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hub, class) pairs still to be compared, from a stream of (branch, class, root) sorted by branch.
+    """(hub, class) pairs still to be compared, from a stream of (branch, class, root, kind, all) sorted by
+    branch; ``all`` are the class's open branches in the branch's space.
 
-    Every set outside a branch's largest component is paired with the sets of other components.
+    Every set outside a branch's largest component is paired with the sets of other components that
+    it may be linked to; a pair is given out on the smallest of its common branches only.
     """
 
-    def pairs(own: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(branch: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        own, root, kind = (np.array([r[i] for r in rows]) for i in range(3))
         roots, which, counts = np.unique(root, return_inverse=True, return_counts=True)
         if len(roots) < 2:
             return
+        lists = [np.sort(np.array(r[3], np.int64)) for r in rows]
+        every = np.concatenate(lists)
+        begins = np.cumsum([0] + [len(x) for x in lists[:-1]])
+        need, base = kind >> 1, (kind & 1) == 1
         largest = int(counts.argmax())
         for i in np.flatnonzero(which != largest).tolist():
+            at = np.searchsorted(lists[i], every)
+            at[at == len(lists[i])] = 0
+            common = lists[i][at] == every
+            shared = np.add.reduceat(common.astype(np.int64), begins)
+            least = np.minimum.reduceat(np.where(common, every, np.iinfo(np.int64).max), begins)
             # two sets outside the largest component are paired once
-            others = own[(which == largest) | ((which != which[i]) & (own > own[i]))]
-            if len(others):
-                yield _arrow(["hub", "class"], [pa.array(np.full(len(others), own[i])), pa.array(others)])
+            other = (which == largest) | ((which != which[i]) & (own > own[i]))
+            found = own[other & (least == branch) & (shared >= np.maximum(need, need[i])) & (base | base[i])]
+            if len(found):
+                yield _arrow(["hub", "class"], [pa.array(np.full(len(found), own[i])), pa.array(found)])
 
-    held = None
+    last, held = None, []
     for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-        if held is not None:
-            cols = [np.r_[a, b] for a, b in zip(held, cols)]
-        branch, own, root = cols
-        if not len(branch):
-            continue
-        starts = np.flatnonzero(np.r_[True, branch[1:] != branch[:-1]])
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            yield from pairs(own[a:b], root[a:b])
-        held = [c[starts[-1]:] for c in cols]
-    if held is not None:
-        yield from pairs(held[1], held[2])
+        for branch, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if branch != last:
+                if held:
+                    yield from pairs(last, held)
+                last, held = branch, []
+            held.append(tuple(row))
+    if held:
+        yield from pairs(last, held)
 
 
 def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
                          id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(links between classes, (node, root) of the classes that have links)."""
     branches = _branch_rows(docs, n, percent, text_col).repartition("branch").sortWithinPartitions("branch", "class")
-    met = staged(branches.mapInArrow(_meetings, "branch bigint, class bigint, hub bigint"), "branches")
-    star = staged(met.filter("class <> hub").select("hub", "class").distinct(), "star-pairs")
-    wanted = met.select("class").distinct()
-    names = staged(_class_sets(docs, sets, wanted, n, id_col, text_col), "class-sets")
+    met = staged(branches.mapInArrow(_meetings, BRANCHES), "branches")
+    met_size = met.groupBy("branch").agg(F.count(F.lit(1)).alias("size"))
+    degree = met.join(met_size, "branch").groupBy("class").agg(F.sum(F.col("size") - 1).alias("degree"))
+    degree = staged(degree, "degrees")
+    hubs = met.join(degree, "class").groupBy("branch").agg(F.max(F.struct("degree", "class"))["class"].alias("hub"))
+    star = staged(met.join(hubs, "branch").filter("class <> hub").select("hub", "class").distinct(), "star-pairs")
+    names = staged(_class_sets(docs, sets, degree.select("class"), n, id_col, text_col), "class-sets")
     links = staged(_verified(star, names, percent), "star-links")
     roots = components(links)
 
     placed = met.join(roots.withColumnRenamed("node", "class"), "class", "left") \
-        .select("branch", "class", F.coalesce("root", "class").alias("root"))
+        .withColumn("root", F.coalesce("root", "class"))
     still = placed.groupBy("branch").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("branch")
-    open_rows = placed.join(still, "branch").repartition("branch").sortWithinPartitions("branch", "class")
-    pairs = open_rows.mapInArrow(_open_pairs, "hub bigint, class bigint").distinct()
-    compared = star.select(F.col("hub"), F.col("class")).unionByName(star.select(F.col("class").alias("hub"), F.col("hub").alias("class")))
+    left = staged(placed.join(still, "branch").select("branch", "class", "root", "space", "kind"), "open-branches")
+    lists = left.groupBy("class", "space").agg(F.collect_list("branch").alias("all"))
+    rows = left.join(lists, ["class", "space"]).select("branch", "class", "root", "kind", "all")
+    pairs = rows.repartition("branch").sortWithinPartitions("branch").mapInArrow(_open_pairs, "hub bigint, class bigint")
+    compared = star.unionByName(star.select(F.col("class").alias("hub"), F.col("hub").alias("class")))
     pairs = staged(pairs.join(compared, ["hub", "class"], "left_anti"), "open-pairs")
     more = staged(_verified(pairs, names, percent), "open-links")
     links = links.unionByName(more)
