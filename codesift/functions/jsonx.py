@@ -1,8 +1,9 @@
 """Strict JSON handling of model answers.
 
 Python's ``json.loads`` rejects trailing garbage, which ``from_json`` and
-``try_parse_json`` accept.  Wrapping the answer in ``[...]`` and requiring a
-one-element array gives Python's strictness natively.  The few answers that
+``try_parse_json`` accept.  The answer is wrapped into an object next to a key that is the
+answer's own hash, and exactly these two keys must come back: a text cannot contain its
+own hash, so none can close the wrapper early.  The few answers that
 Spark rejects but Python accepts (NaN/Infinity tokens, duplicate object keys)
 are re-parsed by a small Arrow UDF that only ever sees those failed rows.
 """
@@ -74,9 +75,11 @@ def _reparse_udf(texts: pd.Series) -> pd.Series:
 
 
 def _native_strict(text: Column) -> Column:
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    one = F.array_size(F.try_variant_get(wrapped, "$", "array<variant>")) == 1
-    return F.when(one, F.variant_get(wrapped, "$[0]", "variant"))
+    seal = F.sha1(text)
+    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"'), seal, F.lit('":1}')))
+    keys = F.map_keys(F.try_variant_get(wrapped, "$", "map<string, variant>"))
+    sealed = (F.size(keys) == 2) & F.array_contains(keys, "v") & F.array_contains(keys, seal)
+    return F.when(sealed, F.variant_get(wrapped, "$.v", "variant"))
 
 
 def parse_json_strict(text: Column | str, python_fallback: bool = True) -> Column:

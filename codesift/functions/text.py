@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 # Unicode separators (Zs, Zl, Zp).  U+200B is not whitespace in either.
 WS_CLASS = r"[\s\x1c-\x1f\x85\p{Z}]"
 
-# Characters per token of the rough estimate, chars sent per summary, import pattern.
+# Characters per token of the rough estimate, import pattern.
 TOKEN_CHARS_PER_TOKEN = 4
+# The original tool's limits; pass them to get its prompts, the defaults cover whole texts.
 SUMMARY_HEAD_CHARS = 4000
 IMPORT_LINE_LIMIT = 100
 IMPORT_PATTERN = r"^(?:import|from)\s+([\w./\-@]+)"
@@ -54,9 +55,10 @@ def token_estimate(text: Column | str) -> Column:
     return (F.floor(F.length(t) / TOKEN_CHARS_PER_TOKEN) + 1).cast("bigint")
 
 
-def head_chars(text: Column | str, n: int = SUMMARY_HEAD_CHARS) -> Column:
-    """first n code points (after newline translation)."""
-    return F.substring(universal_newlines(text), 1, n)
+def head_chars(text: Column | str, n: int | None = None) -> Column:
+    """first n code points (after newline translation); the whole text without ``n``."""
+    whole = universal_newlines(text)
+    return whole if n is None else F.substring(whole, 1, n)
 
 
 def py_strip(s: Column | str) -> Column:
@@ -82,9 +84,10 @@ def line_range(start: Column | str, end: Column | str) -> Column:
     return F.sequence(_c(start).cast("int"), _c(end).cast("int"))
 
 
-def extract_imports(text: Column | str, max_lines: int = IMPORT_LINE_LIMIT) -> Column:
-    """module token of 'import x' / 'from x' lines among the first ``max_lines`` lines, duplicates kept."""
-    lines = F.slice(split_lines(text), 1, max_lines)
+def extract_imports(text: Column | str, max_lines: int | None = None) -> Column:
+    """module token of 'import x' / 'from x' lines among the first ``max_lines`` lines (default:
+    all), duplicates kept."""
+    lines = split_lines(text) if max_lines is None else F.slice(split_lines(text), 1, max_lines)
     found = F.transform(lines, lambda ln: F.regexp_extract(py_strip(ln), _IMPORT_JAVA, 1))
     return F.filter(found, lambda m: m != "")
 

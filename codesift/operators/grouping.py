@@ -25,9 +25,10 @@ def assign_chunks(metadata: DataFrame, size: int = P.FILES_PER_GROUPING_PROMPT)
 
 
 def render_file_line(path: Column, side: Column, lang: Column, summary: Column, imports: Column,
-                     max_imports: int = P.GROUPING_IMPORTS_SHOWN) -> Column:
-    """T8: '- path [side/lang]: summary | Imports: a, b' (first 5 imports, suffix only when any)."""
-    imp = F.array_join(F.slice(F.coalesce(imports, F.array().cast("array<string>")), 1, max_imports), ", ")
+                     max_imports: int | None = None) -> Column:
+    """T8: '- path [side/lang]: summary | Imports: a, b' (the first ``max_imports`` if given; suffix only when any)."""
+    shown = F.coalesce(imports, F.array().cast("array<string>"))
+    imp = F.array_join(shown if max_imports is None else F.slice(shown, 1, max_imports), ", ")
     base = F.concat(F.lit("- "), path, F.lit(" ["), F.coalesce(side, F.lit("")), F.lit("/"),
                     F.coalesce(lang, F.lit("")), F.lit("]: "), F.coalesce(summary, F.lit("")))
     return F.when(imp != "", F.concat(base, F.lit(" | Imports: "), imp)).otherwise(base)
@@ -40,12 +41,13 @@ def join_lines(df: DataFrame, by: list[str], line: str, order: str, name: str =
 
 
 def grouping_requests(metadata: DataFrame, size: int = P.FILES_PER_GROUPING_PROMPT,
-                      model_name: str = P.DEFAULT_MODEL) -> DataFrame:
+                      model_name: str = P.DEFAULT_MODEL, max_imports: int | None = None) -> DataFrame:
     """One request per (repo, chunk of 60): the fixed instructions, then 'Files:' and one
     rendered line per entry of kind 'file' in ``ord`` order."""
     chunks = assign_chunks(metadata, size)
     lines = chunks.filter(F.col("kind") == "file").withColumn(
-        "line", render_file_line(F.col("path"), F.col("side"), F.col("language"), F.col("description"), F.col("imports"))
+        "line", render_file_line(F.col("path"), F.col("side"), F.col("language"), F.col("description"), F.col("imports"),
+                                 max_imports)
     )
     per_chunk = join_lines(lines, ["repo_id", "chunk"], "line", "pos_in_chunk", "files_block")
     sizes = chunks.groupBy("repo_id", "chunk").agg(F.count(F.lit(1)).alias("n_entries"))

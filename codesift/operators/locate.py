@@ -8,26 +8,19 @@ argument order kept); the best score wins, ties going to the smaller window, the
 earlier start; a match needs score >= 0.6.
 
 Plan:
-1. Only files that have findings are read (semi-join, checkpointed once).  Each file row yields its
-   collapsed lines (``file_lines``, 1x the text) and the integer description of every
-   window ``(w, s, wlen)`` computed from line lengths (``window_lengths``); no window text
-   is built at this point and nothing is shuffled.
-2. Score 1.0 happens exactly when the texts are equal, hence only for windows of the
-   snippet's length: an equi-join on length gives the few candidates, their text is
-   rebuilt from the line table (<= 5 lines each) and compared natively.  Those findings
-   are finished, ties going to the smallest (size, start).
-3. For the rest, ``2*min(la,lb)/(la+lb)`` bounds the score from above, so windows under
-   the threshold are never built or scored.  The bound becomes an equi-join on length
-   bands (log base ``2/t - 1``; a finding probes its own band and both neighbours), so a
-   file with many findings is spread over bands instead of pairing everything.
-4. Survivors get their text rebuilt; per finding they are scored in descending bound
-   order (``mapInPandas`` over ``repartition(finding_id)`` + ``sortWithinPartitions``),
-   ``quick_ratio`` first, and scoring stops once the bound drops below the best score:
-   branch and bound, streaming, so one finding with many candidates needs no memory.
+1. The findings, small next to the corpus, are checkpointed once; every use below reads that table.
+2. Files with findings are cut into blocks of ``BLOCK_LINES`` lines, each with the lines that its last
+   windows reach into.  Blocks meet findings on (repo, path, salt), the salt spreading one file's
+   blocks over tasks, so the text is scanned once and shuffled once, and no file is one task's work.
+3. Each block builds its windows locally and gives, per finding, its best window: an equal text at once;
+   otherwise windows in descending order of the length bound ``2*min(la,lb)/(la+lb)``,
+   ``quick_ratio`` first, until the bound falls below the best score.
+4. A partial aggregate takes the best of the blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -39,162 +32,70 @@ from codesift.functions.text import collapse_ws, line_range, split_lines
 from codesift.plans import prompts as P
 from codesift.session import materialize
 
-
-@F.pandas_udf(T.DoubleType())
-def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
-
-
-def similarity(snippet: Column, window: Column) -> Column:
-    """``SequenceMatcher(None, snippet, window).ratio()`` (not symmetric)."""
-    return _ratio_udf(snippet, window)
-
+#: Windows of a block start in this many lines.
+BLOCK_LINES = 2_000
+#: Tasks over which the blocks of one file are spread at most.
+BLOCK_SALTS = 32
 
 BEST_SCHEMA = T.StructType([
     T.StructField("finding_id", T.StringType()),
+    T.StructField("score", T.DoubleType()),
     T.StructField("w", T.IntegerType()),
     T.StructField("s", T.IntegerType()),
-    T.StructField("score", T.DoubleType()),
 ])
 
 
-def _best_window_fn(threshold: float):
-    """mapInPandas body: rows grouped by finding, bound descending.  Keeps the highest score
-    (ties: smaller window, then earlier start) among windows scoring >= threshold."""
-
-    def run(batches):
-        cur, best = None, None   # best = (score, w, s)
-        out = []
-
-        def flush():
-            if cur is not None and best is not None:
-                out.append((cur, best[1], best[2], best[0]))
-
-        for pdf in batches:
-            for fid, snip, window, w, s, bnd in zip(pdf["finding_id"], pdf["snip"], pdf["window"], pdf["w"],
-                                                    pdf["s"], pdf["bound"]):
-                if fid != cur:
-                    flush()
-                    cur, best = fid, None
-                floor = threshold if best is None else best[0]
-                if bnd < floor:          # no later row of this finding can reach the floor
-                    continue
-                sm = SequenceMatcher(None, snip, window)
-                if sm.quick_ratio() < floor:
-                    continue
-                r = sm.ratio()
-                if r < threshold:
-                    continue
-                if best is None or r > best[0] or (r == best[0] and (w, s) < (best[1], best[2])):
-                    best = (r, int(w), int(s))
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=["finding_id", "w", "s", "score"])
-                out = []
-        flush()
-        yield pd.DataFrame(out, columns=["finding_id", "w", "s", "score"])
-
-    return run
-
-
-def collapsed_lines(text: Column) -> Column:
-    """Lines of a text (T2), each whitespace-collapsed."""
-    return F.transform(split_lines(text), collapse_ws)
-
-
-def line_windows(norms: Column, max_window: int = P.LOCATE_MAX_WINDOW) -> Column:
-    """``array<struct<w int, s int, window string>>`` of every window of 1..min(max, n)
-    lines (``s`` 1-based) over already collapsed lines; ``[]`` for a file without lines.
-
-    ``norms`` should be a column reference (see ``collapsed_lines``): an expression here
-    would be re-evaluated inside every lambda call."""
-    n = F.size(norms)
-
-    def for_size(w):
-        return F.transform(
-            F.sequence(F.lit(1), n - w + 1),
-            lambda s: F.struct(w.cast("int").alias("w"), s.cast("int").alias("s"),
-                               F.array_join(F.filter(F.slice(norms, s, w), lambda x: x != ""), " ").alias("window")),
-        )
-
-    all_windows = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(max_window), n)), for_size))
-    empty = F.array().cast("array<struct<w:int,s:int,window:string>>")
-    return F.when(n > 0, all_windows).otherwise(empty)
-
-
-def file_windows(files: DataFrame, max_window: int = P.LOCATE_MAX_WINDOW) -> DataFrame:
-    """Distinct windows per file: ``(repo_id, path, window, wlen, w, s)`` with the earliest
-    (size, start) for each distinct text."""
-    normed = files.select("repo_id", "path", collapsed_lines(F.col("text")).alias("norms"))
-    ex = normed.select("repo_id", "path", F.explode_outer(line_windows(F.col("norms"), max_window)).alias("x")) \
-        .filter(F.col("x").isNotNull())
-    # (size, start) packed into one long so the dedupe is a hash aggregate with a map-side combine
-    return (
-        ex.groupBy("repo_id", "path", F.col("x.window").alias("window"))
-        .agg(F.min(_pack(F.col("x.w"), F.col("x.s"))).alias("ws"))
-        .select("repo_id", "path", "window", F.length("window").alias("wlen"),
-                _unpack_w(F.col("ws")).alias("w"), _unpack_s(F.col("ws")).alias("s"))
-    )
-
-
-def _pack(w: Column, s: Column) -> Column:
-    return w.cast("long") * F.lit(1 << 32) + s.cast("long")
-
-
-def _unpack_w(k: Column) -> Column:
-    return F.floor(k / F.lit(1 << 32)).cast("int")
-
-
-def _unpack_s(k: Column) -> Column:
-    return (k % F.lit(1 << 32)).cast("int")
-
-
-def _band(length: Column, base: float) -> Column:
-    return F.floor(F.log(float(base), length.cast("double"))).cast("int")
-
-
-def _normed(files: DataFrame) -> DataFrame:
-    return files.select("repo_id", "path", collapsed_lines(F.col("text")).alias("norms"))
-
-
-def file_lines(files: DataFrame) -> DataFrame:
-    """``(repo_id, path, line_no, norm)``: collapsed lines, 1-based (no shuffle, 1x the text)."""
-    # *_outer + null filter everywhere below: a plain explode lets the optimizer infer
-    # size(array) > 0 and push that (the whole line split) below the repartition into the scan
-    return _normed(files).select("repo_id", "path", F.posexplode_outer("norms").alias("i", "norm")).filter(
-        F.col("i").isNotNull()).select("repo_id", "path", (F.col("i") + 1).cast("int").alias("line_no"), "norm")
-
-
-def window_lengths(files: DataFrame, max_window: int = P.LOCATE_MAX_WINDOW) -> DataFrame:
-    """``(repo_id, path, w, s, wlen)`` for every window, where ``wlen`` is the length of the
-    window's collapsed text, computed from line lengths alone (non-empty lines joined by one
-    space), so no window text is built."""
-    lens = _normed(files).select("repo_id", "path", F.transform("norms", F.length).alias("lens"))
-    n = F.size(F.col("lens"))
-
-    def wlen(s, w):
-        nz = F.filter(F.slice(F.col("lens"), s, w), lambda x: x > 0)
-        return F.aggregate(nz, F.lit(0), lambda acc, x: acc + x) + F.greatest(F.size(nz) - 1, F.lit(0))
+@F.pandas_udf(T.DoubleType())
+def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
-    def for_size(w):
-        return F.transform(F.sequence(F.lit(1), n - w + 1),
-                           lambda s: F.struct(w.cast("int").alias("w"), s.cast("int").alias("s"),
-                                              wlen(s, w).cast("int").alias("wlen")))
 
-    gen = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(max_window), n)), for_size))
-    gen = F.when(n > 0, gen).otherwise(F.array().cast("array<struct<w:int,s:int,wlen:int>>"))
-    return lens.select("repo_id", "path", F.explode_outer(gen).alias("x")).filter(F.col("x").isNotNull()).select(
-        "repo_id", "path", "x.w", "x.s", "x.wlen")
+def similarity(snippet: Column, window: Column) -> Column:
+    """``SequenceMatcher(None, snippet, window).ratio()`` (not symmetric)."""
+    return _ratio_udf(snippet, window)
 
 
-def window_texts(cands: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Collapsed text of each candidate window ``(keys..., repo_id, path, w, s)``: its line numbers
-    are exploded and joined to the line table, then reassembled (at most 5 lines per group)."""
-    ex = cands.select(*keys, "repo_id", "path", "w", "s",
-                      F.explode(F.sequence(F.col("s"), F.col("s") + F.col("w") - 1)).alias("line_no"))
-    j = ex.join(lines, ["repo_id", "path", "line_no"], "inner")
-    ordered = F.sort_array(F.collect_list(F.struct("line_no", "norm")))
-    text = F.array_join(F.filter(F.transform(ordered, lambda x: x["norm"]), lambda x: x != ""), " ")
-    return j.groupBy(*keys, "w", "s").agg(text.alias("window"))
+def line_windows(lines: list[str], starts: int, max_window: int) -> dict[str, tuple[int, int]]:
+    """Collapsed text -> first (size, 0-based start) of the windows that begin in the first
+    ``starts`` lines and lie wholly inside ``lines``."""
+    norms = [" ".join(x.split()) for x in lines]
+    first: dict[str, tuple[int, int]] = {}
+    for size in range(1, min(max_window, len(norms)) + 1):
+        for start in range(min(starts, len(norms) - size + 1)):
+            text = norms[start] if size == 1 else " ".join(x for x in norms[start:start + size] if x)
+            first.setdefault(text, (size, start))
+    return first
+
+
+def best_window(snippet: str, windows: dict[str, tuple[int, int]], by_length: list[tuple[int, str]],
+                threshold: float) -> tuple[float, int, int] | None:
+    """A3: (score, size, start) of the best window of a block, None below the threshold."""
+    if snippet in windows:
+        return (1.0, *windows[snippet])
+    n, best = len(snippet), None
+    bounded = sorted(((2.0 * min(n, m) / (n + m), m, text) for m, text in by_length if n + m), key=lambda x: -x[0])
+    for bound, _, text in bounded:
+        floor = threshold if best is None else best[0]
+        if bound < floor:
+            break
+        matcher = SequenceMatcher(None, snippet, text)
+        if matcher.quick_ratio() < floor:
+            continue
+        found = (matcher.ratio(), *windows[text])
+        if found[0] >= threshold and (best is None or (-found[0], *found[1:]) < (-best[0], *best[1:])):
+            best = found
+    return best
+
+
+def file_blocks(files: DataFrame, max_window: int) -> DataFrame:
+    """``(repo_id, path, salt, first, starts, lines)``: blocks of lines, each followed by the
+    ``max_window - 1`` lines that its last windows reach into."""
+    lines = files.select("repo_id", "path", split_lines(F.col("text")).alias("lines"))
+    # *_outer + null filter: a plain explode lets the optimizer infer size(lines) > 0 and evaluate the split twice
+    firsts = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1, F.lit(BLOCK_LINES)))
+    return lines.withColumn("first", F.explode_outer(firsts)).filter(F.col("first").isNotNull()).select(
+        "repo_id", "path", F.pmod(F.floor(F.col("first") / BLOCK_LINES), F.lit(BLOCK_SALTS)).cast("int").alias("salt"), "first",
+        F.slice("lines", F.col("first") + 1, F.lit(BLOCK_LINES + max_window - 1)).alias("lines"))
 
 
 def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.LOCATE_THRESHOLD,
@@ -202,92 +103,40 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     """L1: ``findings(finding_id, repo_id, path, snippet)`` x ``files(repo_id, path, text)`` ->
     ``(finding_id, start, end, score, line)``; ``line`` is ``[]`` when nothing reaches the
     threshold or the file is unknown.  ``finding_id`` must be unique.
-
-    Windows are first handled as integers ``(w, s, wlen)``; text is rebuilt only for the
-    windows that can still win: those with the snippet's exact length (score 1.0 needs equal
-    text) and, for findings without an exact hit, those inside the length bound.
     """
-    f = findings.filter(F.col("snippet").isNotNull()).select(
-        "finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip")
-    ).withColumn("slen", F.length("snip"))
-    # files that have findings, read from the corpus once and checkpointed: the line table and
-    # the window lengths both start from them (at scale a small subset of a large corpus)
-    slots = max(files.sparkSession.sparkContext.defaultParallelism, 1)
-    target = materialize(files.join(f.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
-                         .select("repo_id", "path", "text").repartition(slots, "repo_id", "path"))
-    meta = window_lengths(target, max_window)
-    lines = file_lines(target)
-    fk = ["finding_id", "snip"]
-
-    # exact hits: equal length first (ints), then equal text; '' needs no text at all
-    empty_hits = f.filter(F.col("slen") == 0).join(meta.filter(F.col("wlen") == 0), ["repo_id", "path"])
-    same_len = f.filter(F.col("slen") > 0).withColumn("wlen", F.col("slen")).join(
-        meta, ["repo_id", "path", "wlen"], "inner").select("finding_id", "snip", "repo_id", "path", "w", "s")
-    texts = window_texts(same_len, lines, fk)
-    hits = texts.filter(F.col("window") == F.col("snip")).select("finding_id", "w", "s").unionByName(
-        empty_hits.select("finding_id", "w", "s"))
-    exact = hits.groupBy("finding_id").agg(F.min(_pack(F.col("w"), F.col("s"))).alias("best")).select(
-        "finding_id", _unpack_w(F.col("best")).alias("w"), _unpack_s(F.col("best")).alias("s"),
-        F.lit(1.0).alias("score"))
-
-    # the rest: length bands -> exact bound -> text -> Python score -> arg-max
-    rest = f.join(exact.select("finding_id"), "finding_id", "left_anti").filter(F.col("slen") > 0)
-    mw = meta.filter(F.col("wlen") > 0)
-    if threshold > 0:
-        # slightly widened so float rounding in log() can never split a qualifying pair by 2 bands
-        base = max(2.0 / threshold - 1.0, 1.0) * (1.0 + 1e-9)
-        probe = rest.withColumn("band", F.explode(F.array(*[_band(F.col("slen"), base) + d for d in (-1, 0, 1)])))
-        cand = probe.join(mw.withColumn("band", _band(F.col("wlen"), base)), ["repo_id", "path", "band"], "inner")
-    else:
-        cand = rest.join(mw, ["repo_id", "path"], "inner")
-    bound = 2.0 * F.least("slen", "wlen") / (F.col("slen") + F.col("wlen"))
-    cand = cand.withColumn("bound", bound).filter(F.col("bound") >= threshold).select(
-        "finding_id", "snip", "repo_id", "path", "w", "s", "bound")
-    texts = window_texts(cand, lines, fk + ["bound"])  # bound rides along as a grouping key
-    # branch and bound: each finding's candidates arrive together, highest bound first; scoring
-    # stops once the bound falls below the best score found (the bound never underestimates)
-    n = max(files.sparkSession.sparkContext.defaultParallelism, 1)
-    ordered = texts.repartition(n, "finding_id").sortWithinPartitions(
-        "finding_id", F.col("bound").desc(), "w", "s")
-    fuzzy = ordered.select("finding_id", "snip", "window", "w", "s", "bound").mapInPandas(
-        _best_window_fn(threshold), BEST_SCHEMA)
-    best = exact.unionByName(fuzzy)
-    out = findings.select("finding_id").join(best, "finding_id", "left")
+    f = materialize(findings.select("finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip")))
+    wanted = f.filter(F.col("snip").isNotNull())
+    target = files.select("repo_id", "path", "text").join(wanted.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
+    salted = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1))))
+    met = file_blocks(target, max_window).join(salted, ["repo_id", "path", "salt"])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, windows, by_length = None, {}, []
+        for pdf in batches:
+            out = []
+            for fid, repo, path, first, lines, snip in zip(pdf["finding_id"], pdf["repo_id"], pdf["path"], pdf["first"],
+                                                           pdf["lines"], pdf["snip"]):
+                if key != (repo, path, first):
+                    key = (repo, path, first)
+                    windows = line_windows(list(lines), BLOCK_LINES, max_window)
+                    by_length = [(len(t), t) for t in windows]
+                found = best_window(snip, windows, by_length, threshold)
+                if found is not None:
+                    out.append((fid, found[0], found[1], int(first) + found[2] + 1))
+            yield pd.DataFrame(out, columns=BEST_SCHEMA.names)
+
+    scored = met.select("finding_id", "repo_id", "path", "first", "lines", "snip").mapInPandas(score, BEST_SCHEMA)
+    rank = F.struct("score", (-F.col("w")).alias("w"), (-F.col("s")).alias("s"))
+    best = scored.groupBy("finding_id").agg(F.max(rank).alias("best")).select(
+        "finding_id", "best.score", (-F.col("best.w")).alias("w"), (-F.col("best.s")).alias("start"))
+    out = f.select("finding_id").join(best, "finding_id", "left").withColumn("end", F.col("start") + F.col("w") - 1)
     return out.select(
-        "finding_id",
-        F.col("s").alias("start"),
-        (F.col("s") + F.col("w") - 1).alias("end"),
-        "score",
-        F.when(F.col("s").isNotNull(), line_range(F.col("s"), F.col("s") + F.col("w") - 1))
+        "finding_id", "start", "end", "score",
+        F.when(F.col("start").isNotNull(), line_range(F.col("start"), F.col("end")))
         .otherwise(F.array().cast("array<int>")).alias("line"),
     )
 
 
-def locate_brute_force(text: str, snippet: str, threshold: float = P.LOCATE_THRESHOLD,
-                       max_window: int = P.LOCATE_MAX_WINDOW) -> list[int] | None:
-    """Plain-Python statement of L1 for tests: every window scored, first best kept."""
-    lines = _py_lines(text)
-    snip = " ".join(snippet.split())
-    best, bs, be = 0.0, 0, 0
-    for w in range(1, min(max_window, len(lines)) + 1):
-        for s in range(len(lines) - w + 1):
-            win = " ".join("".join(lines[s:s + w]).split())
-            r = SequenceMatcher(None, snip, win).ratio()
-            if r > best:
-                best, bs, be = r, s + 1, s + w
-    if best >= threshold:
-        return list(range(bs, be + 1))
-    return None
-
-
-def _py_lines(text: str) -> list[str]:
-    t = text.replace("\r\n", "\n").replace("\r", "\n")
-    parts = t.split("\n")
-    if parts and parts[-1] == "":
-        parts = parts[:-1]
-    return [p + "\n" for p in parts]
-
-
 def relocate_diff(stored: DataFrame, files: DataFrame, threshold: float = P.LOCATE_THRESHOLD) -> dict[str, DataFrame]:
     """L3 + A5: recompute the lines of stored findings and report only differences.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codesift.functions import jsonx
-from codesift.functions.paths import ancestor_dirs, detect_language, normalize_rel
+from codesift.functions.paths import ancestor_dirs, detect_language, path_parts
 from codesift.functions.text import decode_ignore, head_chars, loc, py_strip, sha1_hex, token_estimate
 from codesift.operators.ordering import distinct_first, head_n, ordinal
 from codesift.plans import model
@@ -47,7 +47,8 @@ def expand_selection(selection: DataFrame, files: DataFrame) -> tuple[DataFrame,
     ``(expanded(repo_id, path, pos, sub_path), missing(repo_id, pos, path))``.  The
     prefix relation is made an equi-join by exploding each file's ancestor directories.
     """
-    sel = selection.select("repo_id", "pos", normalize_rel(F.col("path")).alias("sel_path"))
+    # as path joining does, empty and "." parts drop: "src/" and "./src/a.js" mean src and src/a.js
+    sel = selection.select("repo_id", "pos", F.array_join(path_parts(F.col("path")), "/").alias("sel_path"))
     listing = files.select("repo_id", "path")
     # joins by column name: selection and listing often share lineage (self-join)
     exact = sel.withColumnRenamed("sel_path", "path").join(listing, ["repo_id", "path"], "inner").select(
@@ -58,9 +59,8 @@ def expand_selection(selection: DataFrame, files: DataFrame) -> tuple[DataFrame,
         "repo_id", "path", "pos", F.col("path").alias("sub_path")
     )
     expanded = distinct_first(exact.unionByName(under), ["repo_id", "path"], ["pos", "sub_path"])
-    hit_exact = listing.select("repo_id", F.col("path").alias("sel_path"))
-    hit_dir = anc.select("repo_id", F.col("dir").alias("sel_path"))
-    missing = sel.join(hit_exact, ["repo_id", "sel_path"], "left_anti").join(hit_dir, ["repo_id", "sel_path"], "left_anti")
+    hits = exact.select("repo_id", F.col("pos")).unionByName(under.select("repo_id", "pos")).distinct()
+    missing = sel.join(hits, ["repo_id", "pos"], "left_anti")
     return expanded, missing.select("repo_id", "pos", F.col("sel_path").alias("path"))
 
 
@@ -95,9 +95,9 @@ def detect_changes(cur: DataFrame, prev: DataFrame) -> DataFrame:
     return joined.withColumn("change", status).drop("_had_prev")
 
 
-def summary_requests(changed: DataFrame, model_name: str = P.DEFAULT_MODEL) -> DataFrame:
-    """G5 request: first 4,000 characters of the file inside the fixed instructions."""
-    user = F.concat(F.lit(P.SUMMARY_PROMPT_HEAD), head_chars(F.col("text")), F.lit(P.SUMMARY_PROMPT_TAIL))
+def summary_requests(changed: DataFrame, model_name: str = P.SUMMARY_MODEL, max_chars: int | None = None) -> DataFrame:
+    """G5 request: the file's text (its first ``max_chars`` characters if given) inside the fixed instructions."""
+    user = F.concat(F.lit(P.SUMMARY_PROMPT_HEAD), head_chars(F.col("text"), max_chars), F.lit(P.SUMMARY_PROMPT_TAIL))
     prm = model.params(model_name, temperature=P.SUMMARY_TEMPERATURE, max_tokens=P.SUMMARY_MAX_TOKENS)
     return model.with_request(changed, P.OP_SUMMARY, F.lit(P.SUMMARY_SYSTEM), user, prm)
 
@@ -176,9 +176,10 @@ def metadata_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
 
 
 def build_metadata(selection: DataFrame, files: DataFrame, prev: DataFrame | None = None,
-                   responses: DataFrame | None = None, provider=None, max_files: int | None = P.METADATA_MAX_FILES,
-                   model_name: str = P.DEFAULT_MODEL, content: str = "content") -> dict[str, DataFrame]:
-    """Expand, deduplicate, cap, profile, reuse or re-summarise, upsert.
+                   responses: DataFrame | None = None, provider=None, max_files: int | None = None,
+                   model_name: str = P.SUMMARY_MODEL, content: str = "content",
+                   max_chars: int | None = None) -> dict[str, DataFrame]:
+    """Expand, deduplicate, cap if ``max_files`` is given, profile, reuse or re-summarise, upsert.
 
     Returns ``metadata`` (the new full table), ``processed`` (this run's rows with
     ``change`` and ``summary_status``), ``requests`` (only for changed files) and
@@ -192,7 +193,7 @@ def build_metadata(selection: DataFrame, files: DataFrame, prev: DataFrame | Non
     cur = profile(expanded.join(files.select("repo_id", "path", content), ["repo_id", "path"], "inner"), content)
     cur = detect_changes(cur, prev)
     need = cur.filter(F.col("change") != "unchanged").drop(content)
-    reqs = summary_requests(need, model_name)
+    reqs = summary_requests(need, model_name, max_chars)
     answered = model.complete(reqs, provider=provider, responses=responses)
     summarised = parse_summary(answered).select("repo_id", "path", "description", "imports", "summary_status")
     reused = cur.filter(F.col("change") == "unchanged").select(

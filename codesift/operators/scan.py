@@ -12,6 +12,7 @@ from codesift.functions.text import py_strip
 from codesift.operators.locate import locate_snippets
 from codesift.plans import model
 from codesift.plans import prompts as P
+from codesift.session import materialize
 
 FINDING_FIELDS = ["file_path", "code_snippet", "description", "vulnerability", "severity",
                   "confidence_level", "remediation"]
@@ -23,7 +24,7 @@ def plan_runs(suggestions: DataFrame, subsets: DataFrame, catalog: DataFrame, st
 
     Unknown subset or pipeline ids raise with ``strict=True`` (as the original tool does);
     otherwise they are kept with ``plan_status`` 'unknown_subset' / 'unknown_pipeline'.
-    Duplicate subset ids: the last one wins.  The catalog is broadcast (size-checked config).
+    Duplicate subset ids: the last one wins.
     """
     s = suggestions.select("repo_id", "subset_id", F.col("subset_no").alias("suggestion_no"),
                            F.posexplode("suggested_pipelines").alias("pipeline_pos", "pipeline_id"))
@@ -32,9 +33,7 @@ def plan_runs(suggestions: DataFrame, subsets: DataFrame, catalog: DataFrame, st
         subsets.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") == 1)
         .select("repo_id", "subset_id", "file_paths", F.lit(True).alias("_has_subset"))
     )
-    cat = F.broadcast(catalog.select(
-        "pipeline_id", F.col("stages")[0].alias("stage"), F.lit(True).alias("_has_pipeline")
-    ))
+    cat = catalog.select("pipeline_id", F.col("stages")[0].alias("stage"), F.lit(True).alias("_has_pipeline"))
     plan = s.join(subs, ["repo_id", "subset_id"], "left").join(cat, "pipeline_id", "left")
     status = (
         F.when(F.col("_has_subset").isNull(), F.lit("unknown_subset"))
@@ -49,11 +48,18 @@ def plan_runs(suggestions: DataFrame, subsets: DataFrame, catalog: DataFrame, st
     return plan.drop("_has_subset", "_has_pipeline")
 
 
+#: The fixed characters of a part, around its path (twice) and its text.
+PART_MARKS = "\n=====\nFILE: " + "\n=====\n" + "\n=====\nEND OF FILE: " + "\n=====\n"
+
+
 def bundle_parts(subsets: DataFrame, files: DataFrame, root: str | None = None) -> DataFrame:
     """One part per listed, readable file of each subset:
     '\\n=====\\nFILE: p\\n=====\\n' + text + '\\n=====\\nEND OF FILE: p\\n=====\\n'.
     ``p`` is ``root/path`` when ``root`` is given (the original shows absolute paths)."""
-    members = subsets.select("repo_id", "subset_id", F.posexplode("file_paths").alias("fpos", "path"))
+    return _parts(subsets.select("repo_id", "subset_id", F.posexplode("file_paths").alias("fpos", "path")), files, root)
+
+
+def _parts(members: DataFrame, files: DataFrame, root: str | None) -> DataFrame:
     joined = members.join(files.select("repo_id", "path", "text"), ["repo_id", "path"], "inner")
     shown = F.concat(F.lit(root.rstrip("/") + "/"), F.col("path")) if root else F.col("path")
     part = F.concat(F.lit("\n=====\nFILE: "), shown, F.lit("\n=====\n"), F.col("text"),
@@ -65,17 +71,24 @@ def bundle_context(subsets: DataFrame, files: DataFrame, max_chars: int | None =
                    root: str | None = None) -> DataFrame:
     """A2 + W4: parts joined by '\\n' in list order, cut to ``max_chars`` characters (None: no cut).
 
-    With a cut, parts that start at or beyond the limit are dropped before the string is
-    built (running length over the preceding parts), so a subset of huge files never
+    With a cut, the files whose parts start at or beyond the limit are dropped by a running
+    sum of lengths before any text is joined, so a subset of huge files never shuffles or
     assembles more than it sends.
     """
-    parts = bundle_parts(subsets, files, root)
-    if max_chars is not None:
+    if max_chars is None:
+        parts = bundle_parts(subsets, files, root)
+    else:
+        sized = files.select("repo_id", "path", F.length("text").alias("_chars"))
+        members = subsets.select("repo_id", "subset_id", F.posexplode("file_paths").alias("fpos", "path")) \
+            .join(sized, ["repo_id", "path"])
+        shown = F.length("path") + (len(root.rstrip("/")) + 1 if root else 0)
+        members = members.withColumn("_part", F.col("_chars") + 2 * shown + len(PART_MARKS))
         w = Window.partitionBy("repo_id", "subset_id").orderBy("fpos").rowsBetween(Window.unboundedPreceding, -1)
         # start offset of a part = sum of earlier part lengths + one '\n' per earlier part; a part
         # starting exactly at the limit is kept for the separator in front of it
-        start = F.coalesce(F.sum(F.length("part") + 1).over(w), F.lit(0))
-        parts = parts.withColumn("_start", start).filter(F.col("_start") <= max_chars).drop("_start")
+        start = F.coalesce(F.sum(F.col("_part") + 1).over(w), F.lit(0))
+        members = members.withColumn("_start", start).filter(F.col("_start") <= max_chars)
+        parts = _parts(members.select("repo_id", "subset_id", "fpos", "path"), files, root)
     out = parts.groupBy("repo_id", "subset_id").agg(
         F.expr("listagg(part, '\\n') WITHIN GROUP (ORDER BY fpos)").alias("bundle"),
         F.count(F.lit(1)).alias("n_parts"),
@@ -134,7 +147,9 @@ def parse_findings(answered: DataFrame, content: str = "content") -> dict[str, D
     el = a.select(*keys, F.posexplode_outer("_items").alias("pos", "e")).filter(F.col("pos").isNotNull())
     el = el.filter(jsonx.is_object(F.col("e")))
     cols = [jsonx.get_string(F.col("e"), f).alias(f) for f in FINDING_FIELDS]
+    # a model may give a line list itself; it counts where the snippet cannot be looked up
     findings = el.select(*keys, F.col("pos").cast("bigint").alias("pos"), *cols,
+                         F.try_variant_get(F.col("e"), "$.line", "array<int>").alias("model_line"),
                          jsonx.has_key(F.col("e"), "code_snippet").alias("has_snippet"),
                          jsonx.has_key(F.col("e"), "file_path").alias("has_path"))
     return {"findings": findings, "stage_outputs": stage_outputs,
@@ -177,12 +192,15 @@ def run_scan(plan: DataFrame, files: DataFrame, responses: DataFrame | None = No
     f = parsed["findings"]
     f = f.withColumn("rel_path", relativize(F.col("file_path"), root) if root else F.col("file_path"))
     f = f.withColumn("finding_id", F.sha1(F.concat_ws("\u0001", "request_id", F.col("pos").cast("string"))))
+    # the location step reads findings several times; without the cut each read would build the bundles again
+    f = materialize(f)
     located = locate_snippets(
         f.filter(F.col("has_snippet") & F.col("has_path")).select(
             "finding_id", "repo_id", F.col("rel_path").alias("path"), F.col("code_snippet").alias("snippet")),
         files, threshold=threshold,
     )
-    f = f.join(located.select("finding_id", "line"), "finding_id", "left")
+    f = f.join(located.select("finding_id", "line"), "finding_id", "left").withColumn(
+        "line", F.when(F.col("has_snippet") & F.col("has_path"), F.col("line")).otherwise(F.col("model_line"))).drop("model_line")
     kept, removed = drop_unlocated(f)
     kept = kept.withColumn("file_path", F.col("rel_path")).drop("rel_path")
     return {"findings": kept, "removed": removed, "requests": reqs, "stage_outputs": parsed["stage_outputs"],

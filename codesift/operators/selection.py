@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesift.functions import jsonx
-from codesift.functions.paths import path_prefilter_match
+from codesift.functions.paths import FLATTEN_EXCLUDE_DIRS, path_parts, path_prefilter_match
 from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
@@ -18,12 +18,28 @@ def path_prefilter(files: DataFrame) -> DataFrame:
     return files.filter(~path_prefilter_match(F.col("path")))
 
 
-def selection_requests(files: DataFrame, limit: int = P.SELECT_LIMIT, model_name: str = P.DEFAULT_MODEL) -> DataFrame:
-    """One request per repo listing the first ``limit`` pre-filtered paths (byte order),
-    one per line, plus '… and K more files' when some were left out.
+def selection_batches(files: DataFrame, batch_size: int = P.SELECT_BATCH) -> DataFrame:
+    """Every path with its request: ``(repo_id, batch, path)``, consecutive paths of a repo in byte order."""
+    numbered = ordinal(files.select("repo_id", "path"), ["repo_id"], ["path"], "_n")
+    return numbered.select("repo_id", (F.floor((F.col("_n") - 1) / batch_size) + 1).cast("int").alias("batch"), "path")
 
-    ``files(repo_id, path)`` -> ``(repo_id, n_files, n_offered, file_block, request columns)``.
+
+def selection_requests(files: DataFrame, limit: int | None = None, model_name: str = P.DEFAULT_MODEL,
+                       batch_size: int = P.SELECT_BATCH) -> DataFrame:
+    """The pre-filtered paths of a repo (byte order), one per line, in requests of ``batch_size`` paths.
+
+    With ``limit`` (the original's way) there is one request with the first ``limit`` paths, plus
+    '… and K more files' when some were left out.
+
+    ``files(repo_id, path)`` -> ``(repo_id, batch, n_files, n_offered, file_block, request columns)``.
     """
+    prm = model.params(model_name, temperature=P.SELECT_TEMPERATURE)
+    if limit is None:
+        listed = selection_batches(files, batch_size).groupBy("repo_id", "batch").agg(
+            F.expr("listagg(path, '\\n') WITHIN GROUP (ORDER BY path)").alias("file_block"), F.count(F.lit(1)).alias("n_offered"))
+        totals = files.groupBy("repo_id").agg(F.count(F.lit(1)).alias("n_files"))
+        return model.with_request(listed.join(totals, "repo_id"), P.OP_SELECT, F.lit(P.SELECT_SYSTEM),
+                                  F.concat(F.lit(P.SELECT_PROMPT_HEAD), F.col("file_block")), prm)
     offered = head_n(files.select("repo_id", "path"), limit, ["repo_id"], ["path"])
     per_repo = offered.groupBy("repo_id").agg(
         F.expr("listagg(path, '\\n') WITHIN GROUP (ORDER BY path)").alias("head_block"),
@@ -33,8 +49,7 @@ def selection_requests(files: DataFrame, limit: int = P.SELECT_LIMIT, model_name
     rem = F.col("n_files") - F.col("n_offered")
     block = F.concat(F.col("head_block"),
                      F.when(rem > 0, F.format_string(P.SELECT_REMAINDER.replace("{n}", "%d"), rem)).otherwise(F.lit("")))
-    per_repo = per_repo.withColumn("file_block", block).drop("head_block")
-    prm = model.params(model_name, temperature=P.SELECT_TEMPERATURE)
+    per_repo = per_repo.withColumn("file_block", block).withColumn("batch", F.lit(1)).drop("head_block")
     return model.with_request(per_repo, P.OP_SELECT, F.lit(P.SELECT_SYSTEM),
                               F.concat(F.lit(P.SELECT_PROMPT_HEAD), F.col("file_block")), prm)
 
@@ -47,6 +62,21 @@ def parse_selection(answers: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
+def batched_selection_result(files: DataFrame, answers: DataFrame, batch_size: int = P.SELECT_BATCH) -> DataFrame:
+    """G3 per request: the picks of every batch that was answered with a list of strings, and all
+    paths of the other batches, in (batch, pick) order.
+
+    ``answers(repo_id, batch, content)`` -> ``selection(repo_id, pos, path, origin)``.
+    """
+    parsed = parse_selection(answers.select("repo_id", F.col("batch").cast("int").alias("batch"), "content")) \
+        .filter(F.col("picked").isNotNull())
+    picked = parsed.select("repo_id", "batch", F.posexplode("picked").alias("nth", "path")).withColumn("origin", F.lit("model"))
+    rest = selection_batches(files, batch_size).join(parsed.select("repo_id", "batch"), ["repo_id", "batch"], "left_anti")
+    rest = rest.select("repo_id", "batch", F.lit(0).alias("nth"), "path", F.lit("fallback").alias("origin"))
+    return ordinal(picked.unionByName(rest), ["repo_id"], ["batch", "nth", "path"], "pos").select(
+        "repo_id", "pos", "path", "origin")
+
+
 def selection_result(files: DataFrame, answers: DataFrame) -> DataFrame:
     """The model's list when it is a JSON list of strings (``[]`` = none), otherwise
     every pre-filtered file of the repo (not only the offered ones).  No answer = fallback.
@@ -69,9 +99,15 @@ def selection_result(files: DataFrame, answers: DataFrame) -> DataFrame:
     return picked.unionByName(fallback)
 
 
+def flattened(files: DataFrame) -> DataFrame:
+    """S3's own exclusions on a path table: nothing below a directory that flattening a stored tree skips."""
+    dirs = F.slice(path_parts(F.col("path")), 1, F.greatest(F.size(path_parts(F.col("path"))) - 1, F.lit(0)))
+    return files.filter(~F.arrays_overlap(dirs, F.array(*[F.lit(x) for x in FLATTEN_EXCLUDE_DIRS])))
+
+
 def select_files(files: DataFrame, answers: DataFrame) -> DataFrame:
-    """G1: pre-filter then apply the model's pick."""
-    return selection_result(path_prefilter(files), answers)
+    """G1: exclusions of the flattened tree, pre-filter, then the model's pick."""
+    return selection_result(path_prefilter(flattened(files)), answers)
 
 
 def audit_selection(selection: DataFrame, offered: DataFrame) -> DataFrame:

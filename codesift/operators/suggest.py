@@ -11,6 +11,7 @@ from codesift.functions.text import py_strip
 from codesift.operators.grouping import join_lines
 from codesift.plans import model
 from codesift.plans import prompts as P
+from codesift.plans.catalog import MAX_CATALOG_ROWS
 
 
 def render_subset_line(path: Column, side: Column, lang: Column, desc: Column) -> Column:
@@ -30,18 +31,21 @@ def subset_sizes(subsets: DataFrame) -> DataFrame:
     return subsets.select("repo_id", "subset_id", F.size("file_paths").cast("bigint").alias("n_files"))
 
 
-def subset_summary(subsets: DataFrame, metadata: DataFrame, cap: int = P.FILES_PER_SUGGESTION) -> DataFrame:
-    """Per subset, the first ``cap`` paths rendered with their metadata (J5: left join,
-    missing -> ''), then '… K more files omitted for brevity …' when longer."""
-    members = subsets.select("repo_id", "subset_id", F.posexplode("file_paths").alias("fpos", "path")).filter(
-        F.col("fpos") < cap
-    )
+def subset_summary(subsets: DataFrame, metadata: DataFrame, cap: int | None = None) -> DataFrame:
+    """Per subset, its paths rendered with their metadata (J5: left join, missing -> ''); with
+    ``cap`` only the first ones, then '… K more files omitted for brevity …' when longer."""
+    members = subsets.select("repo_id", "subset_id", F.posexplode("file_paths").alias("fpos", "path"))
+    if cap is not None:
+        members = members.filter(F.col("fpos") < cap)
     meta = metadata.select("repo_id", "path", "side", "language", "description")
     lines = members.join(meta, ["repo_id", "path"], "left").withColumn(
         "line", render_subset_line(F.col("path"), F.col("side"), F.col("language"), F.col("description"))
     )
     text = join_lines(lines, ["repo_id", "subset_id"], "line", "fpos", "summary")
     sized = subsets.select("repo_id", "subset_id", F.size("file_paths").alias("_n"))
+    if cap is None:
+        return sized.join(text, ["repo_id", "subset_id"], "left").select(
+            "repo_id", "subset_id", F.coalesce(F.col("summary"), F.lit("")).alias("summary"))
     omitted = F.format_string(P.SUBSET_OMITTED.replace("{n}", "%d"), F.col("_n") - cap)
     return (
         sized.join(text, ["repo_id", "subset_id"], "left")
@@ -58,6 +62,8 @@ def catalog_text(catalog: DataFrame) -> str:
     """T10 over the whole catalog, in catalog order.  The catalog is a size-checked
     configuration table (see ``catalog_frame``); its rendering is one short string that
     every suggestion request embeds as a literal."""
+    if catalog.limit(MAX_CATALOG_ROWS + 1).count() > MAX_CATALOG_ROWS:
+        raise ValueError(f"a catalog has at most {MAX_CATALOG_ROWS} pipelines")
     row = (
         catalog.select("pipeline_pos", render_pipeline_line(F.col("pipeline_id"), F.col("description"),
                                                             F.col("target_vulnerabilities")).alias("line"))
@@ -68,7 +74,7 @@ def catalog_text(catalog: DataFrame) -> str:
 
 
 def suggestion_requests(subsets: DataFrame, metadata: DataFrame, catalog: DataFrame,
-                        cap: int = P.FILES_PER_SUGGESTION, model_name: str = P.DEFAULT_MODEL) -> DataFrame:
+                        cap: int | None = None, model_name: str = P.DEFAULT_MODEL) -> DataFrame:
     """One request per subset: catalog list in the system message, subset summary in the user one."""
     system = P.SUGGEST_SYSTEM_HEAD + catalog_text(catalog) + P.SUGGEST_SYSTEM_TAIL
     summ = subset_summary(subsets, metadata, cap)

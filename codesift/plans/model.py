@@ -31,7 +31,7 @@ PARAMS_TYPE = T.StructType([
     T.StructField("max_completion_tokens", T.IntegerType()),
     T.StructField("reasoning_effort", T.StringType()),
     T.StructField("stream", T.BooleanType()),
-    T.StructField("response_format", T.StringType()),
+    T.StructField("response_format", T.StructType([T.StructField("type", T.StringType())])),
 ])
 
 RESPONSE_SCHEMA = T.StructType([
@@ -67,7 +67,8 @@ def params(model: str | Column = P.DEFAULT_MODEL, temperature: float | None = No
         F.when(special, F.lit(max_tokens).cast("int")).otherwise(null_int).alias("max_completion_tokens"),
         F.when(special, F.lit(reasoning_effort).cast("string")).alias("reasoning_effort"),
         F.when(special, F.lit(False)).alias("stream"),
-        F.lit(response_format).cast("string").alias("response_format"),
+        F.when(F.lit(response_format is not None), F.struct(F.lit(response_format).cast("string").alias("type")))
+        .alias("response_format"),
     ).cast(PARAMS_TYPE)
 
 
@@ -89,19 +90,26 @@ def with_request(df: DataFrame, operation: Column | str, system: Column, user: C
     )
 
 
+def usable() -> Column:
+    """A stored answer that needs no retry: it has content and its status is 'ok' (or unset)."""
+    return F.col("content").isNotNull() & (F.coalesce(F.col("status"), F.lit("ok")) == "ok")
+
+
+def _timed(responses: DataFrame) -> DataFrame:
+    at = F.col("answered_at").cast("timestamp") if "answered_at" in responses.columns else F.lit(None).cast("timestamp")
+    return responses.select("request_id", "content", "status", at.alias("answered_at"))
+
+
 def replay(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """M1 offline: stored answers joined to requests; unanswered requests get status 'missing'.
 
-    ``responses`` may hold several rows per request id (re-runs); the last one by
-    ``answered_at`` (or any, when absent) is used.
+    ``responses`` may hold several rows per request id (re-runs).  A usable answer (see ``usable``)
+    goes before an unusable one, then the latest by ``answered_at`` (when given) counts; content and status
+    come from the same row.
     """
-    status = F.coalesce(F.col("status"), F.lit("ok"))
-    if "answered_at" in responses.columns:
-        resp = responses.groupBy("request_id").agg(
-            F.max_by("content", "answered_at").alias("content"), F.max_by(status, "answered_at").alias("status"))
-    else:
-        resp = responses.groupBy("request_id").agg(
-            F.max_by("content", F.struct(status, F.col("content"))).alias("content"), F.max(status).alias("status"))
+    rows = _timed(responses)
+    best = F.struct(usable().alias("usable"), "answered_at", "content", F.coalesce("status", F.lit("ok")).alias("status"))
+    resp = rows.groupBy("request_id").agg(F.max(best).alias("_best")).select("request_id", "_best.content", "_best.status")
     return requests.join(resp, "request_id", "left").withColumn(
         "status", F.coalesce(F.col("status"), F.lit("missing"))
     )
@@ -111,7 +119,7 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
              partitions: int | None = None) -> DataFrame:
     """M1: answers for ``requests``.
 
-    Stored ``responses`` are reused (no call); the rest go to ``provider`` (an
+    Usable stored ``responses`` are reused (no call); the rest, failed answers included, go to ``provider`` (an
     ``Iterator[pandas.DataFrame] -> Iterator[pandas.DataFrame]`` mapping columns
     ``request_id, operation, messages_json, params_json`` to ``request_id, content, status``),
     spread over ``partitions`` tasks, and checkpointed before use.
@@ -120,13 +128,14 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
     if provider is None:
         return replay(requests, stored)
     todo = (
-        requests.join(stored.select("request_id"), "request_id", "left_anti")
+        requests.join(stored.filter(usable()).select("request_id"), "request_id", "left_anti")
         .select("request_id", "operation", F.to_json("messages").alias("messages_json"), "params_json")
         .dropDuplicates(["request_id"])
     )
     n = partitions or requests.sparkSession.sparkContext.defaultParallelism
     fresh = materialize(todo.repartition(n, "request_id").mapInPandas(provider, RESPONSE_SCHEMA))
-    return replay(requests, stored.select("request_id", "content", "status").unionByName(fresh))
+    fresh = fresh.withColumn("answered_at", F.current_timestamp())
+    return replay(requests, _timed(stored).unionByName(fresh))
 
 
 def call_stats(answered: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import json
 # Models that take max_completion_tokens / reasoning_effort and no temperature (M2).
 COMPLETION_TOKEN_MODELS = ["gpt-5", "gpt-5-mini"]
 DEFAULT_MODEL = "gpt-4o"
+SUMMARY_MODEL = "gpt-4o-mini"
 
 # Operation names (M3).
 OP_SELECT = "select-vuln-files"
@@ -31,12 +32,15 @@ SUGGEST_TEMPERATURE = 0.2
 SUGGEST_MAX_TOKENS = 120
 SCAN_MAX_TOKENS = 720
 
-# Caps.
+# The original tool's limits.  Only the chunk size is a default here; the others are passed by a
+# caller who wants the original prompts.
 SELECT_LIMIT = 30
 METADATA_MAX_FILES = 30
 FILES_PER_GROUPING_PROMPT = 60
 GROUPING_IMPORTS_SHOWN = 5
 FILES_PER_SUGGESTION = 8
+# Paths per selection request: a repo with more gets several requests, whose answers are joined.
+SELECT_BATCH = 200
 DEFAULT_PIPELINE = "pipeline_injection"
 
 SELECT_SYSTEM = "You are a senior security engineer specializing in MERN and Node.js audits."
@@ -120,9 +124,7 @@ GROUP_INSTRUCTIONS = (
     "- Keep subset_id values unique within this response.\n"
 )
 GROUP_FILES_HEADER = "\n\nFiles:\n"
-GROUP_OMITTED = "… {n} more files omitted for brevity …"
 GROUP_ID_DEFAULT = "subset"
-GROUP_ID_CHUNK_SUFFIX = "{id}-chunk{chunk:02d}"
 SUBSET_ID_FORMAT = "subset-%03d"
 
 SUGGEST_SCHEMA = {
@@ -176,11 +178,7 @@ SCAN_SCHEMA_TEXT = (
 SCAN_EXAMPLE_HEAD = "\n\nBelow is an example response. Use it as a reference only:\n\n"
 SCAN_USER_HEAD = "```\n"
 SCAN_USER_TAIL = "\n```"
-RESPONSE_FORMAT_JSON = "json_object"
-
-BUNDLE_SEPARATOR = "====="
-BUNDLE_FILE_HEAD = "\n=====\nFILE: {path}\n=====\n"
-BUNDLE_FILE_TAIL = "\n=====\nEND OF FILE: {path}\n=====\n"
+RESPONSE_FORMAT_JSON = "json_object"  # sent as {"type": "json_object"}
 
 LOCATE_THRESHOLD = 0.6
 LOCATE_MAX_WINDOW = 5

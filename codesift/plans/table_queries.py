@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codesift.functions import jsonx
-from codesift.functions.paths import (EXT_TO_LANG, PREFILTER_PATTERN, TREE_EXCLUDE_DIRS, base_name,
-                                      detect_language, join_base, normalize_rel, path_parts, relativize)
-from codesift.functions.text import SUMMARY_HEAD_CHARS, extract_imports, split_lines
+from codesift.functions.paths import (EXT_TO_LANG, FLATTEN_EXCLUDE_DIRS, PREFILTER_PATTERN, TREE_EXCLUDE_DIRS,
+                                      base_name, detect_language, join_base, normalize_rel, path_parts, relativize)
+from codesift.functions.text import extract_imports, split_lines
 from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, suggest
 from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
@@ -45,6 +45,8 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+REPOS = 2  # of the "large repository" corpus: few enough that every cap and chunk size is exceeded at sf 0.01
+
 FILES_SQL = f"""files AS (
   SELECT source AS repo_id,
          'src/' || ({_sql_list(CORPUS_DIRS)})[(doc_id // {DIR_STEP}) % {len(CORPUS_DIRS)} + 1] || '/doc'
@@ -54,11 +56,14 @@ FILES_SQL = f"""files AS (
 SCANNED_SQL = f"""scanned AS (
   SELECT * FROM files
   WHERE NOT list_has_any(list_slice(string_split(path, '/'), 1, len(string_split(path, '/')) - 1),
-                         {_sql_list(TREE_EXCLUDE_DIRS)})
-    AND len(string_split(path, '/')) - 1 <= 6)"""
+                         {_sql_list(TREE_EXCLUDE_DIRS)}))"""
 KEPT_SQL = f"""kept AS (
-  SELECT * FROM scanned WHERE NOT regexp_matches(path, {_q('(?i)' + PREFILTER_PATTERN)}))"""
+  SELECT * FROM scanned WHERE NOT regexp_matches(path, {_q('(?i)' + PREFILTER_PATTERN)})
+    AND NOT list_has_any(list_slice(string_split(path, '/'), 1, len(string_split(path, '/')) - 1),
+                         {_sql_list(FLATTEN_EXCLUDE_DIRS)}))"""
 CORPUS_CTES = ",\n".join([FILES_SQL, SCANNED_SQL, KEPT_SQL])
+LARGE_FILES_SQL = FILES_SQL.replace("source AS repo_id", f"'repo' || CAST(doc_id % {REPOS} AS VARCHAR) AS repo_id")
+LARGE_CTES = ",\n".join([LARGE_FILES_SQL, SCANNED_SQL, KEPT_SQL])
 
 
 def lang_sql(p: str) -> str:
@@ -86,8 +91,17 @@ def _files(spark, sf):
     return corpus(spark, sf)
 
 
+def _large(spark, sf):
+    """The same files in a few large repositories."""
+    return _files(spark, sf).withColumn("repo_id", F.concat(F.lit("repo"), (F.col("doc_id") % REPOS).cast("string")))
+
+
+def _keep(files):
+    return selection.path_prefilter(selection.flattened(scan_corpus(files)))
+
+
 def _kept(spark, sf):
-    return selection.path_prefilter(scan_corpus(_files(spark, sf)))
+    return _keep(_files(spark, sf))
 
 
 def _with_text(files: DataFrame) -> DataFrame:
@@ -98,14 +112,16 @@ def _repo_no(col="repo_id"):
     return F.regexp_extract(F.col(col), r"(\d+)$", 1).cast("int")
 
 
-def _fixture_metadata(spark, sf) -> DataFrame:
-    """Metadata rows for the kept files: description = first line, imports = its first 7 words."""
-    k = _kept(spark, sf)
-    first = F.substring_index(F.col("content"), "\n", 1)
-    return k.select(
+IMPORT_NAMES = [f"mod{i}" for i in range(1, 8)]
+
+
+def _fixture_metadata(kept: DataFrame) -> DataFrame:
+    """Metadata rows for the kept files: the description is the text's hash, and there are 0 to 7 imports."""
+    names = F.array(*[F.lit(x) for x in IMPORT_NAMES])
+    return kept.select(
         "repo_id", "path", F.lit("file").alias("kind"), detect_language(F.col("path")).alias("language"),
-        F.lit("").alias("side"), first.alias("description"),
-        F.slice(F.split(first, " "), 1, 7).alias("imports"), F.lit(0).cast("bigint").alias("ord"),
+        F.lit("").alias("side"), F.concat(F.lit("text "), F.sha1("content")).alias("description"),
+        F.slice(names, 1, (F.col("doc_id") % 8).cast("int")).alias("imports"), F.lit(0).cast("bigint").alias("ord"),
     )
 
 
@@ -126,11 +142,6 @@ def _bucketed_subsets(files: DataFrame) -> DataFrame:
                     "file_paths", F.concat(F.lit("language "), F.col("language")).alias("reason"))
 
 
-def _fixture_subsets(spark, sf) -> DataFrame:
-    """Subsets of the kept files (see ``_bucketed_subsets``)."""
-    return _bucketed_subsets(_kept(spark, sf))
-
-
 SUGGEST_ANSWERS = [
     '["pipeline_xss", "pipeline_auth"]',
     '```json\n["pipeline_auth"]\n```',
@@ -240,13 +251,13 @@ FROM p, LATERAL (SELECT unnest(generate_series(1, len(parts) - 1)) AS i) g"""
 
 
 def q_selection_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """G2 (W3 head-30 + remainder, A1): the selection prompt per repo."""
-    r = selection.selection_requests(_kept(spark, sf))
+    """G2 (W3 head-30 + remainder, A1): the original's selection prompt, its limit passed explicitly."""
+    r = selection.selection_requests(_keep(_large(spark, sf)), limit=P.SELECT_LIMIT)
     return r.select("repo_id", F.col("n_files").cast("bigint"), F.col("n_offered").cast("bigint"),
                     F.col("messages")[1]["content"].alias("user_prompt"))
 
 
-SQL_SELECTION_REQUESTS = f"""WITH {CORPUS_CTES},
+SQL_SELECTION_REQUESTS = f"""WITH {LARGE_CTES},
 r AS (SELECT repo_id, path, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS rn,
              count(*) OVER (PARTITION BY repo_id) AS n FROM kept)
 SELECT repo_id, CAST(max(n) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_offered,
@@ -256,6 +267,51 @@ SELECT repo_id, CAST(max(n) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n
 FROM r WHERE rn <= {P.SELECT_LIMIT} GROUP BY repo_id"""
 
 
+SELECT_BATCH = 20  # paths per request in the batched queries
+
+
+def _batch_answers(kept: DataFrame) -> DataFrame:
+    """Per request: all its paths as a list, the list fenced, with trailing text, an empty list, a
+    list with a number in it, or no answer."""
+    lists = selection.selection_batches(kept, SELECT_BATCH).groupBy("repo_id", "batch").agg(
+        F.sort_array(F.collect_list("path")).alias("ps"))
+    body = F.to_json("ps")
+    k = (_repo_no() + F.col("batch")) % 6
+    content = (F.when(k == 0, body).when(k == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+               .when(k == 2, F.concat(body, F.lit("]"))).when(k == 3, F.lit("[]"))
+               .when(k == 4, F.concat(F.lit('["'), F.col("ps")[0], F.lit('", 1]'))))
+    return lists.select("repo_id", "batch", content.alias("content")).filter(F.col("content").isNotNull())
+
+
+def q_selection_batch_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """G2 uncapped: every kept path is offered, in requests of 20."""
+    r = selection.selection_requests(_keep(_large(spark, sf)), batch_size=SELECT_BATCH)
+    return r.select("repo_id", F.col("batch").cast("bigint"), F.col("n_files").cast("bigint"),
+                    F.col("n_offered").cast("bigint"), F.sha1(F.col("messages")[1]["content"]).alias("prompt_sha1"))
+
+
+_BATCH_SQL = f"""n AS (SELECT repo_id, path, (row_number() OVER (PARTITION BY repo_id ORDER BY path) - 1) // {SELECT_BATCH} + 1 AS batch,
+                   count(*) OVER (PARTITION BY repo_id) AS n FROM kept)"""
+
+SQL_SELECTION_BATCH_REQUESTS = f"""WITH {LARGE_CTES}, {_BATCH_SQL}
+SELECT repo_id, CAST(batch AS BIGINT) AS batch, CAST(max(n) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_offered,
+       sha1({_q(P.SELECT_PROMPT_HEAD)} || string_agg(path, chr(10) ORDER BY path)) AS prompt_sha1
+FROM n GROUP BY 1, 2"""
+
+
+def q_selection_batch_result(spark: SparkSession, sf: str) -> DataFrame:
+    """G3 per request: the picks of answered requests and all paths of the others, in request order."""
+    kept = _keep(_large(spark, sf))
+    return selection.batched_selection_result(kept, _batch_answers(kept), SELECT_BATCH)
+
+
+SQL_SELECTION_BATCH_RESULT = f"""WITH {LARGE_CTES}, {_BATCH_SQL},
+k AS (SELECT *, (CAST(regexp_extract(repo_id, '(\\d+)$', 1) AS INTEGER) + batch) % 6 AS k FROM n)
+SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY path) AS BIGINT) AS pos, path,
+       CASE WHEN k IN (0, 1) THEN 'model' ELSE 'fallback' END AS origin
+FROM k WHERE k <> 3"""
+
+
 def _selection_answers(kept: DataFrame) -> DataFrame:
     w = Window.partitionBy("repo_id").orderBy("path")
     top = kept.withColumn("rn", F.row_number().over(w)).filter("rn <= 3")
@@ -291,10 +347,12 @@ def _fixture_selection(spark, sf) -> DataFrame:
     docs = read_table(spark, sf, "documents")
     labels = read_table(spark, sf, "labels")
     repos = docs.select(F.col("source").alias("repo_id")).distinct()
-    fixed = repos.select("repo_id", F.lit(1).cast("bigint").alias("pos"), F.lit("src/models").alias("path")).unionByName(
+    fixed = repos.select("repo_id", F.lit(1).cast("bigint").alias("pos"), F.lit("./src/models/").alias("path")).unionByName(
         repos.select("repo_id", F.lit(2).cast("bigint").alias("pos"), F.lit("src/ghost.js").alias("path")))
     good = docs.join(labels.filter("quality = 1"), "doc_id").select(
-        F.col("source").alias("repo_id"), "doc_id", _files_path("doc_id").alias("path"))
+        F.col("source").alias("repo_id"), "doc_id",
+        # every other path is written with a leading "./"
+        F.concat(F.when(F.col("doc_id") % 2 == 0, "./").otherwise(""), _files_path("doc_id")).alias("path"))
     picked = ordinal(good, ["repo_id"], ["doc_id"], "_n").select(
         "repo_id", (F.col("_n") + 2).cast("bigint").alias("pos"), "path")
     return fixed.unionByName(picked)
@@ -320,8 +378,10 @@ def _fixture_prev(spark, sf) -> DataFrame:
 
 
 def summary_provider(batches):
-    """Deterministic stand-in model for summaries: summary = first code line; imports = its first
-    two words; no JSON when that line's length is a multiple of 7."""
+    """Deterministic stand-in model for summaries: the summary is the code's hash, the one import
+    its number of lines; no JSON when its length is a multiple of 7."""
+    import hashlib
+
     import pandas as pd
 
     head, tail = P.SUMMARY_PROMPT_HEAD, P.SUMMARY_PROMPT_TAIL
@@ -330,11 +390,11 @@ def summary_provider(batches):
         for rid, msgs in zip(pdf["request_id"], pdf["messages_json"]):
             user = json.loads(msgs)[1]["content"]
             code = user[len(head):len(user) - len(tail)]
-            first = code.split("\n")[0]
-            if len(first) % 7 == 0:
+            if len(code) % 7 == 0:
                 out.append((rid, "not json", "ok"))
             else:
-                out.append((rid, json.dumps({"summary": "Summary: " + first, "imports": first.split(" ")[:2]}), "ok"))
+                digest = hashlib.sha1(code.encode()).hexdigest()
+                out.append((rid, json.dumps({"summary": "Summary: " + digest, "imports": [str(code.count("\n") + 1)]}), "ok"))
         yield pd.DataFrame(out, columns=["request_id", "content", "status"])
 
 
@@ -369,7 +429,7 @@ prev AS (
          CAST(row_number() OVER (PARTITION BY f.repo_id ORDER BY f.doc_id) AS BIGINT) AS ord
   FROM files f JOIN labels l ON f.doc_id = l.doc_id),
 cur AS (
-  SELECT e.repo_id, e.path, e.pos, f.content, sha1(f.content) AS sha1, {first_line_sql('left(f.content, 4000)')} AS fl,
+  SELECT e.repo_id, e.path, e.pos, f.content, sha1(f.content) AS sha1, sha1(f.content) AS fl,
          p.path IS NOT NULL AS had_prev, p.sha1 AS prev_sha1, p.description AS prev_description
   FROM exp e JOIN files f ON f.repo_id = e.repo_id AND f.path = e.path
   LEFT JOIN prev p ON p.repo_id = e.repo_id AND p.path = e.path),
@@ -379,13 +439,13 @@ ch AS (
                  ELSE 'unchanged' END AS change
   FROM cur),
 done AS (
-  SELECT *, CASE WHEN change = 'unchanged' THEN 'reused' WHEN length(fl) % 7 = 0 THEN 'error' ELSE 'ok' END
+  SELECT *, CASE WHEN change = 'unchanged' THEN 'reused' WHEN length(content) % 7 = 0 THEN 'error' ELSE 'ok' END
               AS summary_status FROM ch)"""
 
 SQL_METADATA_CHANGES = _META_SQL + f"""
 SELECT repo_id, path, change, summary_status,
        CASE summary_status WHEN 'reused' THEN prev_description WHEN 'ok' THEN 'Summary: ' || fl END AS description,
-       CASE summary_status WHEN 'reused' THEN 'old' WHEN 'ok' THEN array_to_string(string_split(fl, ' ')[1:2], ',')
+       CASE summary_status WHEN 'reused' THEN 'old' WHEN 'ok' THEN CAST({loc_sql('content')} AS VARCHAR)
             ELSE '' END AS imports,
        sha1, {lang_sql('path')} AS language, {loc_sql('content')} AS loc, {tok_sql('content')} AS token_estimate
 FROM done"""
@@ -413,28 +473,27 @@ FROM done d LEFT JOIN mx ON mx.repo_id = d.repo_id WHERE NOT d.had_prev"""
 
 
 def q_grouping_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """G6 (W1 T8 A1): grouping prompt per chunk of 60 metadata entries."""
-    r = grouping.grouping_requests(_fixture_metadata(spark, sf))
+    """G6 (W1 T8 A1): grouping prompt per chunk of 60 metadata entries, all imports shown."""
+    r = grouping.grouping_requests(_fixture_metadata(_keep(_large(spark, sf))))
     return r.select("repo_id", F.col("chunk").cast("bigint"), F.col("n_entries").cast("bigint"), "files_block",
-                    F.length(F.col("messages")[1]["content"]).cast("bigint").alias("prompt_chars"))
+                    F.sha1(F.col("messages")[1]["content"]).alias("prompt_sha1"))
 
 
 _FIXTURE_META_SQL = f"""fm AS (
-  SELECT repo_id, path, {lang_sql('path')} AS language, {first_line_sql('content')} AS description,
-         string_split({first_line_sql('content')}, ' ')[1:7] AS imports
+  SELECT repo_id, path, {lang_sql('path')} AS language, 'text ' || sha1(content) AS description,
+         list_slice({_sql_list(IMPORT_NAMES)}, 1, doc_id % 8) AS imports
   FROM kept)"""
 
-SQL_GROUPING_REQUESTS = f"""WITH {CORPUS_CTES}, {_FIXTURE_META_SQL},
+SQL_GROUPING_REQUESTS = f"""WITH {LARGE_CTES}, {_FIXTURE_META_SQL},
 r AS (SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS k FROM fm),
 c AS (SELECT *, CAST(floor((k - 1) / {P.FILES_PER_GROUPING_PROMPT}) + 1 AS BIGINT) AS chunk,
              '- ' || path || ' [/' || language || ']: ' || description
-             || CASE WHEN array_to_string(imports[1:{P.GROUPING_IMPORTS_SHOWN}], ', ') <> ''
-                     THEN ' | Imports: ' || array_to_string(imports[1:{P.GROUPING_IMPORTS_SHOWN}], ', ') ELSE '' END
+             || CASE WHEN array_to_string(imports, ', ') <> ''
+                     THEN ' | Imports: ' || array_to_string(imports, ', ') ELSE '' END
              AS line
       FROM r)
 SELECT repo_id, chunk, CAST(count(*) AS BIGINT) AS n_entries, string_agg(line, chr(10) ORDER BY k) AS files_block,
-       CAST(length({_q(P.GROUP_INSTRUCTIONS + P.GROUP_FILES_HEADER)}) + length(string_agg(line, chr(10) ORDER BY k))
-            AS BIGINT) AS prompt_chars
+       sha1({_q(P.GROUP_INSTRUCTIONS + P.GROUP_FILES_HEADER)} || string_agg(line, chr(10) ORDER BY k)) AS prompt_sha1
 FROM c GROUP BY 1, 2"""
 
 
@@ -445,37 +504,50 @@ def _grouping_answers(meta: DataFrame) -> DataFrame:
                              F.concat(F.lit("language "), F.col("language")).alias("reason")))
     lists = by_lang.withColumn("obj", obj).groupBy("repo_id", "chunk").agg(
         F.concat(F.lit("["), F.expr("listagg(obj, ',') WITHIN GROUP (ORDER BY language)"), F.lit("]")).alias("body"))
-    k = _repo_no() % 3
+    k = (_repo_no() + F.col("chunk")) % 3
     content = (F.when(k == 0, F.concat(F.lit("```json\n"), F.col("body"), F.lit("\n```")))
                .when(k == 1, F.col("body"))
-               .otherwise(F.concat(F.col("body"), F.lit(" trailing"))))
+               .otherwise(F.concat(F.col("body"), F.lit("]"))))
     return lists.select("repo_id", "chunk", content.alias("content"))
 
 
 def q_grouping_parse(spark: SparkSession, sf: str) -> DataFrame:
     """G7 (F15 T4 W2): subsets from fenced / bare / broken answers, renumbered per repo."""
-    res = grouping.parse_grouping(_grouping_answers(_fixture_metadata(spark, sf)))
+    res = grouping.parse_grouping(_grouping_answers(_fixture_metadata(_keep(_large(spark, sf)))))
     s = res["subsets"]
     return s.select("repo_id", "subset_no", "subset_id", "chunk_subset_id",
                     F.size("file_paths").cast("bigint").alias("n_files"),
                     F.array_join("file_paths", ",").alias("paths"), "reason")
 
 
-SQL_GROUPING_PARSE = f"""WITH {CORPUS_CTES},
-g AS (SELECT repo_id, {lang_sql('path')} AS language, string_agg(path, ',' ORDER BY path) AS paths,
-             count(*) AS n FROM kept GROUP BY 1, 2),
-r AS (SELECT *, CAST(regexp_extract(repo_id, '(\\d+)$', 1) AS INTEGER) % 3 AS k FROM g)
-SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY language) AS BIGINT) AS subset_no,
-       printf('subset-%03d', row_number() OVER (PARTITION BY repo_id ORDER BY language)) AS subset_id,
-       language || '-chunk01' AS chunk_subset_id, CAST(n AS BIGINT) AS n_files, paths, 'language ' || language AS reason
+SQL_GROUPING_PARSE = f"""WITH {LARGE_CTES},
+c AS (SELECT *, (row_number() OVER (PARTITION BY repo_id ORDER BY path) - 1) // {P.FILES_PER_GROUPING_PROMPT} + 1 AS chunk FROM kept),
+g AS (SELECT repo_id, chunk, {lang_sql('path')} AS language, string_agg(path, ',' ORDER BY path) AS paths,
+             count(*) AS n FROM c GROUP BY 1, 2, 3),
+r AS (SELECT *, (CAST(regexp_extract(repo_id, '(\\d+)$', 1) AS INTEGER) + chunk) % 3 AS k FROM g)
+SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY chunk, language) AS BIGINT) AS subset_no,
+       printf('subset-%03d', row_number() OVER (PARTITION BY repo_id ORDER BY chunk, language)) AS subset_id,
+       printf('%s-chunk%02d', language, chunk) AS chunk_subset_id, CAST(n AS BIGINT) AS n_files, paths, 'language ' || language AS reason
 FROM r WHERE k IN (0, 1)"""
 
 
 def q_suggestion_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """P1/P2 (J5 T9 T10 A6): subset summary (cap 8 + omission line) inside the suggestion request."""
-    r = suggest.suggestion_requests(_fixture_subsets(spark, sf), _fixture_metadata(spark, sf), catalog_frame(spark))
-    return r.select("repo_id", "subset_id", "summary",
-                    F.length(F.col("messages")[0]["content"]).cast("bigint").alias("system_chars"))
+    """P1/P2 (J5 T9 T10 A6): subset summary (the original's cap of 8 passed explicitly, + omission line)
+    inside the suggestion request.  Subsets cover all listed files, so many have no metadata."""
+    large = _large(spark, sf)
+    subsets = _bucketed_subsets(scan_corpus(large))
+    r = suggest.suggestion_requests(subsets, _fixture_metadata(_keep(large)), catalog_frame(spark), cap=P.FILES_PER_SUGGESTION)
+    sizes = suggest.subset_sizes(subsets)
+    return r.join(sizes, ["repo_id", "subset_id"]).select(
+        "repo_id", "subset_id", "summary", "n_files", F.sha1(F.col("messages")[0]["content"]).alias("system_sha1"),
+        F.sha1(F.col("messages")[1]["content"]).alias("user_sha1"))
+
+
+def q_suggestion_requests_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """P1/P2 uncapped: every path of a subset is described."""
+    large = _large(spark, sf)
+    r = suggest.suggestion_requests(_bucketed_subsets(scan_corpus(large)), _fixture_metadata(_keep(large)), catalog_frame(spark))
+    return r.select("repo_id", "subset_id", "summary")
 
 
 def _catalog_text_py() -> str:
@@ -483,8 +555,9 @@ def _catalog_text_py() -> str:
                      for p in DEFAULT_PIPELINES)
 
 
-SQL_SUGGESTION_REQUESTS = f"""WITH {CORPUS_CTES}, {_FIXTURE_META_SQL},
-b AS (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket FROM fm),
+_SUGGEST_SQL = f"""WITH {LARGE_CTES}, {_FIXTURE_META_SQL},
+b AS (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket
+      FROM (SELECT repo_id, path, {lang_sql('path')} AS language FROM scanned)),
 g AS (SELECT repo_id, language, bucket, list(path ORDER BY path) AS fps FROM b GROUP BY 1, 2, 3),
 s AS (SELECT *, printf('subset-%03d', row_number() OVER (PARTITION BY repo_id ORDER BY language, bucket)) AS subset_id
       FROM g),
@@ -492,19 +565,26 @@ m AS (SELECT s.repo_id, s.subset_id, len(s.fps) AS n, u.i, s.fps[u.i] AS path
       FROM s, LATERAL (SELECT unnest(generate_series(1, len(s.fps))) AS i) u),
 lines AS (SELECT m.repo_id, m.subset_id, m.n, m.i, '• ' || m.path || ' [/' || coalesce(fm.language, '') || ']: '
                  || coalesce(fm.description, '') AS line
-          FROM m LEFT JOIN fm ON fm.repo_id = m.repo_id AND fm.path = m.path WHERE m.i <= {P.FILES_PER_SUGGESTION})
-SELECT repo_id, subset_id,
-       string_agg(line, chr(10) ORDER BY i)
+          FROM m LEFT JOIN fm ON fm.repo_id = m.repo_id AND fm.path = m.path)"""
+
+SQL_SUGGESTION_REQUESTS = _SUGGEST_SQL + f""",
+x AS (SELECT repo_id, subset_id, max(n) AS n_files, string_agg(line, chr(10) ORDER BY i) FILTER (i <= {P.FILES_PER_SUGGESTION})
          || CASE WHEN max(n) > {P.FILES_PER_SUGGESTION}
                  THEN chr(10) || '… ' || CAST(max(n) - {P.FILES_PER_SUGGESTION} AS VARCHAR)
-                      || ' more files omitted for brevity …' ELSE '' END AS summary,
-       CAST({len(P.SUGGEST_SYSTEM_HEAD + _catalog_text_py() + P.SUGGEST_SYSTEM_TAIL)} AS BIGINT) AS system_chars
-FROM lines GROUP BY 1, 2"""
+                      || ' more files omitted for brevity …' ELSE '' END AS summary
+      FROM lines GROUP BY 1, 2)
+SELECT repo_id, subset_id, summary, CAST(n_files AS BIGINT) AS n_files,
+       sha1({_q(P.SUGGEST_SYSTEM_HEAD + _catalog_text_py() + P.SUGGEST_SYSTEM_TAIL)}) AS system_sha1,
+       sha1({_q(P.SUGGEST_USER_HEAD)} || summary || {_q(P.SUGGEST_USER_TAIL)}) AS user_sha1
+FROM x"""
+
+SQL_SUGGESTION_REQUESTS_WHOLE = _SUGGEST_SQL + """
+SELECT repo_id, subset_id, string_agg(line, chr(10) ORDER BY i) AS summary FROM lines GROUP BY 1, 2"""
 
 
 def q_suggestion_parse(spark: SparkSession, sf: str) -> DataFrame:
     """List -> its strings, anything else -> the injection pipeline."""
-    p = suggest.parse_suggestions(_suggestion_answers(_fixture_subsets(spark, sf)))
+    p = suggest.parse_suggestions(_suggestion_answers(_bucketed_subsets(_kept(spark, sf))))
     return p.select("repo_id", "subset_id", F.array_join("suggested_pipelines", ",").alias("suggested"))
 
 
@@ -525,7 +605,7 @@ SELECT repo_id, subset_id, array_to_string(suggested, ',') AS suggested FROM sug
 
 
 def _plan(spark, sf) -> DataFrame:
-    subsets = _fixture_subsets(spark, sf)
+    subsets = _bucketed_subsets(_kept(spark, sf))
     sugg = suggest.parse_suggestions(_suggestion_answers(subsets)).select(
         "repo_id", "subset_id", "subset_no", "suggested_pipelines")
     return scan.plan_runs(sugg, subsets, catalog_frame(spark))
@@ -554,15 +634,23 @@ BUNDLE_CHUNK = 20  # documents per bundled subset
 
 
 def q_context_bundle(spark: SparkSession, sf: str) -> DataFrame:
-    """A2 + W4: every 20 consecutive documents of a repo (doc_id order) as one subset,
-    bundled and cut at 20,000 characters."""
+    """A2: every 20 consecutive documents of a repo (doc_id order) as one subset, bundled whole."""
+    return _bundles(spark, sf, None)
+
+
+def q_context_bundle_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 + W4: the same subsets with a limit passed explicitly."""
+    return _bundles(spark, sf, BUNDLE_MAX_CHARS)
+
+
+def _bundles(spark: SparkSession, sf: str, max_chars: int | None) -> DataFrame:
     docs = _files(spark, sf)
     n = ordinal(docs.select("repo_id", "path", "doc_id"), ["repo_id"], ["doc_id"], "_n")
     n = n.withColumn("chunk", F.floor((F.col("_n") - 1) / BUNDLE_CHUNK).cast("bigint"))
     subsets = n.groupBy("repo_id", "chunk").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "path"))), lambda x: x["path"]).alias("file_paths")
     ).select("repo_id", F.format_string("chunk-%d", F.col("chunk")).alias("subset_id"), "file_paths")
-    b = scan.bundle_context(subsets, _with_text(docs), max_chars=BUNDLE_MAX_CHARS)
+    b = scan.bundle_context(subsets, _with_text(docs), max_chars=max_chars)
     return b.select("repo_id", "subset_id", "n_parts", F.length("bundle").cast("bigint").alias("bundle_chars"),
                     F.sha1("bundle").alias("bundle_sha1"))
 
@@ -573,6 +661,14 @@ def _part_sql(p: str, t: str) -> str:
 
 
 SQL_CONTEXT_BUNDLE = f"""WITH {FILES_SQL},
+parts AS (SELECT repo_id, doc_id, {_part_sql('path', 'content')} AS part,
+                 (row_number() OVER (PARTITION BY repo_id ORDER BY doc_id) - 1) // {BUNDLE_CHUNK} AS chunk FROM files),
+b AS (SELECT repo_id, chunk, CAST(count(*) AS BIGINT) AS n_parts, string_agg(part, chr(10) ORDER BY doc_id) AS bundle
+      FROM parts GROUP BY 1, 2)
+SELECT repo_id, 'chunk-' || CAST(chunk AS VARCHAR) AS subset_id, n_parts, CAST(length(bundle) AS BIGINT) AS bundle_chars,
+       sha1(bundle) AS bundle_sha1 FROM b"""
+
+SQL_CONTEXT_BUNDLE_CUT = f"""WITH {FILES_SQL},
 parts AS (SELECT repo_id, doc_id, {_part_sql('path', 'content')} AS part,
                  (row_number() OVER (PARTITION BY repo_id ORDER BY doc_id) - 1) // {BUNDLE_CHUNK} AS chunk FROM files),
 st AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY repo_id, chunk ORDER BY doc_id
@@ -591,7 +687,7 @@ def q_scan_requests(spark: SparkSession, sf: str) -> DataFrame:
     r = scan.scan_requests(plan, b)
     return r.select("repo_id", "subset_id", "pipeline_id", "operation",
                     F.sha1(F.col("messages")[0]["content"]).alias("system_sha1"),
-                    F.length(F.col("messages")[1]["content"]).cast("bigint").alias("user_chars"))
+                    F.sha1(F.col("messages")[1]["content"]).alias("user_sha1"), "params_json")
 
 
 def _system_sql() -> str:
@@ -612,7 +708,8 @@ b AS (SELECT m.repo_id, m.subset_id, string_agg({_part_sql('m.path', 'k.content'
       FROM m JOIN kept k ON k.repo_id = m.repo_id AND k.path = m.path GROUP BY 1, 2)
 SELECT ok.repo_id, ok.subset_id, ok.pipeline_id, {_q(P.OP_STAGE_PREFIX)} || ok.stage_id AS operation,
        sha1({_system_sql()}) AS system_sha1,
-       CAST(length(b.bundle) + {len(P.SCAN_USER_HEAD) + len(P.SCAN_USER_TAIL)} AS BIGINT) AS user_chars
+       sha1({_q(P.SCAN_USER_HEAD)} || b.bundle || {_q(P.SCAN_USER_TAIL)}) AS user_sha1,
+       '{{"model":"gpt-4o","max_tokens":720,"response_format":{{"type":"json_object"}}}}' AS params_json
 FROM ok JOIN b ON b.repo_id = ok.repo_id AND b.subset_id = ok.subset_id"""
 
 
@@ -678,11 +775,19 @@ def _locate_findings(spark, sf) -> DataFrame:
 
 
 def q_locate_exact(spark: SparkSession, sf: str) -> DataFrame:
-    """L1 (T1 T2 W5 A3 J7 T12): one exact line of every document located back."""
-    f = _locate_findings(spark, sf).withColumn("snippet", F.col("line_text"))
-    loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), _with_text(_files(spark, sf)))
+    """L1 (T1 T2 W5 A3 J7 T12): of every document one line and one run of two to five lines located back."""
+    files = _with_text(_files(spark, sf))
+    one = _locate_findings(spark, sf).select("finding_id", "repo_id", "path", "doc_id", F.col("line_text").alias("snippet"))
+    lines = files.select("doc_id", "repo_id", "path", split_lines(F.col("content")).alias("lines"))
+    size = (F.col("doc_id") % 4 + 2).cast("int")
+    begin = (F.col("doc_id") % (F.size("lines") - size + 1) + 1).cast("int")
+    many = lines.filter(F.size("lines") >= size).select(
+        F.concat(F.col("doc_id").cast("string"), F.lit("m")).alias("finding_id"), "repo_id", "path", "doc_id",
+        F.array_join(F.slice("lines", begin, size), "\n").alias("snippet"))
+    f = one.unionByName(many)
+    loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), files)
     return f.join(loc, "finding_id").select(
-        "doc_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), F.size("line").cast("bigint").alias("n_lines"))
+        "finding_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), F.size("line").cast("bigint").alias("n_lines"))
 
 
 _LINES_SQL = f"""{FILES_SQL},
@@ -698,24 +803,39 @@ hit AS (SELECT p.doc_id, min(l.line_no) AS start
          AND trim(regexp_replace(l.line, '\\s+', ' ', 'g')) = trim(regexp_replace(p.snippet, '\\s+', ' ', 'g'))
         GROUP BY 1)"""
 
-SQL_LOCATE_EXACT = f"""WITH {_LINES_SQL}
-SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(start AS BIGINT) AS "end", CAST(1 AS BIGINT) AS n_lines FROM hit"""
+_WINDOWS_SQL = _LINES_SQL + """,
+texts AS (SELECT DISTINCT doc_id, n, arr FROM lines2),
+win AS (SELECT l.doc_id, w.w, l.line_no AS s,
+               trim(regexp_replace(array_to_string(list_slice(l.arr, l.line_no, l.line_no + w.w - 1), ' '), '\\s+', ' ', 'g')) AS t
+        FROM lines2 l, (SELECT unnest(generate_series(1, 5)) AS w) w WHERE l.line_no + w.w - 1 <= l.n)"""
+
+SQL_LOCATE_EXACT = f"""WITH {_WINDOWS_SQL},
+many AS (SELECT doc_id, doc_id % 4 + 2 AS size, list_slice(arr, doc_id % (n - (doc_id % 4 + 2) + 1) + 1,
+                doc_id % (n - (doc_id % 4 + 2) + 1) + doc_id % 4 + 2) AS ls FROM texts WHERE n >= doc_id % 4 + 2),
+f AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS finding_id, snippet FROM pick
+      UNION ALL SELECT doc_id, CAST(doc_id AS VARCHAR) || 'm', array_to_string(ls, ' ') FROM many),
+h AS (SELECT f.finding_id, min({{'w': win.w, 's': win.s}}) AS x FROM f JOIN win ON win.doc_id = f.doc_id
+        AND win.t = trim(regexp_replace(f.snippet, '\\s+', ' ', 'g')) GROUP BY 1)
+SELECT finding_id, CAST(x.s AS BIGINT) AS start, CAST(x.s + x.w - 1 AS BIGINT) AS "end", CAST(x.w AS BIGINT) AS n_lines FROM h"""
 
 
 def q_locate_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
-    """L1 on inexact snippets (every 5th character dropped, two lines glued): difflib path.
-    No SQL twin; checked against the brute-force statement in the tests."""
+    """L1 on inexact snippets (difflib path): a line of every document with k characters after it that
+    occur nowhere, k = L // 2 + 1 for a line of L collapsed characters.  No window can match more than
+    L characters of it, so the first line with the same text is the answer, with score 2L / (2L + k)."""
     f = _locate_findings(spark, sf)
-    files = _with_text(_files(spark, sf))
-    nxt = F.element_at(split_lines(F.col("content")),
-                       F.least((F.col("doc_id") % F.size(split_lines(F.col("content")))).cast("int") + 2,
-                               F.size(split_lines(F.col("content")))))
-    f = f.join(files.select("repo_id", "path", "content"), ["repo_id", "path"])
-    snippet = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("line_text", "(.{4}).", "$1")).otherwise(
-        F.concat(F.substring("line_text", 1, 30), F.lit(" "), F.substring(nxt, 1, 30)))
-    f = f.withColumn("snippet", snippet)
-    loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), files)
-    return f.join(loc, "finding_id").select("doc_id", "snippet", "start", "end", "score")
+    chars = F.length(locate.collapse_ws(F.col("line_text")))
+    f = f.filter(chars > 0).withColumn(
+        "snippet", F.concat("line_text", F.repeat(F.lit(NOT_PRESENT[0]), (F.floor(chars / 2) + 1).cast("int"))))
+    loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), _with_text(_files(spark, sf)))
+    return f.join(loc, "finding_id").select("doc_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "score")
+
+
+SQL_LOCATE_FUZZY = f"""WITH {_LINES_SQL},
+c AS (SELECT p.doc_id, h.start, length(trim(regexp_replace(p.snippet, '\\s+', ' ', 'g'))) AS n
+      FROM pick p JOIN hit h ON h.doc_id = p.doc_id)
+SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(start AS BIGINT) AS "end", 2.0::DOUBLE * n / (2 * n + n // 2 + 1) AS score
+FROM c WHERE n > 0"""
 
 
 def _stored_findings(spark, sf) -> DataFrame:
@@ -788,7 +908,8 @@ def q_call_stats(spark: SparkSession, sf: str) -> DataFrame:
     answers = conv.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("content"))
     responses = reqs.join(answers, ["conv_id", "turn"]).select("request_id", "content", F.lit("ok").alias("status"))
-    return model.call_stats(model.replay(reqs, responses))
+    failed = responses.select("request_id", F.lit(None).cast("string").alias("content"), F.lit("error").alias("status"))
+    return model.call_stats(model.replay(reqs, responses.unionByName(failed)))
 
 
 SQL_CALL_STATS = """WITH c AS (
@@ -806,10 +927,15 @@ SELECT operation, CAST(count(*) AS BIGINT) AS n_requests, CAST(sum(pc) AS BIGINT
 FROM r GROUP BY 1"""
 
 
+#: What follows a JSON value in a bad answer; each must make the whole answer invalid.
+JSON_GARBAGE = [" xx", "]", "] trailing", "}] foo", ',"b":1}', "}"]
+
+
 def q_json_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """T4-T7 + T11 over events: strict parse of props-based answers, shape tests, params JSON."""
     ev = read_table(spark, sf, "events")
-    ans = (F.when(F.col("event_type") == "error", F.concat("props", F.lit(" xx")))
+    garbage = F.element_at(F.array(*[F.lit(x) for x in JSON_GARBAGE]), (F.col("event_id") % len(JSON_GARBAGE) + 1).cast("int"))
+    ans = (F.when(F.col("event_type") == "error", F.concat("props", garbage))
            .when(F.col("event_type") == "click", F.concat(F.lit("["), F.col("props"), F.lit("]")))
            .otherwise(F.col("props")))
     v = jsonx.parse_json_strict(ans)
@@ -843,66 +969,72 @@ SQL_IMPORT_EXTRACT = """WITH t AS (SELECT doc_id, 'import ' || replace(text, chr
 l AS (SELECT doc_id, u.i, u.line FROM t, LATERAL (SELECT unnest(string_split(s, chr(10))) AS line,
                                                   unnest(generate_series(1, len(string_split(s, chr(10))))) AS i) u),
 m AS (SELECT doc_id, i, regexp_extract(trim(line), '^(?:import|from)\\s+([\\pL\\p{Nd}\\pM_./\\-@]+)', 1) AS mod
-      FROM l WHERE i <= 100)
+      FROM l)
 SELECT doc_id, CAST(count(*) FILTER (WHERE mod <> '') AS BIGINT) AS n_imports,
        coalesce(string_agg(mod, '|' ORDER BY i) FILTER (WHERE mod <> ''), '') AS imports
 FROM m GROUP BY 1"""
 
 
 def q_stream_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents dropped in four language batches into a folder, processed by a
-    Structured Streaming query (availableNow); the resulting table equals the batch profile."""
+    """Every document dropped twice (an older version, then the real one, and a third of them once
+    more unchanged) in three drops that a Structured Streaming query reads one after the other."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     drops = os.path.join(base, "drops")
     files = _files(spark, sf)
-    docs = read_table(spark, sf, "documents").select("doc_id", "lang")
-    src = files.join(docs, "doc_id").select("repo_id", "path", "content", F.col("doc_id").alias("seq"), "lang")
-    for lang in ["de", "en", "es", "fr"]:  # one file per drop, so maxFilesPerTrigger=1 gives one batch per drop
-        src.filter(F.col("lang") == lang).drop("lang").coalesce(1).write.mode("overwrite").parquet(
-            os.path.join(drops, f"drop_{lang}"))
-    q = incremental_metadata(spark, drops + "/*", os.path.join(base, "state"), os.path.join(base, "ckpt"),
-                             max_files_per_trigger=1)
-    q.awaitTermination()
+    src = files.select("repo_id", "path", "content", "doc_id")
+    old = F.concat("content", F.lit(" (old)"))
+    again = src.filter(F.col("doc_id") % 3 == 0)
+    versions = [src.select("repo_id", "path", old.alias("content"), F.lit(1).cast("long").alias("seq")),
+                src.select("repo_id", "path", "content", F.lit(2).cast("long").alias("seq")),
+                again.select("repo_id", "path", old.alias("content"), F.lit(3).cast("long").alias("seq")).unionByName(
+                    again.select("repo_id", "path", "content", F.lit(4).cast("long").alias("seq")))]
+    for i, drop in enumerate(versions):
+        drop.write.mode("overwrite").parquet(os.path.join(drops, f"drop_{i}"))
+        q = incremental_metadata(spark, drops + "/*", os.path.join(base, "state"), os.path.join(base, "ckpt"))
+        q.awaitTermination()
     cur = current_metadata(spark, os.path.join(base, "state"))
     return cur.select("repo_id", "path", "sha1", "loc", "token_estimate", "language", "change")
 
 
 SQL_STREAM_METADATA = f"""WITH {FILES_SQL}
 SELECT repo_id, path, sha1(content) AS sha1, {loc_sql('content')} AS loc, {tok_sql('content')} AS token_estimate,
-       {lang_sql('path')} AS language, 'new' AS change
+       {lang_sql('path')} AS language, 'changed' AS change
 FROM files"""
 
 
 def q_grouping_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Subsets built over every listed file checked against the metadata of kept files."""
-    subsets = _bucketed_subsets(scan_corpus(_files(spark, sf)))
-    a = grouping.audit_grouping(subsets, _fixture_metadata(spark, sf))
+    """Subsets over the listed files, those with an id of 3 modulo 4 forgotten, checked against the metadata of kept files, so
+    kept files are missing, others are unknown, and some subsets are too small."""
+    large = _large(spark, sf)
+    subsets = _bucketed_subsets(scan_corpus(large).filter(F.col("doc_id") % 4 != 3))
+    a = grouping.audit_grouping(subsets, _fixture_metadata(_keep(large)))
     return a.groupBy("repo_id", "issue").agg(F.count(F.lit(1)).alias("n"))
 
 
-SQL_GROUPING_AUDIT = f"""WITH {CORPUS_CTES},
-l AS (SELECT repo_id, path, {lang_sql('path')} AS language FROM scanned),
+SQL_GROUPING_AUDIT = f"""WITH {LARGE_CTES},
+l AS (SELECT repo_id, path, {lang_sql('path')} AS language FROM scanned WHERE doc_id % 4 <> 3),
 g AS (SELECT repo_id, language, bucket, count(*) AS n
       FROM (SELECT *, (row_number() OVER (PARTITION BY repo_id, language ORDER BY path) - 1) // {SUBSET_SIZE} AS bucket
             FROM l) GROUP BY 1, 2, 3),
 issues AS (
-  SELECT s.repo_id, 'unknown_path' AS issue FROM scanned s LEFT JOIN kept k ON k.repo_id = s.repo_id AND k.path = s.path
+  SELECT s.repo_id, 'unknown_path' AS issue FROM l s LEFT JOIN kept k ON k.repo_id = s.repo_id AND k.path = s.path
   WHERE k.path IS NULL
+  UNION ALL SELECT repo_id, 'file_in_no_subset' FROM kept WHERE doc_id % 4 = 3
   UNION ALL SELECT repo_id, 'subset_size' FROM g WHERE n < 5 OR n > 15)
 SELECT repo_id, issue, CAST(count(*) AS BIGINT) AS n FROM issues GROUP BY 1, 2"""
 
 
 def q_stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """A4: per repo, files listed, kept by the listing (S1), kept by the pre-filter (F1) and
-    offered to the selection prompt (W3 head-30)."""
-    files = _files(spark, sf)
+    offered to the original's selection prompt (W3 head-30)."""
+    files = _large(spark, sf)
     scanned = scan_corpus(files)
-    kept = selection.path_prefilter(scanned)
+    kept = _keep(files)
     offered = head_n(kept.select("repo_id", "path"), P.SELECT_LIMIT, ["repo_id"], ["path"], remainder=False)
     return metrics.stage_metrics({"listed": files, "scanned": scanned, "kept": kept, "offered": offered})
 
 
-SQL_STAGE_METRICS = f"""WITH {CORPUS_CTES},
+SQL_STAGE_METRICS = f"""WITH {LARGE_CTES},
 o AS (SELECT repo_id FROM (SELECT repo_id, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS rn FROM kept)
       WHERE rn <= {P.SELECT_LIMIT})
 SELECT repo_id, 'listed' AS stage, count(*) AS n FROM files GROUP BY 1
@@ -932,7 +1064,7 @@ FROM r"""
 
 
 def q_summary_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """G5 requests for every kept file: instructions around the first 4,000 characters."""
+    """G5 requests for every kept file: instructions around its whole text."""
     p = metadata.profile(_kept(spark, sf)).drop("content")
     r = metadata.summary_requests(p)
     return r.select("repo_id", "path", "operation", F.length(F.col("messages")[1]["content"]).cast("bigint")
@@ -941,10 +1073,10 @@ def q_summary_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_SUMMARY_REQUESTS = f"""WITH {CORPUS_CTES},
-p AS (SELECT repo_id, path, {_q(P.SUMMARY_PROMPT_HEAD)} || left(content, {SUMMARY_HEAD_CHARS})
+p AS (SELECT repo_id, path, {_q(P.SUMMARY_PROMPT_HEAD)} || content
              || {_q(P.SUMMARY_PROMPT_TAIL)} AS u FROM kept)
 SELECT repo_id, path, {_q(P.OP_SUMMARY)} AS operation, CAST(length(u) AS BIGINT) AS prompt_chars, sha1(u) AS prompt_sha1,
-       '{{"model":"{P.DEFAULT_MODEL}","temperature":{P.SUMMARY_TEMPERATURE},"max_tokens":{P.SUMMARY_MAX_TOKENS}}}' AS params_json
+       '{{"model":"gpt-4o-mini","temperature":0.2,"max_tokens":200}}' AS params_json
 FROM p"""
 
 
@@ -955,15 +1087,19 @@ QUERIES = {
     "tree_edges": q_tree_edges,
     "selection_requests": q_selection_requests,
     "selection_result": q_selection_result,
+    "selection_batch_requests": q_selection_batch_requests,
+    "selection_batch_result": q_selection_batch_result,
     "metadata_changes": q_metadata_changes,
     "metadata_upsert": q_metadata_upsert,
     "grouping_requests": q_grouping_requests,
     "grouping_parse": q_grouping_parse,
     "grouping_audit": q_grouping_audit,
     "suggestion_requests": q_suggestion_requests,
+    "suggestion_requests_whole": q_suggestion_requests_whole,
     "suggestion_parse": q_suggestion_parse,
     "run_plan": q_run_plan,
     "context_bundle": q_context_bundle,
+    "context_bundle_cut": q_context_bundle_cut,
     "scan_requests": q_scan_requests,
     "findings_parse": q_findings_parse,
     "locate_exact": q_locate_exact,
@@ -986,18 +1122,23 @@ ORACLE_SQL = {
     "tree_edges": SQL_TREE_EDGES,
     "selection_requests": SQL_SELECTION_REQUESTS,
     "selection_result": SQL_SELECTION_RESULT,
+    "selection_batch_requests": SQL_SELECTION_BATCH_REQUESTS,
+    "selection_batch_result": SQL_SELECTION_BATCH_RESULT,
     "metadata_changes": SQL_METADATA_CHANGES,
     "metadata_upsert": SQL_METADATA_UPSERT,
     "grouping_requests": SQL_GROUPING_REQUESTS,
     "grouping_parse": SQL_GROUPING_PARSE,
     "grouping_audit": SQL_GROUPING_AUDIT,
     "suggestion_requests": SQL_SUGGESTION_REQUESTS,
+    "suggestion_requests_whole": SQL_SUGGESTION_REQUESTS_WHOLE,
     "suggestion_parse": SQL_SUGGESTION_PARSE,
     "run_plan": SQL_RUN_PLAN,
     "context_bundle": SQL_CONTEXT_BUNDLE,
+    "context_bundle_cut": SQL_CONTEXT_BUNDLE_CUT,
     "scan_requests": SQL_SCAN_REQUESTS,
     "findings_parse": SQL_FINDINGS_PARSE,
     "locate_exact": SQL_LOCATE_EXACT,
+    "locate_fuzzy": SQL_LOCATE_FUZZY,
     "relocate_diff": SQL_RELOCATE_DIFF,
     "rule_screen": SQL_RULE_SCREEN,
     "call_stats": SQL_CALL_STATS,

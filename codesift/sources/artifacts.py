@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesift.functions import jsonx
+from codesift.session import materialize
 
 SUBSETS_ENTRY = "array<struct<subset_id string, file_paths array<string>, reason string>>"
 SUGGESTIONS_ENTRY = "array<struct<subset_id string, suggested_pipelines array<string>>>"
@@ -58,16 +59,28 @@ def findings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by repo; ``overwrite`` replaces only the repos present
     (dynamic partition overwrite), ``append`` adds."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode(mode).partitionBy("repo_id").parquet(path)
+    df.write.option("partitionOverwriteMode", "dynamic").mode(mode).partitionBy("repo_id").parquet(path)
 
 
 def write_stage_outputs(stage_outputs: DataFrame, path: str) -> None:
-    """One JSON payload per (subset, pipeline, tag) where the stage saves output;
-    partitioned so each (subset, pipeline, tag) is its own folder."""
+    """One JSON payload per (subset, pipeline, tag) where the stage saves output, partitioned by repo.
+
+    A written payload replaces the earlier one of its (subset, pipeline, tag); others stay.
+    """
+    spark = stage_outputs.sparkSession
     out = stage_outputs.filter(F.coalesce(F.col("save_output"), F.lit(False)))
-    out.write.mode("overwrite").partitionBy("repo_id", "subset_id", "pipeline_id", "output_tag").parquet(path)
+    keys = ["repo_id", "subset_id", "pipeline_id", "output_tag"]
+    if _exists(spark, path):
+        old = spark.read.parquet(path).select(*[F.col(c).cast(out.schema[c].dataType).alias(c) for c in out.columns])
+        touched = out.select("repo_id").distinct()
+        kept = old.join(touched, "repo_id", "left_semi").join(out.select(*keys), keys, "left_anti")
+        out = materialize(out.unionByName(kept))  # cut off from the files that are about to be replaced
+    write_table(out, path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def export_reports(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ The engine works on ``files(repo_id, path, content)``.  Two ways in:
 
 * ``documents_as_files``: a document table with text becomes a file table by a
   deterministic path rule (used for the test tables: ``source`` is the repo).
-* ``listing.read_tree`` (S1): a real directory walk, see ``listing.py``.
+* ``listing.list_files`` and ``listing.read_contents`` (S1): a real directory walk, see ``listing.py``.
 """
 
 from __future__ import annotations
@@ -12,31 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Path rule for document tables: src/<DIR[(doc_id div 20) % 5]>/doc<doc_id>.<EXT[(doc_id div 3) % 8]>
+# Path rule for document tables: src/<DIR[(doc_id div 20) % 7]>/doc<doc_id>.<EXT[(doc_id div 3) % 8]>
 # (the test tables give doc_id % 20 as the source, so the divisions vary paths inside a repo)
 DIR_STEP = 20
 EXT_STEP = 3
-CORPUS_DIRS = ["controllers", "tests", "models", "node_modules", "__tests__"]
+CORPUS_DIRS = ["controllers", "tests", "models", "node_modules", "__tests__", "coverage", "Archive"]
 CORPUS_EXTS = ["js", "jsx", "ts", "py", "md", "css", "test.js", "JSON"]
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when its scan gives fewer partitions than the cluster
-    has task slots (e.g. one large Parquet row group); a big input split into many
-    partitions is returned untouched, so no shuffle is added at scale."""
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    return df.repartition(slots, *keys) if keys else df.repartition(slots)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -60,6 +46,5 @@ def documents_as_files(documents: DataFrame) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document table as files, spread over the task slots by (repo_id, path), the key of
-    every later join on files."""
-    return spread(documents_as_files(read_table(spark, sf_dir, "documents")), "repo_id", "path")
+    """The document table as files; the reader's split size decides the partitions."""
+    return documents_as_files(read_table(spark, sf_dir, "documents"))

@@ -38,7 +38,11 @@ CONTENT_SCHEMA = T.StructType([
 ])
 
 
-def _walk(base: str, rel: str, depth_left: int, exclude: frozenset) -> Iterator[str]:
+#: Bytes of file content that one Arrow batch of ``read_contents`` gathers before it is sent on.
+READ_BATCH_BYTES = 64 << 20
+
+
+def _walk(base: str, rel: str, depth_left: int | None, exclude: frozenset) -> Iterator[str]:
     """Relative file paths under base/rel; directories deeper than allowed or excluded are skipped,
     unreadable directories are skipped whole."""
     here = os.path.join(base, rel) if rel else base
@@ -50,17 +54,18 @@ def _walk(base: str, rel: str, depth_left: int, exclude: frozenset) -> Iterator[
         child_rel = f"{rel}/{name}" if rel else name
         full = os.path.join(here, name)
         if os.path.isdir(full):
-            if name not in exclude and depth_left > 0:
-                yield from _walk(base, child_rel, depth_left - 1, exclude)
+            if name not in exclude and (depth_left is None or depth_left > 0):
+                yield from _walk(base, child_rel, None if depth_left is None else depth_left - 1, exclude)
         else:
             yield child_rel
 
 
-def list_files(roots: DataFrame, depth: int = 6, exclude_dirs: list[str] | None = None) -> DataFrame:
+def list_files(roots: DataFrame, depth: int | None = None, exclude_dirs: list[str] | None = None) -> DataFrame:
     """``roots(repo_id, root)`` -> ``listing(repo_id, root, path)`` of regular files.
 
-    A file is kept iff it has at most ``depth`` directory components and none of them
-    is an excluded name (the root itself is depth 0).
+    A file is kept iff none of its directory components is an excluded name and, if ``depth`` is
+    given, it has at most that many (the root itself is depth 0).  Roots must be on storage that
+    every executor mounts.
     """
     exclude = frozenset(TREE_EXCLUDE_DIRS if exclude_dirs is None else exclude_dirs)
 
@@ -74,7 +79,7 @@ def list_files(roots: DataFrame, depth: int = 6, exclude_dirs: list[str] | None
                     continue
                 for name in names:
                     is_dir = os.path.isdir(os.path.join(root, name))
-                    if is_dir and (name in exclude or depth < 1):
+                    if is_dir and (name in exclude or (depth is not None and depth < 1)):
                         continue
                     rows.append((repo_id, root, name, is_dir))
             yield pd.DataFrame(rows, columns=["repo_id", "root", "entry", "is_dir"])
@@ -84,7 +89,8 @@ def list_files(roots: DataFrame, depth: int = 6, exclude_dirs: list[str] | None
         for pdf in batches:
             out = []
             for repo_id, root, entry, is_dir in zip(pdf["repo_id"], pdf["root"], pdf["entry"], pdf["is_dir"]):
-                paths = _walk(root, entry, depth - 1, exclude) if is_dir else iter([entry])
+                below = None if depth is None else depth - 1
+                paths = _walk(root, entry, below, exclude) if is_dir else iter([entry])
                 for p in paths:
                     out.append((repo_id, root, p))
                     if len(out) >= 10_000:  # bounded Arrow batches for huge directories
@@ -101,31 +107,39 @@ def read_contents(listing: DataFrame) -> DataFrame:
     """Bytes of each listed file: ``(repo_id, root, path)`` -> ``(repo_id, path, content)``.
 
     Run path filters before this so excluded files are never read; unreadable files give null.
+    A batch is handed on as soon as it holds ``READ_BATCH_BYTES``.
     """
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["repo_id", "path", "content"]
+        rows, held = [], 0
         for pdf in batches:
-            data = []
-            for root, path in zip(pdf["root"], pdf["path"]):
+            for repo_id, root, path in zip(pdf["repo_id"], pdf["root"], pdf["path"]):
                 try:
                     with open(os.path.join(root, path), "rb") as fh:
-                        data.append(fh.read())
+                        data = fh.read()
                 except OSError:
-                    data.append(None)
-            yield pd.DataFrame({"repo_id": pdf["repo_id"], "path": pdf["path"], "content": data})
+                    data = None
+                rows.append((repo_id, path, data))
+                held += len(data or b"")
+                if held >= READ_BATCH_BYTES or len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=cols)
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
 
     return listing.select("repo_id", "root", "path").mapInPandas(read, CONTENT_SCHEMA)
 
 
-def scan_corpus(files: DataFrame, exclude_dirs: list[str] | None = None, depth: int = 6) -> DataFrame:
+def scan_corpus(files: DataFrame, exclude_dirs: list[str] | None = None, depth: int | None = None) -> DataFrame:
     """S1 over a path table: adds ``dirs``/``name`` and keeps files whose directory parts are
-    not excluded and number at most ``depth``."""
+    not excluded and, if ``depth`` is given, number at most ``depth``."""
     excl = TREE_EXCLUDE_DIRS if exclude_dirs is None else exclude_dirs
     dirs = parent_dirs(F.col("path"))
     excl_arr = F.array(*[F.lit(x) for x in excl]) if excl else F.array().cast("array<string>")
     return (
         files.withColumn("dirs", dirs)
         .withColumn("name", base_name(F.col("path")))
-        .filter(~F.arrays_overlap(F.col("dirs"), excl_arr) & (F.size("dirs") <= depth))
+        .filter(~F.arrays_overlap(F.col("dirs"), excl_arr) & (F.lit(True) if depth is None else F.size("dirs") <= depth))
     )
 
 

@@ -50,7 +50,8 @@ def process_batch(batch: DataFrame, batch_id: int, state_dir: str, provider=None
                   responses: DataFrame | None = None) -> None:
     """One micro-batch of G4 (without selection): newest version per path, changes only."""
     spark = batch.sparkSession
-    newest = batch.groupBy("repo_id", "path").agg(F.max_by("content", "seq").alias("content"))
+    # equal seq: the larger content counts, so a replayed batch decides alike
+    newest = batch.groupBy("repo_id", "path").agg(F.max(F.struct("seq", "content"))["content"].alias("content"))
     prev = current_metadata(spark, state_dir)
     cur = detect_changes(profile(newest), prev)
     need = cur.filter(F.col("change") != "unchanged").drop("content")

@@ -1,6 +1,7 @@
 """L1 against the brute-force statement, on random and on table-derived inputs; L3 cases."""
 
 import random
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,21 @@ from conftest import SF_SMALL
 WORDS = ["const", "x", "=", "req.query.id;", "db.find(x)", "}", "{", "", "  ", "return", "user", "if", "(a)"]
 
 
+def _lines(text):
+    parts = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    return parts[:-1] if parts[-1] == "" else parts
+
+
+def every_window(text, snippet, threshold=0.6, most=5):
+    """The lines of the best of all windows: highest score, then fewest lines, then earliest."""
+    lines = _lines(text)
+    snip = " ".join(snippet.split())
+    scored = [(SequenceMatcher(None, snip, " ".join("\n".join(lines[s:s + n]).split())).ratio(), -n, -s)
+              for n in range(1, most + 1) for s in range(len(lines) - n + 1)]
+    score, n, s = max(scored, default=(0.0, 0, 0))
+    return [1 - s + i for i in range(-n)] if score >= threshold else []
+
+
 def _random_file(rng):
     lines = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(0, 14))]
     sep = rng.choice(["\n", "\r\n"])
@@ -18,10 +34,10 @@ def _random_file(rng):
 
 
 def _random_snippet(rng, text):
-    lines = locate._py_lines(text)
+    lines = _lines(text)
     if lines and rng.random() < 0.7:
         s = rng.randrange(len(lines))
-        piece = "".join(lines[s:s + rng.randint(1, 3)])
+        piece = "\n".join(lines[s:s + rng.randint(1, 3)])
         chars = list(piece)
         for _ in range(rng.randint(0, 4)):  # small edits
             if chars:
@@ -40,7 +56,7 @@ def test_matches_brute_force(spark):
             snip = _random_snippet(rng, text)
             fid = f"{i}-{j}"
             finds.append((fid, "r", f"f{i}.js", snip))
-            expect[fid] = locate.locate_brute_force(text, snip) or []
+            expect[fid] = every_window(text, snip)
     fdf = spark.createDataFrame(files, "repo_id string, path string, text string")
     sdf = spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snippet string")
     got = {r.finding_id: r.line for r in locate.locate_snippets(sdf, fdf).collect()}
@@ -52,7 +68,7 @@ def test_unknown_file_and_null_snippet(spark):
     sdf = spark.createDataFrame([("1", "r", "missing.js", "x = 1"), ("2", "r", "a.js", None), ("3", "r", "a.js", "x=1")],
                                 "finding_id string, repo_id string, path string, snippet string")
     got = {r.finding_id: r.line for r in locate.locate_snippets(sdf, fdf).collect()}
-    assert got == {"1": [], "2": [], "3": locate.locate_brute_force("x = 1\n", "x=1") or []}
+    assert got == {"1": [], "2": [], "3": every_window("x = 1\n", "x=1")}
 
 
 def test_ties_prefer_small_window_then_early_start(spark):
@@ -63,17 +79,29 @@ def test_ties_prefer_small_window_then_early_start(spark):
     got = {r.finding_id: r.line for r in locate.locate_snippets(sdf, fdf).collect()}
     assert got == {"1": [1], "2": [2], "3": [1, 2, 3]}  # blank line 2 joins "a" and "b"
     for fid, snip in [("1", "a"), ("2", ""), ("3", "a b")]:
-        assert got[fid] == locate.locate_brute_force(text, snip)
+        assert got[fid] == every_window(text, snip)
 
 
-def test_fuzzy_query_equals_brute_force(spark):
-    out = TQ.q_locate_fuzzy(spark, SF_SMALL).collect()
-    texts = {r.doc_id: r.content for r in TQ._files(spark, SF_SMALL).select("doc_id", "content").collect()}
-    assert len(out) == len(texts)
-    for r in out:
-        exp = locate.locate_brute_force(texts[r.doc_id], r.snippet)
-        got = list(range(r.start, r.end + 1)) if r.start is not None else None
-        assert got == exp, r.doc_id
+def test_blocks_agree_with_one_block(spark, monkeypatch):
+    rng = random.Random(11)
+    text = "\n".join(" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 5))) for _ in range(90))
+    finds = [(str(i), "r", "f", _random_snippet(rng, text)) for i in range(25)]
+    fdf = spark.createDataFrame([("r", "f", text)], "repo_id string, path string, text string")
+    sdf = spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snippet string")
+    monkeypatch.setattr(locate, "BLOCK_LINES", 7)
+    got = {r.finding_id: r.line for r in locate.locate_snippets(sdf, fdf).collect()}
+    assert got == {i: every_window(text, snip) for i, _, _, snip in finds}
+
+
+def test_edited_snippets_of_whole_documents(spark):
+    files = TQ._with_text(TQ._files(spark, SF_SMALL)).filter("length(text) < 1500").select("repo_id", "path", "text", "doc_id")
+    rows = files.collect()
+    finds = [(str(r.doc_id), r.repo_id, r.path, "".join(c for i, c in enumerate(_lines(r.text)[r.doc_id % len(_lines(r.text))]) if i % 5 != 4))
+             for r in rows]
+    sdf = spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snippet string")
+    got = {r.finding_id: r.line for r in locate.locate_snippets(sdf, files).collect()}
+    texts = {str(r.doc_id): r.text for r in rows}
+    assert got == {i: every_window(texts[i], snip) for i, _, _, snip in finds}
 
 
 def test_relocate_cases(spark):

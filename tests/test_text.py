@@ -52,7 +52,8 @@ def test_extract_imports(spark):
     got = one_col(spark, [src]).select(tx.extract_imports("x")).first()[0]
     assert got == ["React", "os", "x.y/z@1"]
     many = "\n".join(f"import m{i}" for i in range(150))
-    assert len(one_col(spark, [many]).select(tx.extract_imports("x")).first()[0]) == 100
+    assert len(one_col(spark, [many]).select(tx.extract_imports("x")).first()[0]) == 150
+    assert len(one_col(spark, [many]).select(tx.extract_imports("x", 100)).first()[0]) == 100
 
 
 def test_line_range(spark):
