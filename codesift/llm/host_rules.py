@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codesift.llm.staging import staged
+from codesift.llm.staging import settled, staged
 
 #: Fixed values of the rules: separators are space and \\x09-\\x0D, symbols are [#*$%&|<>].
 SPACES = " \t\n\x0b\x0c\r"
@@ -128,7 +128,8 @@ def keep_documents(docs: DataFrame, text_col: str = "text", host_col: str = "sou
     # the whole row travels as one struct, so that no column name of ``docs`` can clash
     slim = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"), F.col(host_col).alias("source"))
     bad = host_verdicts(measure(slim, "source"), limits).filter("rejected").select("host")
-    passed = _with_base(slim).filter(~F.col("base_failed"))
+    tested = _with_base(slim).select("doc", "source", "base_failed")
+    passed = settled(tested, "base_failed").filter(~F.col("base_failed"))
     return passed.join(bad, F.col("source").eqNullSafe(F.col("host")), "left_anti").select("doc.*")
 
 

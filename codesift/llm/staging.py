@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from codesift.session import scratch_path
 
@@ -19,3 +20,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the named columns computed once per row, where they stand.
+
+    The optimizer moves a filter below the projections whose columns it tests and then evaluates their
+    expressions inside it, nested array expressions over and over.  A filter on the output of a
+    generator stays above it.
+    """
+    rest = [c for c in df.columns if c not in names]
+    return df.select(*rest, F.inline_outer(F.array(F.struct(*names))))
