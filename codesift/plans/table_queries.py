@@ -20,15 +20,16 @@ from pyspark.sql import functions as F
 from codesift.functions import jsonx
 from codesift.functions.paths import (EXT_TO_LANG, FLATTEN_EXCLUDE_DIRS, PREFILTER_PATTERN, TREE_EXCLUDE_DIRS,
                                       base_name, detect_language, join_base, normalize_rel, path_parts, relativize)
-from codesift.functions.text import extract_imports, split_lines
+from codesift.functions.text import decode_ignore, extract_imports, split_lines
 from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, suggest
 from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
 from codesift.session import scratch_path
+from codesift.sources import artifacts
 from codesift.sources.corpus import CORPUS_DIRS, CORPUS_EXTS, DIR_STEP, EXT_STEP, corpus, read_table
-from codesift.sources.listing import scan_corpus, tree_edges
+from codesift.sources.listing import flatten_tree, scan_corpus, tree_edges
 from codesift.streaming.incremental import current_metadata, incremental_metadata
 
 BUNDLE_MAX_CHARS = 20_000
@@ -1080,7 +1081,104 @@ SELECT repo_id, path, {_q(P.OP_SUMMARY)} AS operation, CAST(length(u) AS BIGINT)
 FROM p"""
 
 
+def q_tree_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: every file as a nested tree document per directory, flattened back with S3's exclusions."""
+    files = _files(spark, sf)
+    dirs = files.select("repo_id", F.split("path", "/")[1].alias("dir"), F.split("path", "/")[2].alias("name"))
+    inner = F.create_map(F.lit("__files__"), F.sort_array(F.collect_list("name")))
+    trees = dirs.groupBy("repo_id", "dir").agg(inner.alias("node")).select(
+        "repo_id", F.to_json(F.create_map(F.lit("src"), F.create_map("dir", "node"))).alias("tree_json"))
+    return flatten_tree(trees)
+
+
+SQL_TREE_FLATTEN = f"""WITH {FILES_SQL}
+SELECT repo_id, path FROM files WHERE NOT list_contains({_sql_list(FLATTEN_EXCLUDE_DIRS)}, split_part(path, '/', 2))"""
+
+
+def q_selection_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Selection documents per repo in the current and the legacy form, read back."""
+    files = _files(spark, sf).filter(F.length("content") > 0)
+    paths = files.groupBy("repo_id").agg(F.sort_array(F.collect_list("path")).alias("ps"))
+    current = F.to_json(F.struct(F.col("ps").alias("files_to_analyze"), F.array(F.lit("ignored")).alias("standalone_files")))
+    legacy = F.to_json(F.struct(F.array(F.lit("src/models")).alias("folders_to_analyze"), F.col("ps").alias("standalone_files")))
+    docs = paths.select("repo_id", F.when(_repo_no() % 2 == 0, current).otherwise(legacy).alias("json"))
+    return selection.read_selection(docs)
+
+
+SQL_SELECTION_DOCUMENTS = f"""WITH {FILES_SQL},
+r AS (SELECT repo_id, path, row_number() OVER (PARTITION BY repo_id ORDER BY path) AS n,
+             CAST(regexp_extract(repo_id, '(\\d+)$', 1) AS INTEGER) % 2 AS k FROM files WHERE length(content) > 0)
+SELECT repo_id, CAST(n + k AS BIGINT) AS pos, path FROM r
+UNION ALL SELECT DISTINCT repo_id, CAST(1 AS BIGINT), 'src/models' FROM r WHERE k = 1"""
+
+
+def q_decode_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """every text as bytes, half of them with bytes that are no UTF-8 at both ends."""
+    bad = F.unhex(F.lit("C328FF"))  # a broken sequence around "(", and a byte that never occurs
+    raw = F.col("content").cast("binary")
+    files = _files(spark, sf).withColumn("raw", F.when(F.col("doc_id") % 2 == 0, F.concat(bad, raw, bad)).otherwise(raw))
+    return files.select("doc_id", F.sha1(decode_ignore("raw")).alias("text_sha1"))
+
+
+SQL_DECODE_BYTES = f"""WITH {FILES_SQL}
+SELECT doc_id, sha1(CASE WHEN doc_id % 2 = 0 THEN '(' || content || '(' ELSE content END) AS text_sha1 FROM files"""
+
+
+def q_call_params(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: the parameters of both kinds of models, one request per event."""
+    ev = read_table(spark, sf, "events")
+    name = F.element_at(F.array(*[F.lit(x) for x in PARAM_MODELS]), (F.col("event_id") % len(PARAM_MODELS) + 1).cast("int"))
+    prm = model.params(name, temperature=0.2, max_tokens=200, reasoning_effort="low")
+    return ev.select("event_id", F.to_json(prm).alias("params_json"))
+
+
+PARAM_MODELS = [P.DEFAULT_MODEL, *P.COMPLETION_TOKEN_MODELS]
+
+SQL_CALL_PARAMS = f"""WITH e AS (SELECT event_id, ({_sql_list(PARAM_MODELS)})[event_id % {len(PARAM_MODELS)} + 1] AS m FROM events)
+SELECT event_id, CASE WHEN m IN ('gpt-5', 'gpt-5-mini')
+  THEN '{{"model":"' || m || '","max_completion_tokens":200,"reasoning_effort":"low","stream":false}}'
+  ELSE '{{"model":"' || m || '","temperature":0.2,"max_tokens":200}}' END AS params_json FROM e"""
+
+
+def q_findings_document(spark: SparkSession, sf: str) -> DataFrame:
+    """S9 + W7: one finding per document and pipeline as a document per repo, read back in its order."""
+    f = _files(spark, sf).select(
+        "repo_id", (F.col("doc_id") % 7).cast("int").alias("suggestion_no"), F.lit(0).alias("pipeline_pos"),
+        F.col("doc_id").alias("pos"), F.col("path").alias("file_path"), F.lit(None).cast("string").alias("code_snippet"),
+        F.sha1("content").alias("description"), F.lit("v").alias("vulnerability"), F.lit("High").alias("severity"),
+        F.lit("Low").alias("confidence_level"), F.lit("r").alias("remediation"), F.array(F.lit(1), F.lit(2)).alias("line"))
+    back = artifacts.findings_from_json(artifacts.findings_documents(f))
+    return back.select("repo_id", "pos", "file_path", "description", F.size("line").cast("bigint").alias("n_lines"))
+
+
+SQL_FINDINGS_DOCUMENT = f"""WITH {FILES_SQL}
+SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY doc_id % 7, doc_id) - 1 AS BIGINT) AS pos, path AS file_path,
+       sha1(content) AS description, CAST(2 AS BIGINT) AS n_lines FROM files"""
+
+
+def q_stage_output_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 + S8: stage outputs written in two runs, the second replacing every other one, and read back."""
+    path = scratch_path(spark, f"stage-outputs-{uuid.uuid4().hex}")
+    f = _files(spark, sf)
+    out = f.select("repo_id", F.col("path").alias("subset_id"), F.lit("pipeline_xss").alias("pipeline_id"),
+                   F.lit("findings").alias("output_tag"), F.lit(True).alias("save_output"), F.sha1("content").alias("payload"), "doc_id")
+    artifacts.write_stage_outputs(out.drop("doc_id"), path)
+    again = out.filter(F.col("doc_id") % 2 == 0).withColumn("payload", F.concat("payload", F.lit(" again"))).drop("doc_id")
+    artifacts.write_stage_outputs(again, path)
+    return spark.read.parquet(path).select("repo_id", "subset_id", "payload")
+
+
+SQL_STAGE_OUTPUT_FILES = f"""WITH {FILES_SQL}
+SELECT repo_id, path AS subset_id, sha1(content) || CASE WHEN doc_id % 2 = 0 THEN ' again' ELSE '' END AS payload FROM files"""
+
+
 QUERIES = {
+    "tree_flatten": q_tree_flatten,
+    "selection_documents": q_selection_documents,
+    "decode_bytes": q_decode_bytes,
+    "call_params": q_call_params,
+    "findings_document": q_findings_document,
+    "stage_output_files": q_stage_output_files,
     "language_profile": q_language_profile,
     "file_profile": q_file_profile,
     "url_paths": q_url_paths,
@@ -1116,6 +1214,12 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "tree_flatten": SQL_TREE_FLATTEN,
+    "selection_documents": SQL_SELECTION_DOCUMENTS,
+    "decode_bytes": SQL_DECODE_BYTES,
+    "call_params": SQL_CALL_PARAMS,
+    "findings_document": SQL_FINDINGS_DOCUMENT,
+    "stage_output_files": SQL_STAGE_OUTPUT_FILES,
     "language_profile": SQL_LANGUAGE_PROFILE,
     "file_profile": SQL_FILE_PROFILE,
     "url_paths": SQL_URL_PATHS,

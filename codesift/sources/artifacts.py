@@ -95,5 +95,14 @@ def export_reports(docs: DataFrame) -> DataFrame:
 
 
 def write_reports(reports: DataFrame, out_dir: str) -> None:
-    """Exported reports as JSON lines ``{md_name, content}`` (one Markdown text per row)."""
-    reports.write.mode("overwrite").json(out_dir)
+    """Exported reports as Markdown text, one folder ``md_name=<name>.md`` per report."""
+    reports.select("md_name", "content").write.mode("overwrite").partitionBy("md_name").option("lineSep", "\n").text(out_dir)
+
+
+def findings_documents(findings: DataFrame) -> DataFrame:
+    """S9 as the original's document, one row per repo: ``{"vulnerabilities": [...]}`` in suggestion,
+    pipeline and model order (W7).  For export; ``write_table`` is the scalable form."""
+    fields = ["file_path", "code_snippet", "description", "vulnerability", "severity", "confidence_level", "remediation", "line"]
+    entry = F.struct("suggestion_no", "pipeline_pos", "pos", F.struct(*fields).alias("finding"))
+    listed = findings.groupBy("repo_id").agg(F.sort_array(F.collect_list(entry)).alias("xs"))
+    return listed.select("repo_id", F.to_json(F.struct(F.col("xs.finding").alias("vulnerabilities"))).alias("json"))
