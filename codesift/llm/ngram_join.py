@@ -335,9 +335,11 @@ def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
     degree = met.join(met_size, "branch").groupBy("class").agg(F.sum(F.col("size") - 1).alias("degree"))
     degree = staged(degree, "degrees")
     hubs = met.join(degree, "class").groupBy("branch").agg(F.max(F.struct("degree", "class"))["class"].alias("hub"))
-    star = staged(met.join(hubs, "branch").filter("class <> hub").select("hub", "class").distinct(), "star-pairs")
-    names = staged(_class_sets(docs, sets, degree.select("class"), n, id_col, text_col), "class-sets")
-    links = staged(_verified(star, names, percent), "star-links")
+    meet = met.join(hubs, "branch").filter("class <> hub").groupBy("hub", "class", "space").agg(
+        F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"))
+    # a class that meets a hub on fewer branches than it demands waits for the open branches
+    star = staged(meet.filter(2 * F.col("n") >= F.col("kind") - 1).select("hub", "class").distinct(), "star-pairs")
+    links = staged(_compared(docs, sets, star, n, percent, id_col, text_col), "star-links")
     roots = components(links)
 
     placed = met.join(roots.withColumnRenamed("node", "class"), "class", "left") \
@@ -349,11 +351,19 @@ def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
     pairs = rows.repartition("branch").sortWithinPartitions("branch").mapInArrow(_open_pairs, "hub bigint, class bigint")
     compared = star.unionByName(star.select(F.col("class").alias("hub"), F.col("hub").alias("class")))
     pairs = staged(pairs.join(compared, ["hub", "class"], "left_anti"), "open-pairs")
-    more = staged(_verified(pairs, names, percent), "open-links")
+    if pairs.isEmpty():
+        return links, roots
+    more = staged(_compared(docs, sets, pairs, n, percent, id_col, text_col), "open-links")
     links = links.unionByName(more)
     return links, roots if more.isEmpty() else components(links)
 
 
+def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The links among (hub, class) pairs; only the sets of their classes are rebuilt from texts."""
+    wanted = pairs.select("class").unionByName(pairs.select(F.col("hub").alias("class"))).distinct()
+    return _verified(pairs, staged(_class_sets(docs, sets, wanted, n, id_col, text_col), "class-sets"), percent)
+
+
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row_id, doc_id, n_shingles, class, component_id) per row of ``docs``.
 
