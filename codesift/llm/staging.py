@@ -10,16 +10,27 @@ from pyspark.sql import functions as F
 from codesift.session import scratch_path
 
 
+#: Spark's own switch for removing the shuffle files of a finished execution.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Unlike a checkpoint the table is columnar and compressed, so later steps read only the
-    columns they use; a lost executor re-reads files instead of recomputing the step.
+    columns they use; a lost executor re-reads files instead of recomputing the step.  The
+    shuffle files behind the table are of no more use once it is written and are removed at once.
     The folder belongs to the cluster's checkpoint folder and is cleared with it.
     """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def settled(df: DataFrame, *names: str) -> DataFrame:
