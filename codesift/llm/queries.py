@@ -83,6 +83,29 @@ def q_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+SQL_PREFIX_TREE_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(list_slice(ws, i, i + 2), ' ')) END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM c JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * k >= 90 * (nx.n + ny.n - k)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x
+)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind_no"] < len(pii.BASE_KINDS))
@@ -198,6 +221,32 @@ def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+SQL_SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)
+), f AS (
+  SELECT k, min(doc_id) AS least FROM w GROUP BY k
+), later AS (
+  SELECT w.doc_id, w.i FROM w JOIN f USING (k) WHERE f.least < w.doc_id
+), b AS (
+  SELECT doc_id, substr(h, 2 * j + 1, 2) AS byte, j FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS j FROM d)
+), c AS (
+  SELECT b.*, coalesce(j - max(later.i) OVER (PARTITION BY b.doc_id ORDER BY j) < 50, false) AS gone
+  FROM b LEFT JOIN later ON later.doc_id = b.doc_id AND later.i = b.j
+), e AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY j), false) AS begins FROM c
+), a AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+    string_agg(byte, '' ORDER BY j) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN a USING (doc_id)
+"""
+
+
 def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.assign(read_table(spark, sf_dir, "documents"), N_SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -219,6 +268,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_schema_fingerprint": SQL_SCHEMA_FINGERPRINT,
+    "op3_prefix_tree_join": SQL_PREFIX_TREE_JOIN,
     "op5_line_runs": SQL_LINE_RUNS,
+    "op8_suffix_dedup": SQL_SUFFIX_DEDUP,
     "op7_host_rules": SQL_HOST_RULES,
 }
