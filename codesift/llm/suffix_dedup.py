@@ -6,12 +6,12 @@ text in every round; the README has the figures.  Only suffixes whose first ``WI
 change the result, so the order of suffixes is replaced by names (64-bit hashes of prefixes), and the sample of
 positions that is named first is chosen by content instead of by a difference cover:
 
-1. *Sample.*  Position p is sampled if the hash of the ``GRAM`` bytes at p is smallest among some
-   ``WINDOW - GRAM + 1`` consecutive positions.  Every window holds a sampled position, and equal windows hold
-   the same ones.  Sampled names that occur in two documents are found by one shuffle of (name, id).
-2. *Merge.*  Around every sampled position whose name is shared, the bytes of all windows through it
-   (its context) are sent to one task per name; there the names of all windows are sorted, and
-   neighbours with equal names show which windows also start in a smaller document.
+1. *Sample.*  The name of a window is the smallest name among its ``GRAM``-byte strings, so equal windows have
+   equal names, and neighbouring windows mostly share one (about one name per 16 bytes).  Names that occur in two
+   documents are found by one shuffle of (name, id).
+2. *Merge.*  The bytes of each run of neighbouring windows with one shared name (its context) are sent to
+   one task per name; there the full names of all windows are sorted, and neighbours with equal
+   names show which windows also start in a smaller document.
 3. *Remove.*  The covered byte ranges return to their documents.
 
 Rows of one batch with equal names or contexts are combined before a shuffle (a name common to many
@@ -43,7 +43,7 @@ _BASE = 0x9E3779B97F4A7C15
 CHUNK = 100_000
 
 NAMES = "name bigint, doc_id bigint, kind int"
-CONTEXTS = "name bigint, row_id bigint, doc_id bigint, places binary, lead int, size int, context binary"
+CONTEXTS = "name bigint, row_id bigint, doc_id bigint, places binary, context binary"
 RANGES = "row_id bigint, ranges binary"
 
 
@@ -77,13 +77,12 @@ def _sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
-def sample(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, names) of the sampled positions of a text of at least ``WINDOW`` bytes."""
-    names = gram_names(codes, GRAM)
-    lowest = _sliding(names, SPAN, np.minimum)
-    pad = np.zeros(SPAN - 1, np.uint64)
-    at = np.flatnonzero(_sliding(np.concatenate([pad, lowest, pad]), SPAN, np.maximum) == names)
-    return at, names[at]
+def window_names(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, name) of every run of windows with one name, for a text of at least
+    ``WINDOW`` bytes."""
+    lowest = _sliding(gram_names(codes, GRAM), SPAN, np.minimum)
+    first = np.flatnonzero(np.r_[True, lowest[1:] != lowest[:-1]])
+    return first, np.r_[first[1:] - 1, len(lowest) - 1], lowest[first]
 
 
 def _codes(text: str | None) -> np.ndarray:
@@ -106,7 +105,7 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(ids, texts):
             codes = _codes(text.as_py())
             if len(codes) >= WINDOW:
-                found = np.unique(sample(codes)[1])
+                found = np.unique(window_names(codes)[2])
                 names.append(found)
                 docs.append(np.full(len(found), doc_id, np.int64))
         if not names:
@@ -148,52 +147,48 @@ def _shared_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per distinct context of each batch of (row_id, doc_id, text, shared names).
 
-    The smallest document of the batch with that context carries it on; in every later document the
-    whole context is covered, which a row without a context says.
+    The smallest document of the batch with that context carries it on, with all its places there.  In the
+    later documents the whole context is covered; their ranges make one row per document, without a context.
     """
-    columns = ["name", "row_id", "doc_id", "places", "lead", "size", "context"]
+    columns = ["name", "row_id", "doc_id", "places", "context"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     for batch in batches:
-        groups: dict[tuple[int, bytes], dict[tuple[int, int], list[int]]] = {}
-        names: dict[tuple[int, bytes], int] = {}
-        for row_id, doc_id, text, shared in zip(*(batch.column(i) for i in range(4))):
-            codes = _codes(text.as_py())
-            at, name = sample(codes)
-            keep = np.isin(name.view(np.int64), shared.values.to_numpy(zero_copy_only=False))
-            raw, row = codes.tobytes(), (doc_id.as_py(), row_id.as_py())
-            for p, n in zip(at[keep].tolist(), name.view(np.int64)[keep].tolist()):
-                low = max(0, p - SPAN + 1)
-                key = (p - low, raw[low:p + WINDOW])
-                names[key] = n
-                groups.setdefault(key, {}).setdefault(row, []).append(low)
-        rows = []
-        for (lead, context), by_row in groups.items():
-            least = min(by_row)[0]
-            for (doc_id, row_id), places in by_row.items():
-                rows.append((names[lead, context], row_id, doc_id, np.array(places, np.int32).tobytes(), lead,
-                             len(context), context if doc_id == least else b""))
+        row_ids, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        owner: dict[bytes, int] = {}
+        rows: list[list] = []
+        for i in np.lexsort((row_ids, doc_ids)).tolist():
+            codes, row_id, doc_id = _codes(batch.column(2)[i].as_py()), int(row_ids[i]), int(doc_ids[i])
+            first, last, name = window_names(codes)
+            name = name.view(np.int64)
+            keep = np.isin(name, batch.column(3)[i].values.to_numpy(zero_copy_only=False))
+            raw, whole = codes.tobytes(), []
+            for low, high, n in zip(first[keep].tolist(), (last[keep] + WINDOW).tolist(), name[keep].tolist()):
+                context = raw[low:high]
+                at = owner.get(context)
+                if at is not None and rows[at][2] < doc_id:
+                    whole += (low, high)
+                elif at is not None and rows[at][1] == row_id:
+                    rows[at][3].append(low)
+                else:
+                    owner.setdefault(context, len(rows))
+                    rows.append([n, row_id, doc_id, [low], context])
+            if whole:
+                rows.append([row_id, row_id, doc_id, whole, b""])
         if rows:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+            for r in rows:
+                r[3] = np.array(r[3], np.int32).tobytes()
             yield _batch(columns, [pa.array(c, k) for c, k in zip(zip(*rows), kinds)])
 
 
 def _covered(rows: list[tuple]) -> pa.RecordBatch | None:
     """Ranges covered by repeated windows, from all the contexts of some names."""
-    out_ids, out = [], []
-
-    def give(row_id: int, places: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
-        base = np.frombuffer(places, np.int32)[:, None]
-        pairs = np.stack([base + starts, base + ends], axis=-1).astype(np.int32)
-        out_ids.append(row_id)
-        out.append(pairs.tobytes())
-
-    whole = [r for r in rows if r[6]]
-    for _, row_id, _, places, _, size, context in rows:
-        if not context:
-            give(row_id, places, np.array([0]), np.array([size]))
+    out_ids = [r[1] for r in rows if not r[4]]
+    out = [r[3] for r in rows if not r[4]]
+    whole = [r for r in rows if r[4]]
     if whole:
-        sizes = np.array([r[5] for r in whole])
+        sizes = np.array([len(r[4]) for r in whole])
         begins = np.cumsum(sizes) - sizes
-        window = gram_names(np.frombuffer(b"".join(r[6] for r in whole), np.uint8), WINDOW)
+        window = gram_names(np.frombuffer(b"".join(r[4] for r in whole), np.uint8), WINDOW)
         n = sizes - WINDOW + 1
         ends = np.cumsum(n)
         owner = np.repeat(np.arange(len(whole)), n)
@@ -212,11 +207,11 @@ def _covered(rows: list[tuple]) -> pa.RecordBatch | None:
             cut = np.r_[True, (owner[hit[1:]] != owner[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)]
             run = np.flatnonzero(cut)
             last = np.r_[run[1:] - 1, len(hit) - 1]
-            run_owner, low, high = owner[hit[run]], place[hit[run]], place[hit[last]] + WINDOW
-            edges = np.flatnonzero(np.r_[True, run_owner[1:] != run_owner[:-1], True])
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                r = whole[run_owner[a]]
-                give(r[1], r[3], low[a:b], high[a:b])
+            run_owner, low, high = owner[hit[run]].tolist(), place[hit[run]].tolist(), (place[hit[last]] + WINDOW).tolist()
+            for o, a, b in zip(run_owner, low, high):
+                places = np.frombuffer(whole[o][3], np.int32)
+                out_ids.append(whole[o][1])
+                out.append(np.stack([places + a, places + b], axis=-1).astype(np.int32).tobytes())
     if not out:
         return None
     return _batch(["row_id", "ranges"], [pa.array(out_ids, pa.int64()), pa.array(out, pa.binary())])
@@ -226,7 +221,7 @@ def _covered_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """``_covered`` over a stream sorted by name, some whole names at a time."""
     held: list[tuple] = []
     for batch in batches:
-        held += zip(*(batch.column(i).to_pylist() for i in range(7)))
+        held += zip(*(c.to_pylist() for c in batch.columns))
         if len(held) < CHUNK:
             continue
         end = len(held)

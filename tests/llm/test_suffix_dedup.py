@@ -49,17 +49,21 @@ def test_window_borders(spark):
     compare(spark, [(i, t, "h", "s") for i, t in rows])
 
 
-def test_small_chunks_and_empty(spark, monkeypatch):
+def test_empty(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
-def test_sample_meets_every_window():
+def test_equal_windows_have_equal_names():
     rng = np.random.default_rng(1)
-    for size, letters in ((50, 4), (300, 2), (1000, 26), (200, 1)):
-        codes = rng.integers(0, letters, size).astype(np.uint8)
-        at, _ = suffix_dedup.sample(codes)
-        for i in range(size - WINDOW + 1):
-            assert np.any((at >= i) & (at <= i + WINDOW - suffix_dedup.GRAM))
+    seen = {}
+    passage = rng.integers(0, 4, 90).astype(np.uint8)
+    for size, letters in ((50, 4), (300, 2), (1000, 4), (200, 1), (120, 2)):
+        codes = np.concatenate([rng.integers(0, letters, size).astype(np.uint8), passage, rng.integers(0, letters, 40).astype(np.uint8)])
+        first, last, name = suffix_dedup.window_names(codes)
+        assert first[0] == 0 and last[-1] == len(codes) - WINDOW and np.array_equal(first[1:], last[:-1] + 1)
+        for a, b, n in zip(first, last, name):
+            for i in range(a, b + 1):
+                assert seen.setdefault(codes[i:i + WINDOW].tobytes(), n) == n
 
 
 def test_names_streams_across_batches():
