@@ -14,7 +14,8 @@ documents link when 100 * intersection >= percent * union.
    meets most others on all its branches (in a family of near copies, their common original).  Sets
    that are connected by then need no comparison with each other; in branches that still hold several components,
    sets outside the largest one are compared with the sets of other components, once per pair,
-   and only if they share as many branches as linked sets must.  So a family costs comparisons in proportion to
+   and only if they share as many branches as linked sets must and their bitmaps differ in no
+   more bits than linked sets can.  So a family costs comparisons in proportion to
    its size, and no link between components is lost.
 
 Branches are streams sorted by name; a probe meets its candidates in blocks of at most ``BLOCK``, and a
@@ -40,6 +41,8 @@ from codesift.llm.staging import staged
 
 #: Ranges beyond the number that the pigeonhole needs; a set emits empty ranges only if it has more empty ones than this.
 SPARE = 4
+#: Bits of a set's bitmap.  Two sets differ in at least as many names as their bitmaps differ in bits.
+BITS = 2048
 #: Candidates of a probe per tree.
 BLOCK = 256
 
@@ -94,6 +97,13 @@ def class_of(names: np.ndarray) -> int:
         return int(_mix(np.array([mixed.sum(dtype=np.uint64)], np.uint64))[0].view(np.int64))
 
 
+def bitmap(names: np.ndarray) -> bytes:
+    """One bit per name, by the name's lowest bits."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[names & np.uint64(BITS - 1)] = 1
+    return np.packbits(bits).tobytes()
+
+
 class Ranges:
     """Size classes and the number of ranges in each, for one similarity."""
 
@@ -162,17 +172,19 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(row_id, doc_id, n_shingles, class) per row; the class of an empty set is null."""
+    """(row_id, doc_id, n_shingles, class, bits) per row; the class of an empty set is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _Powers()
         for batch in batches:
             sets = [ngram_set(t.as_py(), n, powers) for t in batch.column(2)]
-            yield _arrow(["row_id", "doc_id", "n_shingles", "class"], [
+            yield _arrow(["row_id", "doc_id", "n_shingles", "class", "bits"], [
                 batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())])
+                pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())])
 
-    return _keyed(docs, id_col, text_col).mapInArrow(run, "row_id bigint, doc_id bigint, n_shingles bigint, class bigint")
+    return _keyed(docs, id_col, text_col).mapInArrow(
+        run, "row_id bigint, doc_id bigint, n_shingles bigint, class bigint, bits binary")
 
 
 def _branch_rows(docs: DataFrame, n: int, percent: int, text_col: str) -> DataFrame:
@@ -284,46 +296,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hub, class) pairs still to be compared, from a stream of (branch, class, root, kind, all) sorted by
-    branch; ``all`` are the class's open branches in the branch's space.
+def _open_pairs(percent: int):
+    """(hub, class) pairs still to be compared, from a stream of (branch, class, root, kind, all, n_shingles,
+    bits) sorted by branch; ``all`` are the class's open branches in the branch's space.
 
     Every set outside a branch's largest component is paired with the sets of other components that
     it may be linked to; a pair is given out on the smallest of its common branches only.
     """
 
     def pairs(branch: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        own, root, kind = (np.array([r[i] for r in rows]) for i in range(3))
+        own, root, kind, sizes = (np.array([r[i] for r in rows]) for i in (0, 1, 2, 4))
         roots, which, counts = np.unique(root, return_inverse=True, return_counts=True)
         if len(roots) < 2:
             return
         lists = [np.sort(np.array(r[3], np.int64)) for r in rows]
         every = np.concatenate(lists)
         begins = np.cumsum([0] + [len(x) for x in lists[:-1]])
+        bits = np.frombuffer(b"".join(r[5] for r in rows), np.uint64).reshape(len(rows), -1)
         need, base = kind >> 1, (kind & 1) == 1
         largest = int(counts.argmax())
         for i in np.flatnonzero(which != largest).tolist():
+            # two sets outside the largest component are paired once
+            may = ((which == largest) | ((which != which[i]) & (own > own[i]))) & (base | base[i])
+            differ = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+            may &= (100 + percent) * differ <= (100 - percent) * (sizes + sizes[i])
+            if not may.any():
+                continue
             at = np.searchsorted(lists[i], every)
             at[at == len(lists[i])] = 0
             common = lists[i][at] == every
             shared = np.add.reduceat(common.astype(np.int64), begins)
             least = np.minimum.reduceat(np.where(common, every, np.iinfo(np.int64).max), begins)
-            # two sets outside the largest component are paired once
-            other = (which == largest) | ((which != which[i]) & (own > own[i]))
-            found = own[other & (least == branch) & (shared >= np.maximum(need, need[i])) & (base | base[i])]
+            found = own[may & (least == branch) & (shared >= np.maximum(need, need[i]))]
             if len(found):
                 yield _arrow(["hub", "class"], [pa.array(np.full(len(found), own[i])), pa.array(found)])
 
-    last, held = None, []
-    for batch in batches:
-        for branch, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            if branch != last:
-                if held:
-                    yield from pairs(last, held)
-                last, held = branch, []
-            held.append(tuple(row))
-    if held:
-        yield from pairs(last, held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            for branch, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if branch != last:
+                    if held:
+                        yield from pairs(last, held)
+                    last, held = branch, []
+                held.append(tuple(row))
+        if held:
+            yield from pairs(last, held)
+
+    return run
 
 
 def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
@@ -347,8 +367,11 @@ def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
     still = placed.groupBy("branch").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("branch")
     left = staged(placed.join(still, "branch").select("branch", "class", "root", "space", "kind"), "open-branches")
     lists = left.groupBy("class", "space").agg(F.collect_list("branch").alias("all"))
-    rows = left.join(lists, ["class", "space"]).select("branch", "class", "root", "kind", "all")
-    pairs = rows.repartition("branch").sortWithinPartitions("branch").mapInArrow(_open_pairs, "hub bigint, class bigint")
+    shapes = sets.join(left.select("class").distinct(), "class", "left_semi").groupBy("class").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
+    rows = left.join(lists, ["class", "space"]).join(shapes, "class") \
+        .select("branch", "class", "root", "kind", "all", "n_shingles", "bits")
+    pairs = rows.repartition("branch").sortWithinPartitions("branch").mapInArrow(_open_pairs(percent), "hub bigint, class bigint")
     compared = star.unionByName(star.select(F.col("class").alias("hub"), F.col("hub").alias("class")))
     pairs = staged(pairs.join(compared, ["hub", "class"], "left_anti"), "open-pairs")
     if pairs.isEmpty():

@@ -132,3 +132,12 @@ def test_streams_across_batches():
                for a, b in zip(cuts, cuts[1:])]
     got = [tuple(r.values())[:2] for b in ngram_join._meetings(iter(batches)) for r in b.to_pylist()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], b[:20]]))
+        x, y = (np.frombuffer(ngram_join.bitmap(s), np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
