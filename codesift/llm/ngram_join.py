@@ -39,8 +39,9 @@ from codesift.llm.components import components
 from codesift.llm.prefix_tree import PrefixTree
 from codesift.llm.staging import staged
 
-#: Ranges beyond the number that the pigeonhole needs; a set emits empty ranges only if it has more empty ones than this.
-SPARE = 4
+#: Ranges beyond the number that the pigeonhole needs: so many, and one more per SPARE_SHARE of that number,
+#: which exceeds the ranges that a set leaves empty by chance.  A set emits empty ranges only if it has more of them.
+SPARE, SPARE_SHARE = 4, 12
 #: Bits of a set's bitmap.  Two sets differ in at least as many names as their bitmaps differ in bits.
 BITS = 2048
 #: Candidates of a probe per tree.
@@ -127,7 +128,8 @@ class Ranges:
         differ = (self.begin[space + 1] - 1) * (100 - self.percent) // self.percent
         if differ == 0:
             return np.empty(0, np.uint64), 0
-        k = differ + 1 + SPARE
+        spare = SPARE + differ // SPARE_SHARE
+        k = differ + 1 + spare
         if k not in self._cuts:
             self._cuts[k] = np.array([-(-i * (1 << 64) // k) for i in range(1, k)], np.uint64)
         at = np.r_[0, np.searchsorted(names, self._cuts[k]), len(names)]
@@ -135,8 +137,8 @@ class Ranges:
         branch = _mix(inside + _mix(np.arange(k, dtype=np.uint64) + np.uint64(space << 32)))
         empty = at[1:] == at[:-1]
         n_empty = int(empty.sum())
-        # of the SPARE + 1 ranges on which linked sets agree at least, those empty in both are no common branch
-        return (branch, 1) if n_empty > SPARE else (branch[~empty], SPARE + 1 - n_empty)
+        # of the spare + 1 ranges on which linked sets agree at least, those empty in both are no common branch
+        return (branch, 1) if n_empty > spare else (branch[~empty], spare + 1 - n_empty)
 
     def branches(self, names: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
         """(space, kind, branch names): in the set's own size class and, as the larger set, in the one below.
