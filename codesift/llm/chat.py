@@ -15,6 +15,11 @@ Only DataFrame functions are used.  Records stay one row each until the turns of
 joined to its text, which needs them together: a conversation is one output row by definition, and is
 bounded by the 2 GB limit of a Spark string.
 
+Spark's variant parser gives null for a string of more than 20,000,000 characters and for a variant above its size
+limit.  The variant of a record of more than ``LONG`` bytes is therefore parsed with its strings above ``KEPT``
+characters blanked, which leaves paths and short values as they are, and blanked fields are read by ``from_json``, whose
+string limit is lifted.  A record that is above ``TOO_LARGE`` even then ends the run with an error.
+
 Defined cases: null role or text is empty; records whose fingerprint has no mapping, or that are no JSON
 objects, are returned by ``unmapped`` and give no turn; turns with equal positions are ordered by role,
 then text; null ids form one conversation; repeated rows are repeated turns; an empty table gives an
@@ -29,10 +34,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codesift.llm.staging import settled
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 _REST = r"(?=/?s>|</?SYS>>|/?INST\]|\|\w+\|>)"
 _TURN_TYPE = "array<struct<pos bigint, role string, text string>>"
 LOSS_ROLE = "assistant"
+#: Bytes of a record up to which the variant parser takes any of its strings.
+LONG = 16_000_000
+#: Characters of the longest string that stays in the variant of a long record.
+KEPT = 64
+#: Bytes of a blanked record that the variant parser may refuse for its size.
+TOO_LARGE = 64_000_000
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
 
 
 def escape(text: Column) -> Column:
@@ -43,6 +57,36 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[])\\(\\*)" + _REST, r"$1$2")
 
 
+def _is_long(record: Column) -> Column:
+    return F.octet_length(record) > LONG
+
+
+def _blanked(record: Column) -> Column:
+    """A JSON text with its strings above ``KEPT`` characters emptied, but not its field names.
+
+    Escaped backslashes and quotes and the two ends of a string are first made single control characters, which
+    a JSON text cannot hold, so that no pattern needs to look behind an escape.
+    """
+    plain = F.replace(F.replace(record, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    ends = F.regexp_replace(plain, '"([^"]*+)"', "\x03$1\x04")
+    blank = F.regexp_replace(ends, f"\x03[^\x04]{{{KEPT + 1},}}+\x04(?![ \\t\\r\\n]*+:)", "\x03\x04")
+    small = blank
+    for mark, shown in (("\x03", '"'), ("\x04", '"'), ("\x02", '\\"'), ("\x01", "\\\\")):
+        small = F.replace(small, F.lit(mark), F.lit(shown))
+    return F.when(F.octet_length(small) > TOO_LARGE, F.raise_error(F.lit(
+        "a chat record is too large for Spark's variant parser"))).otherwise(small)
+
+
+def _is_json(record: Column) -> Column:
+    """Whether a long record parses, its blanked strings included."""
+    read = F.from_json(record, "_bad string", {**_ANY_LENGTH, "columnNameOfCorruptRecord": "_bad"})
+    return ~record.rlike("[\x01-\x04]") & read["_bad"].isNull()
+
+
+def _variant(record: Column) -> Column:
+    return F.try_parse_json(F.when(~_is_long(record), record).when(_is_json(record), _blanked(record)))
+
+
 def structure(record: Column) -> Column:
     """The nested field paths of a variant as one string: names and nesting, scalar types erased."""
     return F.regexp_replace(F.schema_of_variant(record), r"(?<=[ <]|^)[A-Z][A-Z_]*(\([0-9, ]*\))?(?=[,>]|$)", "_")
@@ -54,7 +98,9 @@ def fingerprint(record: Column) -> Column:
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout: an example record that shows its fields, and how its fields become turns."""
+    """A layout: an example record that shows its fields, and how its fields become turns.
+
+    ``turns`` gets the variant; ``_field`` and ``_listed`` also read what is blanked there from the column ``record``."""
 
     name: str
     example: str
@@ -65,11 +111,23 @@ def _turn(pos: Column, role: Column, text: Column) -> Column:
     return F.struct(pos.cast("long").alias("pos"), role.alias("role"), text.alias("text"))
 
 
+def _whole(short: Column, native: Column) -> Column:
+    """A string of the variant, or the string itself where a long record's variant has it blanked."""
+    return F.when(_is_long(F.col("record")) & (short == ""), native).otherwise(short)
+
+
+def _native(name: str, kind: str) -> Column:
+    return F.from_json(F.col("record"), f"`{name}` {kind}", _ANY_LENGTH)[name]
+
+
 def _field(record: Column, name: str, kind: str = "string") -> Column:
-    return F.try_variant_get(record, f"$.{name}", kind)
+    value = F.try_variant_get(record, f"$.{name}", kind)
+    return _whole(value, _native(name, kind)) if kind == "string" else value
 
 
 def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> Callable[[Column], Column]:
+    kind = f"array<struct<`{role}`: string, `{text}`: string>>"
+
     def turns(record: Column) -> Column:
         def one(m: Column, i: Column) -> Column:
             who = m[role]
@@ -77,7 +135,11 @@ def _listed(field: str, role: str, text: str, names: dict[str, str] | None = Non
                 who = F.when(m[role] == source, canonical).otherwise(who)
             return _turn(i, who, m[text])
 
-        return F.transform(_field(record, field, f"array<struct<`{role}`: string, `{text}`: string>>"), one)
+        # the strings are made whole before the turns, so that a long list is read natively once
+        short = _field(record, field, kind)
+        whole = F.zip_with(short, _native(field, kind), lambda m, n: F.struct(
+            _whole(m[role], n[role]).alias(role), _whole(m[text], n[text]).alias(text)))
+        return F.transform(F.when(_is_long(F.col("record")), whole).otherwise(short), one)
 
     return turns
 
@@ -106,8 +168,8 @@ MAPPINGS = [
 
 def _parsed(records: DataFrame, id_col: str, record_col: str, mappings: list[Mapping]) -> DataFrame:
     rows = records.select(F.col(id_col).alias("conv_id"), F.col(record_col).alias("record"),
-                          F.try_parse_json(F.col(record_col)).alias("v"))
-    rows = rows.withColumn("fingerprint", fingerprint(F.col("v")))
+                          _variant(F.col(record_col)).alias("v"))
+    rows = settled(rows.withColumn("fingerprint", fingerprint(F.col("v"))), "v", "fingerprint")
     layout = F.lit(None).cast("string")
     for m in mappings:
         layout = F.when(F.col("fingerprint") == fingerprint(F.parse_json(F.lit(m.example))), m.name).otherwise(layout)

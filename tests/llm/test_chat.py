@@ -84,3 +84,34 @@ def test_query_digests(spark):
     assert row.n_turns == 2 and row.loss_chars == len(text)
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_texts_above_the_variant_limit(spark):
+    from pyspark.sql import functions as F
+
+    # 21,000,000 characters, made by the tasks: a literal of that length would be in every plan
+    long = F.repeat(F.lit("0123456789"), (F.col("id") + 2_100_000).cast("int"))
+    text = F.concat(F.lit('a"b\\c": "\n, '), long)
+    role = F.lit("assistant")
+    # the end of the record is a string with a broken escape
+    bad = F.concat(F.lit('{"prompt": "'), long, F.lit('\\q", "completion": ""}'))
+    records = [
+        F.to_json(F.struct(F.lit(0).alias("turn"), role.alias("role"), text.alias("text"))),
+        F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.lit("").alias("content")),
+                                   F.struct(role.alias("role"), text.alias("content"))).alias("messages"))),
+        F.to_json(F.struct(F.lit("q").alias("prompt"), text.alias("completion"))), bad,
+    ]
+    one = spark.range(1)
+    df = one.select(F.lit(0).alias("conv_id"), records[0].alias("record"))
+    for i, r in enumerate(records[1:], 1):
+        df = df.unionByName(one.select(F.lit(i).alias("conv_id"), r.alias("record")))
+    want = hashlib.sha256(('a"b\\c": "\n, ' + "0123456789" * 2_100_000).encode()).hexdigest()
+    turns = chat.canonical_turns(df).select("conv_id", "pos", "role", F.length("text"), F.sha2("text", 256)).collect()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert sorted(map(tuple, turns)) == [
+        (0, 0, "assistant", 21_000_012, want), (1, 0, "user", 0, empty), (1, 1, "assistant", 21_000_012, want),
+        (2, 0, "user", 1, hashlib.sha256(b"q").hexdigest()), (2, 1, "assistant", 21_000_012, want)]
+    assert [r.conv_id for r in chat.unmapped(df).select("conv_id").collect()] == [3]
+    row = chat.read_back(chat.format_turns(chat.canonical_turns(df.filter("conv_id = 0")))).select(
+        F.sha2(F.col("loss_texts")[0], 256)).first()
+    assert row[0] == want
