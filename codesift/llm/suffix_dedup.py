@@ -12,11 +12,14 @@ positions that is named first is chosen by content instead of by a difference co
 2. *Merge.*  The bytes of each run of neighbouring windows with one shared name (its context) are sent to
    one task per name; there the full names of all windows are sorted, and neighbours with equal
    names show which windows also start in a smaller document.
+   A name with more than ``CHUNK`` contexts (the edge of a passage that many documents hold, where each context
+   reaches into the document's own text) is left out there.  Its windows get their full names in their own document's
+   task; a partially aggregated minimum finds the smallest document of each full name, and a join marks the others.
 3. *Remove.*  The covered byte ranges return to their documents.
 
 Rows of one batch with equal names or contexts are combined before a shuffle (a name common to many
 documents leaves each batch once), sorted inputs are read as streams, and each step is written under the shared checkpoint
-folder, so memory is bounded by a batch and by the contexts of one name.
+folder, so memory is bounded by a batch and by about ``CHUNK`` contexts.
 
 Defined cases: a null text is empty, and nothing is removed from it; a null id neither loses bytes nor removes any; rows with equal ids
 do not remove each other's bytes; an empty table gives an empty result; extra columns are ignored.
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +43,13 @@ WINDOW = 50
 GRAM = 20
 SPAN = WINDOW - GRAM + 1
 _BASE = 0x9E3779B97F4A7C15
-#: Contexts gathered before their windows are sorted, unless one name alone has more.
+#: Contexts gathered before their windows are sorted, and the most that one name may have there.
 CHUNK = 100_000
 
 NAMES = "name bigint, doc_id bigint, kind int"
 CONTEXTS = "name bigint, row_id bigint, doc_id bigint, places binary, context binary"
 RANGES = "row_id bigint, ranges binary"
+WINDOWS = "window bigint, doc_id bigint, row_id bigint, place int"
 
 
 def gram_names(codes: np.ndarray, n: int) -> np.ndarray:
@@ -96,42 +101,47 @@ def _batch(names: list[str], arrays: list) -> pa.RecordBatch:
 def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(name, doc_id, kind) for the sampled names of each batch of (doc_id, text).
 
-    kind 0: seen in one document of the batch.  A name of several documents of the batch is known to
-    be shared: its smallest id stands for it (kind 1), the other rows (kind 2) need no comparison.
+    The last two bits of kind are 0 for a name seen in one document of the batch.  A name of several documents of the
+    batch is known to be shared: its smallest id stands for it (1), the other rows (2) need no comparison.  The
+    rest of kind counts the contexts that the row stands for.
     """
     for batch in batches:
         ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
-        names, docs = [], []
+        names, docs, counts = [], [], []
         for doc_id, text in zip(ids, texts):
             codes = _codes(text.as_py())
             if len(codes) >= WINDOW:
-                found = np.unique(window_names(codes)[2])
+                found, n = np.unique(window_names(codes)[2], return_counts=True)
                 names.append(found)
+                counts.append(n)
                 docs.append(np.full(len(found), doc_id, np.int64))
         if not names:
             continue
-        name, doc = np.concatenate(names), np.concatenate(docs)
+        name, doc, count = np.concatenate(names), np.concatenate(docs), np.concatenate(counts)
         order = np.lexsort((doc, name))
-        name, doc = name[order], doc[order]
+        name, doc, count = name[order], doc[order], count[order]
+        total = np.add.reduceat(count, np.flatnonzero(np.r_[True, name[1:] != name[:-1]]))
         fresh = np.r_[True, (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])]
         name, doc = name[fresh], doc[fresh]
         first = np.r_[True, name[1:] != name[:-1]]
         alone = first & np.r_[first[1:], True]
         kind = np.where(alone, 0, np.where(first, 1, 2)).astype(np.int32)
+        kind[first] += (np.minimum(total, 1 << 28) * 4).astype(np.int32)
         yield _batch(["name", "doc_id", "kind"], [pa.array(name.view(np.int64)), pa.array(doc), pa.array(kind)])
 
 
-def _shared_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of names that occur in two documents, from a stream sorted by name.
+def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """The rows of names that occur in two documents, from a stream sorted by name; a name with more than
+    ``limit`` contexts also gets a row without an id.
 
-    Between batches only the last name's evidence is kept: its id, or that it is shared.
+    Between batches only the last name's evidence is kept: its id, or that it is shared, and its contexts so far.
     """
-    held = None  # (name, doc_id, known to be shared, row still to be given out)
+    held = None  # (name, doc_id, known to be shared, row still to be given out, contexts)
     for batch in batches:
         name, doc, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        own = np.ones(len(name), bool)
+        count, kind, own = (kind >> 2).astype(np.int64), kind & 3, np.ones(len(name), bool)
         if held is not None:
-            name, doc = np.r_[held[0], name], np.r_[held[1], doc]
+            name, doc, count = np.r_[held[0], name], np.r_[held[1], doc], np.r_[held[4], count]
             kind, own = np.r_[np.int32(held[2]), kind], np.r_[held[3], own]
         if not len(name):
             continue
@@ -139,13 +149,19 @@ def _shared_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         shared = (np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)) | (np.maximum.reduceat(kind, starts) > 0)
         sizes = np.diff(np.r_[starts, len(name)])
         out = np.repeat(shared, sizes) & own
-        held = (name[-1], doc[-1], int(shared[-1]), not shared[-1])
+        total = np.add.reduceat(count, starts)
+        before = 0 if held is None or held[0] != name[0] else held[4]
+        hot = shared & (total > limit)
+        hot[0] &= before <= limit or not held[2]  # once for each name
+        if hot.any():
+            yield _batch(["doc_id", "name"], [pa.nulls(int(hot.sum()), pa.int64()), pa.array(name[starts[hot]])])
+        held = (name[-1], doc[-1], int(shared[-1]), not shared[-1], total[-1])
         if out.any():
             yield _batch(["doc_id", "name"], [pa.array(doc[out]), pa.array(name[out])])
 
 
-def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per distinct context of each batch of (row_id, doc_id, text, shared names).
+def _context_rows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row per distinct context of each batch of (row_id, doc_id, text, shared names), without the ``hot`` names.
 
     The smallest document of the batch with that context carries it on, with all its places there.  In the
     later documents the whole context is covered; their ranges make one row per document, without a context.
@@ -160,7 +176,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             codes, row_id, doc_id = _codes(batch.column(2)[i].as_py()), int(row_ids[i]), int(doc_ids[i])
             first, last, name = window_names(codes)
             name = name.view(np.int64)
-            keep = np.isin(name, batch.column(3)[i].values.to_numpy(zero_copy_only=False))
+            keep = np.isin(name, batch.column(3)[i].values.to_numpy(zero_copy_only=False)) & ~np.isin(name, hot)
             raw, whole = codes.tobytes(), []
             for low, high, n in zip(first[keep].tolist(), (last[keep] + WINDOW).tolist(), name[keep].tolist()):
                 context = raw[low:high]
@@ -180,6 +196,58 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(columns, [pa.array(c, k) for c, k in zip(zip(*rows), kinds)])
 
 
+def _hot_windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(window, doc_id, row_id, place) for the windows with ``hot`` names of each batch of (row_id, doc_id, text).
+
+    The smallest document of the batch stands for a window; the later documents are covered there already, and
+    their rows have a null window.
+    """
+    for batch in batches:
+        row_ids, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        parts = []
+        for row_id, doc_id, text in zip(row_ids, doc_ids, batch.column(2)):
+            codes = _codes(text.as_py())
+            first, last, name = window_names(codes)
+            keep = np.isin(name.view(np.int64), hot)
+            if keep.any():
+                n = last[keep] - first[keep] + 1
+                place = np.repeat(first[keep], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                parts.append((gram_names(codes, WINDOW)[place], np.full(len(place), doc_id), np.full(len(place), row_id), place))
+        if not parts:
+            continue
+        window, doc, row, place = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((doc, window))
+        window, doc, row, place = window[order], doc[order], row[order], place[order]
+        starts = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+        later = doc > np.repeat(doc[starts], np.diff(np.r_[starts, len(window)]))
+        yield _batch(["window", "doc_id", "row_id", "place"], [
+            pa.array(window.view(np.int64), mask=later), pa.array(doc), pa.array(row), pa.array(place.astype(np.int32))])
+
+
+def _place_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges of each batch of (row_id, place), one row per document."""
+    for batch in batches:
+        row, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        if not len(row):
+            continue
+        order = np.argsort(row, kind="stable")
+        row, place = row[order], place[order]
+        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        found = [np.array(merged([np.stack([p, p + WINDOW], axis=-1)]), np.int32).tobytes() for p in np.split(place, starts[1:])]
+        yield _batch(["row_id", "ranges"], [pa.array(row[starts]), pa.array(found, pa.binary())])
+
+
+def _hot_ranges(carriers: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(row_id, ranges) covered by repeated windows with ``hot`` names."""
+    windows = staged(carriers.select("row_id", "doc_id", "text").mapInArrow(partial(_hot_windows, hot=hot), WINDOWS), "hot-windows")
+    named = windows.filter(F.col("window").isNotNull())
+    least = named.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")) \
+        .filter(F.col("least") < F.col("last")).select("window", "least")
+    later = named.join(least, "window").filter(F.col("doc_id") > F.col("least")).select("row_id", "place")
+    known = windows.filter(F.col("window").isNull()).select("row_id", "place")
+    return known.unionByName(later).mapInArrow(_place_ranges, RANGES)
+
+
 def _covered(rows: list[tuple]) -> pa.RecordBatch | None:
     """Ranges covered by repeated windows, from all the contexts of some names."""
     out_ids = [r[1] for r in rows if not r[4]]
@@ -263,23 +331,30 @@ def merged(ranges: list[np.ndarray]) -> list[tuple[int, int]]:
     return list(zip(pairs[cut, 0].tolist(), reach[np.r_[cut[1:] - 1, len(pairs) - 1]].tolist()))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) per row of ``docs``; ``kept`` has the remaining bytes."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = CHUNK) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) per row of ``docs``; ``kept`` has the remaining bytes.
+
+    Names with more than ``limit`` contexts are compared by full window names; the result is the same."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = rows.withColumn("row_id", F.xxhash64("doc_id", "text"))
     known = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
 
     names = known.mapInArrow(_name_rows, NAMES)
     # a row that needs no comparison goes anywhere, so that a common name does not meet in one task
-    spread = F.when(F.col("kind") == 2, F.xxhash64("doc_id")).otherwise(F.col("name"))
-    names = names.repartition(spread).sortWithinPartitions("name").mapInArrow(_shared_names, "doc_id bigint, name bigint")
+    spread = F.when(F.col("kind").bitwiseAND(3) == 2, F.xxhash64("doc_id")).otherwise(F.col("name"))
+    names = names.repartition(spread).sortWithinPartitions("name").mapInArrow(
+        partial(_shared_names, limit=limit), "doc_id bigint, name bigint")
     shared = staged(names.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "shared-names")
 
+    # one row without an id; at most one name for every ``limit`` contexts
+    hot = np.array([n for r in shared.filter(F.col("doc_id").isNull()).collect() for n in r.names], np.int64)
     carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(shared, "doc_id") \
         .select("row_id", "doc_id", "text", "names")
-    contexts = carriers.mapInArrow(_context_rows, CONTEXTS)
+    contexts = carriers.mapInArrow(partial(_context_rows, hot=hot), CONTEXTS)
     spread = F.when(F.octet_length("context") == 0, F.xxhash64("row_id")).otherwise(F.col("name"))
     covered = contexts.repartition(spread).sortWithinPartitions("name").mapInArrow(_covered_rows, RANGES)
+    if len(hot):
+        covered = covered.unionByName(_hot_ranges(carriers, hot))
     ranges = staged(covered.groupBy("row_id").agg(F.collect_list("ranges").alias("ranges")), "covered-ranges")
 
     return keyed.join(ranges, "row_id", "left").select("doc_id", "text", "ranges").mapInArrow(

@@ -80,3 +80,29 @@ def test_names_streams_across_batches():
     got = [(n, d) for b in suffix_dedup._shared_names(iter(batches)) for d, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
     assert {n for n, _ in got} == want
     assert {(n, d) for n, d in got} == {(n, d) for n, d in zip(name.tolist(), doc.tolist()) if n in want}
+
+
+def test_a_name_with_many_contexts_does_not_meet_in_one_task(spark, monkeypatch):
+    # every document has the passage, and its edges reach into the document's own text
+    rows = corpus() + [(300 + i, f"{i * 7919:08d} own words {i} " + "the shared passage of all of them " * 3 + f" {i * 104729:08d} end", "h", "s")
+                       for i in range(60)]
+    seen = []
+    whole = suffix_dedup._hot_ranges
+    monkeypatch.setattr(suffix_dedup, "_hot_ranges", lambda carriers, hot: seen.append(len(hot)) or whole(carriers, hot))
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    for limit in (4, 40):
+        got = suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect()
+        assert sorted(map(tuple, got), key=key) == sorted(brute_force(rows), key=key)
+    assert len(seen) == 2 and seen[0] > seen[1] > 0
+
+
+def test_hot_names_are_told_once_across_batches():
+    import pyarrow as pa
+
+    name, doc = np.array([1] * 9 + [2] * 3 + [3] * 6), np.r_[np.arange(9), np.arange(3), np.zeros(6, int)]
+    kind = np.full(18, 4, np.int32)
+    for cuts in ([0, 18], [0, 1, 4, 8, 9, 10, 18], list(range(19))):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[a:b]) for x in (name, doc, kind)], names=["name", "doc_id", "kind"])
+                   for a, b in zip(cuts, cuts[1:])]
+        out = [(n, d) for b in suffix_dedup._shared_names(iter(batches), limit=5) for d, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        assert [n for n, d in out if d is None] == [1]
