@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import chat, decontaminate, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup
+from codesift.llm import (
+    chat, decontaminate, fill_middle, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup)
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -253,6 +254,33 @@ def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def q_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+SQL_FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), e AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM e
+), q AS (
+  SELECT *, '<P>' || substr(t, 1, a) AS prefix, '<S>' || substr(t, b + 1) AS suffix, '<M>' || substr(t, a + 1, b - a) AS middle FROM p
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN prefix || suffix || middle ELSE suffix || prefix || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM q
+"""
+
+
 QUERIES = {
     "op1_schema_fingerprint": q_schema_fingerprint,
     "op2_rule_ensemble": q_rule_ensemble,
@@ -264,6 +292,7 @@ QUERIES = {
     "op8_suffix_dedup": q_suffix_dedup,
     "op9_virtual_slots": q_virtual_slots,
     "op10_pigeonhole_edits": q_pigeonhole_edits,
+    "op11_fill_middle": q_fill_middle,
 }
 
 ORACLE_SQL = {
@@ -272,4 +301,5 @@ ORACLE_SQL = {
     "op5_line_runs": SQL_LINE_RUNS,
     "op8_suffix_dedup": SQL_SUFFIX_DEDUP,
     "op7_host_rules": SQL_HOST_RULES,
+    "op11_fill_middle": SQL_FILL_MIDDLE,
 }
