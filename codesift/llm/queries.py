@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesift.llm import (
-    chat, decontaminate, fill_middle, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup)
+    block_search, chat, decontaminate, fill_middle, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup, whitening)
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -281,6 +281,35 @@ FROM q
 """
 
 
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+#: Rows whose id is divisible by this are queries of the vector search.
+QUERY_STEP = 50
+
+
+def q_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
+
+
+SQL_BLOCK_SEARCH = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT vec_id, v, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda x, y: x + y)) AS norm FROM v
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]),
+    lambda x, y: x + y) / (q.norm * c.norm) AS score
+  FROM n q JOIN n c ON q.vec_id % 50 = 0 AND (q.vec_id <> c.vec_id OR q.v <> c.v)
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM p WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 QUERIES = {
     "op1_schema_fingerprint": q_schema_fingerprint,
     "op2_rule_ensemble": q_rule_ensemble,
@@ -293,6 +322,8 @@ QUERIES = {
     "op9_virtual_slots": q_virtual_slots,
     "op10_pigeonhole_edits": q_pigeonhole_edits,
     "op11_fill_middle": q_fill_middle,
+    "op12_whitening": q_whitening,
+    "op13_block_search": q_block_search,
 }
 
 ORACLE_SQL = {
@@ -302,4 +333,5 @@ ORACLE_SQL = {
     "op8_suffix_dedup": SQL_SUFFIX_DEDUP,
     "op7_host_rules": SQL_HOST_RULES,
     "op11_fill_middle": SQL_FILL_MIDDLE,
+    "op13_block_search": SQL_BLOCK_SEARCH,
 }
