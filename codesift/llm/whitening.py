@@ -74,7 +74,7 @@ def secular_roots(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     shift = d - d[pole][:, None]
     own = shift[np.arange(k), np.arange(k)]
     after = np.r_[shift[np.arange(k - 1), np.arange(1, k)], np.inf]
-    t = (low + high) / 2
+    t, done = (low + high) / 2, np.zeros(k, bool)
     for _ in range(100):
         diff = shift - t[:, None]
         terms = w / diff
@@ -83,7 +83,9 @@ def secular_roots(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         dpsi, slope = np.einsum("ij,ij->i", slopes, left), slopes.sum(axis=1)
         f, phi, dphi = 1 + total, total - psi, slope - dpsi
         low, high = np.where(f < 0, t, low), np.where(f < 0, high, t)
-        if (np.abs(f) <= 4 * EPS * k * (1 + np.abs(psi) + np.abs(phi))).all() or (high - low <= EPS * np.abs(t)).all():
+        # a root found stays as it is: rounding would push it to the bracket's end and start a bisection
+        done |= (np.abs(f) <= 4 * EPS * k * (1 + np.abs(psi) + np.abs(phi))) | (high - low <= EPS * np.abs(t))
+        if done.all():
             break
         a, b = own - t, after - t
         r, c = dpsi * a * a, 1 + psi - dpsi * a
@@ -93,8 +95,8 @@ def secular_roots(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             big = c[:-1] * (a[:-1] + b_) + r[:-1] + dphi_ * b_ * b_
             root = np.sqrt(np.maximum(big * big - 4 * a[:-1] * b_ * f[:-1] * c[:-1], 0))
             step = np.where(big > 0, 2 * a[:-1] * b_ * f[:-1] / (big + root), (big - root) / (2 * c[:-1]))
-            moved = t + np.r_[step, a[-1] + r[-1] / c[-1]]
-        t = np.where((moved > low) & (moved < high), moved, (low + high) / 2)
+            moved = t + np.append(step, a[-1] + r[-1] / c[-1])
+        t = np.where(done, t, np.where((moved > low) & (moved < high), moved, (low + high) / 2))
     return shift - t[:, None], d[pole] + t
 
 
