@@ -123,6 +123,7 @@ def q_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("doc.text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: Equal lines on one diagonal of (later document, earlier document) without a gap are a maximal common run.
 SQL_LINE_RUNS = r"""
 WITH d AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
@@ -132,19 +133,15 @@ WITH d AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nth,
     len(list_filter(regexp_split_to_array(line, '[ \x09-\x0D]+'), lambda x: x <> '')) AS n
   FROM l WHERE regexp_replace(line, '[ \x09-\x0D]', '', 'g') <> ''
-), c AS (
-  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY nth) AS total FROM s
-), w AS (
-  SELECT a.doc_id, a.nth AS low, b.nth AS high
-  FROM (SELECT *, total - n + 20 AS goal FROM c) a ASOF JOIN c b ON a.doc_id = b.doc_id AND a.goal <= b.total
-), solid AS (
-  SELECT doc_id, list(line ORDER BY nth) AS ls FROM s GROUP BY doc_id
-), r AS (
-  SELECT w.*, array_to_string(list_slice(ls, low, high), chr(10)) AS run FROM w JOIN solid USING (doc_id)
-), later AS (
-  SELECT doc_id, low, high FROM r QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, low) > 1
+), p AS (
+  SELECT a.doc_id, b.doc_id AS first_id, a.nth, a.nth - b.nth AS diagonal, a.n
+  FROM s a JOIN s b ON a.line = b.line AND (a.doc_id > b.doc_id OR a.doc_id = b.doc_id AND a.nth > b.nth)
+), island AS (
+  SELECT *, nth - row_number() OVER (PARTITION BY doc_id, first_id, diagonal ORDER BY nth) AS run FROM p
+), long AS (
+  SELECT doc_id, min(nth) AS low, max(nth) AS high FROM island GROUP BY doc_id, first_id, diagonal, run HAVING sum(n) >= 20
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS nth FROM later
+  SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS nth FROM (SELECT DISTINCT * FROM long)
 ), n AS (
   SELECT s.doc_id, count(*) AS n_lines, count(gone.nth) AS n_deleted FROM s LEFT JOIN gone USING (doc_id, nth) GROUP BY s.doc_id
 ), kept AS (
