@@ -8,19 +8,20 @@ argument order kept); the best score wins, ties going to the smaller window, the
 earlier start; a match needs score >= 0.6.
 
 Plan:
-1. The findings, small next to the corpus, are checkpointed once; every use below reads that table.
-2. Files with findings are cut into blocks of ``BLOCK_LINES`` lines, each with the lines that its last
-   windows reach into.  Blocks meet findings on (repo, path, salt), the salt spreading one file's
-   blocks over tasks, so the text is scanned once and shuffled once, and no file is one task's work.
-3. Each block builds its windows locally and gives, per finding, its best window: an equal text at once;
-   otherwise windows in descending order of the length bound ``2*min(la,lb)/(la+lb)``,
-   ``quick_ratio`` first, until the bound falls below the best score.
-4. A partial aggregate takes the best of the blocks.
+1. Files with findings are cut into blocks of ``BLOCK_LINES`` lines, each with the lines that its last windows reach
+   into, and written once with a character histogram per line, summed up from line to line.  The text is scanned once.
+2. *Native prune.*  The difference of two entries of that array is the histogram of a window, and the overlap of two
+   histograms bounds the matches that the ratio can count, so every window's bound ``2*overlap/(la+lb)`` is known without
+   its text and without Python.  Blocks meet findings on (repo, path, salt); a file has as many salts as it has blocks,
+   at most ``BLOCK_SALTS``.
+3. The window with the highest bound of each finding is scored by difflib: the score to beat.
+4. Only windows whose bound is above that score, or equal to it with a smaller window or earlier start, are built as text
+   and scored; a partial aggregate takes the best.  A snippet that occurs in the file ends after step 3.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import string
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -30,19 +31,17 @@ from pyspark.sql import types as T
 
 from codesift.functions.text import collapse_ws, line_range, split_lines
 from codesift.plans import prompts as P
-from codesift.session import materialize
+from codesift.session import materialize, spread, written
 
 #: Windows of a block start in this many lines.
-BLOCK_LINES = 2_000
+BLOCK_LINES = 256
 #: Tasks over which the blocks of one file are spread at most.
-BLOCK_SALTS = 32
-
-BEST_SCHEMA = T.StructType([
-    T.StructField("finding_id", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-    T.StructField("w", T.IntegerType()),
-    T.StructField("s", T.IntegerType()),
-])
+BLOCK_SALTS = 64
+#: Characters counted one by one (in lower case); all others are counted together.
+COUNTED = string.ascii_lowercase + " "
+#: Places in a histogram: length, lines with text, then the counted characters.
+N_CHARS, N_LINES, FIRST_COUNT = 0, 1, 2
+SPACE = FIRST_COUNT + COUNTED.index(" ")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -55,47 +54,125 @@ def similarity(snippet: Column, window: Column) -> Column:
     return _ratio_udf(snippet, window)
 
 
-def line_windows(lines: list[str], starts: int, max_window: int) -> dict[str, tuple[int, int]]:
-    """Collapsed text -> first (size, 0-based start) of the windows that begin in the first
-    ``starts`` lines and lie wholly inside ``lines``."""
-    norms = [" ".join(x.split()) for x in lines]
-    first: dict[str, tuple[int, int]] = {}
-    for size in range(1, min(max_window, len(norms)) + 1):
-        for start in range(min(starts, len(norms) - size + 1)):
-            text = norms[start] if size == 1 else " ".join(x for x in norms[start:start + size] if x)
-            first.setdefault(text, (size, start))
-    return first
-
-
-def best_window(snippet: str, windows: dict[str, tuple[int, int]], by_length: list[tuple[int, str]],
-                threshold: float) -> tuple[float, int, int] | None:
-    """A3: (score, size, start) of the best window of a block, None below the threshold."""
-    if snippet in windows:
-        return (1.0, *windows[snippet])
-    n, best = len(snippet), None
-    bounded = sorted(((2.0 * min(n, m) / (n + m), m, text) for m, text in by_length if n + m), key=lambda x: -x[0])
-    for bound, _, text in bounded:
-        floor = threshold if best is None else best[0]
-        if bound < floor:
-            break
-        matcher = SequenceMatcher(None, snippet, text)
-        if matcher.quick_ratio() < floor:
-            continue
-        found = (matcher.ratio(), *windows[text])
-        if found[0] >= threshold and (best is None or (-found[0], *found[1:]) < (-best[0], *best[1:])):
-            best = found
-    return best
+def histogram(text: Column) -> Column:
+    """Length, 1 if there is any text, and how often each of ``COUNTED`` and all other characters occur in lower case.
+
+    Lower-casing maps each character to the same characters everywhere, so overlaps of these counts are upper bounds of
+    overlaps of the characters themselves.
+    """
+    def counts(low: Column) -> Column:
+        one = F.transform(F.array(*[F.lit(c) for c in COUNTED]), lambda c: F.length(low) - F.length(F.replace(low, c, F.lit(""))))
+        return F.concat(F.array(F.length(text), (text != "").cast("int")), one,
+                        F.array(F.length(F.translate(low, COUNTED, ""))))
+
+    # as a lambda's variable the lower-cased text is computed once
+    return F.get(F.transform(F.array(F.lower(text)), counts), 0)
 
 
 def file_blocks(files: DataFrame, max_window: int) -> DataFrame:
-    """``(repo_id, path, salt, first, starts, lines)``: blocks of lines, each followed by the
-    ``max_window - 1`` lines that its last windows reach into."""
+    """``(repo_id, path, salt, first, starts, lines, sums)``: blocks of collapsed lines, each followed by the
+    ``max_window - 1`` lines that its last windows reach into; ``sums[i]`` is the histogram of the first i lines.
+    Blocks are dealt to tasks before their lines are collapsed and counted."""
     lines = files.select("repo_id", "path", split_lines(F.col("text")).alias("lines"))
     # *_outer + null filter: a plain explode lets the optimizer infer size(lines) > 0 and evaluate the split twice
     firsts = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1, F.lit(BLOCK_LINES)))
-    return lines.withColumn("first", F.explode_outer(firsts)).filter(F.col("first").isNotNull()).select(
+    blocks = lines.withColumn("first", F.explode_outer(firsts)).filter(F.col("first").isNotNull()).select(
         "repo_id", "path", F.pmod(F.floor(F.col("first") / BLOCK_LINES), F.lit(BLOCK_SALTS)).cast("int").alias("salt"), "first",
+        F.least(F.lit(BLOCK_LINES), F.size("lines") - F.col("first")).alias("starts"),
         F.slice("lines", F.col("first") + 1, F.lit(BLOCK_LINES + max_window - 1)).alias("lines"))
+    blocks = spread(blocks, "repo_id", "path", "first").withColumn("lines", F.transform("lines", collapse_ws))
+    none = F.array(F.array_repeat(F.lit(0), FIRST_COUNT + len(COUNTED) + 1))
+    sums = F.aggregate(F.transform("lines", histogram), none, lambda acc, h: F.concat(
+        acc, F.array(F.zip_with(F.element_at(acc, -1), h, lambda x, y: x + y))))
+    return blocks.withColumn("sums", sums)
+
+
+def window_bounds(met: DataFrame, max_window: int, threshold: float) -> DataFrame:
+    """``met`` (a block and a snippet ``snip`` with its ``snip_counts`` a row) -> W5: one row per window that can reach the
+    threshold, with its size ``w``, its 0-based start ``at`` in the block and ``bound``, the most its ratio can be."""
+    k = F.explode_outer(F.sequence(F.lit(0), F.col("starts") * max_window - 1))
+    rows = met.withColumn("_k", k).withColumn("w", F.col("_k") % max_window + 1) \
+        .withColumn("at", F.floor(F.col("_k") / max_window).cast("int")).filter(F.col("at") + F.col("w") < F.size("sums"))
+    low, high = F.get("sums", F.col("at")), F.get("sums", F.col("at") + F.col("w"))
+    joints = F.greatest(F.get(high, N_LINES) - F.get(low, N_LINES) - 1, F.lit(0))
+    chars = F.get(high, N_CHARS) - F.get(low, N_CHARS) + joints
+    n = F.get("snip_counts", N_CHARS)
+    both = chars + n
+    # the length bound first: two look-ups instead of a whole histogram
+    rows = rows.filter((both == 0) | (2.0 * F.least(chars, n) >= threshold * both))
+
+    # written out, the overlap is compiled; as a lambda over arrays it would be interpreted, some ten times slower
+    shared = F.lit(0)
+    for i in range(FIRST_COUNT, FIRST_COUNT + len(COUNTED) + 1):
+        window = F.get(high, i) - F.get(low, i) + (joints if i == SPACE else 0)
+        shared = shared + F.least(window, F.get("snip_counts", i))
+    # out of a generator (overlap, length) are columns, so that filters on the bound do not evaluate it again
+    rows = rows.select(*[c for c in rows.columns if c not in ("sums", "snip_counts", "starts", "salt", "_k")], F.inline_outer(F.array(F.struct(F.least(shared, chars, n).alias("_shared"), both.alias("_both")))))
+    # the ratio's own formula, so that a window that reaches its bound has exactly this score
+    bound = F.when(F.col("_both") == 0, F.lit(1.0)).otherwise(2.0 * F.col("_shared") / F.col("_both"))
+    return rows.withColumn("bound", bound).filter(F.col("bound") >= threshold).drop("_shared", "_both")
+
+
+@F.pandas_udf(T.DoubleType())
+def _score_udf(snippet: pd.Series, window: pd.Series, goal: pd.Series) -> pd.Series:
+    """The ratio, or null where it stays below the goal."""
+    def score(x: str, y: str, least: float) -> float | None:
+        if x == y:
+            return 1.0
+        matcher = SequenceMatcher(None, x, y)
+        if matcher.quick_ratio() < least:
+            return None
+        return matcher.ratio()
+
+    return pd.Series([score(*row) for row in zip(snippet, window, goal)], dtype="float64")
+
+
+def with_text(windows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``window``, the collapsed text of each window, from its block."""
+    text = F.array_join(F.filter(F.slice("lines", F.col("at") + 1, F.col("w")), lambda x: x != ""), " ")
+    lines = blocks.select("repo_id", "path", "first", "lines")
+    return windows.join(lines, ["repo_id", "path", "first"]).withColumn("window", text).drop("lines")
+
+
+def _score(windows: DataFrame, goal: Column) -> DataFrame:
+    """A3: the best-scored window of each finding that reaches its goal, as (finding_id, best), and the highest ``bound``
+    that went in."""
+    place = F.struct("score", (-F.col("w")).alias("w"), (-F.col("first") - F.col("at")).alias("s"))
+    rows = spread(windows.select("finding_id", "w", "first", "at", "bound", "snip", "window", goal.alias("goal")), "finding_id", "first", "at")
+    scored = rows.select("finding_id", "w", "first", "at", "bound", _score_udf("snip", "window", "goal").alias("score"))
+    return scored.filter(F.col("score") >= F.lit(0.0)).groupBy("finding_id").agg(F.max(place).alias("best"), F.max("bound").alias("bound"))
+
+
+def _meet(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Every finding with the histograms of every block of its file, spread over the file's own salts."""
+    salts = blocks.groupBy("repo_id", "path").agg(F.max("salt").alias("_most"))
+    salted = wanted.join(salts, ["repo_id", "path"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_most")))).drop("_most")
+    return blocks.drop("lines").join(salted, ["repo_id", "path", "salt"])
+
+
+def most_likely_windows(wanted: DataFrame, blocks: DataFrame, threshold: float, max_window: int) -> DataFrame:
+    """Of every finding the window with the highest bound, the smaller and then the earlier of equal ones."""
+    order = F.struct("bound", (-F.col("w")).alias("w"), (-F.col("first") - F.col("at")).alias("s"))
+    top = window_bounds(_meet(wanted, blocks), max_window, threshold) \
+        .groupBy("finding_id").agg(F.max(order).alias("top")) \
+        .select("finding_id", "top.bound", (-F.col("top.w")).alias("w"), (-F.col("top.s")).alias("_start"))
+    placed = wanted.join(top, "finding_id") \
+        .withColumn("first", (F.floor(F.col("_start") / BLOCK_LINES) * BLOCK_LINES).cast("int")) \
+        .withColumn("at", F.col("_start") - F.col("first")).drop("_start")
+    return with_text(placed, blocks)
+
+
+def remaining_windows(wanted: DataFrame, first_best: DataFrame, blocks: DataFrame, threshold: float, max_window: int) -> DataFrame:
+    """The windows that can still beat a finding's score so far (``goal``), by their bounds.  A finding whose most likely
+    window reached its bound is settled: every other window has a smaller bound, is larger or begins later."""
+    unsettled = first_best.filter(F.col("best.score") < F.col("bound")).drop("bound")
+    ahead = wanted.join(unsettled, "finding_id").select(
+        *wanted.columns, F.col("best.score").alias("goal"), F.col("best.w").alias("_w"), F.col("best.s").alias("_s"))
+    rows = window_bounds(_meet(ahead, blocks), max_window, threshold)
+    start = F.col("first") + F.col("at")
+    earlier = (F.col("w") < -F.col("_w")) | ((F.col("w") == -F.col("_w")) & (start < -F.col("_s")))
+    left = rows.filter((F.col("bound") > F.col("goal")) | ((F.col("bound") == F.col("goal")) & earlier))
+    return with_text(left.drop("_w", "_s").withColumn("goal", F.greatest("goal", F.lit(threshold))), blocks)
 
 
 def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.LOCATE_THRESHOLD,
@@ -104,31 +181,17 @@ def locate_snippets(findings: DataFrame, files: DataFrame, threshold: float = P.
     ``(finding_id, start, end, score, line)``; ``line`` is ``[]`` when nothing reaches the
     threshold or the file is unknown.  ``finding_id`` must be unique.
     """
-    f = materialize(findings.select("finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip")))
+    f = spread(findings.select("finding_id", "repo_id", "path", "snippet"), "finding_id") \
+        .select("finding_id", "repo_id", "path", collapse_ws(F.col("snippet")).alias("snip"))
+    f = materialize(f.withColumn("snip_counts", histogram(F.col("snip"))))
     wanted = f.filter(F.col("snip").isNotNull())
     target = files.select("repo_id", "path", "text").join(wanted.select("repo_id", "path").distinct(), ["repo_id", "path"], "left_semi")
-    salted = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1))))
-    met = file_blocks(target, max_window).join(salted, ["repo_id", "path", "salt"])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, windows, by_length = None, {}, []
-        for pdf in batches:
-            out = []
-            for fid, repo, path, first, lines, snip in zip(pdf["finding_id"], pdf["repo_id"], pdf["path"], pdf["first"],
-                                                           pdf["lines"], pdf["snip"]):
-                if key != (repo, path, first):
-                    key = (repo, path, first)
-                    windows = line_windows(list(lines), BLOCK_LINES, max_window)
-                    by_length = [(len(t), t) for t in windows]
-                found = best_window(snip, windows, by_length, threshold)
-                if found is not None:
-                    out.append((fid, found[0], found[1], int(first) + found[2] + 1))
-            yield pd.DataFrame(out, columns=BEST_SCHEMA.names)
-
-    scored = met.select("finding_id", "repo_id", "path", "first", "lines", "snip").mapInPandas(score, BEST_SCHEMA)
-    rank = F.struct("score", (-F.col("w")).alias("w"), (-F.col("s")).alias("s"))
-    best = scored.groupBy("finding_id").agg(F.max(rank).alias("best")).select(
-        "finding_id", "best.score", (-F.col("best.w")).alias("w"), (-F.col("best.s")).alias("start"))
+    blocks = written(file_blocks(target, max_window), "line-blocks")
+    first_best = materialize(_score(most_likely_windows(wanted, blocks, threshold, max_window), F.lit(0.0)))
+    rest = remaining_windows(wanted, first_best, blocks, threshold, max_window)
+    best = first_best.unionByName(_score(rest, F.col("goal"))).groupBy("finding_id").agg(F.max("best").alias("best")) \
+        .filter(F.col("best.score") >= threshold) \
+        .select("finding_id", "best.score", (-F.col("best.w")).alias("w"), (1 - F.col("best.s")).alias("start"))
     out = f.select("finding_id").join(best, "finding_id", "left").withColumn("end", F.col("start") + F.col("w") - 1)
     return out.select(
         "finding_id", "start", "end", "score",

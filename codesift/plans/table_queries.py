@@ -820,14 +820,17 @@ h AS (SELECT f.finding_id, min({{'w': win.w, 's': win.s}}) AS x FROM f JOIN win
 SELECT finding_id, CAST(x.s AS BIGINT) AS start, CAST(x.s + x.w - 1 AS BIGINT) AS "end", CAST(x.w AS BIGINT) AS n_lines FROM h"""
 
 
+def _fuzzy_findings(lines: DataFrame) -> DataFrame:
+    chars = F.length(locate.collapse_ws(F.col("line_text")))
+    return lines.filter(chars > 0).withColumn(
+        "snippet", F.concat("line_text", F.repeat(F.lit(NOT_PRESENT[0]), (F.floor(chars / 2) + 1).cast("int"))))
+
+
 def q_locate_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     """L1 on inexact snippets (difflib path): a line of every document with k characters after it that
     occur nowhere, k = L // 2 + 1 for a line of L collapsed characters.  No window can match more than
     L characters of it, so the first line with the same text is the answer, with score 2L / (2L + k)."""
-    f = _locate_findings(spark, sf)
-    chars = F.length(locate.collapse_ws(F.col("line_text")))
-    f = f.filter(chars > 0).withColumn(
-        "snippet", F.concat("line_text", F.repeat(F.lit(NOT_PRESENT[0]), (F.floor(chars / 2) + 1).cast("int"))))
+    f = _fuzzy_findings(_locate_findings(spark, sf))
     loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), _with_text(_files(spark, sf)))
     return f.join(loc, "finding_id").select("doc_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "score")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,19 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a columnar table under the shared checkpoint folder, read back.
+
+    Unlike a checkpoint, later steps read only the columns they use.  The folder is cleared with the checkpoint folder.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt by ``cols`` to as many tasks as a shuffle has, before costly work on rows that may come from one
+    file split.  The explicit number keeps adaptive execution from merging small partitions again."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codesift.operators import locate
 from codesift.plans import table_queries as TQ
+from codesift.session import materialize
 from conftest import SF_SMALL
 
 WORDS = ["const", "x", "=", "req.query.id;", "db.find(x)", "}", "{", "", "  ", "return", "user", "if", "(a)"]
@@ -124,3 +125,71 @@ def test_similarity_not_symmetric(spark):
     df = spark.createDataFrame([("tide", "diet")], "a string, b string")
     r = df.select(locate.similarity(F.col("a"), F.col("b")), locate.similarity(F.col("b"), F.col("a"))).first()
     assert (r[0], r[1]) == (0.25, 0.5)
+
+
+def _n_windows(text, most=5):
+    n = len(_lines(text))
+    return sum(max(n - w + 1, 0) for w in range(1, most + 1))
+
+
+def test_bounds_are_never_below_the_ratio(spark):
+    rng = random.Random(5)
+    odd = ["Straße İstanbul ΑΣ", "Kelvin K", "a\u00a0b", "ﬁne ǅ", "e\u0301", "漢字 かな", "tab\tand  blanks", "ABC abc"]
+    files, finds = [], []
+    for i in range(30):
+        text = "\n".join([_random_file(rng), *rng.sample(odd, 4)])
+        files.append(("r", f"f{i}", text))
+        finds.append((str(i), "r", f"f{i}", _random_snippet(rng, text) + rng.choice(odd)))
+    texts = {p: t for _, p, t in files}
+    blocks = locate.file_blocks(spark.createDataFrame(files, "repo_id string, path string, text string"), 5)
+    wanted = spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snip string") \
+        .withColumn("snip", locate.collapse_ws("snip")).withColumn("snip_counts", locate.histogram(F.col("snip")))
+    rows = locate.with_text(locate.window_bounds(blocks.drop("lines").join(wanted, ["repo_id", "path"]), 5, 0.0), blocks).collect()
+    assert len(rows) == sum(_n_windows(t) for t in texts.values())
+    for r in rows:
+        lines = _lines(texts[r.path])
+        assert r.window == " ".join("\n".join(lines[r["at"]:r["at"] + r.w]).split())
+        assert r.bound >= SequenceMatcher(None, r.snip, r.window).ratio()
+
+
+def _sent(spark, f, files):
+    """(findings, windows sent to Python, all windows) of ``f(finding_id, repo_id, path, snippet)``."""
+    wanted = materialize(f.withColumn("snip", locate.collapse_ws("snippet")).drop("snippet")
+                         .withColumn("snip_counts", locate.histogram(F.col("snip"))))
+    blocks = materialize(locate.file_blocks(files, 5))
+    first = locate.most_likely_windows(wanted, blocks, 0.6, 5)
+    best = materialize(locate._score(first, F.lit(0.0)))
+    sent = first.count() + locate.remaining_windows(wanted, best, blocks, 0.6, 5).count()
+    texts = files.join(wanted.select("repo_id", "path"), ["repo_id", "path"]).select("text")
+    return wanted.count(), sent, sum(_n_windows(r.text) for r in texts.collect())
+
+
+def test_few_windows_reach_python(spark):
+    """Windows built as text and scored are below a tenth of all windows, for the registered query's snippets and for
+    edited lines.  (From 200 characters on, difflib ignores frequent characters and scores fall far below any
+    bound on characters, so the second table has shorter windows only.)"""
+    files = TQ._with_text(TQ._files(spark, SF_SMALL)).select("repo_id", "path", "text")
+    lines = TQ._locate_findings(spark, SF_SMALL)
+    n, sent, every = _sent(spark, TQ._fuzzy_findings(lines).select("finding_id", "repo_id", "path", "snippet"), files)
+    assert n <= sent < every / 10
+
+    rng = random.Random(3)
+    short = [("r", f"f{i}", "\n".join(" ".join("".join(rng.choices("etaoinshrdlucmf", k=rng.randint(2, 7))) for _ in range(rng.randint(3, 6)))
+                                    for _ in range(60))) for i in range(20)]
+    finds = [(f"{i}-{j}", "r", f"f{i}", "".join(c for k, c in enumerate(t.split("\n")[j * 11]) if k % 7 != 6))
+             for i, (_, _, t) in enumerate(short) for j in range(4)]
+    n, sent, every = _sent(spark, spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snippet string"),
+                           spark.createDataFrame(short, "repo_id string, path string, text string"))
+    assert n <= sent < every / 10
+
+
+def test_exact_snippets_are_scored_once(spark):
+    text = "\n".join(["same line"] * 400 + ["other line"])
+    fdf = spark.createDataFrame([("r", "f", text)], "repo_id string, path string, text string")
+    wanted = spark.createDataFrame([("1", "r", "f", "other line"), ("2", "r", "f", "same line")],
+                                   "finding_id string, repo_id string, path string, snip string") \
+        .withColumn("snip_counts", locate.histogram(F.col("snip")))
+    blocks = locate.file_blocks(fdf, 5)
+    first = locate.most_likely_windows(wanted, blocks, 0.6, 5)
+    assert first.count() == 2
+    assert locate.remaining_windows(wanted, locate._score(first, F.lit(0.0)), blocks, 0.6, 5).count() == 0
