@@ -3,21 +3,29 @@
 A request is a row; a response is a row keyed by ``request_id`` (SHA-1 of the
 operation, parameters and messages).  ``complete`` replays stored responses by
 a join and sends only the remaining requests to a user ``provider`` through
-``mapInPandas``; provider output is checkpointed so a task retry never calls the
-model twice for the same request.
+``mapInPandas``.  Answers go to a journal as the provider yields them (see ``Journal``), so a task that dies midway
+or a run that is started again asks only for what was not answered yet; requests whose answer had not been yielded
+are asked again.  The provider's output is checkpointed before use.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codesift.plans import prompts as P
-from codesift.session import materialize
+from codesift.session import materialize, scratch_path
 
 MESSAGE_TYPE = T.ArrayType(T.StructType([
     T.StructField("role", T.StringType()),
@@ -115,27 +123,91 @@ def replay(requests: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
+JOURNAL_SCHEMA = T.StructType([*RESPONSE_SCHEMA.fields, T.StructField("attempt", T.IntegerType()),
+                               T.StructField("answered_at", T.TimestampType())])
+_JOURNAL_ARROW = pa.schema([("request_id", pa.string()), ("content", pa.string()), ("status", pa.string()),
+                            ("attempt", pa.int32()), ("answered_at", pa.timestamp("us", tz="UTC"))])
+
+
+class Journal:
+    """Answers on shared storage, written while the tasks that ask for them still run.
+
+    Every batch that a provider yields becomes one small Parquet file ``run=<id>/part=<task>/<attempt>-<n>.parquet``,
+    complete from the moment it has this name.  A retried task reads the files of its earlier attempts and asks only for
+    the rest; a later run reads the whole folder and joins it away (``answers``).  The folder must be one that all
+    executors reach and that pyarrow can open (a local or mounted path, ``hdfs://``, ``s3://``, ``gs://``).  A task that
+    Spark runs twice at the same time (speculation) may still ask twice.
+    """
+
+    def __init__(self, path: str):
+        self.path = re.sub(r"^file:/+", "/", path).rstrip("/")
+        self.run = uuid.uuid4().hex
+
+    def _open(self) -> tuple[fs.FileSystem, str]:
+        if "://" in self.path:
+            return fs.FileSystem.from_uri(self.path)
+        return fs.LocalFileSystem(), self.path
+
+    def answers(self, spark: SparkSession) -> DataFrame:
+        """All answers of earlier runs and attempts."""
+        store, root = self._open()
+        store.create_dir(root, recursive=True)
+        if not [x for x in store.get_file_info(fs.FileSelector(root)) if x.base_name.startswith("run=")]:
+            return spark.createDataFrame([], JOURNAL_SCHEMA)
+        return spark.read.schema(JOURNAL_SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
+
+    def ask(self, provider: Provider) -> Provider:
+        """``provider`` with every answer journaled, and without the requests that an earlier attempt has answered."""
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            context = TaskContext.get()
+            store, root = self._open()
+            folder = f"{root}/run={self.run}/part={context.partitionId()}"
+            store.create_dir(folder, recursive=True)
+            files = [x.path for x in store.get_file_info(fs.FileSelector(folder)) if x.base_name.endswith(".parquet")
+                     and not x.base_name.startswith("_")]
+            told = [pq.read_table(store.open_input_file(x), schema=_JOURNAL_ARROW).to_pandas()[RESPONSE_SCHEMA.names] for x in files]
+            yield from told
+            done = {i for t in told for i in t["request_id"]}
+            left = (b[~b["request_id"].isin(done)] for b in batches)
+            for n, out in enumerate(provider(b for b in left if len(b))):
+                out = out[RESPONSE_SCHEMA.names]
+                rows = out.assign(attempt=context.attemptNumber(), answered_at=datetime.now(timezone.utc))
+                name = f"{context.attemptNumber()}-{n}.parquet"
+                pq.write_table(pa.Table.from_pandas(rows, schema=_JOURNAL_ARROW, preserve_index=False), f"{folder}/_{name}", filesystem=store)
+                store.move(f"{folder}/_{name}", f"{folder}/{name}")
+                yield out
+
+        return run
+
+
 def complete(requests: DataFrame, provider: Provider | None = None, responses: DataFrame | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, journal: str | None = None) -> DataFrame:
     """M1: answers for ``requests``.
 
     Usable stored ``responses`` are reused (no call); the rest, failed answers included, go to ``provider`` (an
     ``Iterator[pandas.DataFrame] -> Iterator[pandas.DataFrame]`` mapping columns
     ``request_id, operation, messages_json, params_json`` to ``request_id, content, status``),
-    spread over ``partitions`` tasks, and checkpointed before use.
+    spread over ``partitions`` tasks, journaled as they arrive and checkpointed before use.  ``journal`` is the folder of
+    the journal; name one to let a run that is started again use what an earlier one was answered (default: a
+    folder of this call alone under the checkpoint folder).
     """
-    stored = responses if responses is not None else requests.sparkSession.createDataFrame([], RESPONSE_SCHEMA)
+    spark = requests.sparkSession
+    stored = _timed(responses if responses is not None else spark.createDataFrame([], RESPONSE_SCHEMA))
     if provider is None:
-        return replay(requests, stored)
+        return replay(requests, stored if journal is None else stored.unionByName(_timed(Journal(journal).answers(spark))))
+    book = Journal(journal or scratch_path(spark, f"journal-{uuid.uuid4().hex}"))
+    stored = stored.unionByName(_timed(materialize(book.answers(spark))))
     todo = (
         requests.join(stored.filter(usable()).select("request_id"), "request_id", "left_anti")
         .select("request_id", "operation", F.to_json("messages").alias("messages_json"), "params_json")
         .dropDuplicates(["request_id"])
     )
-    n = partitions or requests.sparkSession.sparkContext.defaultParallelism
-    fresh = materialize(todo.repartition(n, "request_id").mapInPandas(provider, RESPONSE_SCHEMA))
+    n = partitions or spark.sparkContext.defaultParallelism
+    # the order of a partition's requests is fixed, so that a retried task meets the same batches
+    todo = todo.repartition(n, "request_id").sortWithinPartitions("request_id")
+    fresh = materialize(todo.mapInPandas(book.ask(provider), RESPONSE_SCHEMA))
     fresh = fresh.withColumn("answered_at", F.current_timestamp())
-    return replay(requests, _timed(stored).unionByName(fresh))
+    return replay(requests, stored.unionByName(_timed(fresh)))
 
 
 def call_stats(answered: DataFrame) -> DataFrame:
