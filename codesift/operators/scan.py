@@ -3,7 +3,7 @@ E2 parse_findings, K1 check_findings, F12 drop_unlocated, L2 run_scan, W7 order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesift.functions import jsonx
@@ -102,13 +102,13 @@ def bundle_context(subsets: DataFrame, files: DataFrame, max_chars: int | None =
     )
 
 
-def scan_requests(plan: DataFrame, bundles: DataFrame, model_name: str = P.DEFAULT_MODEL) -> DataFrame:
+def scan_requests(plan: DataFrame, bundles: DataFrame, model_name: str = P.DEFAULT_MODEL, extra: Column | None = None) -> DataFrame:
     """Per (subset, pipeline): auditor preamble + stage prompt + finding schema + example,
-    and the bundle in a code fence; JSON-object answers, 720 output tokens."""
+    and the bundle in a code fence, with ``extra`` behind it if given; JSON-object answers, 720 output tokens."""
     ok = plan.filter(F.col("plan_status") == "ok").join(bundles, ["repo_id", "subset_id"], "inner")
     system = F.concat(F.lit(P.SCAN_SYSTEM_HEAD), F.col("stage.prompt_template"), F.lit(P.SCAN_SCHEMA_TEXT),
                       F.lit(P.SCAN_EXAMPLE_HEAD), F.col("stage.example_json"))
-    user = F.concat(F.lit(P.SCAN_USER_HEAD), F.col("bundle"), F.lit(P.SCAN_USER_TAIL))
+    user = F.concat(F.lit(P.SCAN_USER_HEAD), F.col("bundle"), F.lit(P.SCAN_USER_TAIL), *([] if extra is None else [extra]))
     op = F.concat(F.lit(P.OP_STAGE_PREFIX), F.col("stage.id"))
     prm = model.params(model_name, max_tokens=P.SCAN_MAX_TOKENS, response_format=P.RESPONSE_FORMAT_JSON)
     return model.with_request(ok, op, system, user, prm)
@@ -135,7 +135,7 @@ def parse_findings(answered: DataFrame, content: str = "content") -> dict[str, D
     a = answered.withColumn("_v", v).withColumn("_items", items).withColumn("answer_status", status)
     payload = F.when(F.col("_v").isNotNull(), F.to_json(F.col("_v"))).otherwise(
         F.to_json(F.struct(F.col(content).alias("raw_output"))))
-    keys = [c for c in ["repo_id", "subset_id", "suggestion_no", "pipeline_pos", "pipeline_id", "request_id"]
+    keys = [c for c in ["repo_id", "subset_id", "suggestion_no", "pipeline_pos", "pipeline_id", "stage_no", "request_id"]
             if c in answered.columns]
     stage_outputs = a.filter(F.col(content).isNotNull()).select(
         *keys, F.col("stage.output_tag").alias("output_tag") if "stage" in answered.columns

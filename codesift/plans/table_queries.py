@@ -21,12 +21,12 @@ from codesift.functions import jsonx
 from codesift.functions.paths import (EXT_TO_LANG, FLATTEN_EXCLUDE_DIRS, PREFILTER_PATTERN, TREE_EXCLUDE_DIRS,
                                       base_name, detect_language, join_base, normalize_rel, path_parts, relativize)
 from codesift.functions.text import decode_ignore, extract_imports, split_lines
-from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, suggest
+from codesift.operators import grouping, locate, metadata, metrics, rules, scan, selection, stages, suggest
 from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
-from codesift.session import scratch_path
+from codesift.session import materialize, scratch_path
 from codesift.sources import artifacts
 from codesift.sources.corpus import CORPUS_DIRS, CORPUS_EXTS, DIR_STEP, EXT_STEP, corpus, read_table
 from codesift.sources.listing import flatten_tree, scan_corpus, tree_edges
@@ -714,6 +714,80 @@ SELECT ok.repo_id, ok.subset_id, ok.pipeline_id, {_q(P.OP_STAGE_PREFIX)} || ok.s
 FROM ok JOIN b ON b.repo_id = ok.repo_id AND b.subset_id = ok.subset_id"""
 
 
+def _stage(name: str, out: str, inp: str | None = None) -> dict:
+    return {"id": name, "title": name, "prompt_template": f"Report for {name}.", "inject_previous_output": inp is not None,
+            "input_tag": inp, "save_output": True, "output_tag": out, "example": []}
+
+
+#: Pipelines of several stages: detect and remediate; an input that nobody saves, with a stage behind it; a cycle.
+STAGED_PIPELINES = [
+    {"pipeline_id": "pipeline_xss", "stages": [_stage("detect", "detected"), _stage("mend", "mended", "detected")]},
+    {"pipeline_id": "pipeline_auth", "stages": [_stage("mend", "mended", "lost"), _stage("rank", "ranked", "mended"), _stage("detect", "detected")]},
+    {"pipeline_id": "pipeline_injection", "stages": [_stage("there", "x", "y"), _stage("back", "y", "x")]},
+]
+
+
+STAGE_INPUT_HEAD = stages.INPUT_HEAD
+
+
+def staged_provider(batches):
+    """The stored answers: detection names the first file of its bundle, the next stage appends a remediation."""
+    import json as _json
+
+    import pandas as pd
+
+    for pdf in batches:
+        out = []
+        for text in pdf["messages_json"]:
+            user = _json.loads(text)[1]["content"]
+            injected = STAGE_INPUT_HEAD in user
+            first = user.split("FILE: ")[1].split("\n")[0]
+            row = {"file_path": first, "severity": "High"} | ({"remediation": "Use parameters."} if injected else {})
+            out.append(_json.dumps({"vulnerabilities": [row]}))
+        yield pd.DataFrame({"request_id": pdf["request_id"], "content": out, "status": "ok"})
+
+
+def q_stage_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 (E1 E2 M1 reused): every planned stage of every subset with its level and status, the digest of its request and what
+    it found, replayed from stored answers."""
+    subsets = _bucketed_subsets(_kept(spark, sf))
+    catalog = catalog_frame(spark, STAGED_PIPELINES)
+    files = _with_text(_kept(spark, sf))
+    sugg = suggest.parse_suggestions(_suggestion_answers(subsets)).select("repo_id", "subset_id", "subset_no", "suggested_pipelines")
+    plan = materialize(scan.plan_runs(sugg, subsets, catalog))
+    stored = stages.run_stages(plan, catalog, files, provider=staged_provider)["responses"]
+    run = stages.run_stages(plan, catalog, files, responses=stored)
+    told = run["requests"].select("repo_id", "subset_id", "pipeline_id", "stage_no", F.sha1(F.col("messages")[1]["content"]).alias("user_sha1"))
+    found = run["findings"].select("repo_id", "subset_id", "pipeline_id", "stage_no", "file_path", "remediation")
+    keys = ["repo_id", "subset_id", "pipeline_id", "stage_no"]
+    return run["stages"].drop("request_id").join(told, keys, "left").join(found, keys, "left").select(
+        "repo_id", "subset_id", "pipeline_id", F.col("stage_no").cast("bigint"), "stage_id", F.col("level").cast("bigint"),
+        "stage_status", "user_sha1", "file_path", "remediation")
+
+
+SQL_STAGE_GRAPH = f"""WITH RECURSIVE {CORPUS_CTES}, {_FIXTURE_SUBSETS_SQL}, {_PLAN_SQL},
+st AS (SELECT * FROM (VALUES {", ".join(f"({_q(p['pipeline_id'])}, {i}, {_q(x['id'])}, {_q(x['output_tag'])}, {_q(x['input_tag']) if x['input_tag'] else 'NULL'})" for p in STAGED_PIPELINES for i, x in enumerate(p['stages']))}) t(pipeline_id, stage_no, stage_id, output_tag, input_tag)),
+edge AS (SELECT s.*, (SELECT max(p.stage_no) FROM st p WHERE p.pipeline_id = s.pipeline_id AND p.output_tag = s.input_tag) AS producer_no FROM st s),
+walk AS (SELECT pipeline_id, stage_no, 0 AS level, CASE WHEN input_tag IS NULL THEN 'ok' ELSE 'unknown_tag' END AS stage_status
+         FROM edge WHERE producer_no IS NULL
+         UNION ALL SELECT e.pipeline_id, e.stage_no, w.level + 1, CASE w.stage_status WHEN 'ok' THEN 'ok' ELSE 'blocked' END
+         FROM edge e JOIN walk w ON w.pipeline_id = e.pipeline_id AND w.stage_no = e.producer_no),
+g AS (SELECT e.*, CASE WHEN w.stage_status = 'ok' THEN w.level END AS level, coalesce(w.stage_status, 'cycle') AS stage_status,
+             EXISTS (SELECT 1 FROM edge c WHERE c.pipeline_id = e.pipeline_id AND c.producer_no = e.stage_no) AS is_read
+      FROM edge e LEFT JOIN walk w ON w.pipeline_id = e.pipeline_id AND w.stage_no = e.stage_no),
+m AS (SELECT DISTINCT s.repo_id, s.subset_id, u.i, s.fps[u.i] AS path
+      FROM sug s, LATERAL (SELECT unnest(generate_series(1, len(s.fps))) AS i) u),
+b AS (SELECT m.repo_id, m.subset_id, string_agg({_part_sql('m.path', 'k.content')}, chr(10) ORDER BY m.i) AS bundle
+      FROM m JOIN kept k ON k.repo_id = m.repo_id AND k.path = m.path GROUP BY 1, 2)
+SELECT p.repo_id, p.subset_id, p.pipeline_id, CAST(g.stage_no AS BIGINT) AS stage_no, g.stage_id, CAST(g.level AS BIGINT) AS level, g.stage_status,
+       CASE WHEN g.level = 0 THEN sha1({_q(P.SCAN_USER_HEAD)} || b.bundle || {_q(P.SCAN_USER_TAIL)})
+            WHEN g.level = 1 THEN sha1({_q(P.SCAN_USER_HEAD)} || b.bundle || {_q(P.SCAN_USER_TAIL)} || {_q(stages.INPUT_HEAD)} || g.input_tag
+              || {_q(stages.INPUT_MID)} || '{{"vulnerabilities":[{{"file_path":"' || p.fps[1] || '","severity":"High"}}]}}' || {_q(stages.INPUT_TAIL)}) END AS user_sha1,
+       CASE WHEN g.level IS NOT NULL AND NOT g.is_read THEN p.fps[1] END AS file_path,
+       CASE WHEN g.level = 1 THEN 'Use parameters.' END AS remediation
+FROM plan p JOIN g ON g.pipeline_id = p.pipeline_id LEFT JOIN b ON b.repo_id = p.repo_id AND b.subset_id = p.subset_id"""
+
+
 def _findings_answers(plan: DataFrame, kept: DataFrame) -> DataFrame:
     first = plan.select("repo_id", "subset_id", F.col("suggestion_no").alias("subset_no"), "pipeline_pos", "pipeline_id",
                         F.col("file_paths")[0].alias("fp"))
@@ -760,6 +834,42 @@ SELECT repo_id, subset_id, pipeline_id, CAST(1 AS BIGINT), fps[1], NULL, 'Severe
 FROM ok WHERE k = 0"""
 
 
+SCAN_ROOT = "/work/src"
+
+
+def _scan_answers(plan: DataFrame, files: DataFrame) -> DataFrame:
+    """Stored answers that report every file of a subset: by turns its first line, a snippet that is nowhere, a line list
+    without a snippet, and its first two lines."""
+    members = plan.select("repo_id", "subset_id", "pipeline_id", F.posexplode("file_paths").alias("i", "path"))
+    lines = F.slice(split_lines(F.col("content")), 1, 2)
+    j = members.join(files.select("repo_id", "path", "content"), ["repo_id", "path"])
+    snippet = F.when(F.col("i") % 4 == 0, F.get(lines, 0)).when(F.col("i") % 4 == 1, F.lit(NOT_PRESENT)) \
+        .when(F.col("i") % 4 == 3, F.array_join(lines, "\n"))
+    row = F.to_json(F.struct(F.concat(F.lit(SCAN_ROOT + "/"), "path").alias("file_path"), snippet.alias("code_snippet"),
+                             F.lit("High").alias("severity"), F.when(F.col("i") % 4 == 2, F.array(F.lit(3), F.lit(4))).alias("line")))
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("i", row.alias("row")))), lambda x: x["row"])
+    return j.groupBy("repo_id", "subset_id", "pipeline_id").agg(
+        F.concat(F.lit('{"vulnerabilities": ['), F.array_join(rows, ", "), F.lit("]}")).alias("content"))
+
+
+def q_run_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """L2 (E1 M1 E2 L1 F2 F12 U1): a full scan replayed from stored answers for every file of each subset; findings with
+    their lines, and per repo how many were removed because they have none."""
+    files = _with_text(_kept(spark, sf))
+    plan = materialize(_plan(spark, sf).filter(F.col("plan_status") == "ok"))
+    bundles = scan.bundle_context(plan.select("repo_id", "subset_id", "file_paths").distinct(), files, root=SCAN_ROOT)
+    asked = scan.scan_requests(plan, bundles).select("repo_id", "subset_id", "pipeline_id", "request_id")
+    stored = asked.join(_scan_answers(plan, files), ["repo_id", "subset_id", "pipeline_id"]).select(
+        "request_id", "content", F.lit("ok").alias("status"))
+    out = scan.run_scan(plan, files, responses=stored, root=SCAN_ROOT)
+    found = out["findings"].select("repo_id", "subset_id", "pipeline_id", "pos", "file_path",
+                                   F.col("line")[0].cast("bigint").alias("start"), F.size("line").cast("bigint").alias("n_lines"))
+    none = F.lit(None).cast("string")
+    return found.unionByName(out["removed"].select(
+        "repo_id", none.alias("subset_id"), none.alias("pipeline_id"), F.col("n_removed").alias("pos"), F.lit("(removed)").alias("file_path"),
+        F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("n_lines")))
+
+
 def _locate_findings(spark, sf) -> DataFrame:
     """One finding per document: its line number ``doc_id % n + 1`` (every test document has
     text), with ``first_equal``, the first line whose collapsed text is the same (the
@@ -826,6 +936,25 @@ def _fuzzy_findings(lines: DataFrame) -> DataFrame:
         "snippet", F.concat("line_text", F.repeat(F.lit(NOT_PRESENT[0]), (F.floor(chars / 2) + 1).cast("int"))))
 
 
+SQL_RUN_SCAN = f"""WITH {CORPUS_CTES}, {_FIXTURE_SUBSETS_SQL}, {_PLAN_SQL},
+mem AS (SELECT p.repo_id, p.subset_id, p.pipeline_id, u.i - 1 AS i, p.fps[u.i] AS path
+        FROM plan p JOIN cat ON cat.pipeline_id = p.pipeline_id, LATERAL (SELECT unnest(generate_series(1, len(p.fps))) AS i) u),
+arrs AS (SELECT repo_id, path, CASE WHEN a[len(a)] = '' THEN a[1:len(a) - 1] ELSE a END AS arr
+         FROM (SELECT repo_id, path, string_split(content, chr(10)) AS a FROM kept)),
+w AS (SELECT a.repo_id, a.path, w.w, s.s, trim(regexp_replace(array_to_string(list_slice(a.arr, s.s, s.s + w.w - 1), ' '), '\\s+', ' ', 'g')) AS t
+      FROM arrs a, (SELECT unnest(generate_series(1, 5)) AS w) w, LATERAL (SELECT unnest(generate_series(1, len(a.arr) - w.w + 1)) AS s) s),
+ask AS (SELECT m.repo_id, m.path, m.i % 4 AS k, min({{'w': w.w, 's': w.s}}) AS x
+        FROM (SELECT DISTINCT repo_id, path, i % 4 AS i FROM mem WHERE i % 4 IN (0, 3)) m JOIN arrs a ON a.repo_id = m.repo_id AND a.path = m.path
+        JOIN w ON w.repo_id = m.repo_id AND w.path = m.path
+         AND w.t = trim(regexp_replace(array_to_string(a.arr[1:CASE m.i WHEN 0 THEN 1 ELSE 2 END], ' '), '\\s+', ' ', 'g'))
+        GROUP BY 1, 2, 3)
+SELECT m.repo_id, m.subset_id, m.pipeline_id, m.i AS pos, m.path AS file_path,
+       CASE WHEN m.i % 4 = 2 THEN 3 ELSE CAST(ask.x.s AS BIGINT) END AS start, CASE WHEN m.i % 4 = 2 THEN 2 ELSE CAST(ask.x.w AS BIGINT) END AS n_lines
+FROM mem m LEFT JOIN ask ON ask.repo_id = m.repo_id AND ask.path = m.path AND ask.k = m.i % 4 WHERE m.i % 4 <> 1
+UNION ALL
+SELECT repo_id, NULL, NULL, count(*), '(removed)', NULL, NULL FROM mem WHERE i % 4 = 1 GROUP BY 1"""
+
+
 def q_locate_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     """L1 on inexact snippets (difflib path): a line of every document with k characters after it that
     occur nowhere, k = L // 2 + 1 for a line of L collapsed characters.  No window can match more than
@@ -1203,6 +1332,8 @@ QUERIES = {
     "context_bundle_cut": q_context_bundle_cut,
     "scan_requests": q_scan_requests,
     "findings_parse": q_findings_parse,
+    "run_scan": q_run_scan,
+    "stage_graph": q_stage_graph,
     "locate_exact": q_locate_exact,
     "locate_fuzzy": q_locate_fuzzy,
     "relocate_diff": q_relocate_diff,
@@ -1217,6 +1348,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "run_scan": SQL_RUN_SCAN,
+    "stage_graph": SQL_STAGE_GRAPH,
     "tree_flatten": SQL_TREE_FLATTEN,
     "selection_documents": SQL_SELECTION_DOCUMENTS,
     "decode_bytes": SQL_DECODE_BYTES,
