@@ -14,7 +14,7 @@ import json
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,26 @@ def parse_json_strict(text: Column | str, python_fallback: bool = True) -> Colum
     return F.coalesce(native, _native_strict(retry))
 
 
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the named columns computed once per row, where they stand.
+
+    The optimizer copies an expression into every later expression and filter that uses it; what leaves a generator is a
+    column like any other.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*rest, F.inline_outer(F.array(F.struct(*[F.col(f"`{c}`") for c in names]))))
+
+
+def with_json(df: DataFrame, text: Column, name: str = "_v") -> DataFrame:
+    """``df`` with ``name``, the value of ``parse_json_strict(text)``, parsed once per row however often it is used."""
+    first = settled(df.withColumn("_told", text), "_told")
+    first = settled(first.withColumn("_native", _native_strict(F.col("_told"))), "_native")
+    # only rows that the native parser rejects carry a text to Python
+    again = first.withColumn("_retry", _reparse_udf(F.when(F.col("_native").isNull(), F.col("_told"))))
+    value = F.coalesce(F.col("_native"), _native_strict(F.col("_retry")))
+    return settled(again.withColumn(name, value).drop("_told", "_native", "_retry"), name)
+
+
 def json_type(v: Column | str) -> Column:
     """'STRING', 'BIGINT', 'ARRAY<...>', 'OBJECT<...>', 'VOID' (JSON null) or null (no value)."""
     return F.schema_of_variant(_c(v))

@@ -11,6 +11,7 @@ from codesift.functions.jsonx import strip_fence_b
 from codesift.operators.ordering import ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
+from codesift.session import materialize
 
 
 def assign_chunks(metadata: DataFrame, size: int = P.FILES_PER_GROUPING_PROMPT) -> DataFrame:
@@ -68,12 +69,11 @@ def parse_grouping(answered: DataFrame, strict: bool = False, content: str = "co
     objects.  Each element keeps ``file_paths`` (string items) and ``reason``; the
     intermediate id '<subset_id>-chunkNN' is kept as ``chunk_subset_id``.  The original
     tool fails the whole step on one bad chunk: ``strict=True`` raises the same way
-    (when the subsets are numbered, i.e. during this call); otherwise ``chunk_status``
+    (during this call, which parses the answers once and checkpoints them); otherwise ``chunk_status``
     reports the bad chunks and the
     ``ok_repos`` table lists repos whose every chunk parsed.
     """
-    v = jsonx.parse_json_strict(strip_fence_b(F.col(content)))
-    arr = jsonx.as_array(v)
+    arr = F.col("_arr")
     all_objects = F.forall(arr, lambda e: F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False)))
     good = arr.isNotNull() & (F.size(arr) > 0) & F.coalesce(all_objects, F.lit(False))
     status = (
@@ -81,7 +81,9 @@ def parse_grouping(answered: DataFrame, strict: bool = False, content: str = "co
         .when(good, F.lit("ok"))
         .otherwise(F.lit("error"))
     )
-    parsed = answered.withColumn("_arr", arr).withColumn("chunk_status", status)
+    told = answered.select("repo_id", "chunk", content)
+    told = jsonx.settled(jsonx.with_json(told, strip_fence_b(F.col(content))).withColumn("_arr", jsonx.as_array(F.col("_v"))).drop("_v"), "_arr")
+    parsed = jsonx.settled(told.withColumn("chunk_status", status), "chunk_status").drop(content)
     if strict:
         parsed = parsed.withColumn(
             "chunk_status",
@@ -89,6 +91,8 @@ def parse_grouping(answered: DataFrame, strict: bool = False, content: str = "co
                 F.raise_error(F.concat(F.lit("grouping failed for repo "), F.col("repo_id"),
                                        F.lit(" chunk "), F.col("chunk").cast("string")))),
         )
+    # subsets, statuses and the range bounds of the numbering all read it
+    parsed = materialize(parsed)
     chunk_status = parsed.select("repo_id", "chunk", "chunk_status")
     items = parsed.filter(F.col("chunk_status") == "ok").select(
         "repo_id", "chunk", F.posexplode_outer("_arr").alias("pos", "e")

@@ -17,6 +17,7 @@ from codesift.functions.text import decode_ignore, head_chars, loc, py_strip, sh
 from codesift.operators.ordering import distinct_first, head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
+from codesift.session import materialize, written
 
 METADATA_SCHEMA = T.StructType([
     T.StructField("repo_id", T.StringType()),
@@ -108,7 +109,7 @@ def parse_summary(answered: DataFrame, content: str = "content") -> DataFrame:
     Adds ``description``, ``imports`` and ``summary_status`` ('ok', 'error' for a bad answer,
     'missing' for no answer).  Where the original tool aborts the step, this keeps a row.
     """
-    v = jsonx.parse_json_strict(py_strip(F.col(content)))
+    v = F.col("_v")
     summ = jsonx.get_field(v, "summary")
     imps = jsonx.get_field(v, "imports")
     summary_ok = summ.isNull() | (F.schema_of_variant(summ) == "STRING")
@@ -121,10 +122,9 @@ def parse_summary(answered: DataFrame, content: str = "content") -> DataFrame:
     )
     empty = F.array().cast("array<string>")
     return (
-        answered.withColumn("_v", v)
-        .withColumn("summary_status", status)
-        .withColumn("description", F.when(status == "ok", F.coalesce(jsonx.get_string(F.col("_v"), "summary"), F.lit(""))))
-        .withColumn("imports", F.when(status == "ok", F.coalesce(jsonx.as_strings(jsonx.get_field(F.col("_v"), "imports")), empty))
+        jsonx.settled(jsonx.with_json(answered, py_strip(F.col(content))).withColumn("summary_status", status), "summary_status")
+        .withColumn("description", F.when(F.col("summary_status") == "ok", F.coalesce(jsonx.get_string(F.col("_v"), "summary"), F.lit(""))))
+        .withColumn("imports", F.when(F.col("summary_status") == "ok", F.coalesce(jsonx.as_strings(jsonx.get_field(F.col("_v"), "imports")), empty))
                     .otherwise(empty))
         .drop("_v")
     )
@@ -191,8 +191,10 @@ def build_metadata(selection: DataFrame, files: DataFrame, prev: DataFrame | Non
     if max_files is not None:
         expanded = head_n(expanded, max_files, ["repo_id"], ["pos", "sub_path"], remainder=False).drop("rank_in_group")
     cur = profile(expanded.join(files.select("repo_id", "path", content), ["repo_id", "path"], "inner"), content)
-    cur = detect_changes(cur, prev)
-    need = cur.filter(F.col("change") != "unchanged").drop(content)
+    # the files' text is read and hashed once: requests, reuse and output read this table, which has the text of changed files only
+    cur = detect_changes(cur, prev).drop(content)
+    cur = written(cur.withColumn("text", F.when(F.col("change") != "unchanged", F.col("text"))), "current-files")
+    need = cur.filter(F.col("change") != "unchanged")
     reqs = summary_requests(need, model_name, max_chars)
     answered = model.complete(reqs, provider=provider, responses=responses)
     summarised = parse_summary(answered).select("repo_id", "path", "description", "imports", "summary_status")
@@ -207,5 +209,6 @@ def build_metadata(selection: DataFrame, files: DataFrame, prev: DataFrame | Non
         "description", "sha1", "token_estimate", F.lit(None).cast("bigint").alias("ord"),
         "change", "summary_status", F.col("pos").alias("_order_pos"),
     )
+    processed = materialize(processed)
     metadata = upsert_metadata(prev, processed)
     return {"metadata": metadata, "processed": processed, "requests": reqs, "missing": missing}

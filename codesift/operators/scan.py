@@ -121,7 +121,7 @@ def parse_findings(answered: DataFrame, content: str = "content") -> dict[str, D
     ``stage_outputs`` (S8 payload: the parsed answer, or ``{"raw_output": text}`` when it is
     not JSON) and ``answer_status`` per request.
     """
-    v = jsonx.parse_json_strict(py_strip(F.col(content)))
+    v = F.col("_v")
     wrapped = jsonx.is_object(v) & jsonx.has_key(v, "vulnerabilities")
     inner = jsonx.get_field(v, "vulnerabilities")
     items = F.when(wrapped, jsonx.as_array(inner)).when(jsonx.is_array(v), jsonx.as_array(v))
@@ -132,7 +132,8 @@ def parse_findings(answered: DataFrame, content: str = "content") -> dict[str, D
         .when(items.isNull(), F.lit("no_findings_key"))
         .otherwise(F.lit("ok"))
     )
-    a = answered.withColumn("_v", v).withColumn("_items", items).withColumn("answer_status", status)
+    a = jsonx.with_json(answered, py_strip(F.col(content)))
+    a = jsonx.settled(a.withColumn("_items", items).withColumn("answer_status", status), "_items", "answer_status")
     payload = F.when(F.col("_v").isNotNull(), F.to_json(F.col("_v"))).otherwise(
         F.to_json(F.struct(F.col(content).alias("raw_output"))))
     keys = [c for c in ["repo_id", "subset_id", "suggestion_no", "pipeline_pos", "pipeline_id", "stage_no", "request_id"]

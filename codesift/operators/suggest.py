@@ -87,8 +87,8 @@ def suggestion_requests(subsets: DataFrame, metadata: DataFrame, catalog: DataFr
 def parse_suggestions(answered: DataFrame, content: str = "content") -> DataFrame:
     """A JSON list gives its string items (``[]`` stays empty); anything else, fenced
     answers included, gives ``["pipeline_injection"]``.  Adds ``suggested_pipelines``."""
-    v = jsonx.parse_json_strict(py_strip(F.col(content)))
+    v = F.col("_v")
     fallback = F.array(F.lit(P.DEFAULT_PIPELINE))
-    return answered.withColumn(
+    return jsonx.with_json(answered, py_strip(F.col(content))).withColumn(
         "suggested_pipelines", F.when(jsonx.is_array(v), jsonx.string_items(v)).otherwise(fallback)
-    )
+    ).drop("_v")
