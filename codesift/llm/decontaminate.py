@@ -3,8 +3,10 @@
 A benchmark item of m characters may occur in a document with up to k edits, about one in ``CHARS_PER_EDIT``.  It
 is cut into k + 1 pieces of at least ``GRAM`` characters; an occurrence with at most k edits leaves
 one piece untouched.  Rolling hashes of all ``GRAM``-character windows of a document are looked up
-in the table of the pieces' beginnings, a hit is compared with its piece, and each candidate window is verified
-with Myers' bit-parallel edit distance.
+in the table of the pieces' beginnings and a hit is compared with its piece.  The hits of an item that point to neighbouring
+places are merged into one interval, and Myers' bit-parallel pass runs once over each interval, so a repetitive text costs its
+length, not its number of hits.  Occurrences of an item whose ends are at most twice its budget apart count once, as the
+nearest (then first) of them.
 
 Case and kind of white space are ignored (letters are folded one to one, so positions stay).
 
@@ -47,8 +49,8 @@ def fold(text: str) -> str:
     return low
 
 
-def best_match(pattern: str, text: str) -> tuple[int, int]:
-    """(distance, end) of the substring of ``text`` nearest to ``pattern``; the first such end.
+def distances(pattern: str, text: str) -> Iterator[int]:
+    """For every end in ``text`` the distance of ``pattern`` to the nearest substring that ends there.
 
     Myers' algorithm: bit i of ``up``/``down`` says that the distance grows/falls by one from row i
     to row i + 1 of the current column; a match may begin at any column.
@@ -59,8 +61,7 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
     for i, c in enumerate(pattern):
         places[c] = places.get(c, 0) | 1 << i
     up, down, score = mask, 0, m
-    best, end = m, 0
-    for j, c in enumerate(text, 1):
+    for c in text:
         eq = places.get(c, 0)
         diagonal = ((((eq & up) + up) ^ up) | eq | down) & mask
         right_up = (down | ~(diagonal | up)) & mask
@@ -73,11 +74,44 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
         right_down = (right_down << 1) & mask
         up = (right_down | ~(diagonal | right_up)) & mask
         down = right_up & diagonal
+        yield score
+
+
+def best_match(pattern: str, text: str) -> tuple[int, int]:
+    """(distance, end) of the substring of ``text`` nearest to ``pattern``; the first such end."""
+    best, end = len(pattern), 0
+    for j, score in enumerate(distances(pattern, text), 1):
         if score < best:
             best, end = score, j
     return best, end
 
 
+def nearest_ends(found: Iterator[tuple[int, int]], apart: int) -> Iterator[tuple[int, int]]:
+    """Of (end, distance) in order of ends: the smallest distance, then the first end, of those at most ``apart`` behind
+    the first."""
+    first, best = None, None
+    for end, distance in found:
+        if first is None or end > first + apart:
+            if best is not None:
+                yield best
+            first, best = end, (end, distance)
+        elif distance < best[1]:
+            best = (end, distance)
+    if best is not None:
+        yield best
+
+
+def merged(intervals: list[tuple[int, int]], gap: int) -> list[tuple[int, int]]:
+    """Intervals at most ``gap`` apart as one."""
+    out: list[list[int]] = []
+    for low, high in sorted(intervals):
+        if out and low <= out[-1][1] + gap:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return [(a, b) for a, b in out]
+
+
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -101,7 +135,7 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str | None]]):
         self.items: list[tuple[int, str, int]] = []
-        self.pieces: dict[int, list[tuple[str, int, int]]] = {}  # gram hash -> (piece, item, offset)
+        self.pieces: dict[int, dict[str, list[tuple[int, int]]]] = {}  # gram hash -> piece -> (item, offset)
         short: dict[str, list[int]] = {}  # items shorter than a gram
         for item_id, raw in items:
             text = fold(raw or "").strip()
@@ -115,7 +149,7 @@ class Items:
             hashes = _gram_hashes(_codes(text))
             for p in range(k + 1):
                 a, b = p * len(text) // (k + 1), (p + 1) * len(text) // (k + 1)
-                self.pieces.setdefault(int(hashes[a]), []).append((text[a:b], n, a))
+                self.pieces.setdefault(int(hashes[a]), {}).setdefault(text[a:b], []).append((n, a))
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[[h >> 64 - FILTER_BITS for h in self.pieces]] = True
         self.short = ahocorasick.Automaton()
@@ -124,39 +158,55 @@ class Items:
         if short:
             self.short.make_automaton()
 
-    def _hits(self, text: str) -> Iterator[tuple[int, int]]:
-        """(item, position at which the item would begin without edits)."""
+    def _intervals(self, text: str) -> dict[int, list[tuple[int, int]]]:
+        """Per item the places at which it would begin without edits, neighbouring ones as intervals."""
+        uses: dict[str, list[tuple[int, int]]] = {}
+        runs: dict[str, list[list[int]]] = {}
         if len(text) >= GRAM and self.pieces:
             hashes = _gram_hashes(_codes(text))
             for at in np.flatnonzero(self.filter[hashes >> np.uint64(64 - FILTER_BITS)]).tolist():
-                for piece, n, offset in self.pieces.get(int(hashes[at]), ()):
+                for piece, places in self.pieces.get(int(hashes[at]), {}).items():
                     if text.startswith(piece, at):
-                        yield n, at - offset
+                        uses[piece] = places
+                        run = runs.setdefault(piece, [])
+                        if run and at <= run[-1][1] + GRAM:
+                            run[-1][1] = at
+                        else:
+                            run.append([at, at])
+        begins: dict[int, list[tuple[int, int]]] = {}
+        for piece, places in uses.items():
+            for n, offset in places:
+                begins.setdefault(n, []).extend((a - offset, b - offset) for a, b in runs[piece])
         if len(self.short):
-            for last, (length, uses) in self.short.iter(text):
-                yield from ((n, last + 1 - length) for n in uses)
+            for last, (length, items) in self.short.iter(text):
+                for n in items:
+                    begins.setdefault(n, []).append((last + 1 - length, last + 1 - length))
+        return {n: merged(x, 2 * self.items[n][2]) for n, x in begins.items()}
+
+    def _ends(self, text: str, n: int, intervals: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """(end, distance) within the budget of item n, interval by interval."""
+        _, pattern, k = self.items[n]
+        for first, last in intervals:
+            low = max(0, first - k)
+            window = text[low:last + len(pattern) + k]
+            yield from ((low + i, d) for i, d in enumerate(distances(pattern, window), 1) if d <= k)
 
     def leaks(self, raw: str | None) -> list[tuple[int, int, int, int]]:
         """(item_id, start, end, distance) of every occurrence within the items' error budgets."""
-        if not raw:
-            return []
-        text = fold(raw)
-        done: dict[int, list[tuple[int, int]]] = {}
-        out = []
-        for n, begin in self._hits(text):
+        text, out = fold(raw or ""), []
+        for n, intervals in self._intervals(text).items():
             item_id, pattern, k = self.items[n]
-            if any(a <= begin <= b for a, b in done.get(n, ())):
-                continue
-            low = max(0, begin - k)
-            distance, end = best_match(pattern, text[low:begin + len(pattern) + k])
-            if distance > k:
-                continue
-            _, size = best_match(pattern[::-1], text[low:low + end][::-1])
-            # pieces of one occurrence point to begins within k of each other
-            done.setdefault(n, []).append((begin - 2 * k, begin + 2 * k))
-            out.append((item_id, low + end - size, low + end, distance))
+            for end, distance in nearest_ends(iter(sorted(set(self._ends(text, n, intervals)))), 2 * k):
+                # the occurrence from its end: the shortest of the nearest substrings
+                back = text[max(0, end - len(pattern) - k):end][::-1]
+                out.append((item_id, end - best_match(pattern[::-1], back)[1], end, distance))
         return out
 
+    def any_leak(self, raw: str | None) -> bool:
+        """Whether any item occurs; the first occurrence ends the search."""
+        text = fold(raw or "")
+        return any(True for n, intervals in self._intervals(text).items() for _ in self._ends(text, n, intervals))
+
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -211,6 +261,6 @@ def _without(shared, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(shared.value)
         for batch in batches:
-            yield batch.filter(pa.array([not items.leaks(t.as_py()) for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([not items.any_leak(t.as_py()) for t in batch.column(at)], pa.bool_()))
 
     return run

@@ -1,4 +1,5 @@
 import random
+import time
 
 from codesift.llm import decontaminate
 from llm_data import corpus, empty, frame, prose
@@ -84,3 +85,50 @@ def test_positions():
     text = "XX The quick\nbrown fox jumps over the lazy dog by the river YY"
     assert items.leaks(text) == [(1, 3, 59, 0)]
     assert items.leaks(text.replace("fox", "f0x")) == [(1, 3, 59, 1)]
+
+
+def test_repetitive_texts_cost_their_length():
+    item = "a" * 420
+    items = decontaminate.Items([(1, item)])
+    for n in (380, 1000, 2000):
+        begun = time.perf_counter()
+        found = items.leaks("a" * n)
+        assert time.perf_counter() - begun < 0.3
+        assert bool(found) == (n >= 420 - decontaminate.edit_budget(420))
+        assert all(d == 0 for _, a, b, d in found if n >= 420 and b - a == 420)
+    many = decontaminate.Items([(i, c * (60 + i)) for i in range(60) for c in ("=-", "ab")])
+    begun = time.perf_counter()
+    text = "=-" * 10_000
+    assert {i for i, *_ in many.leaks(text)} == set(range(60)) and many.any_leak(text)
+    assert time.perf_counter() - begun < 30
+
+
+def test_long_texts_and_neighbouring_occurrences():
+    rng = random.Random(8)
+    item = prose(rng, 30).replace("\n", " ")
+    items = decontaminate.Items([(1, item)])
+    filler = prose(rng, 60_000)
+    text = filler + " " + item + " " + item + " " + edited(rng, item, 3) + " " + filler
+    found = items.leaks(text)
+    assert [(d <= 3) for *_, d in found] == [True] * 3 and [d for *_, d in found][:2] == [0, 0]
+    start = len(filler) + 1
+    assert [(a, b) for _, a, b, _ in found][:2] == [(start, start + len(item)), (start + len(item) + 1, start + 2 * len(item) + 1)]
+
+
+def test_every_occurrence_by_the_full_table():
+    """Each text position where the whole table falls to the budget lies within twice the budget of a reported end."""
+    rng = random.Random(4)
+    for _ in range(60):
+        item = "".join(rng.choice("ab") for _ in range(rng.choice([16, 33, 45, 64])))
+        k = decontaminate.edit_budget(len(item))
+        text = "".join(rng.choice("ab") for _ in range(20)).join(edited(rng, item, rng.randint(0, k + 2)) for _ in range(4))
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(item, 1):
+            new = [i]
+            for j, d in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        ends = [j for j, d in enumerate(row) if d <= k]
+        found = decontaminate.Items([(1, item)]).leaks(text)
+        assert all(any(abs(b - j) <= 2 * k for _, _, b, _ in found) for j in ends)
+        assert all(row[b] == d <= k for _, _, b, d in found) and decontaminate.Items([(1, item)]).any_leak(text) == bool(ends)
