@@ -12,14 +12,16 @@ positions that is named first is chosen by content instead of by a difference co
 2. *Merge.*  The bytes of each run of neighbouring windows with one shared name (its context) are sent to
    one task per name; there the full names of all windows are sorted, and neighbours with equal
    names show which windows also start in a smaller document.
-   A name with more than ``CHUNK`` contexts (the edge of a passage that many documents hold, where each context
-   reaches into the document's own text) is left out there.  Its windows get their full names in their own document's
-   task; a partially aggregated minimum finds the smallest document of each full name, and a join marks the others.
+   A name whose contexts have more than ``CHUNK`` bytes (the edge of a passage that many documents hold, where each context
+   reaches into the document's own text, or a repetitive text, which is one long context) is left out there.  Its windows get
+   their full names in their own document's task, equal windows of a document as one row;
+   a partially aggregated minimum finds the smallest document of each full name, and a join marks the others.
 3. *Remove.*  The covered byte ranges return to their documents.
 
 Rows of one batch with equal names or contexts are combined before a shuffle (a name common to many
-documents leaves each batch once), sorted inputs are read as streams, and each step is written under the shared checkpoint
-folder, so memory is bounded by a batch and by about ``CHUNK`` contexts.
+documents leaves each batch once), sorted inputs are read as streams, long texts are named in slices, and each step is
+written under the shared checkpoint folder, so memory is bounded by a batch, by ``CHUNK`` bytes of contexts and by some bytes
+per byte of a single text.  Names above the bound are a table that is joined, never collected.
 
 Defined cases: a null text is empty, and nothing is removed from it; a null id neither loses bytes nor removes any; rows with equal ids
 do not remove each other's bytes; an empty table gives an empty result; extra columns are ignored.
@@ -34,6 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +46,17 @@ WINDOW = 50
 GRAM = 20
 SPAN = WINDOW - GRAM + 1
 _BASE = 0x9E3779B97F4A7C15
-#: Contexts gathered before their windows are sorted, and the most that one name may have there.
-CHUNK = 100_000
+#: Bytes of contexts gathered before their windows are sorted, and the most that one name may have there.
+CHUNK = 2 << 20
+#: Windows of a text that are named at a time.
+SLICE = 1 << 20
+#: Rows over which the names above the bound are kept.
+SPREAD = 1024
 
 NAMES = "name bigint, doc_id bigint, kind int"
 CONTEXTS = "name bigint, row_id bigint, doc_id bigint, places binary, context binary"
 RANGES = "row_id bigint, ranges binary"
-WINDOWS = "window bigint, doc_id bigint, row_id bigint, place int"
+WINDOWS = "window bigint, doc_id bigint, row_id bigint, ranges binary"
 
 
 def gram_names(codes: np.ndarray, n: int) -> np.ndarray:
@@ -90,6 +97,27 @@ def window_names(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return first, np.r_[first[1:] - 1, len(lowest) - 1], lowest[first]
 
 
+def window_runs(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``window_names`` of a text of any length, slice by slice; a run may be cut between slices, which changes no window's
+    name."""
+    for low in range(0, len(codes) - WINDOW + 1, SLICE):
+        first, last, name = window_names(codes[low:low + SLICE + WINDOW - 1])
+        yield first + low, last + low, name
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a column of binary values."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    return offsets - offsets[0], np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+
+
+def _binary(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A column of binary values from their sizes and their bytes, end to end."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _codes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
@@ -103,7 +131,7 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     The last two bits of kind are 0 for a name seen in one document of the batch.  A name of several documents of the
     batch is known to be shared: its smallest id stands for it (1), the other rows (2) need no comparison.  The
-    rest of kind counts the contexts that the row stands for.
+    rest of kind counts the bytes of the contexts that the row stands for.
     """
     for batch in batches:
         ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
@@ -111,10 +139,14 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(ids, texts):
             codes = _codes(text.as_py())
             if len(codes) >= WINDOW:
-                found, n = np.unique(window_names(codes)[2], return_counts=True)
-                names.append(found)
-                counts.append(n)
-                docs.append(np.full(len(found), doc_id, np.int64))
+                runs = [(n, last - first + WINDOW) for first, last, n in window_runs(codes)]
+                found, size = (np.concatenate(x) for x in zip(*runs))
+                order = np.argsort(found, kind="stable")
+                found = found[order]
+                starts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+                names.append(found[starts])
+                counts.append(np.add.reduceat(size[order], starts))
+                docs.append(np.full(len(starts), doc_id, np.int64))
         if not names:
             continue
         name, doc, count = np.concatenate(names), np.concatenate(docs), np.concatenate(counts)
@@ -132,11 +164,11 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """The rows of names that occur in two documents, from a stream sorted by name; a name with more than
-    ``limit`` contexts also gets a row without an id.
+    ``limit`` bytes of contexts also gets a row without an id.
 
-    Between batches only the last name's evidence is kept: its id, or that it is shared, and its contexts so far.
+    Between batches only the last name's evidence is kept: its id, or that it is shared, and its bytes so far.
     """
-    held = None  # (name, doc_id, known to be shared, row still to be given out, contexts)
+    held = None  # (name, doc_id, known to be shared, row still to be given out, bytes of contexts)
     for batch in batches:
         name, doc, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         count, kind, own = (kind >> 2).astype(np.int64), kind & 3, np.ones(len(name), bool)
@@ -160,8 +192,8 @@ def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iter
             yield _batch(["doc_id", "name"], [pa.array(doc[out]), pa.array(name[out])])
 
 
-def _context_rows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row per distinct context of each batch of (row_id, doc_id, text, shared names), without the ``hot`` names.
+def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per distinct context of each batch of (row_id, doc_id, text, shared names).
 
     The smallest document of the batch with that context carries it on, with all its places there.  In the
     later documents the whole context is covered; their ranges make one row per document, without a context.
@@ -174,20 +206,21 @@ def _context_rows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterato
         rows: list[list] = []
         for i in np.lexsort((row_ids, doc_ids)).tolist():
             codes, row_id, doc_id = _codes(batch.column(2)[i].as_py()), int(row_ids[i]), int(doc_ids[i])
-            first, last, name = window_names(codes)
-            name = name.view(np.int64)
-            keep = np.isin(name, batch.column(3)[i].values.to_numpy(zero_copy_only=False)) & ~np.isin(name, hot)
+            wanted = batch.column(3)[i].values.to_numpy(zero_copy_only=False)
             raw, whole = codes.tobytes(), []
-            for low, high, n in zip(first[keep].tolist(), (last[keep] + WINDOW).tolist(), name[keep].tolist()):
-                context = raw[low:high]
-                at = owner.get(context)
-                if at is not None and rows[at][2] < doc_id:
-                    whole += (low, high)
-                elif at is not None and rows[at][1] == row_id:
-                    rows[at][3].append(low)
-                else:
-                    owner.setdefault(context, len(rows))
-                    rows.append([n, row_id, doc_id, [low], context])
+            for first, last, name in window_runs(codes) if len(wanted) else ():
+                name = name.view(np.int64)
+                keep = np.isin(name, wanted)
+                for low, high, n in zip(first[keep].tolist(), (last[keep] + WINDOW).tolist(), name[keep].tolist()):
+                    context = raw[low:high]
+                    at = owner.get(context)
+                    if at is not None and rows[at][2] < doc_id:
+                        whole += (low, high)
+                    elif at is not None and rows[at][1] == row_id:
+                        rows[at][3].append(low)
+                    else:
+                        owner.setdefault(context, len(rows))
+                        rows.append([n, row_id, doc_id, [low], context])
             if whole:
                 rows.append([row_id, row_id, doc_id, whole, b""])
         if rows:
@@ -196,8 +229,25 @@ def _context_rows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterato
             yield _batch(columns, [pa.array(c, k) for c, k in zip(zip(*rows), kinds)])
 
 
-def _hot_windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(window, doc_id, row_id, place) for the windows with ``hot`` names of each batch of (row_id, doc_id, text).
+def _window_ranges(codes: np.ndarray, hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(window, low, high): the full names of the windows with ``hot`` names and the byte ranges they cover; places of
+    equal windows that touch are one range."""
+    for first, last, name in window_runs(codes):
+        keep = np.isin(name.view(np.int64), hot)
+        if keep.any():
+            low = int(first[0])
+            names = gram_names(codes[low:int(last[-1]) + WINDOW], WINDOW)
+            n = last[keep] - first[keep] + 1
+            place = np.repeat(first[keep] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            window = names[place - low]
+            order = np.argsort(window, kind="stable")  # places of one window stay in order
+            window, place = window[order], place[order]
+            starts = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (place[1:] > place[:-1] + WINDOW)])
+            yield window[starts], place[starts], place[np.r_[starts[1:] - 1, len(place) - 1]] + WINDOW
+
+
+def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, doc_id, row_id, ranges) for the windows with hot names of each batch of (row_id, doc_id, text, hot names).
 
     The smallest document of the batch stands for a window; the later documents are covered there already, and
     their rows have a null window.
@@ -205,101 +255,114 @@ def _hot_windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator
     for batch in batches:
         row_ids, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         parts = []
-        for row_id, doc_id, text in zip(row_ids, doc_ids, batch.column(2)):
-            codes = _codes(text.as_py())
-            first, last, name = window_names(codes)
-            keep = np.isin(name.view(np.int64), hot)
-            if keep.any():
-                n = last[keep] - first[keep] + 1
-                place = np.repeat(first[keep], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                parts.append((gram_names(codes, WINDOW)[place], np.full(len(place), doc_id), np.full(len(place), row_id), place))
+        for row_id, doc_id, text, names in zip(row_ids, doc_ids, batch.column(2), batch.column(3)):
+            for window, low, high in _window_ranges(_codes(text.as_py()), names.values.to_numpy(zero_copy_only=False)):
+                parts.append((window, np.full(len(window), doc_id), np.full(len(window), row_id), low, high))
         if not parts:
             continue
-        window, doc, row, place = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((doc, window))
-        window, doc, row, place = window[order], doc[order], row[order], place[order]
-        starts = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
-        later = doc > np.repeat(doc[starts], np.diff(np.r_[starts, len(window)]))
-        yield _batch(["window", "doc_id", "row_id", "place"], [
-            pa.array(window.view(np.int64), mask=later), pa.array(doc), pa.array(row), pa.array(place.astype(np.int32))])
-
-
-def _place_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ranges of each batch of (row_id, place), one row per document."""
+        window, doc, row, low, high = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((row, doc, window))
+        window, doc, row, low, high = (x[order] for x in (window, doc, row, low, high))
+        fresh = np.r_[True, window[1:] != window[:-1]]
+        starts = np.flatnonzero(fresh | np.r_[True, row[1:] != row[:-1]])
+        least = doc[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        later = (doc > least)[starts]
+        pairs = np.stack([low, high], axis=-1).astype(np.int32)
+        yield _batch(["window", "doc_id", "row_id", "ranges"], [
+            pa.array(window[starts].view(np.int64), mask=later), pa.array(doc[starts]), pa.array(row[starts]),
+            _binary(8 * np.diff(np.r_[starts, len(row)]), pairs)])
+
+
+def _joined_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges of each batch of (row_id, ranges), one row per document."""
     for batch in batches:
-        row, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        row = batch.column(0).to_numpy(zero_copy_only=False)
         if not len(row):
             continue
-        order = np.argsort(row, kind="stable")
-        row, place = row[order], place[order]
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        found = [np.array(merged([np.stack([p, p + WINDOW], axis=-1)]), np.int32).tobytes() for p in np.split(place, starts[1:])]
-        yield _batch(["row_id", "ranges"], [pa.array(row[starts]), pa.array(found, pa.binary())])
-
-
-def _hot_ranges(carriers: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(row_id, ranges) covered by repeated windows with ``hot`` names."""
-    windows = staged(carriers.select("row_id", "doc_id", "text").mapInArrow(partial(_hot_windows, hot=hot), WINDOWS), "hot-windows")
+        offsets, values = _flat(batch.column(1))
+        pairs = values.view(np.int32).reshape(-1, 2)
+        owner = np.repeat(row, np.diff(offsets) // 8)
+        order = np.argsort(owner, kind="stable")
+        owner, pairs = owner[order], pairs[order]
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        found = [np.array(merged([p]), np.int32).tobytes() for p in np.split(pairs, starts[1:])]
+        yield _batch(["row_id", "ranges"], [pa.array(owner[starts]), pa.array(found, pa.binary())])
+
+
+def _hot_ranges(carriers: DataFrame) -> DataFrame:
+    """(row_id, ranges) covered by repeated windows with hot names."""
+    rows = carriers.filter(F.size("hot_names") > 0).select("row_id", "doc_id", "text", "hot_names")
+    windows = staged(rows.mapInArrow(_hot_windows, WINDOWS), "hot-windows")
     named = windows.filter(F.col("window").isNotNull())
     least = named.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")) \
         .filter(F.col("least") < F.col("last")).select("window", "least")
-    later = named.join(least, "window").filter(F.col("doc_id") > F.col("least")).select("row_id", "place")
-    known = windows.filter(F.col("window").isNull()).select("row_id", "place")
-    return known.unionByName(later).mapInArrow(_place_ranges, RANGES)
+    later = named.join(least, "window").filter(F.col("doc_id") > F.col("least")).select("row_id", "ranges")
+    known = windows.filter(F.col("window").isNull()).select("row_id", "ranges")
+    return known.unionByName(later).mapInArrow(_joined_ranges, RANGES)
 
 
-def _covered(rows: list[tuple]) -> pa.RecordBatch | None:
+def _covered(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Ranges covered by repeated windows, from all the contexts of some names."""
-    out_ids = [r[1] for r in rows if not r[4]]
-    out = [r[3] for r in rows if not r[4]]
-    whole = [r for r in rows if r[4]]
-    if whole:
-        sizes = np.array([len(r[4]) for r in whole])
-        begins = np.cumsum(sizes) - sizes
-        window = gram_names(np.frombuffer(b"".join(r[4] for r in whole), np.uint8), WINDOW)
-        n = sizes - WINDOW + 1
-        ends = np.cumsum(n)
-        owner = np.repeat(np.arange(len(whole)), n)
-        place = np.arange(ends[-1]) - np.repeat(ends - n, n)
-        name = window[np.repeat(begins, n) + place]
-        doc = np.array([r[2] for r in whole], np.int64)[owner]
-        order = np.lexsort((doc, name))
-        name, doc = name[order], doc[order]
-        starts = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
-        least = np.repeat(doc[starts], np.diff(np.r_[starts, len(name)]))
-        again = np.zeros(len(order), bool)
-        again[order] = doc > least
-        hit = np.flatnonzero(again)
-        if len(hit):
-            # runs of neighbouring windows of one context
-            cut = np.r_[True, (owner[hit[1:]] != owner[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)]
-            run = np.flatnonzero(cut)
-            last = np.r_[run[1:] - 1, len(hit) - 1]
-            run_owner, low, high = owner[hit[run]].tolist(), place[hit[run]].tolist(), (place[hit[last]] + WINDOW).tolist()
-            for o, a, b in zip(run_owner, low, high):
-                places = np.frombuffer(whole[o][3], np.int32)
-                out_ids.append(whole[o][1])
-                out.append(np.stack([places + a, places + b], axis=-1).astype(np.int32).tobytes())
-    if not out:
-        return None
-    return _batch(["row_id", "ranges"], [pa.array(out_ids, pa.int64()), pa.array(out, pa.binary())])
-
-
-def _covered_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = pc.equal(pc.binary_length(rows.column(4)), 0)
+    whole = rows.filter(pc.invert(known))
+    if len(whole) < len(rows):
+        yield _batch(["row_id", "ranges"], [rows.column(i).filter(known) for i in (1, 3)])
+    if not len(whole):
+        return
+    offsets, codes = _flat(whole.column(4))
+    begins, n = offsets[:-1], np.diff(offsets) - WINDOW + 1
+    ends = np.cumsum(n)
+    owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    place = np.arange(ends[-1]) - np.repeat(ends - n, n)
+    name = gram_names(codes, WINDOW)[np.repeat(begins, n) + place]
+    doc = whole.column(2).to_numpy(zero_copy_only=False)[owner]
+    order = np.argsort(name)
+    name = name[order]
+    starts = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+    del name
+    sorted_doc = doc[order]
+    least = np.repeat(np.minimum.reduceat(sorted_doc, starts), np.diff(np.r_[starts, len(order)]))
+    hit = np.sort(order[sorted_doc > least])
+    if len(hit):
+        # runs of neighbouring windows of one context, at each place of the context
+        run = np.flatnonzero(np.r_[True, (owner[hit[1:]] != owner[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)])
+        last = np.r_[run[1:] - 1, len(hit) - 1]
+        run_owner, low, high = owner[hit[run]], place[hit[run]], place[hit[last]] + WINDOW
+        offsets, places = _flat(whole.column(3))
+        times = (np.diff(offsets) // 4)[run_owner]
+        at = np.repeat(offsets[run_owner] // 4 - np.cumsum(times) + times, times) + np.arange(times.sum())
+        at = places.view(np.int32)[at]
+        pairs = np.stack([at + np.repeat(low, times), at + np.repeat(high, times)], axis=-1).astype(np.int32)
+        yield _batch(["row_id", "ranges"], [whole.column(1).take(pa.array(run_owner)), _binary(8 * times, pairs)])
+
+
+def _by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``limit`` bytes of a column."""
+    total = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+    cuts = np.flatnonzero(np.diff(total // limit, prepend=0)).tolist()
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if high > low:
+            yield batch.slice(low, high - low)
+
+
+def _covered_rows(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """``_covered`` over a stream sorted by name, some whole names at a time."""
-    held: list[tuple] = []
+    held, size = [], 0
     for batch in batches:
-        held += zip(*(c.to_pylist() for c in batch.columns))
-        if len(held) < CHUNK:
-            continue
-        end = len(held)
-        while end and held[end - 1][0] == held[-1][0]:
-            end -= 1
-        if end and (out := _covered(held[:end])) is not None:
-            yield out
-        held = held[end:]
-    if held and (out := _covered(held)) is not None:
-        yield out
+        for part in _by_bytes(batch, 4, limit):
+            held.append(part)
+            size += (pc.sum(pc.binary_length(part.column(4))).as_py() or 0) + 64 * part.num_rows
+            if size < limit:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            name = rows.column(0).to_numpy(zero_copy_only=False)
+            end = int(np.searchsorted(name, name[-1]))
+            if end:
+                yield from _covered(rows.slice(0, end))
+            held = [rows.slice(end)]
+            size = pc.sum(pc.binary_length(held[0].column(4))).as_py() + 64 * held[0].num_rows
+    if held:
+        yield from _covered(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +397,7 @@ def merged(ranges: list[np.ndarray]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = CHUNK) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) per row of ``docs``; ``kept`` has the remaining bytes.
 
-    Names with more than ``limit`` contexts are compared by full window names; the result is the same."""
+    Names with more than ``limit`` bytes of contexts are compared by full window names; the result is the same."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = rows.withColumn("row_id", F.xxhash64("doc_id", "text"))
     known = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
@@ -344,17 +407,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spread = F.when(F.col("kind").bitwiseAND(3) == 2, F.xxhash64("doc_id")).otherwise(F.col("name"))
     names = names.repartition(spread).sortWithinPartitions("name").mapInArrow(
         partial(_shared_names, limit=limit), "doc_id bigint, name bigint")
-    shared = staged(names.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "shared-names")
-
-    # one row without an id; at most one name for every ``limit`` contexts
-    hot = np.array([n for r in shared.filter(F.col("doc_id").isNull()).collect() for n in r.names], np.int64)
-    carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(shared, "doc_id") \
-        .select("row_id", "doc_id", "text", "names")
-    contexts = carriers.mapInArrow(partial(_context_rows, hot=hot), CONTEXTS)
+    spot = F.when(F.col("doc_id").isNull(), F.pmod(F.col("name"), F.lit(SPREAD)))
+    shared = staged(names.groupBy("doc_id", spot.alias("spot")).agg(F.collect_set("name").alias("names")), "shared-names")
+
+    hot = shared.filter(F.col("doc_id").isNull()).select(F.explode("names").alias("name")).withColumn("hot", F.lit(True))
+    usual = shared.filter(F.col("doc_id").isNotNull()).select("doc_id", "names", F.array().cast("array<bigint>").alias("hot_names"))
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        told = usual.select("doc_id", F.explode("names").alias("name")).join(hot, "name", "left")
+        usual = staged(told.groupBy("doc_id").agg(F.collect_set(F.when(F.col("hot").isNull(), F.col("name"))).alias("names"),
+                                                  F.collect_set(F.when(F.col("hot"), F.col("name"))).alias("hot_names")), "told-names")
+    carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(usual, "doc_id") \
+        .select("row_id", "doc_id", "text", "names", "hot_names")
+    contexts = carriers.select("row_id", "doc_id", "text", "names").mapInArrow(_context_rows, CONTEXTS)
     spread = F.when(F.octet_length("context") == 0, F.xxhash64("row_id")).otherwise(F.col("name"))
     covered = contexts.repartition(spread).sortWithinPartitions("name").mapInArrow(_covered_rows, RANGES)
-    if len(hot):
-        covered = covered.unionByName(_hot_ranges(carriers, hot))
+    if any_hot:
+        covered = covered.unionByName(_hot_ranges(carriers))
     ranges = staged(covered.groupBy("row_id").agg(F.collect_list("ranges").alias("ranges")), "covered-ranges")
 
     return keyed.join(ranges, "row_id", "left").select("doc_id", "text", "ranges").mapInArrow(

@@ -88,9 +88,10 @@ def test_a_name_with_many_contexts_does_not_meet_in_one_task(spark, monkeypatch)
                        for i in range(60)]
     seen = []
     whole = suffix_dedup._hot_ranges
-    monkeypatch.setattr(suffix_dedup, "_hot_ranges", lambda carriers, hot: seen.append(len(hot)) or whole(carriers, hot))
+    hot_names = lambda c: len({n for r in c.select("hot_names").collect() for n in r.hot_names})
+    monkeypatch.setattr(suffix_dedup, "_hot_ranges", lambda carriers: seen.append(hot_names(carriers)) or whole(carriers))
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
-    for limit in (4, 40):
+    for limit in (200, 3000):  # bytes of contexts
         got = suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect()
         assert sorted(map(tuple, got), key=key) == sorted(brute_force(rows), key=key)
     assert len(seen) == 2 and seen[0] > seen[1] > 0
@@ -106,3 +107,71 @@ def test_hot_names_are_told_once_across_batches():
                    for a, b in zip(cuts, cuts[1:])]
         out = [(n, d) for b in suffix_dedup._shared_names(iter(batches), limit=5) for d, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
         assert [n for n, d in out if d is None] == [1]
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 3, 5000).astype(np.uint8)
+    want = {i: n for a, b, n in zip(*(x.tolist() for x in suffix_dedup.window_names(codes))) for i in range(a, b + 1)}
+    monkeypatch.setattr(suffix_dedup, "SLICE", 700)
+    got = {i: n for run in suffix_dedup.window_runs(codes) for a, b, n in zip(*(x.tolist() for x in run)) for i in range(a, b + 1)}
+    assert got == want
+    rows = corpus()
+    for limit in (200, 1 << 20):
+        got = suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect()
+        key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+        assert sorted(map(tuple, got), key=key) == sorted(brute_force(rows), key=key)
+
+
+def test_repetitive_texts(spark):
+    rows = [(i, "a" * (40 + 7 * i)) for i in range(40)] + [(100 + i, "=-" * (20 + 5 * i) + "!" * i) for i in range(30)]
+    rows += [(200 + i, "one phrase again. " * (3 + i)) for i in range(20)]
+    rows = [(i, t, "h", "s") for i, t in rows]
+    want = sorted(brute_force(rows))
+    for limit in (300, 5000, suffix_dedup.CHUNK):
+        assert sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect())) == want
+
+
+MEMORY = """
+import resource, sys
+sys.path[:0] = [{repo!r}]
+import numpy as np, pyarrow as pa
+from codesift.llm import suffix_dedup as sd
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+def rows(texts, width):
+    # (name, row_id, doc_id, places, context) as the contexts of these texts would arrive
+    out = []
+    for i, t in enumerate(texts):
+        for first, last, name in sd.window_runs(sd._codes(t)):
+            for a, b, n in zip(first.tolist(), last.tolist(), name.view(np.int64).tolist()):
+                out.append((n, i, i, np.array([a], np.int32).tobytes(), t[a:b + sd.WINDOW].encode()))
+    out.sort(key=lambda r: r[0])
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 2
+    for low in range(0, len(out), 500):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[low:low + 500]), kinds)],
+                                         names=["name", "row_id", "doc_id", "places", "context"])
+texts = ["a" * (9_000 + i) for i in range(3000)]  # 31 MB, one name
+hot = sd.window_names(sd._codes(texts[0]))[2].view(np.int64)
+batch = lambda part, at: pa.RecordBatch.from_arrays([pa.array(range(at, at + len(part)), pa.int64())] * 2 + [
+    pa.array(part), pa.array([hot.tolist()] * len(part), pa.list_(pa.int64()))], names=["row_id", "doc_id", "text", "hot"])
+seen = sum(b.num_rows for b in sd._hot_windows(batch(texts[i:i + 500], i) for i in range(0, 3000, 500)))
+assert seen == 3000, seen
+big = "".join(map(chr, np.random.default_rng(0).integers(97, 123, 20_000_000).astype(np.uint8)))
+n = sum(b.num_rows for b in sd._name_rows(iter([pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([big])], names=["i", "t"])])))
+assert n > 100_000
+contexts = [t for t in rows(["word %d and some more text behind it, long enough to matter" % i * 40 for i in range(2000)], 0)]
+out = sum(b.num_rows for b in sd._covered_rows(iter(contexts)))
+print("MB", (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)
+"""
+
+
+def test_memory_stays_bounded():
+    """3,000 texts of one letter, a text of 20 MB and 5 MB of contexts, one after the other in one process."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", MEMORY.format(repo=repo)], capture_output=True, text=True, timeout=300)
+    assert "MB" in out.stdout, out.stderr[-1500:]
+    assert int(out.stdout.split("MB")[1]) < 800
