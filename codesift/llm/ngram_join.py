@@ -15,7 +15,8 @@ documents link when 100 * intersection >= percent * union.
    that are connected by then need no comparison with each other; in branches that still hold several components,
    sets outside the largest one are compared with the sets of other components, once per pair,
    and only if they share as many branches as linked sets must and their bitmaps differ in no
-   more bits than linked sets can.  So a family costs comparisons in proportion to
+   more bits than linked sets can.  Each set is compared on its rarer branches, and a branch that is still large is cut into
+   blocks that meet pairwise in separate tasks.  So a family costs comparisons in proportion to
    its size, and no link between components is lost.
 
 Branches are streams sorted by name; a probe meets its candidates in blocks of at most ``BLOCK``, and a
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,8 @@ SPARE, SPARE_SHARE = 4, 12
 BITS = 2048
 #: Candidates of a probe per tree.
 BLOCK = 256
+#: Sets of an open branch that meet in one task at least; a large branch has larger blocks, 16 times the root of its size.
+OPEN_BLOCK = 1024
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
@@ -298,52 +302,99 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+OPEN = ("branch bigint, probes int, members int, role int, class bigint, root bigint, inside boolean, kind int, "
+        "all array<bigint>, n_shingles bigint, bits binary")
+
+
+def open_cells(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """The comparisons that open branches still need (see ``OPEN``), from (branch, class, root, space, kind).
+
+    Rare branches first: ``all`` are a class's branches by their size, smallest first, an order in which all classes agree.
+    Linked sets share ``need`` branches, so the first one they share is not among the last ``need - 1`` of either; a class
+    is compared on the others only.  What is left of a branch becomes cells: blocks of the sets outside its largest
+    component (role 0) against blocks of all its sets (role 1), so no task holds a whole branch.
+    """
+    by_root = left.groupBy("branch", "root").agg(F.count(F.lit(1)).alias("n"))
+    about = by_root.groupBy("branch").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("top"))
+    block = F.greatest(F.lit(OPEN_BLOCK), F.ceil(16 * F.sqrt("size")))
+    about = about.select(
+        "branch", F.col("top.root").alias("most"), F.ceil(F.col("size") / block).cast("int").alias("member_blocks"),
+        F.ceil((F.col("size") - F.col("top.n")) / block).cast("int").alias("probe_blocks"),
+        "size")
+    ranked = left.join(about, "branch")
+    lists = ranked.groupBy("class", "space").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("size", "branch"))), lambda x: x["branch"]).alias("all"))
+    shapes = sets.join(left.select("class").distinct(), "class", "left_semi").groupBy("class").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
+    need = F.shiftright("kind", 1)
+    rows = ranked.join(lists, ["class", "space"]) \
+        .filter(F.array_position("all", F.col("branch")) <= F.size("all") - need + 1) \
+        .join(shapes, "class").withColumn("inside", F.col("root") == F.col("most"))
+
+    def role(rows: DataFrame, no: int, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("class"), F.col(f"{own}_blocks")).cast("int")
+        rows = rows.filter(f"{own}_blocks > 0 AND {other}_blocks > 0") \
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))).withColumn("_own", mine)
+        probes, members = ("_own", "_other") if no == 0 else ("_other", "_own")
+        return rows.select("branch", F.col(probes).alias("probes"), F.col(members).alias("members"), F.lit(no).alias("role"),
+                           "class", "root", "inside", "kind", "all", "n_shingles", "bits")
+
+    return role(rows.filter(~F.col("inside")), 0, "probe", "member").unionByName(role(rows, 1, "member", "probe"))
+
+
+class _OpenSets:
+    """Some rows of a cell as arrays."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.own, self.root, self.inside, self.kind, self.sizes = (
+            rows.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6, 7, 9))
+        self.every = rows.column(8).flatten().to_numpy(zero_copy_only=False)
+        self.begins = np.r_[0, np.cumsum(pc.list_value_length(rows.column(8)).to_numpy())]
+        self.bits = np.frombuffer(b"".join(rows.column(10).to_pylist()), np.uint64).reshape(len(self.own), -1)
+        self.need, self.base = self.kind >> 1, (self.kind & 1) == 1
+
+
 def _open_pairs(percent: int):
-    """(hub, class) pairs still to be compared, from a stream of (branch, class, root, kind, all, n_shingles,
-    bits) sorted by branch; ``all`` are the class's open branches in the branch's space.
+    """(hub, class) pairs still to be compared, from a stream of cells (see ``open_cells``), probes first.
 
-    Every set outside a branch's largest component is paired with the sets of other components that
-    it may be linked to; a pair is given out on the smallest of its common branches only.
+    A probe is paired with the sets of other components that it may be linked to: their bitmaps differ in no more bits than
+    linked sets can, and they share as many branches as either demands.  A pair is given out on the
+    first of its common branches only, and two sets outside the largest component once.
     """
 
-    def pairs(branch: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        own, root, kind, sizes = (np.array([r[i] for r in rows]) for i in (0, 1, 2, 4))
-        roots, which, counts = np.unique(root, return_inverse=True, return_counts=True)
-        if len(roots) < 2:
-            return
-        lists = [np.sort(np.array(r[3], np.int64)) for r in rows]
-        every = np.concatenate(lists)
-        begins = np.cumsum([0] + [len(x) for x in lists[:-1]])
-        bits = np.frombuffer(b"".join(r[5] for r in rows), np.uint64).reshape(len(rows), -1)
-        need, base = kind >> 1, (kind & 1) == 1
-        largest = int(counts.argmax())
-        for i in np.flatnonzero(which != largest).tolist():
-            # two sets outside the largest component are paired once
-            may = ((which == largest) | ((which != which[i]) & (own > own[i]))) & (base | base[i])
-            differ = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
-            may &= (100 + percent) * differ <= (100 - percent) * (sizes + sizes[i])
-            if not may.any():
-                continue
-            at = np.searchsorted(lists[i], every)
-            at[at == len(lists[i])] = 0
-            common = lists[i][at] == every
-            shared = np.add.reduceat(common.astype(np.int64), begins)
-            least = np.minimum.reduceat(np.where(common, every, np.iinfo(np.int64).max), begins)
-            found = own[may & (least == branch) & (shared >= np.maximum(need, need[i]))]
-            if len(found):
-                yield _arrow(["hub", "class"], [pa.array(np.full(len(found), own[i])), pa.array(found)])
+    def pairs(branch: int, held: list[_OpenSets], rows: _OpenSets) -> Iterator[pa.RecordBatch]:
+        for p in held:
+            for i in range(len(p.own)):
+                may = (rows.root != p.root[i]) & (rows.inside | (rows.own > p.own[i])) & (rows.base | p.base[i])
+                if not may.any():
+                    continue
+                may = np.flatnonzero(may)
+                differ = np.bitwise_count(rows.bits[may] ^ p.bits[i]).sum(axis=1, dtype=np.int64)
+                may = may[(100 + percent) * differ <= (100 - percent) * (rows.sizes[may] + p.sizes[i])]
+                mine, found = p.every[p.begins[i]:p.begins[i + 1]], []
+                for j in may.tolist():
+                    common = mine[np.isin(mine, rows.every[rows.begins[j]:rows.begins[j + 1]])]
+                    if len(common) >= max(rows.need[j], p.need[i]) and common[0] == branch:
+                        found.append(rows.own[j])
+                if found:
+                    yield _arrow(["hub", "class"], [pa.array(np.full(len(found), p.own[i])), pa.array(found, pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, []
+        cell, held = None, []
         for batch in batches:
-            for branch, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if branch != last:
-                    if held:
-                        yield from pairs(last, held)
-                    last, held = branch, []
-                held.append(tuple(row))
-        if held:
-            yield from pairs(last, held)
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)])
+            cuts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+            for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+                key = tuple(keys[:3, low].tolist())
+                if key != cell:
+                    cell, held = key, []
+                part = _OpenSets(batch.slice(low, high - low)) if held or keys[3, low] == 0 else None
+                if keys[3, low] == 0:
+                    held.append(part)
+                elif held:
+                    yield from pairs(key[0], held, part)
 
     return run
 
@@ -368,12 +419,9 @@ def links_and_components(docs: DataFrame, sets: DataFrame, n: int, percent: int,
         .withColumn("root", F.coalesce("root", "class"))
     still = placed.groupBy("branch").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("branch")
     left = staged(placed.join(still, "branch").select("branch", "class", "root", "space", "kind"), "open-branches")
-    lists = left.groupBy("class", "space").agg(F.collect_list("branch").alias("all"))
-    shapes = sets.join(left.select("class").distinct(), "class", "left_semi").groupBy("class").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
-    rows = left.join(lists, ["class", "space"]).join(shapes, "class") \
-        .select("branch", "class", "root", "kind", "all", "n_shingles", "bits")
-    pairs = rows.repartition("branch").sortWithinPartitions("branch").mapInArrow(_open_pairs(percent), "hub bigint, class bigint")
+    cell = ["branch", "probes", "members"]
+    pairs = open_cells(left, sets).repartition(*cell).sortWithinPartitions(*cell, "role") \
+        .mapInArrow(_open_pairs(percent), "hub bigint, class bigint")
     compared = star.unionByName(star.select(F.col("class").alias("hub"), F.col("hub").alias("class")))
     pairs = staged(pairs.join(compared, ["hub", "class"], "left_anti"), "open-pairs")
     if pairs.isEmpty():

@@ -141,3 +141,56 @@ def test_bitmaps_bound_the_difference():
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], b[:20]]))
         x, y = (np.frombuffer(ngram_join.bitmap(s), np.uint64) for s in (a, b))
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def templated(n, seed=5):
+    """Texts of one template with own words, all alike on the template and hardly ever linked, and some linked pairs."""
+    rng = random.Random(seed)
+    template = [f"fixed{i}" for i in range(26)]
+    rows = []
+    for i in range(n):
+        own = [f"own{rng.randrange(10 ** 9)}" for _ in range(18)]
+        if i % 40 == 1:
+            own = rows[-1][1].split()[26:]
+            own[3] = "changed"
+        rows.append((i, " ".join(template + own), "h", "s"))
+    return rows
+
+
+def test_one_templated_family(spark, monkeypatch):
+    rows = templated(700)
+    monkeypatch.setattr(ngram_join, "OPEN_BLOCK", 32)
+    largest = []
+    whole = ngram_join.open_cells
+    def cells(left, sets):
+        out = whole(left, sets)
+        sizes = out.groupBy("branch", "probes", "members").count().agg({"count": "max"}).first()[0]
+        hot = left.groupBy("branch").count().agg({"count": "max"}).first()[0]
+        largest.append((sizes or 0, hot or 0))
+        return out
+    monkeypatch.setattr(ngram_join, "open_cells", cells)
+    for n, percent in ((3, 90), (3, 80)):
+        got = ngram_join.similar_groups(frame(spark, rows), n, percent)
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(brute_force([r[:2] for r in rows], n, percent))
+    blocks = max(32, 16 * 700 ** 0.5)
+    assert all(size <= 4 * blocks for size, _ in largest)
+
+
+def test_blocks_of_a_branch_lose_no_pair(spark, monkeypatch):
+    """Open branches that hold far more sets than a block, with links across all blocks."""
+    left = [(b, c, c if c % 5 else 0, 0, 2 * 2 + 1) for c in range(200) for b in (1 << 60, 1 << 61, (1 << 62) + c // 2)]
+    sets = [(c, 40, bytes(256)) for c in range(200)]
+    df = spark.createDataFrame(left, "branch bigint, class bigint, root bigint, space int, kind int")
+    shapes = spark.createDataFrame(sets, "class bigint, n_shingles bigint, bits binary")
+    want = {(a, b) for a in range(200) for b in range(a) if (a if a % 5 else 0) != (b if b % 5 else 0)}
+    seen = []
+    for block in (7, 10_000):
+        monkeypatch.setattr(ngram_join, "OPEN_BLOCK", block)
+        monkeypatch.setattr(ngram_join.F, "sqrt", lambda c: ngram_join.F.lit(0.1))
+        cells = ngram_join.open_cells(df, shapes)
+        pairs = cells.repartition(3, "branch", "probes", "members").sortWithinPartitions("branch", "probes", "members", "role") \
+            .mapInArrow(ngram_join._open_pairs(90), "hub bigint, class bigint").collect()
+        got = [(max(r), min(r)) for r in map(tuple, pairs)]
+        assert len(got) == len(set(got)) and set(got) == want
+        seen.append(cells.groupBy("branch", "probes", "members").count().agg({"count": "max"}).first()[0])
+    assert seen[0] < 80 < seen[1]
