@@ -12,16 +12,16 @@ positions that is named first is chosen by content instead of by a difference co
 2. *Merge.*  The bytes of each run of neighbouring windows with one shared name (its context) are sent to
    one task per name; there the full names of all windows are sorted, and neighbours with equal
    names show which windows also start in a smaller document.
-   A name whose contexts have more than ``CHUNK`` bytes (the edge of a passage that many documents hold, where each context
+   A name whose contexts have more than ``MOST`` bytes (the edge of a passage that many documents hold, where each context
    reaches into the document's own text, or a repetitive text, which is one long context) is left out there.  Its windows get
-   their full names in their own document's task, equal windows of a document as one row;
-   a partially aggregated minimum finds the smallest document of each full name, and a join marks the others.
+   their full names in their own document's task, equal windows of a document as one row, and travel by these names in the
+   same shuffle; sorted by full name and id, the first row of a name is its smallest document.
 3. *Remove.*  The covered byte ranges return to their documents.
 
 Rows of one batch with equal names or contexts are combined before a shuffle (a name common to many
 documents leaves each batch once), sorted inputs are read as streams, long texts are named in slices, and each step is
-written under the shared checkpoint folder, so memory is bounded by a batch, by ``CHUNK`` bytes of contexts and by some bytes
-per byte of a single text.  Names above the bound are a table that is joined, never collected.
+written under the shared checkpoint folder, so memory is bounded by a batch, by ``CHUNK`` and ``MOST`` bytes of contexts and by
+some bytes per byte of a single text.  Names above the bound are a table that is joined, never collected.
 
 Defined cases: a null text is empty, and nothing is removed from it; a null id neither loses bytes nor removes any; rows with equal ids
 do not remove each other's bytes; an empty table gives an empty result; extra columns are ignored.
@@ -46,8 +46,12 @@ WINDOW = 50
 GRAM = 20
 SPAN = WINDOW - GRAM + 1
 _BASE = 0x9E3779B97F4A7C15
-#: Bytes of contexts gathered before their windows are sorted, and the most that one name may have there.
+#: Bytes of contexts gathered before their windows are sorted.
 CHUNK = 2 << 20
+#: Bytes of contexts that one name may have there.
+MOST = 8 << 20
+#: Windows sorted at a time.
+STRIPE = 2 << 20
 #: Windows of a text that are named at a time.
 SLICE = 1 << 20
 #: Rows over which the names above the bound are kept.
@@ -56,7 +60,6 @@ SPREAD = 1024
 NAMES = "name bigint, doc_id bigint, kind int"
 CONTEXTS = "name bigint, row_id bigint, doc_id bigint, places binary, context binary"
 RANGES = "row_id bigint, ranges binary"
-WINDOWS = "window bigint, doc_id bigint, row_id bigint, ranges binary"
 
 
 def gram_names(codes: np.ndarray, n: int) -> np.ndarray:
@@ -162,7 +165,7 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(["name", "doc_id", "kind"], [pa.array(name.view(np.int64)), pa.array(doc), pa.array(kind)])
 
 
-def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = MOST) -> Iterator[pa.RecordBatch]:
     """The rows of names that occur in two documents, from a stream sorted by name; a name with more than
     ``limit`` bytes of contexts also gets a row without an id.
 
@@ -192,11 +195,53 @@ def _shared_names(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iter
             yield _batch(["doc_id", "name"], [pa.array(doc[out]), pa.array(name[out])])
 
 
+def _window_ranges(codes: np.ndarray, hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(window, low, high): the full names of the windows with ``hot`` names and the byte ranges they cover; places of
+    equal windows that touch are one range."""
+    for first, last, name in window_runs(codes):
+        keep = np.isin(name.view(np.int64), hot)
+        if keep.any():
+            low = int(first[0])
+            names = gram_names(codes[low:int(last[-1]) + WINDOW], WINDOW)
+            n = last[keep] - first[keep] + 1
+            place = np.repeat(first[keep] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            window = names[place - low]
+            order = np.argsort(window, kind="stable")  # places of one window stay in order
+            window, place = window[order], place[order]
+            starts = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (place[1:] > place[:-1] + WINDOW)])
+            yield window[starts], place[starts], place[np.r_[starts[1:] - 1, len(place) - 1]] + WINDOW
+
+
+def _hot_windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_context_rows`` for the windows with hot names."""
+    row_ids, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+    parts = []
+    for row_id, doc_id, text, names in zip(row_ids, doc_ids, batch.column(2), batch.column(4)):
+        if len(names):
+            for window, low, high in _window_ranges(_codes(text.as_py()), names.values.to_numpy(zero_copy_only=False)):
+                parts.append((window, np.full(len(window), doc_id), np.full(len(window), row_id), low, high))
+    if not parts:
+        return
+    window, doc, row, low, high = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((row, doc, window))
+    window, doc, row, low, high = (x[order] for x in (window, doc, row, low, high))
+    fresh = np.r_[True, window[1:] != window[:-1]]
+    starts = np.flatnonzero(fresh | np.r_[True, row[1:] != row[:-1]])
+    least = doc[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    later = (doc > least)[starts]
+    ranges = _binary(8 * np.diff(np.r_[starts, len(row)]), np.stack([low, high], axis=-1).astype(np.int32))
+    name = np.where(later, row[starts], window[starts].view(np.int64))
+    yield _batch(["name", "row_id", "doc_id", "places", "context"], [
+        pa.array(name), pa.array(row[starts]), pa.array(doc[starts]), ranges,
+        pc.if_else(pa.array(later), pa.scalar(b""), pa.scalar(None, pa.binary()))])
+
+
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per distinct context of each batch of (row_id, doc_id, text, shared names).
+    """One row per distinct context of each batch of (row_id, doc_id, text, shared names, hot names), and one per distinct
+    window with a hot name, which has a null context and goes by the window's full name.
 
-    The smallest document of the batch with that context carries it on, with all its places there.  In the
-    later documents the whole context is covered; their ranges make one row per document, without a context.
+    The smallest document of the batch with that context or window carries it on, with all its places there.  In the
+    later documents it is covered; their ranges make rows with an empty context.
     """
     columns = ["name", "row_id", "doc_id", "places", "context"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
@@ -227,78 +272,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for r in rows:
                 r[3] = np.array(r[3], np.int32).tobytes()
             yield _batch(columns, [pa.array(c, k) for c, k in zip(zip(*rows), kinds)])
-
-
-def _window_ranges(codes: np.ndarray, hot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(window, low, high): the full names of the windows with ``hot`` names and the byte ranges they cover; places of
-    equal windows that touch are one range."""
-    for first, last, name in window_runs(codes):
-        keep = np.isin(name.view(np.int64), hot)
-        if keep.any():
-            low = int(first[0])
-            names = gram_names(codes[low:int(last[-1]) + WINDOW], WINDOW)
-            n = last[keep] - first[keep] + 1
-            place = np.repeat(first[keep] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            window = names[place - low]
-            order = np.argsort(window, kind="stable")  # places of one window stay in order
-            window, place = window[order], place[order]
-            starts = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (place[1:] > place[:-1] + WINDOW)])
-            yield window[starts], place[starts], place[np.r_[starts[1:] - 1, len(place) - 1]] + WINDOW
-
-
-def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, doc_id, row_id, ranges) for the windows with hot names of each batch of (row_id, doc_id, text, hot names).
-
-    The smallest document of the batch stands for a window; the later documents are covered there already, and
-    their rows have a null window.
-    """
-    for batch in batches:
-        row_ids, doc_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        parts = []
-        for row_id, doc_id, text, names in zip(row_ids, doc_ids, batch.column(2), batch.column(3)):
-            for window, low, high in _window_ranges(_codes(text.as_py()), names.values.to_numpy(zero_copy_only=False)):
-                parts.append((window, np.full(len(window), doc_id), np.full(len(window), row_id), low, high))
-        if not parts:
-            continue
-        window, doc, row, low, high = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((row, doc, window))
-        window, doc, row, low, high = (x[order] for x in (window, doc, row, low, high))
-        fresh = np.r_[True, window[1:] != window[:-1]]
-        starts = np.flatnonzero(fresh | np.r_[True, row[1:] != row[:-1]])
-        least = doc[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        later = (doc > least)[starts]
-        pairs = np.stack([low, high], axis=-1).astype(np.int32)
-        yield _batch(["window", "doc_id", "row_id", "ranges"], [
-            pa.array(window[starts].view(np.int64), mask=later), pa.array(doc[starts]), pa.array(row[starts]),
-            _binary(8 * np.diff(np.r_[starts, len(row)]), pairs)])
-
-
-def _joined_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ranges of each batch of (row_id, ranges), one row per document."""
-    for batch in batches:
-        row = batch.column(0).to_numpy(zero_copy_only=False)
-        if not len(row):
-            continue
-        offsets, values = _flat(batch.column(1))
-        pairs = values.view(np.int32).reshape(-1, 2)
-        owner = np.repeat(row, np.diff(offsets) // 8)
-        order = np.argsort(owner, kind="stable")
-        owner, pairs = owner[order], pairs[order]
-        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        found = [np.array(merged([p]), np.int32).tobytes() for p in np.split(pairs, starts[1:])]
-        yield _batch(["row_id", "ranges"], [pa.array(owner[starts]), pa.array(found, pa.binary())])
-
-
-def _hot_ranges(carriers: DataFrame) -> DataFrame:
-    """(row_id, ranges) covered by repeated windows with hot names."""
-    rows = carriers.filter(F.size("hot_names") > 0).select("row_id", "doc_id", "text", "hot_names")
-    windows = staged(rows.mapInArrow(_hot_windows, WINDOWS), "hot-windows")
-    named = windows.filter(F.col("window").isNotNull())
-    least = named.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")) \
-        .filter(F.col("least") < F.col("last")).select("window", "least")
-    later = named.join(least, "window").filter(F.col("doc_id") > F.col("least")).select("row_id", "ranges")
-    known = windows.filter(F.col("window").isNull()).select("row_id", "ranges")
-    return known.unionByName(later).mapInArrow(_joined_ranges, RANGES)
+        yield from _hot_windows(batch)
 
 
 def _covered(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -313,16 +287,19 @@ def _covered(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     begins, n = offsets[:-1], np.diff(offsets) - WINDOW + 1
     ends = np.cumsum(n)
     owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
-    place = np.arange(ends[-1]) - np.repeat(ends - n, n)
+    place = np.arange(ends[-1], dtype=np.int32) - np.repeat(ends - n, n).astype(np.int32)
     name = gram_names(codes, WINDOW)[np.repeat(begins, n) + place]
-    doc = whole.column(2).to_numpy(zero_copy_only=False)[owner]
-    order = np.argsort(name)
-    name = name[order]
-    starts = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
-    del name
-    sorted_doc = doc[order]
-    least = np.repeat(np.minimum.reduceat(sorted_doc, starts), np.diff(np.r_[starts, len(order)]))
-    hit = np.sort(order[sorted_doc > least])
+    doc = whole.column(2).to_numpy(zero_copy_only=False)
+    stripes, found = -(-len(name) // STRIPE), []
+    for k in range(stripes):  # equal windows are in one stripe
+        order = np.flatnonzero(name % np.uint64(stripes) == k) if stripes > 1 else np.arange(len(name))
+        if not len(order):
+            continue
+        order = order[np.argsort(name[order])]
+        starts = np.flatnonzero(np.r_[True, np.diff(name[order].view(np.int64)) != 0])
+        docs = doc[owner[order]]
+        found.append(order[docs > np.repeat(np.minimum.reduceat(docs, starts), np.diff(np.r_[starts, len(order)]))])
+    hit = np.sort(np.concatenate(found))
     if len(hit):
         # runs of neighbouring windows of one context, at each place of the context
         run = np.flatnonzero(np.r_[True, (owner[hit[1:]] != owner[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)])
@@ -336,22 +313,39 @@ def _covered(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield _batch(["row_id", "ranges"], [whole.column(1).take(pa.array(run_owner)), _binary(8 * times, pairs)])
 
 
-def _by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``limit`` bytes of a column."""
-    total = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+def _by_bytes(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``limit`` bytes of contexts."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(4)), 0).to_numpy().astype(np.int64))
     cuts = np.flatnonzero(np.diff(total // limit, prepend=0)).tolist()
     for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
         if high > low:
             yield batch.slice(low, high - low)
 
 
+def _size(rows: pa.RecordBatch) -> int:
+    return (pc.sum(pc.binary_length(rows.column(4))).as_py() or 0) + 64 * rows.num_rows
+
+
 def _covered_rows(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """``_covered`` over a stream sorted by name, some whole names at a time."""
-    held, size = [], 0
+    """The covered ranges from a stream of ``_context_rows`` sorted by name and id: contexts some whole names at a time,
+    windows with hot names as they come."""
+    held, size, last, least = [], 0, None, None
     for batch in batches:
-        for part in _by_bytes(batch, 4, limit):
+        alone = pc.is_null(batch.column(4))
+        hot = batch.filter(alone)
+        if len(hot):
+            name, doc = (hot.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            starts = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+            first = doc[starts]
+            if name[0] == last:
+                first[0] = least
+            later = pa.array(doc > np.repeat(first, np.diff(np.r_[starts, len(doc)])))
+            last, least = name[-1], first[-1]
+            yield _batch(["row_id", "ranges"], [hot.column(i).filter(later) for i in (1, 3)])
+            batch = batch.filter(pc.invert(alone))
+        for part in _by_bytes(batch, limit):
             held.append(part)
-            size += (pc.sum(pc.binary_length(part.column(4))).as_py() or 0) + 64 * part.num_rows
+            size += _size(part)
             if size < limit:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
@@ -360,7 +354,7 @@ def _covered_rows(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iter
             if end:
                 yield from _covered(rows.slice(0, end))
             held = [rows.slice(end)]
-            size = pc.sum(pc.binary_length(held[0].column(4))).as_py() + 64 * held[0].num_rows
+            size = _size(held[0])
     if held:
         yield from _covered(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
@@ -394,7 +388,7 @@ def merged(ranges: list[np.ndarray]) -> list[tuple[int, int]]:
     return list(zip(pairs[cut, 0].tolist(), reach[np.r_[cut[1:] - 1, len(pairs) - 1]].tolist()))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = CHUNK) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MOST) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) per row of ``docs``; ``kept`` has the remaining bytes.
 
     Names with more than ``limit`` bytes of contexts are compared by full window names; the result is the same."""
@@ -410,20 +404,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = F.when(F.col("doc_id").isNull(), F.pmod(F.col("name"), F.lit(SPREAD)))
     shared = staged(names.groupBy("doc_id", spot.alias("spot")).agg(F.collect_set("name").alias("names")), "shared-names")
 
-    hot = shared.filter(F.col("doc_id").isNull()).select(F.explode("names").alias("name")).withColumn("hot", F.lit(True))
-    usual = shared.filter(F.col("doc_id").isNotNull()).select("doc_id", "names", F.array().cast("array<bigint>").alias("hot_names"))
-    any_hot = not hot.isEmpty()
-    if any_hot:
-        told = usual.select("doc_id", F.explode("names").alias("name")).join(hot, "name", "left")
-        usual = staged(told.groupBy("doc_id").agg(F.collect_set(F.when(F.col("hot").isNull(), F.col("name"))).alias("names"),
-                                                  F.collect_set(F.when(F.col("hot"), F.col("name"))).alias("hot_names")), "told-names")
-    carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(usual, "doc_id") \
-        .select("row_id", "doc_id", "text", "names", "hot_names")
-    contexts = carriers.select("row_id", "doc_id", "text", "names").mapInArrow(_context_rows, CONTEXTS)
+    hot = shared.filter(F.col("doc_id").isNull()).select(F.explode("names").alias("name"))
+    usual = shared.filter(F.col("doc_id").isNotNull()).select("doc_id", "names")
+    # only the rows of hot names are grouped again
+    hot_names = usual.select("doc_id", F.explode("names").alias("name")).join(hot, "name") \
+        .groupBy("doc_id").agg(F.collect_set("name").alias("hot_names"))
+    usual = usual.join(hot_names, "doc_id", "left")
+    none = F.array().cast("array<bigint>")
+    carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(usual, "doc_id").select(
+        "row_id", "doc_id", "text", F.array_except("names", F.coalesce("hot_names", none)).alias("names"),
+        F.coalesce("hot_names", none).alias("hot_names"))
+    contexts = carriers.mapInArrow(_context_rows, CONTEXTS)
     spread = F.when(F.octet_length("context") == 0, F.xxhash64("row_id")).otherwise(F.col("name"))
-    covered = contexts.repartition(spread).sortWithinPartitions("name").mapInArrow(_covered_rows, RANGES)
-    if any_hot:
-        covered = covered.unionByName(_hot_ranges(carriers))
+    covered = contexts.repartition(spread).sortWithinPartitions("name", "doc_id").mapInArrow(_covered_rows, RANGES)
     ranges = staged(covered.groupBy("row_id").agg(F.collect_list("ranges").alias("ranges")), "covered-ranges")
 
     return keyed.join(ranges, "row_id", "left").select("doc_id", "text", "ranges").mapInArrow(

@@ -82,19 +82,14 @@ def test_names_streams_across_batches():
     assert {(n, d) for n, d in got} == {(n, d) for n, d in zip(name.tolist(), doc.tolist()) if n in want}
 
 
-def test_a_name_with_many_contexts_does_not_meet_in_one_task(spark, monkeypatch):
+def test_names_with_many_contexts(spark):
     # every document has the passage, and its edges reach into the document's own text
     rows = corpus() + [(300 + i, f"{i * 7919:08d} own words {i} " + "the shared passage of all of them " * 3 + f" {i * 104729:08d} end", "h", "s")
                        for i in range(60)]
-    seen = []
-    whole = suffix_dedup._hot_ranges
-    hot_names = lambda c: len({n for r in c.select("hot_names").collect() for n in r.hot_names})
-    monkeypatch.setattr(suffix_dedup, "_hot_ranges", lambda carriers: seen.append(hot_names(carriers)) or whole(carriers))
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     for limit in (200, 3000):  # bytes of contexts
         got = suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect()
         assert sorted(map(tuple, got), key=key) == sorted(brute_force(rows), key=key)
-    assert len(seen) == 2 and seen[0] > seen[1] > 0
 
 
 def test_hot_names_are_told_once_across_batches():
@@ -128,7 +123,7 @@ def test_repetitive_texts(spark):
     rows += [(200 + i, "one phrase again. " * (3 + i)) for i in range(20)]
     rows = [(i, t, "h", "s") for i, t in rows]
     want = sorted(brute_force(rows))
-    for limit in (300, 5000, suffix_dedup.CHUNK):
+    for limit in (300, 5000, suffix_dedup.MOST):
         assert sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect())) == want
 
 
@@ -153,9 +148,10 @@ def rows(texts, width):
 texts = ["a" * (9_000 + i) for i in range(3000)]  # 31 MB, one name
 hot = sd.window_names(sd._codes(texts[0]))[2].view(np.int64)
 batch = lambda part, at: pa.RecordBatch.from_arrays([pa.array(range(at, at + len(part)), pa.int64())] * 2 + [
-    pa.array(part), pa.array([hot.tolist()] * len(part), pa.list_(pa.int64()))], names=["row_id", "doc_id", "text", "hot"])
-seen = sum(b.num_rows for b in sd._hot_windows(batch(texts[i:i + 500], i) for i in range(0, 3000, 500)))
-assert seen == 3000, seen
+    pa.array(part), pa.array([[]] * len(part), pa.list_(pa.int64())), pa.array([hot.tolist()] * len(part), pa.list_(pa.int64()))],
+    names=["row_id", "doc_id", "text", "names", "hot"])
+seen = [sum(b.num_rows for i in range(0, 3000, 500) for b in sd._hot_windows(batch(texts[i:i + 500], i)))]
+assert seen == [3000], seen
 big = "".join(map(chr, np.random.default_rng(0).integers(97, 123, 20_000_000).astype(np.uint8)))
 n = sum(b.num_rows for b in sd._name_rows(iter([pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([big])], names=["i", "t"])])))
 assert n > 100_000
@@ -175,3 +171,29 @@ def test_memory_stays_bounded():
     out = subprocess.run([sys.executable, "-c", MEMORY.format(repo=repo)], capture_output=True, text=True, timeout=300)
     assert "MB" in out.stdout, out.stderr[-1500:]
     assert int(out.stdout.split("MB")[1]) < 800
+
+
+def test_windows_with_hot_names_across_batches():
+    import pyarrow as pa
+
+    rows = [(w, 10 * d + w, d, np.array([d, d + 50], np.int32).tobytes(), None) for w in (1, 2, 5) for d in (3, 3, 4, 9)]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 2
+    for cuts in ([0, 12], [0, 1, 2, 3, 12], list(range(13))):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[a:b]), kinds)],
+                                              names=["name", "row_id", "doc_id", "places", "context"]) for a, b in zip(cuts, cuts[1:])]
+        got = sorted(r for b in suffix_dedup._covered_rows(iter(batches)) for r in b.column(0).to_pylist())
+        assert got == sorted(10 * d + w for w in (1, 2, 5) for d in (4, 9))
+
+
+def test_stripes_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "STRIPE", 900)
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    texts = ["".join(map(chr, rng.integers(97, 99, 120))) for _ in range(40)] + ["shared text of the contexts " * 4] * 3
+    rows = [(7, i, i, np.array([0], np.int32).tobytes(), t.encode()) for i, t in enumerate(texts)]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["name", "row_id", "doc_id", "places", "context"])
+    found = [sorted((i, r) for b in suffix_dedup._covered(batch) for i, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))]
+    monkeypatch.setattr(suffix_dedup, "STRIPE", 1 << 21)
+    found.append(sorted((i, r) for b in suffix_dedup._covered(batch) for i, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    assert found[0] == found[1] and {i for i, _ in found[0]} >= {41, 42}
