@@ -54,6 +54,8 @@ MOST = 8 << 20
 STRIPE = 2 << 20
 #: Windows of a text that are named at a time.
 SLICE = 1 << 20
+#: Names above the bound that are broadcast, 8 bytes each; more of them meet the others in a shuffle.
+MOST_SENT = 1_000_000
 #: Rows over which the names above the bound are kept.
 SPREAD = 1024
 
@@ -406,11 +408,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     hot = shared.filter(F.col("doc_id").isNull()).select(F.explode("names").alias("name"))
     usual = shared.filter(F.col("doc_id").isNotNull()).select("doc_id", "names")
-    # only the rows of hot names are grouped again
-    hot_names = usual.select("doc_id", F.explode("names").alias("name")).join(hot, "name") \
-        .groupBy("doc_id").agg(F.collect_set("name").alias("hot_names"))
-    usual = usual.join(hot_names, "doc_id", "left")
     none = F.array().cast("array<bigint>")
+    n_hot = hot.count()
+    if n_hot:
+        # only the rows of hot names are grouped again
+        hot = F.broadcast(hot) if n_hot <= MOST_SENT else hot
+        hot_names = usual.select("doc_id", F.explode("names").alias("name")).join(hot, "name") \
+            .groupBy("doc_id").agg(F.collect_set("name").alias("hot_names"))
+        usual = usual.join(hot_names, "doc_id", "left")
+    else:
+        usual = usual.withColumn("hot_names", none)
     carriers = keyed.filter(F.octet_length("text") >= WINDOW).join(usual, "doc_id").select(
         "row_id", "doc_id", "text", F.array_except("names", F.coalesce("hot_names", none)).alias("names"),
         F.coalesce("hot_names", none).alias("hot_names"))

@@ -82,12 +82,13 @@ def test_names_streams_across_batches():
     assert {(n, d) for n, d in got} == {(n, d) for n, d in zip(name.tolist(), doc.tolist()) if n in want}
 
 
-def test_names_with_many_contexts(spark):
+def test_names_with_many_contexts(spark, monkeypatch):
     # every document has the passage, and its edges reach into the document's own text
     rows = corpus() + [(300 + i, f"{i * 7919:08d} own words {i} " + "the shared passage of all of them " * 3 + f" {i * 104729:08d} end", "h", "s")
                        for i in range(60)]
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
-    for limit in (200, 3000):  # bytes of contexts
+    for limit, sent in ((200, 1_000_000), (3000, 1_000_000), (200, 0)):  # bytes of contexts; names that are broadcast
+        monkeypatch.setattr(suffix_dedup, "MOST_SENT", sent)
         got = suffix_dedup.remove_repeats(frame(spark, rows), limit=limit).drop("kept").collect()
         assert sorted(map(tuple, got), key=key) == sorted(brute_force(rows), key=key)
 
