@@ -6,11 +6,14 @@ digest columns from the operator's real output.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesift.llm import (
     block_search, chat, decontaminate, fill_middle, host_rules, line_dedup, ngram_join, packing, pii, rule_ensemble, sharding, suffix_dedup, whitening)
+from codesift.session import scratch_path
 from codesift.sources.corpus import read_table
 
 N_SHARDS = 24
@@ -246,7 +249,8 @@ FROM d LEFT JOIN a USING (doc_id)
 
 
 def q_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = sharding.assign(read_table(spark, sf_dir, "documents"), N_SHARDS)
+    maps = scratch_path(spark, f"slot-maps-{uuid.uuid4().hex}")
+    placed, _ = sharding.assign(read_table(spark, sf_dir, "documents"), N_SHARDS, map_path=maps)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "vslot")
 

@@ -17,7 +17,8 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codesift.llm.staging import staged
@@ -36,10 +37,33 @@ class SlotMap:
     n_shards: int
     shards: tuple[int, ...] = field(repr=False)
 
-    def to_frame(self, spark) -> DataFrame:
-        """The map as a table (version, vslot, shard), the form in which it is stored."""
-        return spark.createDataFrame([(self.version, i, s) for i, s in enumerate(self.shards)],
-                                     "version int, vslot int, shard int")
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """The map as a table (vslot, shard, n_shards), the form in which a version is stored."""
+        return spark.createDataFrame([(i, s, self.n_shards) for i, s in enumerate(self.shards)], "vslot int, shard int, n_shards int")
+
+    def save(self, spark: SparkSession, path: str) -> SlotMap:
+        """Store this version in the folder of maps.  A stored version never changes: saving it again raises."""
+        self.to_frame(spark).coalesce(1).write.parquet(f"{path.rstrip('/')}/version={self.version}")
+        return self
+
+
+def stored_map(spark: SparkSession, path: str, version: int | None = None) -> SlotMap | None:
+    """A stored version of the map, by default the latest; null if there is none.  It has as many rows as slots."""
+    try:
+        maps = spark.read.schema("vslot int, shard int, n_shards int, version int").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if version is None:
+        version = maps.agg(F.max("version")).first()[0]
+    rows = sorted(maps.filter(F.col("version") == version).collect())
+    return SlotMap(version, rows[0].n_shards, tuple(r.shard for r in rows)) if rows else None
+
+
+def rebalance(spark: SparkSession, path: str, slot_bytes: dict[int, int], n_shards: int) -> SlotMap:
+    """Edit the stored map for more shards: the next version, stored beside the others."""
+    return grow(stored_map(spark, path), slot_bytes, n_shards).save(spark, path)
 
 
 def build_map(slot_bytes: dict[int, int], n_shards: int, n_slots: int = N_SLOTS) -> SlotMap:
@@ -96,12 +120,13 @@ def with_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, size, text_crc32, vslot, cell) per record: one narrow pass over the text."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     key = F.when(F.col(id_col).isNull(), F.xxhash64(raw)).otherwise(F.xxhash64(F.col(id_col)))
+    # the cell also depends on the text, so that the rows of an id used often are not numbered in one task
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(raw) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
         F.pmod(key, F.lit(n_slots)).cast("int").alias("vslot"),
-        F.pmod(F.shiftrightunsigned(key, 32), F.lit(N_CELLS)).cast("int").alias("cell"),
+        F.pmod(F.xxhash64(key, F.crc32(raw)), F.lit(N_CELLS)).cast("int").alias("cell"),
     )
 
 
@@ -116,15 +141,21 @@ def shard_of(slot_map: SlotMap, vslot: F.Column) -> F.Column:
 
 
 def assign(docs: DataFrame, n_shards: int, slot_map: SlotMap | None = None,
-           id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, SlotMap]:
+           id_col: str = "doc_id", text_col: str = "text", map_path: str | None = None) -> tuple[DataFrame, SlotMap]:
     """Shard every record.  Returns (doc_id, size, text_crc32, vslot, shard, slot) and the map used.
 
     ``slot`` numbers the records of a shard gaplessly from 0: rows are numbered inside
     (slot, cell), and each cell starts at the running count of the cells before it in its shard.
-    Pass a stored ``slot_map`` to place new records under it instead of building one.
+    Records are placed by ``slot_map`` if given, else by the latest version stored under ``map_path``; without a stored
+    one a map is built, stored there and read back.
     """
+    spark = docs.sparkSession
     slotted = staged(with_slots(docs, id_col, text_col), "shard-rows")
-    if slot_map is None:
+    if slot_map is None and map_path is not None:
+        if stored_map(spark, map_path) is None:
+            build_map(slot_sizes(slotted), n_shards).save(spark, map_path)
+        slot_map = stored_map(spark, map_path)
+    elif slot_map is None:
         slot_map = build_map(slot_sizes(slotted), n_shards)
     placed = slotted.withColumn("shard", shard_of(slot_map, F.col("vslot")))
     cells = placed.groupBy("shard", "vslot", "cell").agg(F.count(F.lit(1)).alias("n"))

@@ -1,5 +1,7 @@
 from collections import Counter, defaultdict
 
+import pytest
+
 from codesift.llm import sharding
 from codesift.llm.queries import q_virtual_slots
 from conftest import SF_SMALL
@@ -48,3 +50,33 @@ def test_growing_moves_slots_only_into_new_shards():
     for i, s in enumerate(new.shards):
         load[s] += sizes[i]
     assert max(load.values()) < 1.1 * sum(load.values()) / 26 and min(load.values()) > 0.9 * sum(load.values()) / 26
+
+
+def test_stored_versions_place_and_move_rows(spark, tmp_path):
+    path = str(tmp_path / "maps")
+    assert sharding.stored_map(spark, path) is None
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    first, one = sharding.assign(docs, 24, map_path=path)
+    before = {r.doc_id: (r.vslot, r.shard) for r in first.collect()}
+    assert one == sharding.stored_map(spark, path) == sharding.stored_map(spark, path, 1)
+    with pytest.raises(Exception):
+        one.save(spark, path)  # a version is never overwritten
+
+    two = sharding.rebalance(spark, path, sharding.slot_sizes(sharding.with_slots(docs)), 26)
+    assert two == sharding.stored_map(spark, path) and two.version == 2 and sharding.stored_map(spark, path, 1) == one
+    second, used = sharding.assign(docs, 24, map_path=path)
+    after = {r.doc_id: (r.vslot, r.shard) for r in second.collect()}
+    assert used == two and {i: v for i, (v, _) in before.items()} == {i: v for i, (v, _) in after.items()}
+    moved = {i for i in before if before[i] != after[i]}
+    assert moved and all(after[i][1] >= 24 for i in moved)
+
+
+def test_an_id_used_often_and_long_texts(spark):
+    rows = [(7, f"text {i} of one id", "h", "s") for i in range(400)] + [(i, "x" * 300_000, "h", "s") for i in range(100, 104)]
+    got = sharding.assign(frame(spark, rows), 3)[0].collect()
+    assert len(got) == 404
+    for shard in range(3):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    cells = Counter((r.vslot, r.cell) for r in sharding.with_slots(frame(spark, rows)).collect() if r.doc_id == 7)
+    assert len(cells) > 4 and max(cells.values()) < 100
