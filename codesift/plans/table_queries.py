@@ -789,15 +789,20 @@ FROM plan p JOIN g ON g.pipeline_id = p.pipeline_id LEFT JOIN b ON b.repo_id = p
 
 
 def _findings_answers(plan: DataFrame, kept: DataFrame) -> DataFrame:
-    first = plan.select("repo_id", "subset_id", F.col("suggestion_no").alias("subset_no"), "pipeline_pos", "pipeline_id",
-                        F.col("file_paths")[0].alias("fp"))
-    j = first.join(kept.select("repo_id", F.col("path").alias("fp"), "content"), ["repo_id", "fp"], "inner")
+    """Answers in five forms; those with findings name every file of the subset, the first of them also in a row that
+    breaks the contract."""
+    keys = ["repo_id", "subset_id", "subset_no", "pipeline_pos", "pipeline_id"]
+    members = plan.select("repo_id", "subset_id", F.col("suggestion_no").alias("subset_no"), "pipeline_pos", "pipeline_id",
+                          F.posexplode("file_paths").alias("i", "fp"))
+    j = members.join(kept.select("repo_id", F.col("path").alias("fp"), "content"), ["repo_id", "fp"], "inner")
     snippet = F.substring_index(F.col("content"), "\n", 1)
-    f1 = F.to_json(F.struct(F.col("fp").alias("file_path"), snippet.alias("code_snippet"),
-                            F.lit("Input reaches a query.").alias("description"),
-                            F.lit("SQL Injection").alias("vulnerability"), F.lit("High").alias("severity"),
-                            F.lit("High").alias("confidence_level"), F.lit("Use parameters.").alias("remediation")))
-    f2 = F.to_json(F.struct(F.col("fp").alias("file_path"), F.lit("Weak check.").alias("description"),
+    row = F.to_json(F.struct(F.col("fp").alias("file_path"), snippet.alias("code_snippet"),
+                             F.lit("Input reaches a query.").alias("description"),
+                             F.lit("SQL Injection").alias("vulnerability"), F.lit("High").alias("severity"),
+                             F.lit("High").alias("confidence_level"), F.lit("Use parameters.").alias("remediation")))
+    j = j.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "fp", row.alias("row")))).alias("rows"))
+    f1 = F.array_join(F.transform("rows", lambda x: x["row"]), ", ")
+    f2 = F.to_json(F.struct(F.col("rows")[0]["fp"].alias("file_path"), F.lit("Weak check.").alias("description"),
                             F.lit("Broken Auth").alias("vulnerability"), F.lit("Severe").alias("severity"),
                             F.lit("Low").alias("confidence_level")))
     k = (F.col("subset_no") + F.col("pipeline_pos")) % 5
@@ -822,14 +827,13 @@ def q_findings_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_FINDINGS_PARSE = f"""WITH {CORPUS_CTES}, {_FIXTURE_SUBSETS_SQL}, {_PLAN_SQL},
-ok AS (SELECT p.*, (p.subset_no + p.pipeline_pos) % 5 AS k, k2.content
-       FROM plan p JOIN cat c ON c.pipeline_id = p.pipeline_id
-       JOIN kept k2 ON k2.repo_id = p.repo_id AND k2.path = p.fps[1])
-SELECT repo_id, subset_id, pipeline_id, CAST(0 AS BIGINT) AS pos, fps[1] AS file_path,
+ok AS (SELECT p.*, (p.subset_no + p.pipeline_pos) % 5 AS k FROM plan p JOIN cat c ON c.pipeline_id = p.pipeline_id),
+m AS (SELECT ok.*, u.i, ok.fps[u.i] AS path FROM ok, LATERAL (SELECT unnest(generate_series(1, len(ok.fps))) AS i) u)
+SELECT m.repo_id, subset_id, pipeline_id, CAST(i - 1 AS BIGINT) AS pos, m.path AS file_path,
        {first_line_sql('content')} AS code_snippet, 'High' AS severity, '' AS violations
-FROM ok WHERE k IN (0, 1, 4)
+FROM m JOIN kept ON kept.repo_id = m.repo_id AND kept.path = m.path WHERE k IN (0, 1, 4)
 UNION ALL
-SELECT repo_id, subset_id, pipeline_id, CAST(1 AS BIGINT), fps[1], NULL, 'Severe',
+SELECT repo_id, subset_id, pipeline_id, CAST(len(fps) AS BIGINT), fps[1], NULL, 'Severe',
        'missing:remediation,bad_enum:severity'
 FROM ok WHERE k = 0"""
 
