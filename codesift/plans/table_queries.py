@@ -1004,6 +1004,20 @@ SELECT repo_id, CAST(count(*) AS BIGINT) AS total_vulnerabilities,
 FROM c GROUP BY 1"""
 
 
+def q_relocate_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """L3: the rows that a relocation reports, with old and new lines (moved, and no longer found)."""
+    r = locate.relocate_diff(_stored_findings(spark, sf), _with_text(_files(spark, sf)))
+    told = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return r["changed"].select("repo_id", "finding_id", told("old_line").alias("old_line"), told("new_line").alias("new_line"))
+
+
+SQL_RELOCATE_CHANGED = f"""WITH {_LINES_SQL}
+SELECT p.repo_id, CAST(p.doc_id AS VARCHAR) AS finding_id,
+       CASE p.doc_id % 4 WHEN 1 THEN CAST(h.start + 1 AS VARCHAR) ELSE '1' END AS old_line,
+       CASE p.doc_id % 4 WHEN 1 THEN CAST(h.start AS VARCHAR) ELSE '' END AS new_line
+FROM pick p LEFT JOIN hit h ON h.doc_id = p.doc_id WHERE p.doc_id % 4 IN (1, 2)"""
+
+
 def q_rule_screen(spark: SparkSession, sf: str) -> DataFrame:
     """Rule hits over page HTML and documents, per rule."""
     pages = read_table(spark, sf, "pages").select(
@@ -1309,6 +1323,7 @@ SELECT repo_id, path AS subset_id, sha1(content) || CASE WHEN doc_id % 2 = 0 THE
 
 
 QUERIES = {
+    "relocate_changed": q_relocate_changed,
     "tree_flatten": q_tree_flatten,
     "selection_documents": q_selection_documents,
     "decode_bytes": q_decode_bytes,
@@ -1352,6 +1367,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "relocate_changed": SQL_RELOCATE_CHANGED,
     "run_scan": SQL_RUN_SCAN,
     "stage_graph": SQL_STAGE_GRAPH,
     "tree_flatten": SQL_TREE_FLATTEN,
