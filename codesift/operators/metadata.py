@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codesift.functions import jsonx
-from codesift.functions.paths import ancestor_dirs, detect_language, path_parts
+from codesift.functions.paths import detect_language, path_parts
 from codesift.functions.text import decode_ignore, head_chars, loc, py_strip, sha1_hex, token_estimate
 from codesift.operators.ordering import distinct_first, head_n, ordinal
+from codesift.operators.ranges import files_below
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.session import materialize, written
@@ -45,8 +46,8 @@ def expand_selection(selection: DataFrame, files: DataFrame) -> tuple[DataFrame,
 
     A selected directory expands to every file below it in the **unfiltered** listing
     (exclusions and depth do not apply); a selected file stays.  Returns
-    ``(expanded(repo_id, path, pos, sub_path), missing(repo_id, pos, path))``.  The
-    prefix relation is made an equi-join by exploding each file's ancestor directories.
+    ``(expanded(repo_id, path, pos, sub_path), missing(repo_id, pos, path))``.  Directories
+    are ranges over the sorted paths (``ranges.files_below``): no row per (file, ancestor).
     """
     # as path joining does, empty and "." parts drop: "src/" and "./src/a.js" mean src and src/a.js
     sel = selection.select("repo_id", "pos", F.array_join(path_parts(F.col("path")), "/").alias("sel_path"))
@@ -55,13 +56,12 @@ def expand_selection(selection: DataFrame, files: DataFrame) -> tuple[DataFrame,
     exact = sel.withColumnRenamed("sel_path", "path").join(listing, ["repo_id", "path"], "inner").select(
         "repo_id", "path", "pos", F.lit("").alias("sub_path")
     )
-    anc = listing.select("repo_id", "path", F.explode(ancestor_dirs(F.col("path"))).alias("dir"))
-    under = sel.withColumnRenamed("sel_path", "dir").join(anc, ["repo_id", "dir"], "inner").select(
-        "repo_id", "path", "pos", F.col("path").alias("sub_path")
-    )
+    dirs = sel.groupBy("repo_id", F.col("sel_path").alias("dir")).agg(F.min("pos").alias("pos"))
+    below, full = files_below(listing, dirs)
+    under = below.select("repo_id", "path", "pos", F.col("path").alias("sub_path"))
     expanded = distinct_first(exact.unionByName(under), ["repo_id", "path"], ["pos", "sub_path"])
-    hits = exact.select("repo_id", F.col("pos")).unionByName(under.select("repo_id", "pos")).distinct()
-    missing = sel.join(hits, ["repo_id", "pos"], "left_anti")
+    hits = exact.select("repo_id", F.col("path").alias("sel_path")).unionByName(full.withColumnRenamed("dir", "sel_path")).distinct()
+    missing = sel.join(hits, ["repo_id", "sel_path"], "left_anti")
     return expanded, missing.select("repo_id", "pos", F.col("sel_path").alias("path"))
 
 
