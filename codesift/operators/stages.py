@@ -64,11 +64,12 @@ def stage_requests(todo: DataFrame, bundles: DataFrame, model_name: str = P.DEFA
 
 def run_stages(plan: DataFrame, catalog: DataFrame, files: DataFrame, responses: DataFrame | None = None, provider=None,
                saved: DataFrame | None = None, root: str | None = None, max_chars: int | None = None,
-               model_name: str = P.DEFAULT_MODEL, journal: str | None = None) -> dict[str, DataFrame]:
+               model_name: str = P.DEFAULT_MODEL, journal: str | None = None,
+               max_bytes: int = scan.MAX_BUNDLE_BYTES) -> dict[str, DataFrame]:
     """``plan`` (from ``scan.plan_runs``) with all stages of its pipelines.
 
     ``saved`` (see ``OUTPUTS``) are outputs of earlier runs; an output of this run goes before them.  Returns ``stages`` (one row
-    per planned stage with its status: those of the graph, ``missing_input`` if the producer left no output, ``ok``), the
+    per planned stage with its status: those of the graph, ``missing_input`` if the producer left no output, ``bundle_too_large``, ``ok``), the
     ``requests`` and ``responses`` of all levels, ``outputs`` and the ``findings`` of stages whose output no other stage reads.
     """
     spark = plan.sparkSession
@@ -77,7 +78,11 @@ def run_stages(plan: DataFrame, catalog: DataFrame, files: DataFrame, responses:
     graph = graph.join(read, ["pipeline_id", "stage_no"], "left").withColumn("last", F.col("_read").isNull()).drop("_read")
     planned = materialize(plan.filter(F.col("plan_status") == "ok").drop("stage").join(graph, "pipeline_id"))
     bundles = materialize(scan.bundle_context(
-        planned.filter("stage_status = 'ok'").select("repo_id", "subset_id", "file_paths").distinct(), files, max_chars=max_chars, root=root))
+        planned.filter("stage_status = 'ok'").select("repo_id", "subset_id", "file_paths").distinct(), files, max_chars=max_chars, root=root, max_bytes=max_bytes))
+    large = bundles.filter("bundle_status <> 'ok'").select("repo_id", "subset_id", "bundle_status")
+    runs = (F.col("stage_status") == "ok") & F.col("bundle_status").isNull()
+    planned = planned.join(large, ["repo_id", "subset_id"], "left").withColumn("level", F.when(runs, F.col("level"))).withColumn(
+        "stage_status", F.when((F.col("stage_status") == "ok") & ~runs, F.lit("bundle_too_large")).otherwise(F.col("stage_status"))).drop("bundle_status")
     depth = graph.agg(F.max("level")).first()[0]
     outputs = (saved if saved is not None else spark.createDataFrame([], OUTPUTS)).select(*OUTPUT_KEYS, "output_tag", "payload")
     rounds = []

@@ -181,7 +181,8 @@ class Journal:
 
 
 def complete(requests: DataFrame, provider: Provider | None = None, responses: DataFrame | None = None,
-             partitions: int | None = None, journal: str | None = None) -> DataFrame:
+             partitions: int | None = None, journal: str | None = None,
+             messages_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """M1: answers for ``requests``.
 
     Usable stored ``responses`` are reused (no call); the rest, failed answers included, go to ``provider`` (an
@@ -189,7 +190,8 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
     ``request_id, operation, messages_json, params_json`` to ``request_id, content, status``),
     spread over ``partitions`` tasks, journaled as they arrive and checkpointed before use.  ``journal`` is the folder of
     the journal; name one to let a run that is started again use what an earlier one was answered (default: a
-    folder of this call alone under the checkpoint folder).
+    folder of this call alone under the checkpoint folder).  Requests may come without ``messages`` (large ones): ``messages_of``
+    then adds them to the rows that need an answer, one row per request id.
     """
     spark = requests.sparkSession
     stored = _timed(responses if responses is not None else spark.createDataFrame([], RESPONSE_SCHEMA))
@@ -197,11 +199,10 @@ def complete(requests: DataFrame, provider: Provider | None = None, responses: D
         return replay(requests, stored if journal is None else stored.unionByName(_timed(Journal(journal).answers(spark))))
     book = Journal(journal or scratch_path(spark, f"journal-{uuid.uuid4().hex}"))
     stored = stored.unionByName(_timed(materialize(book.answers(spark))))
-    todo = (
-        requests.join(stored.filter(usable()).select("request_id"), "request_id", "left_anti")
-        .select("request_id", "operation", F.to_json("messages").alias("messages_json"), "params_json")
-        .dropDuplicates(["request_id"])
-    )
+    todo = requests.join(stored.filter(usable()).select("request_id"), "request_id", "left_anti").dropDuplicates(["request_id"])
+    if messages_of is not None:
+        todo = messages_of(todo)
+    todo = todo.select("request_id", "operation", F.to_json("messages").alias("messages_json"), "params_json")
     n = partitions or spark.sparkContext.defaultParallelism
     # the order of a partition's requests is fixed, so that a retried task meets the same batches
     todo = todo.repartition(n, "request_id").sortWithinPartitions("request_id")
