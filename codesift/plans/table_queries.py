@@ -27,7 +27,7 @@ from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
 from codesift.session import materialize, scratch_path
-from codesift.sources import artifacts
+from codesift.sources import artifacts, documents
 from codesift.sources.corpus import CORPUS_DIRS, CORPUS_EXTS, DIR_STEP, EXT_STEP, corpus, read_table
 from codesift.sources.listing import flatten_tree, scan_corpus, tree_edges
 from codesift.streaming.incremental import current_metadata, incremental_metadata
@@ -1306,6 +1306,51 @@ SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY doc_id % 7
        sha1(content) AS description, CAST(2 AS BIGINT) AS n_lines FROM files"""
 
 
+def q_findings_export(spark: SparkSession, sf: str) -> DataFrame:
+    """S9 + W7 + S6: the findings of ``findings_document`` exported as one file per repo and read back with its type."""
+    f = _files(spark, sf).select(
+        "repo_id", (F.col("doc_id") % 7).cast("int").alias("suggestion_no"), F.lit(0).alias("pipeline_pos"),
+        F.col("doc_id").alias("pos"), F.col("path").alias("file_path"), F.substring("content", 1, 200).alias("code_snippet"),
+        F.sha1("content").alias("description"), F.lit("v").alias("vulnerability"), F.lit("High").alias("severity"),
+        F.lit("Low").alias("confidence_level"), F.lit("r").alias("remediation"), F.array(F.lit(1), F.lit(2)).alias("line"))
+    out = scratch_path(spark, f"findings-{uuid.uuid4().hex}")
+    documents.export_findings(f, out)
+    rows, errors = documents.read_artifact(spark, "findings", out)
+    back = rows.select("repo_id", "pos", "file_path", F.sha1("code_snippet").alias("snippet_sha1"), F.size("line").cast("bigint").alias("n_lines"))
+    return back.unionByName(errors.select("repo_id", F.lit(None).cast("bigint").alias("pos"), F.col("file_name").alias("file_path"),
+                                          F.col("error").alias("snippet_sha1"), F.lit(None).cast("bigint").alias("n_lines")))
+
+
+SQL_FINDINGS_EXPORT = f"""WITH {FILES_SQL}
+SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY doc_id % 7, doc_id) - 1 AS BIGINT) AS pos, path AS file_path,
+       sha1(substr(content, 1, 200)) AS snippet_sha1, CAST(2 AS BIGINT) AS n_lines FROM files"""
+
+
+def q_artifact_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A subsets document per repo and thousand ids with one subset for each of its files, written as files, beside one cut in the middle and one
+    with a wrong third entry per document: the typed rows and the error rows."""
+    f = _files(spark, sf).withColumn("repo_id", F.concat("repo_id", F.lit("-"), F.floor(F.col("doc_id") / 1000).cast("string")))
+    entry = F.struct(F.col("doc_id").cast("string").alias("subset_id"), F.array("path").alias("file_paths"), F.sha1("content").alias("reason"))
+    docs = f.groupBy("repo_id").agg(F.sort_array(F.collect_list(F.struct("doc_id", entry.alias("e")))).alias("xs"))
+    docs = docs.select("repo_id", F.to_json(F.col("xs.e")).alias("text"), F.col("xs.e").alias("es"))
+    cut = docs.select(F.concat("repo_id", F.lit("/cut.json")).alias("name"), F.expr("substring(text, 1, length(text) - 1)").alias("text"))
+    wrong = docs.select(F.concat("repo_id", F.lit("/wrong.json")).alias("name"), F.concat(
+        F.lit("["), F.array_join(F.transform(F.slice("es", 1, 2), lambda e: F.to_json(e)), ","), F.lit(',{"subset_id":7}]')).alias("text"))
+    out = scratch_path(spark, f"subsets-{uuid.uuid4().hex}")
+    documents.write_files(docs.select(F.concat("repo_id", F.lit(".json")).alias("name"), "text").unionByName(cut).unionByName(wrong), out)
+    rows, errors = documents.read_artifact(spark, "subsets", out)
+    good = rows.select("repo_id", F.col("subset_no").cast("bigint").alias("subset_no"), F.col("file_paths")[0].alias("path"), "reason")
+    return good.unionByName(errors.select("repo_id", F.lit(None).cast("bigint").alias("subset_no"), F.lit(None).cast("string").alias("path"),
+                                          F.col("error").alias("reason")))
+
+
+SQL_ARTIFACT_READ = f"""WITH {FILES_SQL.replace("source AS repo_id", "source || '-' || CAST(doc_id // 1000 AS VARCHAR) AS repo_id")},
+repos AS (SELECT repo_id, count(*) AS n FROM files GROUP BY 1)
+SELECT repo_id, CAST(row_number() OVER (PARTITION BY repo_id ORDER BY doc_id) AS BIGINT) AS subset_no, path, sha1(content) AS reason FROM files
+UNION ALL SELECT repo_id || '/cut', NULL, NULL, 'not_json' FROM repos
+UNION ALL SELECT repo_id || '/wrong', NULL, NULL, 'bad_entry:' || CAST(least(n, 2) AS VARCHAR) FROM repos"""
+
+
 def q_stage_output_files(spark: SparkSession, sf: str) -> DataFrame:
     """S7 + S8: stage outputs written in two runs, the second replacing every other one, and read back."""
     path = scratch_path(spark, f"stage-outputs-{uuid.uuid4().hex}")
@@ -1329,6 +1374,8 @@ QUERIES = {
     "decode_bytes": q_decode_bytes,
     "call_params": q_call_params,
     "findings_document": q_findings_document,
+    "findings_export": q_findings_export,
+    "artifact_read": q_artifact_read,
     "stage_output_files": q_stage_output_files,
     "language_profile": q_language_profile,
     "file_profile": q_file_profile,
@@ -1375,6 +1422,8 @@ ORACLE_SQL = {
     "decode_bytes": SQL_DECODE_BYTES,
     "call_params": SQL_CALL_PARAMS,
     "findings_document": SQL_FINDINGS_DOCUMENT,
+    "findings_export": SQL_FINDINGS_EXPORT,
+    "artifact_read": SQL_ARTIFACT_READ,
     "stage_output_files": SQL_STAGE_OUTPUT_FILES,
     "language_profile": SQL_LANGUAGE_PROFILE,
     "file_profile": SQL_FILE_PROFILE,

@@ -6,7 +6,7 @@ original tool's JSON documents can be read with the ``*_from_json`` readers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesift.functions import jsonx
@@ -17,17 +17,19 @@ SUGGESTIONS_ENTRY = "array<struct<subset_id string, suggested_pipelines array<st
 FINDING_ENTRY = ("struct<file_path string, code_snippet string, description string, vulnerability string, "
                  "severity string, confidence_level string, remediation string, line array<int>>")
 
-KINDS = ["files", "selection", "metadata", "subsets", "suggestions", "findings", "stage_outputs", "requests",
-         "responses"]
-
 
 def read_json_docs(spark: SparkSession, path: str) -> DataFrame:
     """Whole JSON documents as ``(file_name, json)``, one row per file."""
     return spark.read.text(path, wholetext=True).select(
-        F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file_name"), F.col("value").alias("json")
+        percent_decode(F.col("_metadata.file_name")).alias("file_name"), F.col("value").alias("json")  # a URI's last part
     )
 
 
+def percent_decode(name: Column) -> Column:
+    """``%xx`` decoded (a plus sign stays); a name that is not encoded stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
 def subsets_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
     """S6 subsets document ``[{subset_id, file_paths, reason}]`` -> rows with ``subset_no``."""
     arr = F.from_json(F.col(json_col), SUBSETS_ENTRY)
@@ -70,7 +72,7 @@ def write_stage_outputs(stage_outputs: DataFrame, path: str) -> None:
     spark = stage_outputs.sparkSession
     out = stage_outputs.filter(F.coalesce(F.col("save_output"), F.lit(False)))
     keys = ["repo_id", "subset_id", "pipeline_id", "output_tag"]
-    if _exists(spark, path):
+    if path_exists(spark, path):
         old = spark.read.parquet(path).select(*[F.col(c).cast(out.schema[c].dataType).alias(c) for c in out.columns])
         touched = out.select("repo_id").distinct()
         kept = old.join(touched, "repo_id", "left_semi").join(out.select(*keys), keys, "left_anti")
@@ -78,7 +80,8 @@ def write_stage_outputs(stage_outputs: DataFrame, path: str) -> None:
     write_table(out, path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on the file system that the path names."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
@@ -101,7 +104,7 @@ def write_reports(reports: DataFrame, out_dir: str) -> None:
 
 def findings_documents(findings: DataFrame) -> DataFrame:
     """S9 as the original's document, one row per repo: ``{"vulnerabilities": [...]}`` in suggestion,
-    pipeline and model order (W7).  For export; ``write_table`` is the scalable form."""
+    pipeline and model order (W7).  For small results: a document is one value; ``documents.export_findings`` writes any size."""
     fields = ["file_path", "code_snippet", "description", "vulnerability", "severity", "confidence_level", "remediation", "line"]
     entry = F.struct("suggestion_no", "pipeline_pos", "pos", F.struct(*fields).alias("finding"))
     listed = findings.groupBy("repo_id").agg(F.sort_array(F.collect_list(entry)).alias("xs"))
