@@ -1,11 +1,11 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton walks each text once and reports the anchors: at-signs, plus signs, digits,
-scheme separators and identifier cues.  At an anchor a deterministic local parser expands to the
+scheme separators, identifier cues and credential cues.  At an anchor a deterministic local parser expands to the
 boundaries of the item and validates it; text without anchors costs one automaton step per character.
 
-Kinds, in the order in which equal starts are listed: email, ip, card, phone (the base kinds), then url
-and account.  Base kinds are leftmost and non-overlapping within their kind; a candidate that fails its
+Kinds, in the order in which equal starts are listed: email, ip, card, phone (the base kinds), then url,
+account and secret (the value that a credential cue such as ``token`` or ``password`` names).  Base kinds are leftmost and non-overlapping within their kind; a candidate that fails its
 check (part over 255, digit count, Luhn) is consumed and dropped.
 
 Work is one ``mapInArrow`` pass without a shuffle: memory is bounded by one Arrow batch, every row is
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-KINDS = [*BASE_KINDS, "url", "account"]
+KINDS = [*BASE_KINDS, "url", "account", "secret"]
 SCHEMA = "doc_id bigint, spans array<struct<start: bigint, kind_no: int, end: bigint, kind: string>>"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,6 +38,14 @@ _URL_TAIL = re.compile(r"[^\s<>\"'`]+")
 _ACCOUNT = re.compile(r"(?:[ \t]*(?:number|no\.?|nr\.?|id|#))?[ \t]*[:#=]?[ \t]*([A-Za-z]{0,4}[0-9][A-Za-z0-9]*(?:[ -][A-Za-z0-9]*[0-9][A-Za-z0-9]*)*)", re.I)
 SCHEMES = ["http", "https", "ftp", "ftps", "sftp", "ssh", "file"]
 CUES = ["account", "acct", "iban", "ssn", "passport", "routing"]
+CREDENTIAL_CUES = ["token", "password", "passwd", "pwd", "secret", "api_key", "api-key", "api key", "apikey", "access_key", "access key",
+                   "private_key", "private key", "bearer"]
+#: From a credential cue to its value: the rest of the name, then a separator (a blank is enough behind ``bearer``), then a value in
+#: quotes or of key characters.
+_NAMED = re.compile(r"""([A-Za-z0-9_-]{0,32})["']?[ \t]{0,8}([:=]>?=?)?[ \t]{0,8}""")
+_VALUE = re.compile(r"""(["'])(?P<quoted>[^\s"']+)\1|(?P<plain>[A-Za-z0-9+/_.~=-]+)""")
+#: A secret has at least so many characters in quotes or without, among them a letter and a digit.
+QUOTED_CHARS, PLAIN_CHARS = 8, 12
 #: An account identifier has at least this many digits and at most this many characters.
 ACCOUNT_DIGITS, ACCOUNT_CHARS = 6, 42
 
@@ -52,6 +60,9 @@ def _automaton() -> ahocorasick.Automaton:
     for cue in CUES:
         for form in (cue, cue.capitalize(), cue.upper()):
             found.add_word(form, ("cue", len(form)))
+    for cue in CREDENTIAL_CUES:
+        for form in (cue, cue.capitalize(), cue.upper(), cue.title()):
+            found.add_word(form, ("credential", len(form)))
     found.make_automaton()
     return found
 
@@ -100,6 +111,19 @@ def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
     return found.span(1)
 
 
+def _secret(text: str, cue: str, end: int) -> tuple[tuple[int, int], bool] | None:
+    """The value that a credential cue before ``end`` names, and whether it looks like one."""
+    named = _NAMED.match(text, end)
+    # the value is only scanned behind a separator, so a run of cues is not scanned once for each of them
+    found = _VALUE.match(text, named.end()) if named[2] or (cue == "bearer" and not named[1] and named.end() > end) else None
+    if not found:
+        return None
+    kind = "quoted" if found["quoted"] else "plain"
+    value = found[kind].rstrip(".=") if kind == "plain" else found[kind]
+    valid = len(value) >= (QUOTED_CHARS if kind == "quoted" else PLAIN_CHARS) and any("0" <= c <= "9" for c in value) and any(c.isalpha() for c in value)
+    return (found.start(kind), found.start(kind) + len(value)), valid
+
+
 def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of one text, ordered."""
     out: list[tuple[int, int, int]] = []
@@ -136,6 +160,10 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
         elif anchor == "scheme":
             if at >= free[4]:
                 keep(4, _url(text, at, free[4]))
+        elif anchor == "credential":
+            found = _secret(text, text[at:last + 1].lower(), last + 1) if at >= free[6] else None
+            if found:
+                keep(6, *found)
         elif at >= free[5]:
             keep(5, _account(text, at, last + 1))
     out.sort()

@@ -116,7 +116,8 @@ def q_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     return found.select(
         "doc_id", *[F.size(F.array_remove(F.transform("spans", lambda x: F.when(x["kind"] == F.lit(kind), 1).otherwise(0)), 0))
-                 .cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+                 .cast("long").alias(f"n_{kind}") for kind in [*pii.BASE_KINDS, "account", "secret"]],
+        F.size(F.filter("spans", lambda x: x["kind"] != "url")).cast("long").alias("n_private"),
         F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 

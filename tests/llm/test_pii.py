@@ -51,6 +51,28 @@ def test_added_kinds():
     assert got == [("url", "https://a.example/x?q=1"), ("account", "1234567890"), ("account", "DE44 5001 0517 5407 3249 31")]
 
 
+def test_secrets():
+    key = "0f3a9b27c4d1e8"
+    caught = [f'token = "{key}"', f"api_key: {key}", f"API_KEY={key}", f'"password": "hunter2024"', f"client_secret => '{key}'",
+              f"Authorization: Bearer {key}.x", f"secretAccessKey={key}", f"private key : {key}"]
+    for text in caught:
+        got = [text[s:e] for s, k, e in pii.find_spans("é " + text, AUTOMATON) if k == 6 for s, e in [(s - 2, e - 2)]]
+        want = [key + (".x" if "Bearer" in text else "")] if key in text else ["hunter2024"]
+        assert got == want, text
+    for text in ["the token is lost", "token ring 2024", "password: see below", "a secret, kept for 20 years", "tokens = 12", 'token = "unterminated1234',
+                 "bearer of bad news 123456789012", "pwd=short1"]:
+        assert not [x for x in pii.find_spans(text, AUTOMATON) if x[1] == 6], text
+
+
+def test_secret_time_is_linear():
+    import time
+
+    for text in ["token=" * 100_000, 'token="x' * 100_000, "token" * 100_000 + "=1", "secret_" * 100_000, "token = " * 100_000, "bearer " * 100_000, "token=" + "a1" * 200_000]:
+        begin = time.time()
+        pii.find_spans(text, AUTOMATON)
+        assert time.time() - begin < 10, text[:20]
+
+
 def test_table(spark):
     rows = corpus() + [(300, "mail a.b@c.de twice a.b@c.de", "h", "s")] * 2
     got = pii.find_personal_data(frame(spark, rows)).collect()

@@ -1,4 +1,6 @@
 import math
+import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -76,6 +78,48 @@ def test_fit_without_labels_or_with_one_class():
     assert rule_ensemble.fit(np.zeros((4, k)), np.ones(4, int)).rules == ()
 
 
+def plain_statistics(text):
+    """The thirteen statistics from their descriptions, in plain Python."""
+    text = text or ""
+    words = re.findall(r"[^ \t\n\x0b\x0c\r]+", text)
+    lines = [x for x in text.split("\n") if x]
+    solid = sum(len(w) for w in words)
+    share = lambda a, b: a / b if b else 0.0
+    count = lambda chars: sum(text.count(c) for c in chars)
+    return {
+        "log_words": math.log1p(len(words)), "word_length": share(solid, len(words)),
+        "distinct_words": share(math.log1p(len(set(words))), math.log1p(len(words))),
+        "repeated_neighbours": share(sum(a == b for a, b in zip(words, words[1:])), len(words)),
+        "distinct_lines": share(len(set(lines)), len(lines)), "words_per_line": share(len(words), len(lines)),
+        "symbols": share(count("#*$%&<>"), len(words)), "bars": share(count("|"), len(words)), "exclamations": share(count("!"), len(words)),
+        "punctuation": share(count(".,;:?"), len(words)), "digits": share(count("0123456789"), solid),
+        "capitals": share(sum(unicodedata.category(c) == "Lu" for c in text), solid), "code_marks": share(count("{}[]()=\"'/\\_@"), len(words)),
+    }
+
+
+def test_statistics_equal_plain_python(spark):
+    sample = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(i, t) for i, t, *_ in corpus()] + [tuple(r) for r in sample.collect()]
+    rng = np.random.default_rng(4)
+    rows += [(1000 + k, "".join(rng.choice(list("aB é\n\t|!#.0{}[]()=\"'/\\_@\x0b"), 60))) for k in range(200)]
+    rows += [(2000, "long word " * 300_000), (2001, "A" * 1_000_000), (2002, "\n" * 50_000)]  # very long texts
+    texts = {n: t for n, (_, t) in enumerate(rows)}
+    df = spark.createDataFrame(list(texts.items()), "n long, text string").repartition(4)
+    got = rule_ensemble.statistics(df, keep=["n"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        for name, value in plain_statistics(texts[r.n]).items():
+            assert math.isclose(r[name], value, rel_tol=1e-9, abs_tol=1e-12), (name, (texts[r.n] or "")[:60])
+
+
+def test_long_texts_count(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in rng.integers(0, 3000, 60_000)]
+    text = " ".join(words[:30_000]) + "\n" + " ".join(words[29_000:])
+    row = host_rules.judge(frame(spark, [(1, text, "h", "s")])).first()
+    assert (row.n_words, row.n_repeat_words, row.n_dup_lines) == (61_000, repeated(text.split()), 0)
+
+
 def test_scores_cover_odd_rows(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(24)] + [(None, 1, 0), (3, 0, 0), (4, None, 0)], "doc_id long, quality int, toxic int")
     docs = frame(spark, corpus())
