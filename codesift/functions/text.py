@@ -20,9 +20,6 @@ WS_CLASS = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 # Characters per token of the rough estimate, import pattern.
 TOKEN_CHARS_PER_TOKEN = 4
-# The original tool's limits; pass them to get its prompts, the defaults cover whole texts.
-SUMMARY_HEAD_CHARS = 4000
-IMPORT_LINE_LIMIT = 100
 IMPORT_PATTERN = r"^(?:import|from)\s+([\w./\-@]+)"
 
 # Java form of IMPORT_PATTERN: (?U) makes \w and \s Unicode-aware like Python's str patterns.

@@ -1,4 +1,4 @@
-"""A4 counters and output order helpers.
+"""A4 counters.
 
 The original keeps per-run counters in process memory; here they are rows computed
 from the tables themselves (partial counts, one shuffle of tiny rows).
@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from codesift.session import written
+
 
 def stage_metrics(stages: dict[str, DataFrame]) -> DataFrame:
     """``(repo_id, stage, n)`` for each named table, e.g. listed / kept / offered / selected /
@@ -20,11 +22,11 @@ def stage_metrics(stages: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts).select("repo_id", "stage", "n")
 
 
-def order_files(files: DataFrame) -> DataFrame:
-    """Directory listing order (byte order of the path)."""
-    return files.orderBy("repo_id", "path")
-
+def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """``df`` written as a table, and aggregates over it (``count``, ``count_if``, ``sum``) collected by the pass that writes it.
 
-def order_findings(findings: DataFrame) -> DataFrame:
-    """Findings in suggestion order, then pipeline order, then the model's order."""
-    return findings.orderBy("repo_id", "suggestion_no", "pipeline_pos", "pos")
+    A counter costs no scan of its own; counts per repository read one column of the written table.
+    """
+    seen = Observation(name)
+    out = written(df.observe(seen, *[c.alias(k) for k, c in counts.items()]), f"stage-{name}")
+    return out, seen.get

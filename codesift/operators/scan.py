@@ -10,6 +10,7 @@ from codesift.functions import jsonx
 from codesift.functions.paths import relativize
 from codesift.functions.text import py_strip
 from codesift.operators.locate import locate_snippets
+from codesift.operators.metrics import observed
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.session import materialize, written
@@ -234,12 +235,13 @@ def drop_unlocated(findings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def run_scan(plan: DataFrame, files: DataFrame, responses: DataFrame | None = None, provider=None,
              root: str | None = None, max_chars: int | None = None, model_name: str = P.DEFAULT_MODEL,
-             threshold: float = P.LOCATE_THRESHOLD, max_bytes: int = MAX_BUNDLE_BYTES) -> dict[str, DataFrame]:
+             threshold: float = P.LOCATE_THRESHOLD, max_bytes: int = MAX_BUNDLE_BYTES) -> dict:
     """L2: E1 -> M1 -> E2 -> L1 -> F12 -> F2, findings in (suggestion, pipeline, model) order.
 
     ``files(repo_id, path, text)``.  A finding's path is made relative to ``root`` first
     (F2), then joined to the file table on the relative path.  Bundles are assembled for unanswered requests only
     (and when ``requests`` is read); those above ``max_bytes`` get the ``answer_status`` 'bundle_too_large'.
+    ``counts`` holds the run's totals (``findings``, ``located``) as plain numbers.
     """
     ok_plan = plan.filter(F.col("plan_status") == "ok")
     subsets = ok_plan.select("repo_id", "subset_id", "file_paths").distinct()
@@ -266,9 +268,11 @@ def run_scan(plan: DataFrame, files: DataFrame, responses: DataFrame | None = No
     )
     f = f.join(located.select("finding_id", "line"), "finding_id", "left").withColumn(
         "line", F.when(F.col("has_snippet") & F.col("has_path"), F.col("line")).otherwise(F.col("model_line"))).drop("model_line")
+    # located once: the counts come from the pass that writes the findings, kept and removed ones read what it wrote
+    f, counts = observed(f, "findings", findings=F.count(F.lit(1)), located=F.count_if(F.coalesce(F.size("line"), F.lit(-1)) > 0))
     kept, removed = drop_unlocated(f)
     kept = kept.withColumn("file_path", F.col("rel_path")).drop("rel_path")
     status = parsed["answer_status"]
     large = request_rows(ok_plan, index.filter(~fits), model_name).withColumn("answer_status", F.lit("bundle_too_large"))
     return {"findings": kept, "removed": removed, "requests": texts(rows), "stage_outputs": parsed["stage_outputs"],
-            "answer_status": status.unionByName(large.select(*status.columns))}
+            "answer_status": status.unionByName(large.select(*status.columns)), "counts": counts}

@@ -35,9 +35,7 @@ SCAN_MAX_TOKENS = 720
 # The original tool's limits.  Only the chunk size is a default here; the others are passed by a
 # caller who wants the original prompts.
 SELECT_LIMIT = 30
-METADATA_MAX_FILES = 30
 FILES_PER_GROUPING_PROMPT = 60
-GROUPING_IMPORTS_SHOWN = 5
 FILES_PER_SUGGESTION = 8
 # Paths per selection request: a repo with more gets several requests, whose answers are joined.
 SELECT_BATCH = 200

@@ -8,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from codesift.operators import scan
+from codesift.operators.metrics import observed
 from codesift.plans.catalog import catalog_frame
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not import this test module
@@ -107,3 +108,19 @@ def test_replayed_scan_builds_no_bundle(spark, monkeypatch):
     monkeypatch.setattr(scan, "_assemble", lambda subsets, *a: built.append(sorted(r.subset_id for r in subsets.collect())) or assemble(subsets, *a))
     scan.run_scan(plan, files, provider=provider, responses=stored.filter("subset_id = 's1'"), root=ROOT, max_bytes=1000)
     assert built[0] == ["s2"]
+
+
+def test_counts_come_with_the_findings(spark):
+    """The totals are observed on the pass that writes the findings; neither kept nor removed ones scan files or answers again."""
+    files = spark.createDataFrame([("r", p, t) for p, t in FILES.items()], "repo_id string, path string, text string")
+    res = scan.run_scan(_plan(spark, {"s1": list(FILES)}, ["pipeline_xss"]), files, provider=provider, root=ROOT)
+    assert res["counts"] == {"findings": 3, "located": 2}
+    assert res["findings"].count() == 2 and [tuple(r) for r in res["removed"].collect()] == [("r", 1)]
+    for name in ("findings", "removed"):
+        plan = res[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and not any(x in plan for x in ("Join", "Python", "MapInPandas", "LogicalRDD")), name
+
+
+def test_observed_without_rows(spark):
+    out, counts = observed(spark.range(0), "none", n=F.count(F.lit(1)), odd=F.count_if(F.col("id") % 2 == 1))
+    assert out.count() == 0 and counts == {"n": 0, "odd": 0}
