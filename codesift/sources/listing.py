@@ -2,8 +2,9 @@
 
 ``spark.read.format("binaryFile")`` skips every name that starts with '_' or '.'
 (``.env``, ``__init__.py``), so files are listed and read by Python tasks
-(``mapInPandas``) instead.  Listing fans out per top-level directory so one big
-repository is walked by many tasks; file bytes are read by the tasks that own
+(``mapInPandas``) instead.  The walk goes by a frontier of directories that is dealt to
+the tasks in rounds, large directories in slices, so one big repository or directory is
+walked by many tasks; file bytes are read by the tasks that own
 the path rows, after path filters ran.
 """
 
@@ -11,25 +12,27 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codesift.functions.paths import FLATTEN_EXCLUDE_DIRS, TREE_EXCLUDE_DIRS, ancestor_dirs, base_name, parent_dirs
+from codesift.session import spread, written
 
-LISTING_SCHEMA = T.StructType([
+WALK_SCHEMA = T.StructType([
     T.StructField("repo_id", T.StringType()),
     T.StructField("root", T.StringType()),
+    T.StructField("kind", T.StringType()),
     T.StructField("path", T.StringType()),
-])
-TOP_SCHEMA = T.StructType([
-    T.StructField("repo_id", T.StringType()),
-    T.StructField("root", T.StringType()),
-    T.StructField("entry", T.StringType()),
-    T.StructField("is_dir", T.BooleanType()),
+    T.StructField("depth_left", T.IntegerType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("parts", T.IntegerType()),
+    T.StructField("task", T.IntegerType()),
 ])
 CONTENT_SCHEMA = T.StructType([
     T.StructField("repo_id", T.StringType()),
@@ -42,65 +45,96 @@ CONTENT_SCHEMA = T.StructType([
 READ_BATCH_BYTES = 64 << 20
 
 
-def _walk(base: str, rel: str, depth_left: int | None, exclude: frozenset) -> Iterator[str]:
-    """Relative file paths under base/rel; directories deeper than allowed or excluded are skipped,
-    unreadable directories are skipped whole."""
-    here = os.path.join(base, rel) if rel else base
-    try:
-        entries = os.listdir(here)
-    except OSError:
-        return
-    for name in entries:
-        child_rel = f"{rel}/{name}" if rel else name
-        full = os.path.join(here, name)
-        if os.path.isdir(full):
-            if name not in exclude and (depth_left is None or depth_left > 0):
-                yield from _walk(base, child_rel, None if depth_left is None else depth_left - 1, exclude)
-        else:
-            yield child_rel
+#: A directory with more entries is listed in slices of about this many, by as many tasks.
+SLICE_ENTRIES = 50_000
+#: Entries that one frontier row walks before it hands its remaining directories to the next round.
+ROW_ENTRIES = 50_000
 
 
-def list_files(roots: DataFrame, depth: int | None = None, exclude_dirs: list[str] | None = None) -> DataFrame:
-    """``roots(repo_id, root)`` -> ``listing(repo_id, root, path)`` of regular files.
+def _entries(here: str, part: int, parts: int) -> Iterator[tuple[str, bool]]:
+    """(name, is a directory) of one slice of a directory; slices are by name, so each entry is in exactly one."""
+    with os.scandir(here) as found:
+        for entry in found:
+            if parts == 1 or zlib.crc32(os.fsencode(entry.name)) % parts == part:
+                try:
+                    yield entry.name, entry.is_dir()
+                except OSError:
+                    yield entry.name, False
 
-    A file is kept iff none of its directory components is an excluded name and, if ``depth`` is
-    given, it has at most that many (the root itself is depth 0).  Roots must be on storage that
-    every executor mounts.
+
+def _walk(root: str, start: tuple, exclude: frozenset, slice_entries: int, row_entries: int) -> Iterator[tuple]:
+    """One frontier row: ``(kind, path, depth_left, part, parts)`` with kind 'file', or 'todo' for what the next round walks.
+
+    Excluded directories and those deeper than allowed are not entered, unreadable ones are skipped whole.
+    """
+    stack, seen = [start], 0
+    while stack:
+        rel, left, part, parts = stack.pop()
+        if seen >= row_entries:
+            yield "todo", rel, left, part, parts
+            continue
+        here = os.path.join(root, rel) if rel else root
+        try:
+            if parts == 1:
+                with os.scandir(here) as found:
+                    n = sum(1 for _ in found)
+                if n > slice_entries:
+                    k = -(-n // slice_entries)
+                    yield from (("todo", rel, left, i, k) for i in range(k))
+                    continue
+            for name, is_dir in _entries(here, part, parts):
+                seen += 1
+                child = f"{rel}/{name}" if rel else name
+                if not is_dir:
+                    yield "file", child, None, 0, 1
+                elif name not in exclude and (left is None or left > 0):
+                    stack.append((child, None if left is None else left - 1, 0, 1))
+        except OSError:
+            continue
+
+
+def walk_rounds(roots: DataFrame, depth: int | None = None, exclude_dirs: list[str] | None = None,
+                slice_entries: int = SLICE_ENTRIES, row_entries: int = ROW_ENTRIES) -> DataFrame:
+    """The walk of ``list_files`` as rows of ``WALK_SCHEMA`` with the round and task that made them.
+
+    The frontier (directories, or slices of large ones) is dealt to the tasks anew in every round; a row stops after
+    ``row_entries`` entries, so rounds number the walk's size per row, not the depth of the tree.  Every round is written.
     """
     exclude = frozenset(TREE_EXCLUDE_DIRS if exclude_dirs is None else exclude_dirs)
 
-    def top_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols, task = WALK_SCHEMA.names, TaskContext.get().partitionId()
+        out = []
         for pdf in batches:
-            rows = []
-            for repo_id, root in zip(pdf["repo_id"], pdf["root"]):
-                try:
-                    names = os.listdir(root)
-                except OSError:
-                    continue
-                for name in names:
-                    is_dir = os.path.isdir(os.path.join(root, name))
-                    if is_dir and (name in exclude or (depth is not None and depth < 1)):
-                        continue
-                    rows.append((repo_id, root, name, is_dir))
-            yield pd.DataFrame(rows, columns=["repo_id", "root", "entry", "is_dir"])
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["repo_id", "root", "path"]
-        for pdf in batches:
-            out = []
-            for repo_id, root, entry, is_dir in zip(pdf["repo_id"], pdf["root"], pdf["entry"], pdf["is_dir"]):
-                below = None if depth is None else depth - 1
-                paths = _walk(root, entry, below, exclude) if is_dir else iter([entry])
-                for p in paths:
-                    out.append((repo_id, root, p))
+            for repo_id, root, rel, left, part, parts in pdf.itertuples(index=False):
+                start = (rel, None if pd.isna(left) else int(left), part, parts)
+                for row in _walk(root, start, exclude, slice_entries, row_entries):
+                    out.append((repo_id, root, *row, task))
                     if len(out) >= 10_000:  # bounded Arrow batches for huge directories
-                        yield pd.DataFrame(out, columns=cols)
+                        yield pd.DataFrame(out, columns=cols).astype({"depth_left": "Int32"})
                         out = []
-            yield pd.DataFrame(out, columns=cols)
+        yield pd.DataFrame(out, columns=cols).astype({"depth_left": "Int32"})
+
+    frontier = roots.filter(F.col("root").isNotNull()).select(
+        "repo_id", "root", F.lit("").alias("path"), F.lit(depth).cast("int").alias("depth_left"), F.lit(0).alias("part"), F.lit(1).alias("parts"))
+    rounds, n = None, 0
+    while True:
+        rows = written(spread(frontier, "repo_id", "path", "part").mapInPandas(step, WALK_SCHEMA), "walk")
+        told = rows.withColumn("round", F.lit(n))
+        rounds, n = told if rounds is None else rounds.unionByName(told), n + 1
+        frontier = rows.filter("kind = 'todo'").select("repo_id", "root", "path", "depth_left", "part", "parts")
+        if frontier.isEmpty():
+            return rounds
+
 
-    entries = roots.select("repo_id", "root").mapInPandas(top_level, TOP_SCHEMA)
-    # one task per top-level directory instead of one per repository
-    return entries.repartition("repo_id", "entry").mapInPandas(walk, LISTING_SCHEMA)
+def list_files(roots: DataFrame, depth: int | None = None, exclude_dirs: list[str] | None = None) -> DataFrame:
+    """``roots(repo_id, root)`` -> ``listing(repo_id, root, path)`` of regular files.
+
+    A file is kept iff none of its directory components is an excluded name and, if ``depth`` is
+    given, it has at most that many (the root itself is depth 0).  Roots must be on storage that
+    every executor mounts.  The walk runs when this is called (``walk_rounds``).
+    """
+    return walk_rounds(roots, depth, exclude_dirs).filter("kind = 'file'").select("repo_id", "root", "path")
 
 
 def read_contents(listing: DataFrame) -> DataFrame:
