@@ -232,4 +232,7 @@ def flatten_tree(trees: DataFrame, exclude_dirs: list[str] | None = None) -> Dat
     FROM walk w, LATERAL variant_explode(w.node) AS k, LATERAL variant_explode(k.value) AS f
     WHERE k.key = '__files__' AND schema_of_variant(f.value) = 'STRING'
     """
-    return spark.sql(sql)
+    try:
+        return spark.sql(sql)  # the plan holds the view's rows from here on
+    finally:
+        spark.catalog.dropTempView(view)

@@ -47,3 +47,11 @@ def test_one_directory_by_many_tasks(spark):
     rows = listing.walk_rounds(spark.createDataFrame([("r", base)], "repo_id string, root string")).filter("kind = 'file'")
     assert rows.count() == rows.select("path").distinct().count() == 200_000
     assert rows.select("task").distinct().count() > 1 and rows.groupBy("parts", "task").count().count() > 1
+
+
+def test_flatten_leaves_no_view(spark):
+    trees = spark.createDataFrame([("r", '{"src": {"__files__": ["a.js"]}, "__files__": ["b"]}')], "repo_id string, tree_json string")
+    before = {t.name for t in spark.catalog.listTables()}
+    flat = listing.flatten_tree(trees)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert sorted(r.path for r in flat.collect()) == ["b", "src/a.js"]
