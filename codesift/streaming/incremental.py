@@ -46,6 +46,9 @@ STATE_COLUMNS = [f.name for f in LOG_SCHEMA.fields]
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Most rows and bytes of an Arrow batch between Spark and the stateful step; a worker holds about one each way.
+FRAME_ROWS, FRAME_BYTES = 500, 8 << 20
+
 
 def _folders(spark: SparkSession, path: str) -> dict[int, str]:
     """The ``batch_id=<n>`` folders of a table, by number; empty when there is no table yet."""
@@ -113,11 +116,24 @@ def tracked_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     return rows.select("key.repo_id", "key.path", F.col("value.groupState.seq").alias("seq"), F.col("value.groupState.sha1").alias("sha1"))
 
 
+def _frame(key: tuple, content: str | None = None, seq: int | None = None, sha1: str | None = None,
+           change: str | None = None) -> pd.DataFrame:
+    """One event, followed by a row without ``change`` per ``FRAME_BYTES / FRAME_ROWS`` characters of its content.
+
+    The worker holds results, states included, until ``FRAME_ROWS`` result rows are there.  The extra rows make it send long
+    contents earlier, and a path without an event gives a row too, so that its state is not held to the end of the task.
+    """
+    n = len(content or "") // (FRAME_BYTES // FRAME_ROWS)
+    return pd.DataFrame({"repo_id": [key[0]] * (n + 1), "path": [key[1]] * (n + 1), "content": [content, *[None] * n],
+                         "seq": pd.array([seq, *[None] * n], dtype="Int64"), "sha1": [sha1, *[None] * n], "change": [change, *[None] * n]})
+
+
 def _track(expire_deleted_ms: int | None):
-    """The stateful step for one path: frames of its dropped versions against ``(seq, sha1)``."""
+    """The stateful step for one path: frames of its dropped versions against ``(seq, sha1)``; rows of no event have no ``change``."""
     def track(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
+            yield _frame(key)
             return
         newest = None
         for frame in frames:  # versions come in bounded frames; only the newest is held
@@ -135,6 +151,7 @@ def _track(expire_deleted_ms: int | None):
         if late or (content is None and old_sha1 is None):
             if known and old_sha1 is None and expire_deleted_ms is not None:
                 state.setTimeoutDuration(expire_deleted_ms)  # a timer lasts until the key's next call only
+            yield _frame(key)
             return
         if content is None:
             change = "deleted"
@@ -145,8 +162,7 @@ def _track(expire_deleted_ms: int | None):
         state.update((seq if seq is not None else old_seq, sha1))
         if change == "deleted" and expire_deleted_ms is not None:
             state.setTimeoutDuration(expire_deleted_ms)
-        yield pd.DataFrame({"repo_id": [key[0]], "path": [key[1]], "content": [content], "seq": pd.array([seq], dtype="Int64"),
-                            "sha1": [sha1], "change": [change]})
+        yield _frame(key, content, seq, sha1, change)
 
     return track
 
@@ -155,7 +171,7 @@ def file_events(drops: DataFrame, expire_deleted_ms: int | None = None) -> DataF
     """What a stream of dropped files means for each path: ``EVENT_SCHEMA`` rows, at most one per path and batch."""
     timeout = GroupStateTimeout.NoTimeout if expire_deleted_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return drops.withColumn("sha1", F.sha1("content")).groupBy("repo_id", "path").applyInPandasWithState(
-        _track(expire_deleted_ms), EVENT_SCHEMA, FILE_STATE, "append", timeout)
+        _track(expire_deleted_ms), EVENT_SCHEMA, FILE_STATE, "append", timeout).filter(F.col("change").isNotNull())
 
 
 def process_batch(events: DataFrame, batch_id: int, state_dir: str, provider=None,
@@ -199,12 +215,15 @@ def process_batch(events: DataFrame, batch_id: int, state_dir: str, provider=Non
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
-    """A session like ``spark`` whose state lives in RocksDB (on disk, not in executor memory)."""
+    """A session like ``spark`` whose state lives in RocksDB (on disk, not in executor memory) and whose Arrow batches are small."""
     own = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
             own.conf.set(name, value)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    rows = int(own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(rows, FRAME_ROWS) if rows > 0 else FRAME_ROWS))
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FRAME_BYTES))
     return own
 
 

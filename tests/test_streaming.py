@@ -5,6 +5,8 @@ import hashlib
 import os
 import tempfile
 
+import pandas as pd
+
 from codesift.streaming import incremental
 from codesift.streaming.incremental import DROP_SCHEMA, current_metadata, incremental_metadata
 
@@ -120,3 +122,41 @@ def test_timer_forgets_deleted_files(spark):
         _run(spark, base, expire_deleted_ms=1)
     left = incremental.tracked_files(spark, os.path.join(base, "ckpt")).collect()
     assert sorted(r.path for r in left) == ["y", "z"]
+
+
+def test_python_holds_bounded_batches(spark):
+    """Long contents fill a result batch by their length, paths without an event fill it too, and a batch has few rows; the extra
+    rows are no events."""
+    class State:
+        def __init__(self, value=None, timed_out=False):
+            self.exists, self.get, self.hasTimedOut = value is not None, value, timed_out
+
+        def update(self, value):
+            self.get = value
+
+        def remove(self):
+            self.get = None
+
+    def rows(content, seq, state):
+        frame = pd.DataFrame({"content": [content], "seq": [seq], "sha1": ["h"]})
+        return pd.concat(incremental._track(None)(("r", "p"), iter([frame]), state))
+
+    most = incremental.FRAME_BYTES // incremental.FRAME_ROWS
+    long = rows("x" * (10 * most), 1, State())
+    assert len(long) == 11 and long["change"].tolist() == ["new"] + [None] * 10 and long["content"].notna().sum() == 1
+    late = rows("old", 1, State((2, "h")))
+    assert late["change"].tolist() == [None]
+    assert len(pd.concat(incremental._track(1)(("r", "p"), iter([]), State((2, None), timed_out=True)))) == 1
+    own = incremental._stream_session(spark)
+    assert int(own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= incremental.FRAME_ROWS
+    assert int(own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == incremental.FRAME_BYTES
+
+    base = tempfile.mkdtemp(prefix="codesift-stream-")
+    drops, text = os.path.join(base, "drops"), "y" * (3 * most)
+    _drop(spark, drops, "a", [("r", "long", text, 2), ("r", "short", "s", 2)])
+    _run(spark, base)
+    _drop(spark, drops, "b", [("r", "long", "late", 1), ("r", "short", "s", 3)])
+    _run(spark, base)
+    log = spark.read.parquet(os.path.join(base, "state"))
+    assert sorted((r.path, r.change, r.sha1) for r in log.collect()) == [
+        (p, "new", hashlib.sha1(t.encode()).hexdigest()) for p, t in (("long", text), ("short", "s"))]
