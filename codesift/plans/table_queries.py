@@ -26,7 +26,7 @@ from codesift.operators.ordering import head_n, ordinal
 from codesift.plans import model
 from codesift.plans import prompts as P
 from codesift.plans.catalog import DEFAULT_PIPELINES, catalog_frame
-from codesift.session import materialize, scratch_path
+from codesift.session import materialize, scratch_path, written
 from codesift.sources import artifacts, documents
 from codesift.sources.corpus import CORPUS_DIRS, CORPUS_EXTS, DIR_STEP, EXT_STEP, corpus, read_table
 from codesift.sources.listing import flatten_tree, scan_corpus, tree_edges
@@ -899,7 +899,7 @@ def q_locate_exact(spark: SparkSession, sf: str) -> DataFrame:
     many = lines.filter(F.size("lines") >= size).select(
         F.concat(F.col("doc_id").cast("string"), F.lit("m")).alias("finding_id"), "repo_id", "path", "doc_id",
         F.array_join(F.slice("lines", begin, size), "\n").alias("snippet"))
-    f = one.unionByName(many)
+    f = written(one.unionByName(many), "located-findings")
     loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), files)
     return f.join(loc, "finding_id").select(
         "finding_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), F.size("line").cast("bigint").alias("n_lines"))
