@@ -70,7 +70,9 @@ def collapse_ws(s: Column | str) -> Column:
 
 def split_lines(text: Column | str) -> Column:
     """Lines of a text read with universal newlines; no trailing empty line; '' -> []."""
-    parts = F.split(_c(text), r"\r\n|\r|\n", -1)
+    # texts without "\r" need no pattern
+    t = _c(text)
+    parts = F.split(F.when(F.contains(t, F.lit("\r")), universal_newlines(t)).otherwise(t), "\n", -1)
     return F.when(
         F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)
     ).otherwise(parts)

@@ -879,13 +879,13 @@ def _locate_findings(spark, sf) -> DataFrame:
     text), with ``first_equal``, the first line whose collapsed text is the same (the
     line an exact search must report)."""
     files = _files(spark, sf)
-    lines = files.select("doc_id", "repo_id", "path", split_lines(F.col("content")).alias("lines"))
+    # out of a generator the lines are a column, split once
+    lines = files.select("doc_id", "repo_id", "path", F.explode_outer(F.array(split_lines(F.col("content")))).alias("lines"))
     pick = (F.col("doc_id") % F.size("lines")).cast("int") + 1
     norms = F.transform("lines", locate.collapse_ws)
-    return lines.select(
-        F.col("doc_id").cast("string").alias("finding_id"), "repo_id", "path", "doc_id",
-        F.try_element_at("lines", pick).alias("line_text"),
-        F.array_position(norms, locate.collapse_ws(F.try_element_at("lines", pick))).cast("int").alias("first_equal"),
+    return lines.withColumn("line_text", F.try_element_at("lines", pick)).select(
+        F.col("doc_id").cast("string").alias("finding_id"), "repo_id", "path", "doc_id", "line_text",
+        F.array_position(norms, locate.collapse_ws(F.col("line_text"))).cast("int").alias("first_equal"),
     )
 
 
@@ -893,7 +893,7 @@ def q_locate_exact(spark: SparkSession, sf: str) -> DataFrame:
     """L1 (T1 T2 W5 A3 J7 T12): of every document one line and one run of two to five lines located back."""
     files = _with_text(_files(spark, sf))
     one = _locate_findings(spark, sf).select("finding_id", "repo_id", "path", "doc_id", F.col("line_text").alias("snippet"))
-    lines = files.select("doc_id", "repo_id", "path", split_lines(F.col("content")).alias("lines"))
+    lines = files.select("doc_id", "repo_id", "path", F.explode_outer(F.array(split_lines(F.col("content")))).alias("lines"))
     size = (F.col("doc_id") % 4 + 2).cast("int")
     begin = (F.col("doc_id") % (F.size("lines") - size + 1) + 1).cast("int")
     many = lines.filter(F.size("lines") >= size).select(
@@ -963,7 +963,7 @@ def q_locate_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     """L1 on inexact snippets (difflib path): a line of every document with k characters after it that
     occur nowhere, k = L // 2 + 1 for a line of L collapsed characters.  No window can match more than
     L characters of it, so the first line with the same text is the answer, with score 2L / (2L + k)."""
-    f = _fuzzy_findings(_locate_findings(spark, sf))
+    f = written(_fuzzy_findings(_locate_findings(spark, sf)).select("finding_id", "repo_id", "path", "doc_id", "snippet"), "located-findings")
     loc = locate.locate_snippets(f.select("finding_id", "repo_id", "path", "snippet"), _with_text(_files(spark, sf)))
     return f.join(loc, "finding_id").select("doc_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "score")
 
@@ -989,7 +989,7 @@ def _stored_findings(spark, sf) -> DataFrame:
 
 def q_relocate_diff(spark: SparkSession, sf: str) -> DataFrame:
     """L3 + A5: relocation summary per repo (changed / unchanged / not found)."""
-    r = locate.relocate_diff(_stored_findings(spark, sf), _with_text(_files(spark, sf)))
+    r = locate.relocate_diff(written(_stored_findings(spark, sf), "stored-findings"), _with_text(_files(spark, sf)))
     return r["summary"].select("repo_id", *[F.col(c).cast("bigint").alias(c) for c in
                                             ["total_vulnerabilities", "changed_count", "unchanged_count",
                                              "not_found_count"]])
@@ -1006,7 +1006,7 @@ FROM c GROUP BY 1"""
 
 def q_relocate_changed(spark: SparkSession, sf: str) -> DataFrame:
     """L3: the rows that a relocation reports, with old and new lines (moved, and no longer found)."""
-    r = locate.relocate_diff(_stored_findings(spark, sf), _with_text(_files(spark, sf)))
+    r = locate.relocate_diff(written(_stored_findings(spark, sf), "stored-findings"), _with_text(_files(spark, sf)))
     told = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return r["changed"].select("repo_id", "finding_id", told("old_line").alias("old_line"), told("new_line").alias("new_line"))
 

@@ -65,13 +65,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: The session setting by which a query's shuffle files go when it ends, instead of when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
     """``df`` as a columnar table under the shared checkpoint folder, read back.
 
     Unlike a checkpoint, later steps read only the columns they use.  The folder is cleared with the checkpoint folder.
+    Nothing reads the shuffle files behind a written table again, so they are removed at once.  ``settings`` of the session
+    hold for the query that writes it.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    settings = {SHUFFLE_CLEANUP: "true"} | (settings or {})
+    before = {k: conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            conf.set(k, v)
+        df.write.parquet(path, compression="zstd")
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
