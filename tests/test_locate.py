@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codesift.operators import locate
 from codesift.plans import table_queries as TQ
-from codesift.session import materialize
+from codesift.session import materialize, written
 from conftest import SF_SMALL
 
 WORDS = ["const", "x", "=", "req.query.id;", "db.find(x)", "}", "{", "", "  ", "return", "user", "if", "(a)"]
@@ -233,21 +233,18 @@ def test_ratio_is_difflibs():
         assert locate.ratio(x, y) == SequenceMatcher(None, x, y).ratio()
 
 
-def test_shuffled_texts_do_not_stay(spark, tmp_path):
-    """Every text is moved once for whole-line snippets and once for the others, and what was moved is removed before
-    the next step: the disk holds the block table and one shuffle of the texts, not one for each step."""
-    rng = random.Random(19)
-    texts = ["\n".join("%032x" % rng.getrandbits(128) for _ in range(300)) for _ in range(300)]
-    fdf = materialize(spark.createDataFrame([("r", f"f{i}", t) for i, t in enumerate(texts)], "repo_id string, path string, text string"))
-    finds = [(str(i), "r", f"f{i}", _lines(t)[i] if i % 2 else _lines(t)[i][1:]) for i, t in enumerate(texts)]
-    sdf = materialize(spark.createDataFrame(finds, "finding_id string, repo_id string, path string, snippet string"))
-    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-
+def test_shuffled_texts_do_not_stay(spark):
+    """What a step has moved goes when its table is written, not when the driver happens to collect garbage."""
     def shuffled():
-        files = store.getAllFiles()
-        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().endswith(".data"))
-
-    before = shuffled()
-    located = locate.locate_snippets(sdf, fdf)
-    assert shuffled() - before < sum(map(len, texts)) / 4
-    assert {int(r.finding_id): r.line for r in located.collect()} == {i: [i + 1] for i in range(len(texts))}
+        store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (store.apply(i).getName() for i in range(store.size())) if name.endswith(".data")}
+
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    dealt = spark.range(20_000).selectExpr("id", "sha2(string(id), 256) text").repartition(4, "id")
+    dealt.write.format("noop").mode("overwrite").save()
+    assert shuffled() - before
+    before, held = shuffled(), spark.conf.get(key, None)
+    out = written(dealt.repartition(3, "text"), "dealt")
+    assert not shuffled() - before
+    assert out.count() == 20_000
+    assert spark.conf.get(key, None) == held
